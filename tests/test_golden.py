@@ -1,0 +1,129 @@
+"""Rows of the three fixture tables against the exact bytes of their text outputs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ferry import columns_of, conform, csv_lines, jsonl_lines, override
+from ferry.plans import move
+from ferry.sinks import Target, write
+
+NUMBERS_CSV = """\
+1,1,1,1.000000000000000,1,1
+2,2,2,2.000000000000000,2,2
+3,3,3,3.000000000000000,3,3
+32767,2147483647,9223372036854775807,507531.111989867000000,123456789012345680000,12345679
+0,0,0,468797.177024568000000,1234567890.12345,12345.67"""
+NUMBERS_HEADER = "smallint_value,integer_value,bigint_value,decimal_value,double_value,float_value"
+STRINGS_CSV = """\
+a         ,a,a,{},{},[]
+b         ,b,b,"{""key"":""value""}","{""key"":""value""}","[""a""]\""""
+USERS_CSV = """\
+John Doe,2024-10-08T17:22:00,2024-10-08T17:22:00Z,a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11,NULL,true
+Test Tester,2024-10-08T17:22:00,2024-10-08T17:22:00Z,a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a12,NULL,false"""
+USERS_HEADER = "name,created,createdz,unique_id,nullable_id,active"
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    return spark.sql("""
+        SELECT cast(a AS smallint) smallint_value, cast(b AS int) integer_value, cast(c AS bigint) bigint_value,
+               cast(d AS decimal(38,15)) decimal_value, cast(e AS double) double_value, cast(f AS float) float_value
+        FROM VALUES ('1','1','1','1','1','1'), ('2','2','2','2','2','2'), ('3','3','3','3','3','3'),
+            ('32767','2147483647','9223372036854775807','507531.111989867','1.2345678901234567890123456789e+20','12345678.9'),
+            ('0','0','0','468797.177024568','1234567890.12345','12345.67') t(a,b,c,d,e,f)""").coalesce(1)
+
+
+@pytest.fixture(scope="module")
+def strings(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES ('a         ','a','a','{}','{}',array()),
+               ('b         ','b','b','{"key": "value"}','{"key": "value"}',array('a'))
+        t(char_value,varchar_value,text_value,json_value,jsonb_value,array_value)""").coalesce(1)
+    df = df.withColumn("array_value", F.col("array_value").cast("array<string>"))
+    return override(df, [{"name": "json_value", "type": "json"}, {"name": "JSONB_VALUE", "type": "JSONB"}])
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    df = spark.sql("""
+        SELECT name, TIMESTAMP_NTZ'2024-10-08 17:22:00' created, TIMESTAMP'2024-10-08 17:22:00Z' createdz,
+               concat('A0EEBC99-9c0b-4ef8-bb6d-6bb9bd380a1', n) unique_id, cast(null AS string) nullable_id, n = 1 active
+        FROM VALUES ('John Doe', 1), ('Test Tester', 2) t(name, n)""").coalesce(1)
+    return override(df, [{"name": "unique_id", "type": "UUID"}, {"name": "nullable_id", "type": "UUID"}])
+
+
+def lines(df):
+    return "\n".join(r.value for r in df.collect())
+
+
+def landed(folder, ending):
+    files = sorted(folder.rglob(f"part-*{ending}"))
+    return [f.read_text() for f in files]
+
+
+def test_csv_lines(numbers, strings, users):
+    assert lines(csv_lines(numbers)) == NUMBERS_CSV
+    assert lines(csv_lines(strings)) == STRINGS_CSV
+    assert lines(csv_lines(users)) == USERS_CSV
+
+
+def test_csv_files(numbers, strings, users, tmp_path):
+    for name, df, body in (("n", numbers, NUMBERS_CSV), ("s", strings, STRINGS_CSV), ("u", users, USERS_CSV)):
+        write(df, "csv", Target(str(tmp_path / name)))
+        header = ",".join(df.columns)
+        assert landed(tmp_path / name, ".csv") == [header + "\n" + body + "\n"]
+    assert ",".join(numbers.columns) == NUMBERS_HEADER and ",".join(users.columns) == USERS_HEADER
+
+
+def test_jsonl(numbers, strings, users, tmp_path):
+    out = lines(jsonl_lines(numbers)).split("\n")
+    assert out[3] == (
+        '{"bigint_value":9223372036854775807,"decimal_value":"507531.111989867000000",'
+        '"double_value":123456789012345680000,"float_value":12345679,"integer_value":2147483647,"smallint_value":32767}'
+    )
+    assert out[4] == (
+        '{"bigint_value":0,"decimal_value":"468797.177024568000000","double_value":1234567890.12345,'
+        '"float_value":12345.67,"integer_value":0,"smallint_value":0}'
+    )
+    assert lines(jsonl_lines(strings)).split("\n")[1] == (
+        '{"array_value":["a"],"char_value":"b         ","json_value":{"key":"value"},'
+        '"jsonb_value":{"key":"value"},"text_value":"b","varchar_value":"b"}'
+    )
+    assert lines(jsonl_lines(users)).split("\n")[0] == (
+        '{"active":true,"created":"2024-10-08T17:22:00","createdz":"2024-10-08T17:22:00Z","name":"John Doe",'
+        '"nullable_id":null,"unique_id":"a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"}'
+    )
+    write(users, "jsonl", Target(str(tmp_path / "u")))
+    assert landed(tmp_path / "u", ".txt") == [lines(jsonl_lines(users)) + "\n"]
+
+
+def test_sqlserver_real_read_as_double(spark):
+    df = spark.sql("SELECT cast(cast('12345.67' AS float) AS double) v, cast('1.2345678901234567e+20' AS double) w")
+    assert lines(csv_lines(df)) == "12345.669921875,123456789012345670000"
+
+
+def test_sqlserver_json_text_without_override(spark):
+    df = spark.sql("""SELECT '{"key": "value"}' json_value""")
+    assert lines(csv_lines(df)) == '"{""key"": ""value""}"'
+
+
+def test_bound_queries(spark, numbers, users, tmp_path):
+    users.createOrReplaceTempView("fix_users")
+    numbers.createOrReplaceTempView("fix_numbers")
+    cases = [
+        ({"sql": "SELECT * FROM fix_users LIMIT $1", "params": {"P1": {"value": "1", "type": "INT8"}}}, 1),
+        ({"sql": "SELECT * FROM fix_users WHERE createdz < $1", "params": {"P1": "2024-10-08"}}, 0),
+        ({"sql": "SELECT * FROM fix_numbers WHERE smallint_value = @smallint",
+          "params": {"smallint": {"value": "1", "type": "INT2"}}}, 1),
+    ]
+    for i, (spec, rows) in enumerate(cases):
+        report = move(spark, {**spec, "format": "csv", "filename": f"q{i}{{{{ext}}}}"}, str(tmp_path)).first()
+        assert (report.rows, report.success) == (rows, True)
+    header_only = landed(tmp_path / "q1.csv", ".csv")
+    assert header_only == [USERS_HEADER + "\n"]
+
+
+def test_duplicate_names(spark):
+    df = spark.sql("SELECT 1 a, 2 a")
+    with pytest.raises(ValueError, match="duplicate"):
+        conform(df, columns_of(df))
