@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ferry.functions.decimals import to_numeric
 from ferry.functions.jsontext import html_safe, json_value
-from ferry.functions.render import render_text
+from ferry.functions.render import is_json, render_text
 from ferry.functions.uuids import to_uuid
 from ferry.types import JSON_TYPES, is_nested, spark_type
 from ferry.types import Column as ColumnSpec
@@ -42,13 +42,14 @@ def cast_expr(
     if target.type in JSON_TYPES:
         if is_nested(dtype) or isinstance(dtype, T.StringType):
             return c
-        return html_safe(json_value(c, dtype))
+        return F.when(c.isNotNull(), html_safe(json_value(c, dtype)))
     if target.type == "UUID":
         return to_uuid(c, dtype, on_error, target.name)
     if isinstance(wanted, T.StringType):
-        if source_type in JSON_TYPES and isinstance(dtype, T.StringType):
+        if isinstance(dtype, T.StringType):
             return c
-        return render_text(c, dtype, source_type)
+        text = render_text(c, dtype, source_type)
+        return html_safe(text) if is_json(dtype, source_type) else text
     if dtype == wanted:
         return c
     if is_nested(dtype):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,16 +12,29 @@ from ferry.types import JSON_TYPES, is_nested
 
 
 def html_safe(json: Column) -> Column:
-    """Escape `<`, `>`, `&`, U+2028 and U+2029, which only occur inside JSON strings; \\u00XX in lower case."""
-    escapes = (("<", r"\u003c"), (">", r"\u003e"), ("&", r"\u0026"), ("\u2028", r"\u2028"), ("\u2029", r"\u2029"))
-    for char, escape in escapes:
+    """Escape `<`, `>`, `&`, U+2028 and U+2029, which only occur inside JSON strings; \\u00XX in lower case.
+
+    Give it a column that an earlier projection computed, as it uses the column more than once.
+    """
+    json = F.when(F.contains(json, F.lit(r"\u00")), rarely(json, _lower_hex)).otherwise(json)
+    for char, escape in (("<", r"\u003c"), (">", r"\u003e"), ("&", r"\u0026"), ("\u2028", r"\u2028"), ("\u2029", r"\u2029")):
         json = F.replace(json, F.lit(char), F.lit(escape))
-    lowered = json
+    return json
+
+
+def rarely(c: Column, expression: Callable[[Column], Column]) -> Column:
+    """`expression` of a value, for branches that few rows take.
+
+    Written as a lambda over a one-element array: the branch is interpreted and stays out of the
+    generated code, which would otherwise grow past what the JVM compiles for wide tables.
+    """
+    return F.transform(F.array(c), expression).getItem(0)
+
+
+def _lower_hex(json: Column) -> Column:
     for letter in "ABCDEF":
-        lowered = F.regexp_replace(
-            lowered, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\\\u00$2{letter.lower()}"
-        )
-    return F.when(json.rlike(r"\\u00[01][A-F]"), lowered).otherwise(json)
+        json = F.regexp_replace(json, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
+    return json
 
 
 def compact_json(text: Column, on_error: str = "fail") -> Column:
@@ -28,8 +43,8 @@ def compact_json(text: Column, on_error: str = "fail") -> Column:
 
 
 def json_string(c: Column) -> Column:
-    listed = F.to_json(F.array(c))
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.substr(listed, F.lit(2), F.length(listed) - 2))
+    """JSON string of a text; `null` for NULL."""
+    return F.btrim(F.to_json(F.array(c)), F.lit("[]"))
 
 
 def json_float(c: Column, dtype: T.DataType) -> Column:
@@ -37,21 +52,22 @@ def json_float(c: Column, dtype: T.DataType) -> Column:
     from ferry.functions.render import render_float, shortest_text
 
     size = F.abs(c)
-    s = shortest_text(c, dtype)
+    low, high = (F.lit(x).cast(dtype) for x in (1e-6, 1e21))
+    common = (c == 0) | ((size >= low) & (size < high))
+    return F.when(common, render_float(c, dtype)).when(c.isNotNull(), rarely(c, lambda v: _exponent(shortest_text(v, dtype))))
+
+
+def _exponent(s: Column) -> Column:
+    """`1.0E21` -> `1e+21`; NaN and infinity fail."""
     mantissa = F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", "")
     power = F.substring_index(s, "E", -1)
     sign = F.when(F.startswith(power, F.lit("-")), F.lit("")).otherwise(F.lit("+"))
-    not_number = F.isnan(c) | (size == float("inf"))
-    low, high = (F.lit(x).cast(dtype) for x in (1e-6, 1e21))
-    return (
-        F.when(not_number, F.raise_error(F.lit("NaN and infinity have no JSON form")))
-        .when((size != 0) & ((size < low) | (size >= high)), F.concat(mantissa, F.lit("e"), sign, power))
-        .otherwise(render_float(c, dtype))
-    )
+    no_number = F.raise_error(F.concat(s, F.lit(" has no JSON form")))
+    return F.when(F.contains(s, F.lit("E")), F.concat(mantissa, F.lit("e"), sign, power)).otherwise(no_number)
 
 
 def json_value(c: Column, dtype: T.DataType, logical: str = "") -> Column:
-    """JSON text of one value (NULL for NULL), not yet `html_safe`."""
+    """JSON text of one value, not yet `html_safe`. NULL gives NULL or, for text, `null`."""
     if logical in JSON_TYPES or is_nested(dtype):
         return json_text(c, dtype, logical)
     return _scalar(c, dtype)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions import jsontext
-from ferry.types import JSON_TYPES
+from ferry.types import JSON_TYPES, is_nested
 
 
 def render_timestamp(c: Column) -> Column:
@@ -23,10 +23,23 @@ def render_timestamptz(c: Column) -> Column:
 def render_float(c: Column, dtype: T.DataType) -> Column:
     """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`.
 
-    Java text is `123.45` between 1e-3 and 1e7, else one digit, a point, digits, `E` and the
-    exponent; only the second form needs its point moved.
+    Java text needs only its `.0` cut between 1e-3 and 1e7. Beyond, it is one digit, a point,
+    digits, `E` and the exponent. Of 17 digits (in 18 characters) some may be too many.
     """
-    s = shortest_text(c, dtype)
+    s = c.cast("string")
+    # The letter y is in Infinity only.
+    special = F.contains(s, F.lit("E")) | F.endswith(s, F.lit("y"))
+    if isinstance(dtype, T.DoubleType):
+        special = special | (F.length(s) >= 18)
+    return (
+        F.when(special, jsontext.rarely(c, lambda v: _moved_point(shortest_text(v, dtype))))
+        .when(F.endswith(s, F.lit(".0")), F.substr(s, F.lit(1), F.length(s) - 2))
+        .otherwise(s)
+    )
+
+
+def _moved_point(s: Column) -> Column:
+    """`-1.25E-4` -> `-0.000125`, `1.0E7` -> `10000000`."""
     mantissa = F.substring_index(s, "E", 1)
     exponent = F.substring_index(s, "E", -1).try_cast("int")
     digits = F.rtrim(F.replace(F.replace(mantissa, F.lit("-"), F.lit("")), F.lit("."), F.lit("")), F.lit("0"))
@@ -37,23 +50,21 @@ def render_float(c: Column, dtype: T.DataType) -> Column:
     ).otherwise(F.concat(whole, F.when(F.length(rest) > 0, F.concat(F.lit("."), rest)).otherwise(F.lit(""))))
     sign = F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     return (
-        F.when(F.endswith(s, F.lit(".0")), F.substr(s, F.lit(1), F.length(s) - 2))
-        .when(s == "Infinity", F.lit("+Inf"))
+        F.when(s == "Infinity", F.lit("+Inf"))
         .when(s == "-Infinity", F.lit("-Inf"))
         .when(F.contains(s, F.lit("E")), F.concat(sign, moved))
+        .when(F.endswith(s, F.lit(".0")), F.substr(s, F.lit(1), F.length(s) - 2))
         .otherwise(s)
     )
 
 
 def shortest_text(c: Column, dtype: T.DataType) -> Column:
-    """Java text of a float. Where it has 17 digits, one that is shorter and reads back equal wins."""
+    """Java text of a float. Java before 19 may print a digit too many: 16 digits that read back equal win."""
     s = c.cast("string")
     if not isinstance(dtype, T.DoubleType):
         return s
-    shorter = F.format_string("%.15e", c).cast("double")
-    return F.when(
-        (F.length(s) >= 18) & (shorter == c), _java_style(F.format_string("%.15e", c))
-    ).otherwise(s)
+    sixteen = F.format_string("%.15e", c)
+    return F.when((F.length(s) >= 18) & (sixteen.try_cast("double") == c), _java_style(sixteen)).otherwise(s)
 
 
 def _java_style(s: Column) -> Column:
@@ -63,9 +74,9 @@ def _java_style(s: Column) -> Column:
 
 
 def render_text(c: Column, dtype: T.DataType, logical: str = "") -> Column:
-    """Text of any value by its Spark type and canonical type; NULL stays NULL."""
-    if logical in JSON_TYPES or jsontext.is_nested(dtype):
-        return jsontext.html_safe(jsontext.json_text(c, dtype, logical))
+    """Text of any value by its Spark type and canonical type; NULL stays NULL. JSON is not yet `html_safe`."""
+    if is_json(dtype, logical):
+        return jsontext.json_text(c, dtype, logical)
     if isinstance(dtype, T.TimestampNTZType):
         return render_timestamp(c)
     if isinstance(dtype, T.TimestampType):
@@ -77,10 +88,17 @@ def render_text(c: Column, dtype: T.DataType, logical: str = "") -> Column:
     return c.cast("string")
 
 
-def csv_field(c: Column, dtype: T.DataType, logical: str = "", null_value: str = "NULL") -> Column:
-    """One CSV field: quoted where it holds a comma, quote or line break, starts with white space, or is `\\.`."""
-    text = render_text(c, dtype, logical)
-    if isinstance(dtype, (T.StringType, T.BinaryType)) and logical != "UUID" or jsontext.is_nested(dtype):
+def is_json(dtype: T.DataType, logical: str) -> bool:
+    return logical in JSON_TYPES or is_nested(dtype)
+
+
+def csv_field(text: Column, dtype: T.DataType, logical: str = "", null_value: str = "NULL") -> Column:
+    """CSV field of a rendered value.
+
+    Quoted where it holds a comma, quote or line break, starts with white space, or is `\\.`;
+    numbers, times, booleans and UUIDs never do.
+    """
+    if isinstance(dtype, (T.StringType, T.BinaryType)) and logical != "UUID" or is_nested(dtype):
         quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
         text = F.when(text.rlike(r'[,"\r\n]|^[\s\x{85}\x{a0}]|^\\\.$'), quoted).otherwise(text)
     return F.coalesce(text, F.lit(null_value))

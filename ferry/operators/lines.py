@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.jsontext import html_safe, json_object, json_value
-from ferry.functions.render import csv_field
+from ferry.functions.render import csv_field, is_json, render_text
 from ferry.operators.columns import check_unique, columns_of
 
 
@@ -22,20 +22,29 @@ def typed_columns(df: DataFrame) -> list[tuple[SparkColumn, object, str, str]]:
     return [(F.col(_quoted_name(c.name)), f.dataType, c.type, c.name) for f, c in zip(df.schema.fields, columns)]
 
 
+def rendered(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """Every column as its text, in two projections so that JSON is written once and then escaped."""
+    columns = typed_columns(df)
+    texts = [c if name in leave_out else render_text(c, dtype, logical).alias(name) for c, dtype, logical, name in columns]
+    safe = [
+        html_safe(c).alias(name) if is_json(dtype, logical) and name not in leave_out else c
+        for c, dtype, logical, name in columns
+    ]
+    return df.select(*texts).select(*safe)
+
+
 def csv_lines(df: DataFrame, null_value: str = "NULL") -> DataFrame:
     """One CSV line per row in column `value`, without header."""
     parts = [csv_field(c, dtype, logical, null_value) for c, dtype, logical, _ in typed_columns(df)]
-    return df.select(F.concat_ws(",", *parts).alias("value"))
-
-
-def json_line(df: DataFrame, leave_out: tuple[str, ...] = ()) -> SparkColumn:
-    members = [(name, json_value(c, dtype, logical)) for c, dtype, logical, name in typed_columns(df) if name not in leave_out]
-    return html_safe(json_object(members))
+    return rendered(df).select(F.concat_ws(",", *parts).alias("value"))
 
 
-def jsonl_lines(df: DataFrame) -> DataFrame:
-    """One JSON object per row in column `value`, keys sorted."""
-    return df.select(json_line(df).alias("value"))
+def jsonl_lines(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON object per row in column `value`, keys sorted; columns left out follow as they are."""
+    columns = typed_columns(df)
+    line = json_object([(name, json_value(c, dtype, logical)) for c, dtype, logical, name in columns if name not in leave_out])
+    kept = [c for c, _, _, name in columns if name in leave_out]
+    return df.select(line.alias("value"), *kept).select(html_safe(F.col("value")).alias("value"), *kept)
 
 
 def redact_url(url: SparkColumn) -> SparkColumn:

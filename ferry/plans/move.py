@@ -88,8 +88,14 @@ def move_many(
     source, dest = _ends(source, dest)
     specs = job if isinstance(job, list) else make_specs(job, flags)
     specs = [with_environment(s) for s in select_tables(specs, select)]
+
+    def run(spec: MoveSpec) -> MoveReport:
+        # This also makes the session the active one of the pool's thread, which looking up a format needs.
+        spark.createDataFrame([], "unused int")
+        return _run(spark, spec, source, dest)
+
     with ThreadPoolExecutor(max(1, concurrency)) as pool:
-        runs = [pool.submit(_run, spark, s, source, dest) for s in specs]
+        runs = [pool.submit(run, s) for s in specs]
         wait(runs, return_when=FIRST_EXCEPTION)
         for run in runs:
             run.cancel()

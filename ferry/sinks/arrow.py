@@ -196,7 +196,7 @@ def arrow_schema(schema, fields: str = "") -> pa.Schema:
 
     notes = {n["name"]: n for n in json.loads(fields or "[]")}
     out = []
-    for field in to_arrow_schema(schema, timezone="UTC"):
+    for field in to_arrow_schema(schema):
         note = notes.get(field.name, {})
         kind = field.type
         if note.get("type") == "UUID" and pa.types.is_binary(kind):

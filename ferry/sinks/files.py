@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.jsontext import html_safe, json_text
-from ferry.functions.render import render_text
 from ferry.functions.uuids import uuid_bytes
-from ferry.operators.lines import json_line, typed_columns
+from ferry.operators.lines import jsonl_lines, rendered, typed_columns
 from ferry.sinks import arrow
 from ferry.types import JSON_TYPES, is_nested
 
@@ -45,11 +44,7 @@ def _writer(df: DataFrame, target: Target, codecs: tuple[str, ...], default: str
 
 def write_csv(df: DataFrame, target: Target) -> None:
     """CSV with a header in every file; NULL is the word `NULL`."""
-    fields = [
-        c if name in target.partition_by else render_text(c, dtype, logical).alias(name)
-        for c, dtype, logical, name in typed_columns(df)
-    ]
-    _writer(df.select(*fields), target, TEXT_CODECS, "none").csv(
+    _writer(rendered(df, target.partition_by), target, TEXT_CODECS, "none").csv(
         target.path,
         header=True,
         nullValue=target.null_value,
@@ -61,8 +56,7 @@ def write_csv(df: DataFrame, target: Target) -> None:
 
 
 def write_jsonl(df: DataFrame, target: Target) -> None:
-    line = json_line(df, target.partition_by).alias("value")
-    _writer(df.select(line, *target.partition_by), target, TEXT_CODECS, "none").text(target.path)
+    _writer(jsonl_lines(df, target.partition_by), target, TEXT_CODECS, "none").text(target.path)
 
 
 def write_parquet(df: DataFrame, target: Target) -> None:
@@ -87,20 +81,21 @@ def write_arrow(df: DataFrame, target: Target) -> None:
 
 def columnar(df: DataFrame, uuid_as_bytes: bool = False) -> DataFrame:
     """Columns as Parquet and Arrow store them: nested values as JSON text, JSON text verbatim."""
-    picked = []
-    for f, (c, dtype, logical, name) in zip(df.schema.fields, typed_columns(df)):
-        picked.append(_stored(c, dtype, logical, uuid_as_bytes).alias(name, metadata=f.metadata))
-    return df.select(*picked)
+    columns = typed_columns(df)
+    stored = [_stored(c, dtype, logical, uuid_as_bytes).alias(name) for c, dtype, logical, name in columns]
+    safe = [html_safe(c) if is_nested(dtype) else c for c, dtype, _, _ in columns]
+    noted = [c.alias(name, metadata=f.metadata) for c, f, (_, _, _, name) in zip(safe, df.schema.fields, columns)]
+    return df.select(*stored).select(*noted)
 
 
 def _stored(c: Column, dtype: T.DataType, logical: str, uuid_as_bytes: bool) -> Column:
     if is_nested(dtype):
-        return html_safe(json_text(c, dtype, logical))
+        return json_text(c, dtype, logical)
     if logical == "UUID" and uuid_as_bytes and isinstance(dtype, T.StringType):
         return uuid_bytes(c)
-    if logical in JSON_TYPES or not isinstance(dtype, T.BinaryType):
-        return c
-    return c if logical == "UUID" else c.cast("string")
+    if isinstance(dtype, T.BinaryType) and logical not in (*JSON_TYPES, "UUID"):
+        return c.cast("string")
+    return c
 
 
 WRITERS = {"arrow": write_arrow, "csv": write_csv, "jsonl": write_jsonl, "parquet": write_parquet}
