@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -11,15 +12,15 @@ from pyspark.sql import types as T
 from ferry.types import JSON_TYPES, is_nested
 
 
-def html_safe(json: Column) -> Column:
+def html_safe(text: Column) -> Column:
     """Escape `<`, `>`, `&`, U+2028 and U+2029, which only occur inside JSON strings; \\u00XX in lower case.
 
     Give it a column that an earlier projection computed, as it uses the column more than once.
     """
-    json = F.when(F.contains(json, F.lit(r"\u00")), rarely(json, _lower_hex)).otherwise(json)
+    text = F.when(F.contains(text, F.lit(r"\u00")), rarely(text, _lower_hex)).otherwise(text)
     for char, escape in (("<", r"\u003c"), (">", r"\u003e"), ("&", r"\u0026"), ("\u2028", r"\u2028"), ("\u2029", r"\u2029")):
-        json = F.replace(json, F.lit(char), F.lit(escape))
-    return json
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    return text
 
 
 def rarely(c: Column, expression: Callable[[Column], Column]) -> Column:
@@ -31,10 +32,10 @@ def rarely(c: Column, expression: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(c), expression).getItem(0)
 
 
-def _lower_hex(json: Column) -> Column:
+def _lower_hex(text: Column) -> Column:
     for letter in "ABCDEF":
-        json = F.regexp_replace(json, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
-    return json
+        text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
+    return text
 
 
 def compact_json(text: Column, on_error: str = "fail") -> Column:
@@ -49,12 +50,13 @@ def json_string(c: Column) -> Column:
 
 def json_float(c: Column, dtype: T.DataType) -> Column:
     """JSON number: no exponent from 1e-6 up to 1e21, otherwise `1e-7`, `1.5e+21`."""
-    from ferry.functions.render import render_float, shortest_text
+    from ferry.functions.render import common_float, moved_point
 
-    size = F.abs(c)
-    low, high = (F.lit(x).cast(dtype) for x in (1e-6, 1e21))
-    common = (c == 0) | ((size >= low) & (size < high))
-    return F.when(common, render_float(c, dtype)).when(c.isNotNull(), rarely(c, lambda v: _exponent(shortest_text(v, dtype))))
+    def other(s: Column) -> Column:
+        power = F.substring_index(s, "E", -1).try_cast("int")
+        return F.when((power >= -6) & (power < 21), moved_point(s)).otherwise(_exponent(s))
+
+    return common_float(c, dtype, other)
 
 
 def _exponent(s: Column) -> Column:
@@ -113,13 +115,14 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
-def _or_null(json: Column) -> Column:
-    return F.coalesce(json, F.lit("null"))
+def or_null(text: Column) -> Column:
+    """Uses the text twice: where an earlier projection made it, Spark then keeps the two apart."""
+    return F.when(text.isNull(), F.lit("null")).otherwise(text)
 
 
 def _element(c: Column, dtype: T.DataType) -> Column:
     """A value inside a nested one: strings there are strings, not JSON text."""
-    return _or_null(json_text(c, dtype) if is_nested(dtype) else _scalar(c, dtype))
+    return F.coalesce(json_text(c, dtype) if is_nested(dtype) else _scalar(c, dtype), F.lit("null"))
 
 
 def _array(c: Column, dtype: T.ArrayType) -> Column:
@@ -130,8 +133,8 @@ def _array(c: Column, dtype: T.ArrayType) -> Column:
 
 
 def _struct(c: Column, dtype: T.StructType) -> Column:
-    line = json_object([(f.name, _element(c.getField(f.name), f.dataType)) for f in dtype.fields])
-    return F.when(c.isNotNull(), line)
+    members = [(f.name, _element(c.getField(f.name), f.dataType)) for f in dtype.fields]
+    return F.when(c.isNotNull(), json_object(members))
 
 
 def _map(c: Column, dtype: T.MapType) -> Column:
@@ -148,12 +151,18 @@ def _map(c: Column, dtype: T.MapType) -> Column:
 
 
 def json_object(members: list[tuple[str, Column]]) -> Column:
-    """Object of (name, JSON text) pairs, keys sorted by their bytes; a NULL member becomes `null`."""
-    import json
-
+    """Object of (name, JSON text) pairs, none NULL; keys sorted by their bytes."""
     parts: list[Column] = []
     lead = "{"
     for name, member in sorted(members, key=lambda pair: pair[0].encode()):
-        parts += [F.lit(lead + json.dumps(name, ensure_ascii=False) + ":"), _or_null(member)]
+        parts += [F.lit(f"{lead}{key_text(name)}:"), member]
         lead = ","
     return F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
+
+
+def key_text(name: str) -> str:
+    """A column name as JSON string, escaped like values."""
+    text = json.dumps(name, ensure_ascii=False)
+    for char in "<>&\u2028\u2029":
+        text = text.replace(char, f"\\u{ord(char):04x}")
+    return text

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,50 +23,67 @@ def render_timestamptz(c: Column) -> Column:
 
 
 def render_float(c: Column, dtype: T.DataType) -> Column:
-    """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`.
+    """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`."""
+    return common_float(c, dtype, moved_point)
+
+
+def common_float(c: Column, dtype: T.DataType, other: Callable[[Column], Column]) -> Column:
+    """Plain digits of most floats; `other` makes the text of the rest from `shortest_text`.
 
-    Java text needs only its `.0` cut between 1e-3 and 1e7. Beyond, it is one digit, a point,
-    digits, `E` and the exponent. Of 17 digits (in 18 characters) some may be too many.
+    Whole numbers are written as integers, up to where a float still holds every integer. Java text
+    is plain between 1e-3 and 1e7, and that of the exact decimal is up to 2^53.
     """
-    s = c.cast("string")
-    # The letter y is in Infinity only.
-    special = F.contains(s, F.lit("E")) | F.endswith(s, F.lit("y"))
-    if isinstance(dtype, T.DoubleType):
-        special = special | (F.length(s) >= 18)
-    return (
-        F.when(special, jsontext.rarely(c, lambda v: _moved_point(shortest_text(v, dtype))))
-        .when(F.endswith(s, F.lit(".0")), F.substr(s, F.lit(1), F.length(s) - 2))
-        .otherwise(s)
+    double = isinstance(dtype, T.DoubleType)
+    size = F.abs(c)
+    edges = [float(1 << (53 if double else 24)), 1e-3, 1e7]
+    whole_below, plain_from, plain_below = (F.lit(x).cast(dtype) for x in edges)
+    text = (
+        F.when(c == 0, F.substring_index(c.cast("string"), ".", 1))
+        .when((size < whole_below) & (F.rint(c) == c), c.cast("bigint").cast("string"))
+        .when((size >= plain_from) & (size < plain_below), c.cast("string"))
+    )
+    if double:
+        text = text.when(
+            (size >= plain_below) & (size < whole_below), F.rtrim(c.cast("decimal(30,10)").cast("string"), F.lit("0"))
+        )
+    return text.when(
+        c.isNotNull(), jsontext.rarely(c, lambda v: jsontext.rarely(shortest_text(v, dtype), other))
     )
 
 
-def _moved_point(s: Column) -> Column:
-    """`-1.25E-4` -> `-0.000125`, `1.0E7` -> `10000000`."""
-    mantissa = F.substring_index(s, "E", 1)
-    exponent = F.substring_index(s, "E", -1).try_cast("int")
-    digits = F.rtrim(F.replace(F.replace(mantissa, F.lit("-"), F.lit("")), F.lit("."), F.lit("")), F.lit("0"))
-    whole = F.substr(F.rpad(digits, exponent + 1, F.lit("0")), F.lit(1), exponent + 1)
-    rest = F.substr(digits, exponent + 2)
-    moved = F.when(
-        exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    ).otherwise(F.concat(whole, F.when(F.length(rest) > 0, F.concat(F.lit("."), rest)).otherwise(F.lit(""))))
-    sign = F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+def moved_point(s: Column) -> Column:
+    """`-1.25E-4` -> `-0.000125`, `1.0E23` -> `100000000000000000000000`."""
+    unsigned = F.replace(F.substring_index(s, "E", 1), F.lit("-"), F.lit(""))
+    parts = F.struct(
+        F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+        F.rtrim(F.replace(unsigned, F.lit("."), F.lit("")), F.lit("0")).alias("digits"),
+        F.substring_index(s, "E", -1).try_cast("int").alias("exponent"),
+    )
+
+    def join(p: Column) -> Column:
+        exponent, digits = p.getField("exponent"), p.getField("digits")
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+        return F.concat(p.getField("sign"), F.when(exponent < 0, small).otherwise(F.rpad(digits, exponent + 1, F.lit("0"))))
+
     return (
         F.when(s == "Infinity", F.lit("+Inf"))
         .when(s == "-Infinity", F.lit("-Inf"))
-        .when(F.contains(s, F.lit("E")), F.concat(sign, moved))
-        .when(F.endswith(s, F.lit(".0")), F.substr(s, F.lit(1), F.length(s) - 2))
-        .otherwise(s)
+        .when(s == "NaN", s)
+        .otherwise(jsontext.rarely(parts, join))
     )
 
 
 def shortest_text(c: Column, dtype: T.DataType) -> Column:
-    """Java text of a float. Java before 19 may print a digit too many: 16 digits that read back equal win."""
-    s = c.cast("string")
-    if not isinstance(dtype, T.DoubleType):
-        return s
-    sixteen = F.format_string("%.15e", c)
-    return F.when((F.length(s) >= 18) & (sixteen.try_cast("double") == c), _java_style(sixteen)).otherwise(s)
+    """Java text of a float that has an exponent.
+
+    Java before 19 may print a digit too many for large ones, so the shortest of the rounded
+    forms that read back equal wins.
+    """
+    formats = ("%.15e", "%.16e") if isinstance(dtype, T.DoubleType) else ("%.6e", "%.7e", "%.8e")
+    large = F.when((F.abs(c) >= 1e7) & (F.abs(c) < float("inf")), F.lit(True))
+    rounded = [F.format_string(form, c) for form in formats]
+    exact = [F.when(large & (r.try_cast(dtype) == c), _java_style(r)) for r in rounded]
+    return F.coalesce(*exact, c.cast("string"))
 
 
 def _java_style(s: Column) -> Column:

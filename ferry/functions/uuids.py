@@ -6,32 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_GROUPS = r"([0-9a-f]{8})-([0-9a-f]{4})-([0-9a-f]{4})-([0-9a-f]{4})-([0-9a-f]{12})"
+CANONICAL = f"^{_GROUPS}$"
 # Fixed value: the accepted spellings (plain, URN, braces, no dashes), after lower().
-UUID_TEXT = (
-    r"^(?:(?:urn:uuid:)?[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
-    r"|\{[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\}"
-    r"|[0-9a-f]{32})$"
-)
-
-
-def _dashed(digits: Column) -> Column:
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *(F.substring(digits, start, size) for start, size in cuts))
+UUID_TEXT = rf"^(?:(?:urn:uuid:)?{_GROUPS}|\{{{_GROUPS}\}}|[0-9a-f]{{32}})$"
+_DIGITS = r"^(?:urn:uuid:|\{)?" + _GROUPS.replace("-(", "-?(") + r"\}?$"
 
 
 def to_uuid(c: Column, dtype: T.DataType, on_error: str = "fail", name: str = "") -> Column:
     """Canonical lower-case text of a UUID given as text or 16 bytes; NULL stays NULL."""
-    if isinstance(dtype, T.BinaryType):
-        valid, text = F.octet_length(c) == 16, _dashed(F.lower(F.hex(c)))
-    elif isinstance(dtype, T.StringType):
-        low = F.lower(c)
-        valid, text = low.rlike(UUID_TEXT), _dashed(F.regexp_replace(low, "urn:uuid:|[{}-]", ""))
-    else:
-        raise TypeError(f"cannot read {dtype.simpleString()} as UUID (column {name})")
     bad = F.lit(None).cast("string")
     if on_error == "fail":
         bad = F.raise_error(F.concat(F.lit(f"not a UUID in column {name}: "), c.cast("string")))
-    return F.when(c.isNull(), F.lit(None)).when(valid, text).otherwise(bad)
+    none = F.when(c.isNull(), F.lit(None).cast("string"))
+    if isinstance(dtype, T.BinaryType):
+        text = F.regexp_replace(F.lower(F.hex(c)), _DIGITS, "$1-$2-$3-$4-$5")
+        return none.when(F.octet_length(c) == 16, text).otherwise(bad)
+    if isinstance(dtype, T.StringType):
+        text = F.regexp_replace(F.lower(c), _DIGITS, "$1-$2-$3-$4-$5")
+        return none.when(c.rlike(CANONICAL), c).when(F.lower(c).rlike(UUID_TEXT), text).otherwise(bad)
+    raise TypeError(f"cannot read {dtype.simpleString()} as UUID (column {name})")
 
 
 def uuid_bytes(c: Column) -> Column:
@@ -44,7 +38,5 @@ def fix_sqlserver_uuid(c: Column) -> Column:
 
     Values that are not 16 bytes long pass unchanged.
     """
-    h = F.hex(c)
-    order = (7, 5, 3, 1, 11, 9, 15, 13)
-    swapped = F.concat(*(F.substring(h, at, 2) for at in order), F.substring(h, 17, 16))
-    return F.when(F.octet_length(c) == 16, F.unhex(swapped)).otherwise(c)
+    swapped = F.regexp_replace(F.hex(c), "^" + "(..)" * 8 + "(.{16})$", "$4$3$2$1$6$5$8$7$9")
+    return F.unhex(swapped)

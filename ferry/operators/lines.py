@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ferry.functions.jsontext import html_safe, json_object, json_value
+from ferry.functions.jsontext import html_safe, json_object, json_value, or_null
 from ferry.functions.render import csv_field, is_json, render_text
 from ferry.operators.columns import check_unique, columns_of
 
@@ -40,11 +41,24 @@ def csv_lines(df: DataFrame, null_value: str = "NULL") -> DataFrame:
 
 
 def jsonl_lines(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
-    """One JSON object per row in column `value`, keys sorted; columns left out follow as they are."""
+    """One JSON object per row in column `value`, keys sorted; columns left out follow as they are.
+
+    The values are written in a first projection, escaped and joined in a second: one projection
+    would repeat the first one's work in the second's branches.
+    """
     columns = typed_columns(df)
-    line = json_object([(name, json_value(c, dtype, logical)) for c, dtype, logical, name in columns if name not in leave_out])
+    values = [c if name in leave_out else json_value(c, dtype, logical).alias(name) for c, dtype, logical, name in columns]
+    members = [
+        (name, html_safe(or_null(c)) if may_need_escape(dtype, logical) else or_null(c))
+        for c, dtype, logical, name in columns
+        if name not in leave_out
+    ]
     kept = [c for c, _, _, name in columns if name in leave_out]
-    return df.select(line.alias("value"), *kept).select(html_safe(F.col("value")).alias("value"), *kept)
+    return df.select(*values).select(json_object(members).alias("value"), *kept)
+
+
+def may_need_escape(dtype: T.DataType, logical: str) -> bool:
+    return is_json(dtype, logical) or isinstance(dtype, T.StringType) and logical != "UUID"
 
 
 def redact_url(url: SparkColumn) -> SparkColumn:

@@ -22,6 +22,8 @@ def plan(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "tab
     """The rows of a move in their output types, not yet written."""
     spec = make_spec(spec).check()
     df = read_source(spark, source, spec)
+    if spec.writers:
+        df = df.repartition(spec.writers)
     dialect = dialect_of(source)
     columns = columns_of(df, dialect)
     fix = dialect == "sqlserver" and not keeps_uuid_order(source)
