@@ -344,7 +344,7 @@ def to_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rendered(name: str, df: DataFrame, logical: str = ""):
-    return render_text(F.col(name), df.schema[name].dataType, logical).alias(name)
+    return F.expr(render_text(name, df.schema[name].dataType, logical)).alias(name)
 
 
 @_query("""SELECT CAST(event_id AS VARCHAR) AS event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') AS ts,
@@ -367,19 +367,19 @@ def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') AS ts FROM events")
 def render_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").select("event_id", render_timestamp(F.col("ts")).alias("ts"))
+    return _table(spark, sf_dir, "events").select("event_id", F.expr(render_timestamp("ts")).alias("ts"))
 
 
 @_query("SELECT event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z' AS ts FROM events")
 def render_timestamptzs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
-        "event_id", render_timestamptz(F.col("ts").cast("timestamp")).alias("ts")
+        "event_id", F.expr(render_timestamptz("cast(ts AS timestamp)")).alias("ts")
     )
 
 
 @_query("SELECT event_id, CAST(json(props) AS VARCHAR) AS props FROM events")
 def render_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").select("event_id", compact_json(F.col("props")).alias("props"))
+    return _table(spark, sf_dir, "events").select("event_id", F.expr(compact_json("props")).alias("props"))
 
 
 @_query("""SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(20,6)) AS VARCHAR) AS price,
@@ -401,12 +401,8 @@ FLOAT_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
             FROM lineitem""")
 def render_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "lineitem")
-    large = F.rint("l_extendedprice") * 1e11
-    return df.select(
-        *LINE_KEYS,
-        *(render_float(F.col(c), _DOUBLE).alias(c) for c in FLOAT_COLUMNS),
-        render_float(large, _DOUBLE).alias("large"),
-    )
+    df = df.withColumn("large", F.rint("l_extendedprice") * 1e11)
+    return df.select(*LINE_KEYS, *(F.expr(render_float(c, _DOUBLE)).alias(c) for c in (*FLOAT_COLUMNS, "large")))
 
 
 @_query("SELECT o_orderkey, CAST(to_json([o_orderstatus, o_orderpriority]) AS VARCHAR) AS listed FROM orders")

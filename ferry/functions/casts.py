@@ -28,28 +28,29 @@ def plain_cast(c: Column, target: T.DataType, on_error: str = "fail") -> Column:
 
 
 def cast_expr(
-    c: Column,
+    name: str,
     dtype: T.DataType,
     target: ColumnSpec,
     source_type: str = "",
     on_error: str = "fail",
     strict_scale: bool = False,
 ) -> Column:
-    """Value `c` of Spark type `dtype` (canonical `source_type`) as the canonical type of `target`."""
+    """Column `name` of Spark type `dtype` (canonical `source_type`) as the canonical type of `target`."""
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}: {on_error!r}")
     wanted = spark_type(target)
+    c = F.col(name)
     if target.type in JSON_TYPES:
         if is_nested(dtype) or isinstance(dtype, T.StringType):
             return c
-        return F.when(c.isNotNull(), html_safe(json_value(c, dtype)))
+        return F.when(c.isNotNull(), F.expr(html_safe(json_value(name, dtype))))
     if target.type == "UUID":
         return to_uuid(c, dtype, on_error, target.name)
     if isinstance(wanted, T.StringType):
-        if isinstance(dtype, T.StringType):
+        if isinstance(dtype, T.StringType) or isinstance(dtype, T.BinaryType) and target.type == source_type:
             return c
-        text = render_text(c, dtype, source_type)
-        return html_safe(text) if is_json(dtype, source_type) else text
+        text = render_text(name, dtype, source_type)
+        return F.expr(html_safe(text) if is_json(dtype, source_type) else text)
     if dtype == wanted:
         return c
     if is_nested(dtype):

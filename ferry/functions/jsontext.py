@@ -1,168 +1,162 @@
-"""JSON text of values, built as plain expressions."""
+"""JSON text of values, as SQL expressions over SQL expressions.
+
+Expressions are SQL text rather than Column calls: a wide table needs thousands of calls, each a
+round trip to the JVM, where one parse per column does.
+"""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.types import JSON_TYPES, is_nested
 
+# Characters that JSON text shows by number.
+ESCAPED = "<>&\u2028\u2029"
 
-def html_safe(text: Column) -> Column:
-    """Escape `<`, `>`, `&`, U+2028 and U+2029, which only occur inside JSON strings; \\u00XX in lower case.
 
-    Give it a column that an earlier projection computed, as it uses the column more than once.
-    """
-    text = F.when(F.contains(text, F.lit(r"\u00")), rarely(text, _lower_hex)).otherwise(text)
-    for char, escape in (("<", r"\u003c"), (">", r"\u003e"), ("&", r"\u0026"), ("\u2028", r"\u2028"), ("\u2029", r"\u2029")):
-        text = F.replace(text, F.lit(char), F.lit(escape))
-    return text
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def rarely(c: Column, expression: Callable[[Column], Column]) -> Column:
-    """`expression` of a value, for branches that few rows take.
+def literal(text: str) -> str:
+    """SQL literal of a text, whatever the parser's setting for backslashes."""
+    parts = [f"r'{part}'" for part in text.split("'")]
+    return parts[0] if len(parts) == 1 else f"concat({', chr(39), '.join(parts)})"
 
-    Written as a lambda over a one-element array: the branch is interpreted and stays out of the
-    generated code, which would otherwise grow past what the JVM compiles for wide tables.
-    """
-    return F.transform(F.array(c), expression).getItem(0)
 
+def rarely(c: str, variable: str, expression: str) -> str:
+    """`expression` of `c`, named `variable` in it, for branches that few rows take.
 
-def _lower_hex(text: Column) -> Column:
-    for letter in "ABCDEF":
-        text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
-    return text
+    A lambda over a one-element array is interpreted: it stays out of the generated code, which would
+    otherwise grow past what the JVM compiles, and it computes `c` once.
+    """
+    return f"transform(array({c}), {variable} -> {expression})[0]"
 
 
-def compact_json(text: Column, on_error: str = "fail") -> Column:
-    """JSON text parsed and written again: no blanks, keys sorted. Text that is not JSON fails."""
-    return F.to_json(F.parse_json(text) if on_error == "fail" else F.try_parse_json(text))
+def or_null(text: str) -> str:
+    """Uses the text twice: where an earlier projection made it, Spark then keeps the two apart."""
+    return f"CASE WHEN {text} IS NULL THEN 'null' ELSE {text} END"
 
 
-def json_string(c: Column) -> Column:
-    """JSON string of a text; `null` for NULL."""
-    return F.btrim(F.to_json(F.array(c)), F.lit("[]"))
+def html_safe(text: str) -> str:
+    """Escape `<`, `>`, `&`, U+2028 and U+2029, which only occur inside JSON strings; \\u00XX in lower case.
 
+    Give it a column that an earlier projection computed, as it uses the text more than once.
+    """
+    lowered = "t"
+    for letter in "ABCDEF":
+        found, put = rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}"
+        lowered = f"regexp_replace({lowered}, r'{found}', r'{put}')"
+    text = rf"CASE WHEN contains({text}, r'\u00') THEN {rarely(text, 't', lowered)} ELSE {text} END"
+    for char in ESCAPED:
+        text = f"replace({text}, '{char}', {literal(_numbered(char))})"
+    return text
 
-def json_float(c: Column, dtype: T.DataType) -> Column:
-    """JSON number: no exponent from 1e-6 up to 1e21, otherwise `1e-7`, `1.5e+21`."""
-    from ferry.functions.render import common_float, moved_point
 
-    def other(s: Column) -> Column:
-        power = F.substring_index(s, "E", -1).try_cast("int")
-        return F.when((power >= -6) & (power < 21), moved_point(s)).otherwise(_exponent(s))
+def _numbered(char: str) -> str:
+    return f"\\u{ord(char):04x}"
 
-    return common_float(c, dtype, other)
 
+def key_text(name: str) -> str:
+    """A column name as JSON string, escaped like values."""
+    text = json.dumps(name, ensure_ascii=False)
+    for char in ESCAPED:
+        text = text.replace(char, _numbered(char))
+    return text
 
-def _exponent(s: Column) -> Column:
-    """`1.0E21` -> `1e+21`; NaN and infinity fail."""
-    mantissa = F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", "")
-    power = F.substring_index(s, "E", -1)
-    sign = F.when(F.startswith(power, F.lit("-")), F.lit("")).otherwise(F.lit("+"))
-    no_number = F.raise_error(F.concat(s, F.lit(" has no JSON form")))
-    return F.when(F.contains(s, F.lit("E")), F.concat(mantissa, F.lit("e"), sign, power)).otherwise(no_number)
 
+def compact_json(text: str, on_error: str = "fail") -> str:
+    """JSON text parsed and written again: no blanks, keys sorted. Text that is not JSON fails."""
+    return f"to_json({'parse_json' if on_error == 'fail' else 'try_parse_json'}({text}))"
 
-def json_value(c: Column, dtype: T.DataType, logical: str = "") -> Column:
+
+def json_value(c: str, dtype: T.DataType, logical: str = "") -> str:
     """JSON text of one value, not yet `html_safe`. NULL gives NULL or, for text, `null`."""
     if logical in JSON_TYPES or is_nested(dtype):
-        return json_text(c, dtype, logical)
+        return json_text(c, dtype)
+    if logical in ("NUMERIC", "UUID"):
+        from ferry.functions.render import render_text
+
+        return _quoted(render_text(c, dtype, logical))
     return _scalar(c, dtype)
 
 
-def json_text(c: Column, dtype: T.DataType, logical: str = "") -> Column:
+def json_text(c: str, dtype: T.DataType) -> str:
     """JSON text of a JSON column: text is parsed and compacted, nested values are written out."""
     if isinstance(dtype, T.StringType):
         return compact_json(c)
-    if isinstance(dtype, T.VariantType):
-        return F.to_json(c)
-    if isinstance(dtype, T.ArrayType):
-        return _array(c, dtype)
-    if isinstance(dtype, T.StructType):
-        return _struct(c, dtype)
-    if isinstance(dtype, T.MapType):
-        return _map(c, dtype)
-    return _scalar(c, dtype)
+    return _nested(c, dtype, 0) if is_nested(dtype) else _scalar(c, dtype)
 
 
-def _scalar(c: Column, dtype: T.DataType) -> Column:
+def _scalar(c: str, dtype: T.DataType) -> str:
     from ferry.functions.render import render_timestamp, render_timestamptz
 
-    if isinstance(dtype, T.StringType):
-        return json_string(c)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return json_float(c, dtype)
     if isinstance(dtype, (T.BooleanType, T.IntegralType)):
-        return c.cast("string")
+        return f"cast({c} AS string)"
     if isinstance(dtype, T.TimestampNTZType):
         return _quoted(render_timestamp(c))
     if isinstance(dtype, T.TimestampType):
         return _quoted(render_timestamptz(c))
     if isinstance(dtype, T.BinaryType):
-        return _quoted(F.base64(c))
+        return _quoted(f"base64({c})")
     if isinstance(dtype, (T.DecimalType, T.DateType)):
-        return _quoted(c.cast("string"))
-    return json_string(c.cast("string"))
-
+        return _quoted(f"cast({c} AS string)")
+    return json_string(c if isinstance(dtype, T.StringType) else f"cast({c} AS string)")
 
-def _quoted(text: Column) -> Column:
-    """For text known to hold nothing that JSON escapes."""
-    return F.concat(F.lit('"'), text, F.lit('"'))
-
-
-def or_null(text: Column) -> Column:
-    """Uses the text twice: where an earlier projection made it, Spark then keeps the two apart."""
-    return F.when(text.isNull(), F.lit("null")).otherwise(text)
 
+def json_string(c: str) -> str:
+    """JSON string of a text; `null` for NULL."""
+    return f"btrim(to_json(array({c})), '[]')"
 
-def _element(c: Column, dtype: T.DataType) -> Column:
-    """A value inside a nested one: strings there are strings, not JSON text."""
-    return F.coalesce(json_text(c, dtype) if is_nested(dtype) else _scalar(c, dtype), F.lit("null"))
 
+def _quoted(text: str) -> str:
+    """For text known to hold nothing that JSON escapes."""
+    return f"concat('\"', {text}, '\"')"
 
-def _array(c: Column, dtype: T.ArrayType) -> Column:
-    if isinstance(dtype.elementType, (T.StringType, T.BooleanType, T.IntegralType)):
-        return F.to_json(c)
-    items = F.transform(c, lambda x: _element(x, dtype.elementType))
-    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
 
+def json_float(c: str, dtype: T.DataType) -> str:
+    """JSON number: no exponent from 1e-6 up to 1e21, otherwise `1e-7`, `1.5e+21`. NaN and infinity fail."""
+    from ferry.functions.render import common_float, moved_point
 
-def _struct(c: Column, dtype: T.StructType) -> Column:
-    members = [(f.name, _element(c.getField(f.name), f.dataType)) for f in dtype.fields]
-    return F.when(c.isNotNull(), json_object(members))
+    power = "substring_index(s, 'E', -1)"
+    mantissa = r"regexp_replace(substring_index(s, 'E', 1), r'\.0$', '')"
+    return common_float(c, dtype, f"""CASE
+        WHEN try_cast({power} AS int) >= -6 AND try_cast({power} AS int) < 21 THEN {moved_point("s")}
+        WHEN contains(s, 'E') THEN concat({mantissa}, 'e', if(startswith({power}, '-'), '', '+'), {power})
+        ELSE raise_error(concat(s, ' has no JSON form')) END""")
 
 
-def _map(c: Column, dtype: T.MapType) -> Column:
-    entries = F.array_sort(
-        F.transform(
-            F.map_entries(c),
-            lambda e: F.struct(
-                e.getField("key").cast("string").alias("k"), _element(e.getField("value"), dtype.valueType).alias("v")
-            ),
-        )
-    )
-    pairs = F.transform(entries, lambda e: F.concat(json_string(e.getField("k")), F.lit(":"), e.getField("v")))
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+def _nested(c: str, dtype: T.DataType, depth: int) -> str:
+    if isinstance(dtype, T.StructType):
+        members = [(f.name, _inner(f"{c}.{quoted_name(f.name)}", f.dataType, depth)) for f in dtype.fields]
+        return f"CASE WHEN {c} IS NOT NULL THEN {json_object(members)} END"
+    if isinstance(dtype, T.MapType):
+        e = f"e{depth}"
+        pair = f"struct(cast({e}.key AS string) AS k, {_inner(f'{e}.value', dtype.valueType, depth + 1)} AS v)"
+        pairs = f"array_sort(transform(map_entries({c}), {e} -> {pair}))"
+        return f"concat('{{', array_join(transform({pairs}, {e} -> concat({json_string(f'{e}.k')}, ':', {e}.v)), ','), '}}')"
+    if isinstance(dtype, T.ArrayType) and not isinstance(
+        dtype.elementType, (T.StringType, T.BooleanType, T.IntegralType)
+    ):
+        e = f"e{depth}"
+        return f"concat('[', array_join(transform({c}, {e} -> {_inner(e, dtype.elementType, depth + 1)}), ','), ']')"
+    return f"to_json({c})"
+
+
+def _inner(c: str, dtype: T.DataType, depth: int) -> str:
+    """A value inside a nested one: strings there are strings, not JSON text."""
+    return f"coalesce({_nested(c, dtype, depth) if is_nested(dtype) else _scalar(c, dtype)}, 'null')"
 
 
-def json_object(members: list[tuple[str, Column]]) -> Column:
+def json_object(members: list[tuple[str, str]], put: Callable[[str], str] = literal) -> str:
     """Object of (name, JSON text) pairs, none NULL; keys sorted by their bytes."""
-    parts: list[Column] = []
-    lead = "{"
+    parts, lead = [], "{"
     for name, member in sorted(members, key=lambda pair: pair[0].encode()):
-        parts += [F.lit(f"{lead}{key_text(name)}:"), member]
+        parts += [put(f"{lead}{key_text(name)}:"), member]
         lead = ","
-    return F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
-
-
-def key_text(name: str) -> str:
-    """A column name as JSON string, escaped like values."""
-    text = json.dumps(name, ensure_ascii=False)
-    for char in "<>&\u2028\u2029":
-        text = text.replace(char, f"\\u{ord(char):04x}")
-    return text
+    return f"concat({', '.join(parts)}, '}}')" if parts else "'{}'"

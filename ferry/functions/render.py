@@ -1,123 +1,120 @@
-"""Text forms of values: what CSV fields and text columns hold."""
+"""Text forms of values, as SQL expressions: what CSV fields and text columns hold."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions import jsontext
+from ferry.functions.uuids import uuid_text
 from ferry.types import JSON_TYPES, is_nested
 
 
-def render_timestamp(c: Column) -> Column:
+def render_timestamp(c: str) -> str:
     """Wall-clock time as `yyyy-MM-ddTHH:mm:ss[.ffffff]`, trailing zeros of the fraction cut."""
-    return F.replace(c.cast("string"), F.lit(" "), F.lit("T"))
+    return f"replace(cast({c} AS string), ' ', 'T')"
 
 
-def render_timestamptz(c: Column) -> Column:
+def render_timestamptz(c: str) -> str:
     """Instant in the session time zone, followed by `Z` or `+hh:mm`."""
-    return F.concat(render_timestamp(c), F.date_format(c, "XXX"))
+    return f"concat({render_timestamp(c)}, date_format({c}, 'XXX'))"
 
 
-def render_float(c: Column, dtype: T.DataType) -> Column:
+def render_float(c: str, dtype: T.DataType) -> str:
     """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`."""
-    return common_float(c, dtype, moved_point)
+    return common_float(c, dtype, moved_point("s"))
 
 
-def common_float(c: Column, dtype: T.DataType, other: Callable[[Column], Column]) -> Column:
-    """Plain digits of most floats; `other` makes the text of the rest from `shortest_text`.
+def common_float(c: str, dtype: T.DataType, other: str) -> str:
+    """Plain digits of most floats; `other` makes the text of the rest from their Java text `s`.
 
-    Whole numbers are written as integers, up to where a float still holds every integer. Java text
-    is plain between 1e-3 and 1e7, and that of the exact decimal is up to 2^53.
+    Whole numbers are written as integers, up to where a float still holds every integer; past that
+    only the digits that count. Java text is plain between 1e-3 and 1e7, decimals are up to 2^53.
     """
     double = isinstance(dtype, T.DoubleType)
-    size = F.abs(c)
-    edges = [float(1 << (53 if double else 24)), 1e-3, 1e7]
-    whole_below, plain_from, plain_below = (F.lit(x).cast(dtype) for x in edges)
-    text = (
-        F.when(c == 0, F.substring_index(c.cast("string"), ".", 1))
-        .when((size < whole_below) & (F.rint(c) == c), c.cast("bigint").cast("string"))
-        .when((size >= plain_from) & (size < plain_below), c.cast("string"))
-    )
-    if double:
-        text = text.when(
-            (size >= plain_below) & (size < whole_below), F.rtrim(c.cast("decimal(30,10)").cast("string"), F.lit("0"))
-        )
-    return text.when(
-        c.isNotNull(), jsontext.rarely(c, lambda v: jsontext.rarely(shortest_text(v, dtype), other))
-    )
-
-
-def moved_point(s: Column) -> Column:
-    """`-1.25E-4` -> `-0.000125`, `1.0E23` -> `100000000000000000000000`."""
-    unsigned = F.replace(F.substring_index(s, "E", 1), F.lit("-"), F.lit(""))
-    parts = F.struct(
-        F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit("")).alias("sign"),
-        F.rtrim(F.replace(unsigned, F.lit("."), F.lit("")), F.lit("0")).alias("digits"),
-        F.substring_index(s, "E", -1).try_cast("int").alias("exponent"),
-    )
-
-    def join(p: Column) -> Column:
-        exponent, digits = p.getField("exponent"), p.getField("digits")
-        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-        return F.concat(p.getField("sign"), F.when(exponent < 0, small).otherwise(F.rpad(digits, exponent + 1, F.lit("0"))))
-
-    return (
-        F.when(s == "Infinity", F.lit("+Inf"))
-        .when(s == "-Infinity", F.lit("-Inf"))
-        .when(s == "NaN", s)
-        .otherwise(jsontext.rarely(parts, join))
-    )
-
-
-def shortest_text(c: Column, dtype: T.DataType) -> Column:
-    """Java text of a float that has an exponent.
+    whole = 1 << (53 if double else 24)
+    decimal = f"""WHEN abs({c}) >= 1e7D AND abs({c}) < {whole}D
+        THEN trim(TRAILING '0' FROM cast(cast({c} AS decimal(30,10)) AS string))
+        WHEN abs({c}) >= {whole}D AND abs({c}) < 9.2e18D THEN {jsontext.rarely(f"cast({c} AS bigint)", 'b', _rounded_whole())}"""
+    return f"""CASE
+        WHEN {c} = 0 THEN substring_index(cast({c} AS string), '.', 1)
+        WHEN abs({c}) < {whole}D AND rint({c}) = {c} THEN cast(cast({c} AS bigint) AS string)
+        WHEN abs({c}) >= cast(0.001D AS {dtype.simpleString()}) AND abs({c}) < 1e7D THEN cast({c} AS string)
+        {decimal if double else ''}
+        WHEN {c} IS NOT NULL THEN {jsontext.rarely(c, 'x', jsontext.rarely(_shortest('x', dtype), 's', other))} END"""
+
+
+def _rounded_whole() -> str:
+    """Text of a whole number `b` past 2^53 as its float needs it: the rest of its digits are zeros."""
+    tries = ""
+    for digits in (15, 16, 17):
+        steps = "".join(f" WHEN abs(b) >= {10 ** (at - 1)} THEN round(b, {digits - at})" for at in (19, 18, 17, 16) if at > digits)
+        rounded = f"CASE {steps} ELSE b END"
+        tries += f" WHEN cast({rounded} AS double) = cast(b AS double) THEN cast({rounded} AS string)"
+    return f"CASE {tries} ELSE cast(b AS string) END"
+
+
+def _shortest(x: str, dtype: T.DataType) -> str:
+    """Java text of a float.
 
     Java before 19 may print a digit too many for large ones, so the shortest of the rounded
     forms that read back equal wins.
     """
-    formats = ("%.15e", "%.16e") if isinstance(dtype, T.DoubleType) else ("%.6e", "%.7e", "%.8e")
-    large = F.when((F.abs(c) >= 1e7) & (F.abs(c) < float("inf")), F.lit(True))
-    rounded = [F.format_string(form, c) for form in formats]
-    exact = [F.when(large & (r.try_cast(dtype) == c), _java_style(r)) for r in rounded]
-    return F.coalesce(*exact, c.cast("string"))
+    kind = dtype.simpleString()
+    tries = ""
+    for digits in (14, 15, 16) if kind == "double" else (5, 6, 7, 8):
+        rounded = f"format_string('%.{digits}e', {x})"
+        # `2.000000000000000e+23` -> `2.0E23`
+        mantissa = rf"regexp_replace(substring_index({rounded}, 'e', 1), r'(\.[0-9]+?)0+$', '$1')"
+        text = f"concat({mantissa}, 'E', cast(cast(substring_index({rounded}, 'e', -1) AS int) AS string))"
+        tries += f" WHEN try_cast({rounded} AS {kind}) = {x} THEN {text}"
+    large = f"abs({x}) >= 1e7D AND abs({x}) < double('Infinity')"
+    return f"CASE WHEN {large} THEN CASE {tries} ELSE cast({x} AS string) END ELSE cast({x} AS string) END"
+
+
+def moved_point(s: str) -> str:
+    """`-1.25E-4` -> `-0.000125`, `1.0E23` -> `100000000000000000000000`.
+
+    Digits never reach past the point here: floats this large are whole.
+    """
+    digits = f"replace(replace(substring_index({s}, 'E', 1), '-', ''), '.', '')"
+    parts = f"""struct(if(startswith({s}, '-'), '-', '') AS sign, trim(TRAILING '0' FROM {digits}) AS digits,
+        try_cast(substring_index({s}, 'E', -1) AS int) AS exponent)"""
+    joined = """concat(p.sign, if(p.exponent < 0, concat('0.', repeat('0', -p.exponent - 1), p.digits),
+        rpad(p.digits, p.exponent + 1, '0')))"""
+    return f"""CASE {s} WHEN 'Infinity' THEN '+Inf' WHEN '-Infinity' THEN '-Inf' WHEN 'NaN' THEN {s}
+        ELSE {jsontext.rarely(parts, 'p', joined)} END"""
+
+
+def is_json(dtype: T.DataType, logical: str) -> bool:
+    return logical in JSON_TYPES or is_nested(dtype)
 
 
-def _java_style(s: Column) -> Column:
-    """`2.000000000000000e+23` -> `2.0E23`."""
-    mantissa = F.regexp_replace(F.substring_index(s, "e", 1), r"(\.[0-9]+?)0+$", "$1")
-    return F.concat(mantissa, F.lit("E"), F.substring_index(s, "e", -1).cast("int").cast("string"))
+def may_need_escape(dtype: T.DataType, logical: str) -> bool:
+    """Values other than numbers, times, booleans and UUIDs."""
+    return is_json(dtype, logical) or isinstance(dtype, (T.StringType, T.BinaryType)) and logical != "UUID"
 
 
-def render_text(c: Column, dtype: T.DataType, logical: str = "") -> Column:
+def render_text(c: str, dtype: T.DataType, logical: str = "") -> str:
     """Text of any value by its Spark type and canonical type; NULL stays NULL. JSON is not yet `html_safe`."""
     if is_json(dtype, logical):
-        return jsontext.json_text(c, dtype, logical)
+        return jsontext.json_text(c, dtype)
+    if logical == "UUID" and isinstance(dtype, T.BinaryType):
+        return uuid_text(c)
     if isinstance(dtype, T.TimestampNTZType):
         return render_timestamp(c)
     if isinstance(dtype, T.TimestampType):
         return render_timestamptz(c)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return render_float(c, dtype)
-    if isinstance(dtype, T.StringType):
-        return c
-    return c.cast("string")
-
-
-def is_json(dtype: T.DataType, logical: str) -> bool:
-    return logical in JSON_TYPES or is_nested(dtype)
+    return c if isinstance(dtype, T.StringType) else f"cast({c} AS string)"
 
 
-def csv_field(text: Column, dtype: T.DataType, logical: str = "", null_value: str = "NULL") -> Column:
+def csv_field(text: str, dtype: T.DataType, logical: str = "", null_value: str = "NULL") -> str:
     """CSV field of a rendered value.
 
-    Quoted where it holds a comma, quote or line break, starts with white space, or is `\\.`;
-    numbers, times, booleans and UUIDs never do.
+    Quoted where it holds a comma, quote or line break, starts with white space, or is `\\.`.
     """
-    if isinstance(dtype, (T.StringType, T.BinaryType)) and logical != "UUID" or is_nested(dtype):
-        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-        text = F.when(text.rlike(r'[,"\r\n]|^[\s\x{85}\x{a0}]|^\\\.$'), quoted).otherwise(text)
-    return F.coalesce(text, F.lit(null_value))
+    if may_need_escape(dtype, logical):
+        needs = rf"""{text} RLIKE r'[,"\r\n]|^[\s\x{{85}}\x{{a0}}]|^\\\.$'"""
+        text = f"""CASE WHEN {needs} THEN concat('"', replace({text}, '"', '""'), '"') ELSE {text} END"""
+    return f"coalesce({text}, {jsontext.literal(null_value)})"

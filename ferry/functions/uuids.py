@@ -28,6 +28,11 @@ def to_uuid(c: Column, dtype: T.DataType, on_error: str = "fail", name: str = ""
     raise TypeError(f"cannot read {dtype.simpleString()} as UUID (column {name})")
 
 
+def uuid_text(c: str) -> str:
+    """SQL expression of 16 bytes as text."""
+    return f"regexp_replace(lower(hex({c})), r'{_DIGITS}', '$1-$2-$3-$4-$5')"
+
+
 def uuid_bytes(c: Column) -> Column:
     """16 bytes of a canonical UUID text."""
     return F.unhex(F.replace(c, F.lit("-"), F.lit("")))

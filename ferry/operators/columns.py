@@ -127,15 +127,16 @@ def conform(
     """
     check_unique(columns)
     source_columns = source_columns or columns_of(df)
+    fields = df.schema.fields
     names = [f"_c{i}" for i in range(len(columns))]
-    picked = []
-    for name, field, source, target in zip(names, df.schema.fields, source_columns, columns, strict=True):
-        c = F.col(name)
+    df = df.toDF(*names)
+    picked, fixed = [], {}
+    for name, field, source, target in zip(names, fields, source_columns, columns, strict=True):
         if fix_uuids and target.type == "UUID" and isinstance(field.dataType, T.BinaryType):
-            c = fix_sqlserver_uuid(c)
-        value = cast_expr(c, field.dataType, target, source.type, on_error, strict_scale)
+            fixed[name] = fix_sqlserver_uuid(F.col(name))
+        value = cast_expr(name, field.dataType, target, source.type, on_error, strict_scale)
         picked.append(value.alias(target.name, metadata=column_metadata(target)))
-    return df.toDF(*names).select(*picked)
+    return df.withColumns(fixed).select(*picked) if fixed else df.select(*picked)
 
 
 def normalise(

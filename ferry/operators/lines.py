@@ -7,37 +7,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.functions.jsontext import html_safe, json_object, json_value, or_null
-from ferry.functions.render import csv_field, is_json, render_text
+from ferry.functions.jsontext import html_safe, json_object, json_value, or_null, quoted_name
+from ferry.functions.render import csv_field, is_json, may_need_escape, render_text
 from ferry.operators.columns import check_unique, columns_of
 
 
-def _quoted_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def typed_columns(df: DataFrame) -> list[tuple[SparkColumn, object, str, str]]:
-    """(expression, Spark type, canonical type, name) of every column."""
+def typed_columns(df: DataFrame) -> list[tuple[str, T.DataType, str, str]]:
+    """(SQL name, Spark type, canonical type, plain name) of every column."""
     columns = columns_of(df)
     check_unique(columns)
-    return [(F.col(_quoted_name(c.name)), f.dataType, c.type, c.name) for f, c in zip(df.schema.fields, columns)]
+    return [(quoted_name(c.name), f.dataType, c.type, c.name) for f, c in zip(df.schema.fields, columns)]
 
 
 def rendered(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
     """Every column as its text, in two projections so that JSON is written once and then escaped."""
-    columns = typed_columns(df)
-    texts = [c if name in leave_out else render_text(c, dtype, logical).alias(name) for c, dtype, logical, name in columns]
-    safe = [
-        html_safe(c).alias(name) if is_json(dtype, logical) and name not in leave_out else c
-        for c, dtype, logical, name in columns
-    ]
-    return df.select(*texts).select(*safe)
+    texts, safe = [], []
+    for c, dtype, logical, name in typed_columns(df):
+        kept = name in leave_out
+        texts.append(c if kept else f"{render_text(c, dtype, logical)} AS {c}")
+        safe.append(f"{html_safe(c)} AS {c}" if is_json(dtype, logical) and not kept else c)
+    return df.selectExpr(*texts).selectExpr(*safe)
 
 
 def csv_lines(df: DataFrame, null_value: str = "NULL") -> DataFrame:
     """One CSV line per row in column `value`, without header."""
     parts = [csv_field(c, dtype, logical, null_value) for c, dtype, logical, _ in typed_columns(df)]
-    return rendered(df).select(F.concat_ws(",", *parts).alias("value"))
+    return rendered(df).selectExpr(f"concat_ws(',', {', '.join(parts)}) AS value")
 
 
 def jsonl_lines(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
@@ -46,19 +41,15 @@ def jsonl_lines(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
     The values are written in a first projection, escaped and joined in a second: one projection
     would repeat the first one's work in the second's branches.
     """
-    columns = typed_columns(df)
-    values = [c if name in leave_out else json_value(c, dtype, logical).alias(name) for c, dtype, logical, name in columns]
-    members = [
-        (name, html_safe(or_null(c)) if may_need_escape(dtype, logical) else or_null(c))
-        for c, dtype, logical, name in columns
-        if name not in leave_out
-    ]
-    kept = [c for c, _, _, name in columns if name in leave_out]
-    return df.select(*values).select(json_object(members).alias("value"), *kept)
-
-
-def may_need_escape(dtype: T.DataType, logical: str) -> bool:
-    return is_json(dtype, logical) or isinstance(dtype, T.StringType) and logical != "UUID"
+    values, members, kept = [], [], []
+    for c, dtype, logical, name in typed_columns(df):
+        if name in leave_out:
+            values.append(c)
+            kept.append(c)
+            continue
+        values.append(f"{json_value(c, dtype, logical)} AS {c}")
+        members.append((name, html_safe(or_null(c)) if may_need_escape(dtype, logical) else or_null(c)))
+    return df.selectExpr(*values).selectExpr(f"{json_object(members)} AS value", *kept)
 
 
 def redact_url(url: SparkColumn) -> SparkColumn:

@@ -16,7 +16,7 @@ def measure_columns(df: DataFrame) -> DataFrame:
     """
     aggregates, lines = [F.count(F.lit(1)).alias("rows")], []
     for i, (c, dtype, logical, name) in enumerate(typed_columns(df)):
-        text = isinstance(dtype, T.StringType)
+        c, text = F.col(c), isinstance(dtype, T.StringType)
         longest = F.max(F.length(c)) if text else F.lit(None).cast("int")
         aggregates += [F.count(c).alias(f"n{i}"), longest.alias(f"l{i}")]
         lines.append(

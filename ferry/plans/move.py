@@ -56,7 +56,7 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
             path, spec.compression, spec.batch_size, spec.null_value, spec.uuid_as, spec.partition_by, options
         )
         write(df, spec.format, target)
-        report.rows, report.bytes = seen.get["rows"], written_bytes(df, path)
+        report.rows, report.bytes = seen.get.get("rows", 0), written_bytes(df, path)
     except Exception as e:
         report.finish(False, str(e))
         raise MoveError(f"move of {spec.stream_name or 'query'} failed: {e}", [report]) from e

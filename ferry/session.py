@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,6 @@ def work_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/ferry-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="ferry-")

@@ -81,21 +81,22 @@ def write_arrow(df: DataFrame, target: Target) -> None:
 
 def columnar(df: DataFrame, uuid_as_bytes: bool = False) -> DataFrame:
     """Columns as Parquet and Arrow store them: nested values as JSON text, JSON text verbatim."""
-    columns = typed_columns(df)
-    stored = [_stored(c, dtype, logical, uuid_as_bytes).alias(name) for c, dtype, logical, name in columns]
-    safe = [html_safe(c) if is_nested(dtype) else c for c, dtype, _, _ in columns]
-    noted = [c.alias(name, metadata=f.metadata) for c, f, (_, _, _, name) in zip(safe, df.schema.fields, columns)]
+    stored, noted = [], []
+    for f, (c, dtype, logical, name) in zip(df.schema.fields, typed_columns(df)):
+        stored.append(_stored(c, dtype, logical, uuid_as_bytes).alias(name))
+        safe = F.expr(html_safe(c)) if is_nested(dtype) else F.col(c)
+        noted.append(safe.alias(name, metadata=f.metadata))
     return df.select(*stored).select(*noted)
 
 
-def _stored(c: Column, dtype: T.DataType, logical: str, uuid_as_bytes: bool) -> Column:
+def _stored(c: str, dtype: T.DataType, logical: str, uuid_as_bytes: bool) -> Column:
     if is_nested(dtype):
-        return json_text(c, dtype, logical)
+        return F.expr(json_text(c, dtype))
     if logical == "UUID" and uuid_as_bytes and isinstance(dtype, T.StringType):
-        return uuid_bytes(c)
+        return uuid_bytes(F.col(c))
     if isinstance(dtype, T.BinaryType) and logical not in (*JSON_TYPES, "UUID"):
-        return c.cast("string")
-    return c
+        return F.col(c).cast("string")
+    return F.col(c)
 
 
 WRITERS = {"arrow": write_arrow, "csv": write_csv, "jsonl": write_jsonl, "parquet": write_parquet}
