@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Mapping
-from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -91,19 +92,23 @@ def move_many(
     specs = job if isinstance(job, list) else make_specs(job, flags)
     specs = [with_environment(s) for s in select_tables(specs, select)]
 
-    def run(spec: MoveSpec) -> MoveReport:
+    stop = threading.Event()
+
+    def run(spec: MoveSpec) -> MoveReport | None:
+        if stop.is_set():
+            return None
         # This also makes the session the active one of the pool's thread, which looking up a format needs.
         spark.createDataFrame([], "unused int")
-        return _run(spark, spec, source, dest)
+        try:
+            return _run(spark, spec, source, dest)
+        except MoveError:
+            stop.set()
+            raise
 
     with ThreadPoolExecutor(max(1, concurrency)) as pool:
         runs = [pool.submit(run, s) for s in specs]
-        wait(runs, return_when=FIRST_EXCEPTION)
-        for run in runs:
-            run.cancel()
-    ended = [r for r in runs if not r.cancelled()]
-    failed = [r.exception() for r in ended if r.exception()]
-    reports = [r.result() for r in ended if not r.exception()]
+    failed = [r.exception() for r in runs if r.exception()]
+    reports = [r.result() for r in runs if not r.exception() and r.result()]
     if failed:
         raise MoveError(str(failed[0]), reports + [r for e in failed for r in getattr(e, "reports", [])]) from failed[0]
     return report_frame(spark, reports)
