@@ -10,12 +10,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import DoubleType, StringType  # noqa: E402
 
 import ferry  # noqa: E402
-from ferry.functions import compact_json, decimal_unscaled, render_float, render_text, to_uuid, uuid_bytes  # noqa: E402
-from ferry.functions import render_timestamp, render_timestamptz  # noqa: E402
+from ferry import functions as fn  # noqa: E402
+from ferry.sinks import arrow, extension  # noqa: E402
 from ferry.session import configure, work_folder  # noqa: E402
-from ferry.sinks import arrow  # noqa: E402
 from ferry.sources import table_path  # noqa: E402
 from ferry.sources.jdbc import split_predicates  # noqa: E402
 from ferry.sources.splits import bounds, split_sizes  # noqa: E402
@@ -121,10 +121,13 @@ def exec_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+TEXTS = ("TEXT", "VARCHAR", "JSONB")
+
+
 def _measures(table: str, columns: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS name, '{kind}' AS type, CAST({i} AS INTEGER) AS position, count(*) AS rows,
-            count(*) - count({name}) AS nulls, {f'max(length({name}))' if kind == 'TEXT' else 'CAST(NULL AS BIGINT)'} AS max_length
+            count(*) - count({name}) AS nulls, {f'max(length({name}))' if kind in TEXTS else 'CAST(NULL AS BIGINT)'} AS max_length
             FROM {table}"""
         for i, (name, kind) in enumerate(c.split() for c in columns.split(","))
     )
@@ -309,9 +312,9 @@ def to_timestamptz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"""SELECT event_id, CAST(CAST({DIGEST} AS UUID) AS VARCHAR) AS dashed, CAST(CAST({DIGEST} AS UUID) AS VARCHAR) AS urn,
                    CAST(CAST({DIGEST} AS UUID) AS VARCHAR) AS raw FROM events""")
-def to_uuid_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def to_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.md5(F.col("event_id").cast("string"))
-    canonical = to_uuid(digest, _STRING)
+    canonical = fn.to_uuid(digest, StringType())
     df = _table(spark, sf_dir, "events").select(
         "event_id",
         F.upper(digest).alias("dashed"),
@@ -322,10 +325,10 @@ def to_uuid_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"SELECT event_id, upper({DIGEST}) AS digits, CAST(CAST({DIGEST} AS UUID) AS VARCHAR) AS text FROM events")
-def uuid_to_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def uuid_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "events").select("event_id", F.md5(F.col("event_id").cast("string")).alias("text"))
     return _converted(_converted(df, text="UUID"), text="TEXT").select(
-        "event_id", F.hex(uuid_bytes(F.col("text"))).alias("digits"), "text"
+        "event_id", F.hex(fn.uuid_bytes(F.col("text"))).alias("digits"), "text"
     )
 
 
@@ -344,7 +347,7 @@ def to_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rendered(name: str, df: DataFrame, logical: str = ""):
-    return F.expr(render_text(name, df.schema[name].dataType, logical)).alias(name)
+    return F.expr(fn.render_text(name, df.schema[name].dataType, logical)).alias(name)
 
 
 @_query("""SELECT CAST(event_id AS VARCHAR) AS event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') AS ts,
@@ -366,20 +369,20 @@ def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Text forms
 
 @_query("SELECT event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') AS ts FROM events")
-def render_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").select("event_id", F.expr(render_timestamp("ts")).alias("ts"))
+def render_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "events").select("event_id", F.expr(fn.render_timestamp("ts")).alias("ts"))
 
 
 @_query("SELECT event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z' AS ts FROM events")
-def render_timestamptzs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_timestamptz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
-        "event_id", F.expr(render_timestamptz("cast(ts AS timestamp)")).alias("ts")
+        "event_id", F.expr(fn.render_timestamptz("cast(ts AS timestamp)")).alias("ts")
     )
 
 
 @_query("SELECT event_id, CAST(json(props) AS VARCHAR) AS props FROM events")
 def render_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").select("event_id", F.expr(compact_json("props")).alias("props"))
+    return _table(spark, sf_dir, "events").select("event_id", F.expr(fn.compact_json("props")).alias("props"))
 
 
 @_query("""SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(20,6)) AS VARCHAR) AS price,
@@ -399,10 +402,10 @@ FLOAT_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
                    {', '.join(f"regexp_replace(CAST({c} AS VARCHAR), '[.]0$', '') AS {c}" for c in FLOAT_COLUMNS)},
                    CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) || '00000000000' AS large
             FROM lineitem""")
-def render_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "lineitem")
     df = df.withColumn("large", F.rint("l_extendedprice") * 1e11)
-    return df.select(*LINE_KEYS, *(F.expr(render_float(c, _DOUBLE)).alias(c) for c in (*FLOAT_COLUMNS, "large")))
+    return df.select(*LINE_KEYS, *(F.expr(fn.render_float(c, DoubleType())).alias(c) for c in (*FLOAT_COLUMNS, "large")))
 
 
 @_query("SELECT o_orderkey, CAST(to_json([o_orderstatus, o_orderpriority]) AS VARCHAR) AS listed FROM orders")
@@ -440,9 +443,9 @@ def jsonl_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""SELECT o_orderkey, CAST(replace(CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(15,2)) AS VARCHAR), '.', '') AS BIGINT) * 1000
            AS unscaled FROM orders""")
-def decimal_unscaled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decimal_unscaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("o_totalprice").cast("decimal(15,2)").cast("string")
-    return _table(spark, sf_dir, "orders").select("o_orderkey", decimal_unscaled(text, 5).cast("bigint").alias("unscaled"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", fn.decimal_unscaled(text, 5).cast("bigint").alias("unscaled"))
 
 
 @_query(r"""SELECT page_id, regexp_replace(regexp_replace(replace(url, '://', '://user:secret@'),
@@ -458,14 +461,12 @@ def _landed(spark: SparkSession, sf_dir: str, table: str, **spec) -> str:
     """Folder of a finished move of one table."""
     folder = work_folder(spark)
     ferry.move(spark, {"stream_name": table, "filename": "{{stream_name}}{{ext}}", **spec}, folder, f"parquet:{sf_dir}")
-    from ferry.sinks import extension
-
     return f"{folder}/{table}{extension(spec['format'], spec.get('compression', ''))}"
 
 
 @_query("SELECT * FROM documents")
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, sf_dir, "documents", format="csv", batch_size=100000)
+    path = _landed(spark, sf_dir, "documents", format="csv", batch_size=20000)
     return _read_back(spark, path, _table(spark, sf_dir, "documents"), "csv")
 
 
@@ -475,6 +476,32 @@ def sink_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, path, _table(spark, sf_dir, "events"), "jsonl")
 
 
+@_query("""SELECT csv AS value FROM (
+    SELECT s_suppkey || ',' || s_name || ',' || s_nationkey || ',' || regexp_replace(CAST(s_acctbal AS VARCHAR), '[.]0$', '') AS csv
+    FROM supplier ORDER BY s_suppkey LIMIT 20)""")
+def sink_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "supplier")
+    return ferry.preview(spark, {"sql": "SELECT * FROM supplier ORDER BY s_suppkey", "format": "csv"}, rows=20)
+
+
+METADATA = "o_orderkey BIGINT,o_custkey INTEGER,o_orderstatus VARCHAR,o_totalprice NUMERIC,o_orderdate DATE,o_orderpriority JSONB"
+
+
+METADATA_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+                         concat('"', o_orderpriority, '"') AS o_orderpriority FROM orders"""
+
+
+@_query(_measures(f"({METADATA_SQL}) t", METADATA))
+def column_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical types travel with the file: what a reader of the landed table measures shows them."""
+    _views(spark, sf_dir, "orders")
+    folder = work_folder(spark)
+    overrides = [{"name": n, "type": t, "precision": 15, "scale": 2} if t == "NUMERIC" else {"name": n, "type": t}
+                 for n, t in (c.split() for c in METADATA.split(","))]
+    ferry.move(spark, {"sql": METADATA_SQL, "columns": overrides, "format": "parquet", "filename": "orders{{ext}}"}, folder)
+    return ferry.measure_columns(spark.read.parquet(f"{folder}/orders.parquet"))
+
+
 @_query("SELECT * FROM lineitem")
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_landed(spark, sf_dir, "lineitem", format="parquet"))
@@ -534,6 +561,16 @@ def move(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("sql", "rows", "success", (F.col("bytes") > 0).alias("has_bytes"), "error")
 
 
+@_query("""SELECT count(*) AS rows, 'SELECT doc_id FROM labels WHERE toxic = 0' AS sql, true AS success, '' AS error,
+                  true AS timed, 'labels.parquet' AS file FROM labels WHERE toxic = 0""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "labels")
+    spec = {"sql": "SELECT doc_id FROM labels WHERE toxic = 0", "format": "parquet", "filename": "labels{{ext}}"}
+    report = ferry.move(spark, spec, work_folder(spark))
+    file = F.substring_index("path", "/", -1).alias("file")
+    return report.select("rows", "sql", "success", "error", (F.col("elapsed_ms") > 0).alias("timed"), file)
+
+
 MANY = """
 format: arrow
 compression: snappy
@@ -578,11 +615,6 @@ def move_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, f"{folder}/events.jsonl", spark.table("events"), "jsonl")
 
 
-from pyspark.sql.types import DoubleType, StringType  # noqa: E402
-
-_DOUBLE, _STRING = DoubleType(), StringType()
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Move the events of a period to JSON lines and read them back."""
     return queries()["move_events"](spark, DATA)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ferry.functions.casts import cast_expr
 from ferry.functions.uuids import fix_sqlserver_uuid
-from ferry.types import Column, column_of, declared_column, map_source_type, parse_declared, type_alias
+from ferry.types import Column, canonical_type, column_of, declared_column, is_known, map_source_type, parse_declared, type_alias
 
 DESCRIBE_SCHEMA = T.StructType(
     [
@@ -45,6 +45,9 @@ def columns_of(df: DataFrame, source: str | None = None, declared: Mapping[str,
         column = column_of(field, i)
         if source is not None and (field.metadata or {}).get("jdbcClientType"):
             column = map_source_type(column, source)
+            # Drivers have more names for numbers than one, as `bigserial`.
+            if not is_known(column.type) and isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+                column = replace(column, type=canonical_type(field.dataType))
         out.append(column)
     return out
 

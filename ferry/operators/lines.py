@@ -47,8 +47,13 @@ def jsonl_lines(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
             values.append(c)
             kept.append(c)
             continue
-        values.append(f"{json_value(c, dtype, logical)} AS {c}")
-        members.append((name, html_safe(or_null(c)) if may_need_escape(dtype, logical) else or_null(c)))
+        value = json_value(c, dtype, logical)
+        if may_need_escape(dtype, logical):
+            value, member = f"coalesce({value}, 'null')", html_safe(c)
+        else:
+            member = or_null(c)
+        values.append(f"{value} AS {c}")
+        members.append((name, member))
     return df.selectExpr(*values).selectExpr(f"{json_object(members)} AS value", *kept)
 
 

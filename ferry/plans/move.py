@@ -10,7 +10,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ferry import session
 from ferry.operators.columns import columns_of, conform, override_columns
 from ferry.operators.lines import csv_lines, jsonl_lines
 from ferry.plans.report import MoveError, MoveReport, report_frame
@@ -48,7 +47,6 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
         name = render_name(spec.filename, spec.stream_name, spec.format, spec.compression)
         path, options = hadoop_path(output_path(dest, name))
         report = MoveReport(source, report.sql, path)
-        session.configure(spark)
         if spec.on_error == "fail" and spark.conf.get("spark.sql.ansi.enabled") != "true":
             raise ValueError("on_error='fail' needs spark.sql.ansi.enabled=true")
         seen = Observation()

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ferry.functions.jsontext import html_safe, json_text
 from ferry.functions.uuids import uuid_bytes
 from ferry.operators.lines import jsonl_lines, rendered, typed_columns
+from ferry.session import configure
 from ferry.sinks import arrow
 from ferry.types import JSON_TYPES, is_nested
 
@@ -60,6 +61,7 @@ def write_jsonl(df: DataFrame, target: Target) -> None:
 
 
 def write_parquet(df: DataFrame, target: Target) -> None:
+    configure(df.sparkSession)
     writer = _writer(columnar(df, target.uuid_as == "bytes"), target, PARQUET_CODECS, "snappy")
     writer.parquet(target.path)
 

@@ -138,6 +138,11 @@ def spark_type(column: Column) -> T.DataType | None:
     return T.StringType()
 
 
+def is_known(name: str) -> bool:
+    """Whether a canonical type is one that spark_type tells from text."""
+    return name in ("NUMERIC", "TEXT", "UUID", "VARCHAR", *JSON_TYPES) or spark_type(Column("", type=name)) != T.StringType()
+
+
 def is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
@@ -158,10 +163,10 @@ def column_of(field: T.StructField, position: int) -> Column:
         base = replace(base, length=dtype.length, type=base.type or "VARCHAR")
     if isinstance(dtype, T.DecimalType):
         base = replace(base, precision=dtype.precision, scale=dtype.scale)
-    return base if base.type else replace(base, type=_canonical(dtype))
+    return base if base.type else replace(base, type=canonical_type(dtype))
 
 
-def _canonical(dtype: T.DataType) -> str:
+def canonical_type(dtype: T.DataType) -> str:
     names = {
         T.BooleanType: "BOOLEAN",
         T.ByteType: "SMALLINT",

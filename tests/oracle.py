@@ -37,7 +37,7 @@ def _plain(v):
 
 def compare(spark, con, name, query, sql, sf_dir):
     ours = rows_of(query(spark, sf_dir).toArrow())
-    theirs = rows_of(con.execute(sql).to_arrow_table())
+    theirs = rows_of(con.sql(sql).to_arrow_table())
     if ours[0] != theirs[0]:
         return f"columns differ: {ours[0]} / {theirs[0]}"
     if ours[1] != theirs[1]:

@@ -35,7 +35,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert [c.split(":")[0] for c in schema.split(",")] == ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"]
 
 
-@pytest.mark.parametrize("name", ["type_alias", "csv_lines", "jsonl_lines", "override_columns", "render_floats", "to_json_text"])
+@pytest.mark.parametrize("name", ["type_alias", "csv_lines", "jsonl_lines", "override_columns", "render_float", "to_json_text"])
 def test_conversions_neither_shuffle_nor_leave_the_jvm(spark, name):
     text = plan_text(entry.queries()[name](spark, DATA))
     assert "Exchange" not in text and "Python" not in text and "ArrowEval" not in text

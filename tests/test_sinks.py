@@ -38,7 +38,6 @@ def typed(spark):
 
 
 def test_parquet_footer(spark, typed, tmp_path):
-    ferry.session.configure(spark)
     write(typed, "parquet", Target(str(tmp_path / "p")))
     meta = pq.ParquetFile(files(tmp_path / "p")[0]).metadata
     columns = {meta.schema.column(i).name: meta.schema.column(i) for i in range(meta.num_columns)}
@@ -125,6 +124,23 @@ def test_arrow_codecs(spark, tmp_path, codec):
     assert spark.read.format("ferry_arrow").load(str(tmp_path / "a")).count() == 1000
 
 
+def test_arrow_survives_a_failed_attempt(spark, tmp_path):
+    """Rows that a lost attempt had written count once."""
+
+    def break_once(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+
+    df = spark.range(0, 30000, 1, 3).mapInArrow(break_once, "id long")
+    write(df, "arrow", Target(str(tmp_path / "a"), rows_per_file=4000))
+    rows = [r for p in files(tmp_path / "a") for r in pa.ipc.open_stream(p).read_all()["id"].to_pylist()]
+    assert sorted(rows) == list(range(30000))
+
+
 def test_arrow_failure_leaves_no_files(spark, tmp_path):
     path = tmp_path / "a"
     write(spark.range(10), "arrow", Target(str(path)))

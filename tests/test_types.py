@@ -74,10 +74,10 @@ def test_describe_runs_no_job(spark):
 
 
 def test_jdbc_type_names_in_metadata(spark):
-    df = spark.sql("SELECT 1 a, 2.50BD b, 'x' c")
-    for name, kind in (("a", "int4"), ("b", "numeric"), ("c", "uuid")):
+    df = spark.sql("SELECT 1 a, 2.50BD b, 'x' c, 7L d, 'y' e")
+    for name, kind in (("a", "int4"), ("b", "numeric"), ("c", "uuid"), ("d", "bigserial"), ("e", "bpchar")):
         df = df.withMetadata(name, {"jdbcClientType": kind, "scale": 2})
-    assert [c.type for c in columns_of(df, "postgres")] == ["INTEGER", "NUMERIC", "UUID"]
+    assert [c.type for c in columns_of(df, "postgres")] == ["INTEGER", "NUMERIC", "UUID", "BIGINT", "BPCHAR"]
     assert columns_of(df, "postgres")[1].precision == 3
 
 
