@@ -444,8 +444,9 @@ def jsonl_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""SELECT o_orderkey, CAST(replace(CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(15,2)) AS VARCHAR), '.', '') AS BIGINT) * 1000
            AS unscaled FROM orders""")
 def decimal_unscaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.col("o_totalprice").cast("decimal(15,2)").cast("string")
-    return _table(spark, sf_dir, "orders").select("o_orderkey", fn.decimal_unscaled(text, 5).cast("bigint").alias("unscaled"))
+    text = F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("price")
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", text)
+    return df.select("o_orderkey", fn.decimal_unscaled(F.col("price"), 5).cast("bigint").alias("unscaled"))
 
 
 @_query(r"""SELECT page_id, regexp_replace(regexp_replace(replace(url, '://', '://user:secret@'),

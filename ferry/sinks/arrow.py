@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+import threading
 import uuid
+import weakref
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
@@ -206,11 +209,19 @@ def arrow_schema(schema, fields: str = "") -> pa.Schema:
     return pa.schema(out)
 
 
+_registered = weakref.WeakSet()
+_registering = threading.Lock()
+
+
 def register(spark) -> None:
-    """Make the format known to a session; the classes travel by value, so executors need not have this package."""
-    import sys
+    """Make the format known to a session, once: doing it again would hide it from other threads for a moment.
 
+    The classes travel by value, so executors need not have this package.
+    """
     from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(ArrowStreams)
+    with _registering:
+        if spark not in _registered:
+            cloudpickle.register_pickle_by_value(sys.modules[__name__])
+            spark.dataSource.register(ArrowStreams)
+            _registered.add(spark)
