@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from ferry.operators.columns import columns_of, conform, override_columns
 from ferry.operators.lines import csv_lines, jsonl_lines
@@ -50,11 +49,11 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
         if spec.on_error == "fail" and spark.conf.get("spark.sql.ansi.enabled") != "true":
             raise ValueError("on_error='fail' needs spark.sql.ansi.enabled=true")
         seen = Observation()
-        df = plan(spark, spec, source).observe(seen, F.count(F.lit(1)).alias("rows"))
+        df = plan(spark, spec, source)
         target = Target(
             path, spec.compression, spec.batch_size, spec.null_value, spec.uuid_as, spec.partition_by, options
         )
-        write(df, spec.format, target)
+        write(df, spec.format, target, seen)
         report.rows, report.bytes = seen.get.get("rows", 0), written_bytes(df, path)
     except Exception as e:
         report.finish(False, str(e))

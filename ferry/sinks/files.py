@@ -5,19 +5,19 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.functions.jsontext import html_safe, json_text
+from ferry.functions.jsontext import html_safe, json_text, quoted_name
 from ferry.functions.uuids import uuid_bytes
 from ferry.operators.lines import jsonl_lines, rendered, typed_columns
 from ferry.session import configure
 from ferry.sinks import arrow
 from ferry.types import JSON_TYPES, is_nested
 
-TEXT_CODECS = ("none", "gzip", "snappy", "bzip2", "lz4", "zstd", "deflate")
-PARQUET_CODECS = ("none", "gzip", "snappy", "lz4", "zstd", "brotli")
+TEXT_CODECS = ("none", "gzip", "snappy", "bzip2", "lz4", "deflate")
+PARQUET_CODECS = ("none", "gzip", "snappy", "lz4_raw", "zstd")
 
 
 @dataclass(frozen=True)
@@ -104,12 +104,15 @@ def _stored(c: str, dtype: T.DataType, logical: str, uuid_as_bytes: bool) -> Col
 WRITERS = {"arrow": write_arrow, "csv": write_csv, "jsonl": write_jsonl, "parquet": write_parquet}
 
 
-def write(df: DataFrame, fmt: str, target: Target) -> None:
+def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = None) -> None:
+    """Land the rows. `seen` observes their number in the tasks that write them, where each row counts once."""
     if fmt.lower() not in WRITERS:
         raise ValueError(f"unsupported format: {fmt!r}")
     if target.partition_by:
         # Rows of one value go together, and Spark cuts a value that is far larger than the others.
-        df = df.hint("rebalance", *target.partition_by)
+        df = df.hint("rebalance", *map(quoted_name, target.partition_by))
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     WRITERS[fmt.lower()](df, target)
 
 

@@ -292,6 +292,12 @@ def test_rows_are_counted_once_after_shuffles(spark, tmp_path):
     assert report.rows == 7 and len(list((tmp_path / "g").glob("part-*"))) == 3
 
 
+def test_rows_of_a_partitioned_move(spark, tmp_path):
+    spec = {"stream_name": "events", "format": "parquet", "filename": "e", "partition_by": "event_type"}
+    report = ferry.move(spark, spec, str(tmp_path), f"parquet:{DATA}").first()
+    assert report.rows == spark.read.parquet(str(tmp_path / "e")).count() > 0
+
+
 def test_preview(spark):
     spec = make_spec({"sql": "SELECT id, 'a,b' AS t FROM range(100)", "format": "csv"})
     assert [r.value for r in preview(spark, spec, rows=2).collect()] == ['0,"a,b"', '1,"a,b"']

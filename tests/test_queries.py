@@ -20,6 +20,10 @@ def test_query(spark, con, name):
     assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], DATA) == ""
 
 
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
 def test_keys_agree():
     assert set(entry.queries()) == set(entry.oracle_sql())
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import ferry
 from conftest import DATA
 from ferry.sinks import Target, arrow, write, written_bytes
+from ferry.sinks.files import PARQUET_CODECS, TEXT_CODECS
 
 
 def files(folder, pattern="part-*"):
@@ -219,6 +220,37 @@ def test_hot_partition_value_is_cut(spark, tmp_path):
     assert counts["k=0"] > 4 and spark.read.parquet(str(tmp_path / "h")).count() == 200000
 
 
+@pytest.mark.parametrize("codec", TEXT_CODECS)
+def test_text_codecs(spark, tmp_path, codec):
+    for fmt in ("csv", "jsonl"):
+        write(documents(spark), fmt, Target(str(tmp_path / fmt), codec))
+    want = documents(spark).select("doc_id", "text")
+    csv_back = spark.read.csv(str(tmp_path / "csv"), header=True, multiLine=True, escape='"', schema=documents(spark).schema)
+    json_back = spark.read.schema(want.schema).json(str(tmp_path / "jsonl"))
+    assert csv_back.select("doc_id", "text").exceptAll(want).count() == 0 == json_back.exceptAll(want).count()
+    assert csv_back.count() == json_back.count() == want.count()
+
+
+@pytest.mark.parametrize("codec", PARQUET_CODECS)
+def test_parquet_codecs(spark, tmp_path, codec):
+    write(documents(spark), "parquet", Target(str(tmp_path / "p"), codec))
+    meta = pq.ParquetFile(files(tmp_path / "p")[0]).metadata
+    used = meta.row_group(0).column(1).compression.lower()
+    assert used.startswith({"none": "uncompressed", "lz4_raw": "lz4"}.get(codec, codec))
+    assert pq.read_table(tmp_path / "p").num_rows == documents(spark).count()
+
+
+def test_odd_names(spark, tmp_path):
+    names = ["a.b", "c`d", 'e"f', "g'h", "i j", "k,l", "<m>", "é"]
+    df = spark.range(3).select(*(F.col("id").alias(n) for n in names))
+    for fmt in ("csv", "jsonl", "parquet", "arrow"):
+        write(df, fmt, Target(str(tmp_path / fmt)))
+    assert list(csv.DictReader(files(tmp_path / "csv")[-1].open()))[-1] == dict.fromkeys(names, "2")
+    assert json.loads(files(tmp_path / "jsonl")[-1].read_text().strip()) == dict.fromkeys(names, 2)
+    assert pq.read_table(tmp_path / "parquet").column_names == names
+    assert pa.ipc.open_stream(files(tmp_path / "arrow")[0]).schema.names == names
+
+
 def test_bad_settings(spark, tmp_path):
     df = spark.range(1)
     for fmt, codec in (("csv", "zip"), ("parquet", "bzip2"), ("arrow", "brotli")):
