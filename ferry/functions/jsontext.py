@@ -7,7 +7,6 @@ round trip to the JVM, where one parse per column does.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 
 from pyspark.sql import types as T
 
@@ -70,9 +69,9 @@ def key_text(name: str) -> str:
     return text
 
 
-def compact_json(text: str, on_error: str = "fail") -> str:
+def compact_json(text: str) -> str:
     """JSON text parsed and written again: no blanks, keys sorted. Text that is not JSON fails."""
-    return f"to_json({'parse_json' if on_error == 'fail' else 'try_parse_json'}({text}))"
+    return f"to_json(parse_json({text}))"
 
 
 def json_value(c: str, dtype: T.DataType, logical: str = "") -> str:
@@ -155,10 +154,10 @@ def _inner(c: str, dtype: T.DataType, depth: int) -> str:
     return f"coalesce({_nested(c, dtype, depth) if is_nested(dtype) else _scalar(c, dtype)}, 'null')"
 
 
-def json_object(members: list[tuple[str, str]], put: Callable[[str], str] = literal) -> str:
+def json_object(members: list[tuple[str, str]]) -> str:
     """Object of (name, JSON text) pairs, none NULL; keys sorted by their bytes."""
     parts, lead = [], "{"
     for name, member in sorted(members, key=lambda pair: pair[0].encode()):
-        parts += [put(f"{lead}{key_text(name)}:"), member]
+        parts += [literal(f"{lead}{key_text(name)}:"), member]
         lead = ","
     return f"concat({', '.join(parts)}, '}}')" if parts else "'{}'"

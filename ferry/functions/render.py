@@ -115,6 +115,6 @@ def csv_field(text: str, dtype: T.DataType, logical: str = "", null_value: str =
     Quoted where it holds a comma, quote or line break, starts with white space, or is `\\.`.
     """
     if may_need_escape(dtype, logical):
-        needs = rf"""{text} RLIKE r'[,"\r\n]|^[\s\x{{85}}\x{{a0}}]|^\\\.$'"""
+        needs = rf"""{text} RLIKE r'[,"\r\n]|^\p{{IsWhite_Space}}|^\\\.$'"""
         text = f"""CASE WHEN {needs} THEN concat('"', replace({text}, '"', '""'), '"') ELSE {text} END"""
     return f"coalesce({text}, {jsontext.literal(null_value)})"

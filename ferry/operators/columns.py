@@ -40,7 +40,10 @@ def columns_of(df: DataFrame, source: str | None = None, declared: Mapping[str,
     out = []
     for i, field in enumerate(df.schema.fields):
         if field.name.lower() in by_name:
-            out.append(declared_column(field.name, by_name[field.name.lower()], source, nullable=field.nullable, position=i))
+            column = declared_column(field.name, by_name[field.name.lower()], source, nullable=field.nullable, position=i)
+            if column.type == "NUMERIC" and not column.precision and isinstance(field.dataType, T.DecimalType):
+                column = replace(column, precision=field.dataType.precision, scale=field.dataType.scale)
+            out.append(column)
             continue
         column = column_of(field, i)
         if source is not None and (field.metadata or {}).get("jdbcClientType"):

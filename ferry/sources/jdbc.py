@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
 from urllib.parse import parse_qsl, unquote, urlencode, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.sources.params import Param, inline_params
+from ferry.sources.params import Param, inline_params, jdbc_literal
 from ferry.sources.splits import modulo_predicates, range_predicates
 
 DRIVERS = {
@@ -57,23 +56,12 @@ def jdbc_options(url: str, fetch_size: int = 10000) -> dict[str, str]:
     return options
 
 
-def _literal(dialect: str):
-    def text(value: object) -> str:
-        if isinstance(value, (datetime, date)):
-            quoted = f"'{value.isoformat()}'"
-            kind = "TIMESTAMP" if isinstance(value, datetime) else "DATE"
-            return quoted if dialect == "sqlserver" else f"{kind} {quoted}"
-        return str(value)
-
-    return text
-
-
 def split_predicates(dialect: str, column: str, low: object, high: object, parts: int, by: str = "range") -> list[str]:
     if by == "modulo":
         return modulo_predicates(column, parts, "({} % {})" if dialect == "sqlserver" else "MOD({}, {})")
     if by != "range":
         raise ValueError(f"split must be range or modulo: {by!r}")
-    return range_predicates(column, low, high, parts, _literal(dialect))
+    return range_predicates(column, low, high, parts, lambda value: jdbc_literal(value, dialect))
 
 
 def read_jdbc(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -9,15 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _literal(value: object) -> str:
-    if isinstance(value, datetime):
-        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
-    if isinstance(value, date):
-        return f"DATE '{value.isoformat()}'"
-    return str(value)
-
-
-def range_predicates(column: str, low: object, high: object, parts: int, literal=_literal) -> list[str]:
+def range_predicates(column: str, low: object, high: object, parts: int, literal: Callable[[object], str] = str) -> list[str]:
     """Conditions that part [low, high] into equal strides.
 
     Every row meets exactly one: NULLs and anything below go to the first, anything above to the last.
@@ -26,6 +19,8 @@ def range_predicates(column: str, low: object, high: object, parts: int, literal
         raise ValueError("parts must be at least 1")
     if low is None or high is None or low >= high or parts == 1:
         return ["1 = 1"]
+    if isinstance(low, str):
+        raise ValueError(f"text has no equal strides: split {column} by modulo of a number made from it")
     if isinstance(low, (float, Decimal)):
         low, high = int(low // 1), int(-(-high // 1))
     width = high - low
@@ -46,7 +41,7 @@ def modulo_predicates(column: str, parts: int, remainder: str = "MOD({}, {})") -
     """Conditions by remainder, for integer keys whose values crowd in some ranges."""
     if parts <= 1:
         return ["1 = 1"]
-    rest = remainder.format(f"ABS({column})", parts)
+    rest = f"ABS({remainder.format(column, parts)})"
     return [f"{rest} = {i}" + (f" OR {column} IS NULL" if i == 0 else "") for i in range(parts)]
 
 

@@ -179,6 +179,22 @@ def test_partitioned_read():
     assert log == [("load", "SELECT 1")]
 
 
+@pytest.mark.parametrize("url, driver", [
+    ("postgres://u:p@nowhere/db", "org.postgresql.Driver"),
+    ("sqlserver://u:p@nowhere?database=db", "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
+    ("snowflake://u:p@nowhere/db/sc", "net.snowflake.client.jdbc.SnowflakeDriver"),
+])
+def test_a_move_asks_for_the_driver(spark, tmp_path, url, driver):
+    """The JDBC jars are not here, so a move gets as far as naming its driver, without its password."""
+    with pytest.raises(MoveError, match=driver) as failed:
+        ferry.move(spark, {"stream_name": "t", "format": "csv", "filename": "x"}, str(tmp_path), url)
+    assert "u:p" not in failed.value.reports[0].source
+
+
+def test_nothing_selected(spark, tmp_path):
+    assert ferry.move_many(spark, MULTI, str(tmp_path), f"parquet:{DATA}", select="none").count() == 0
+
+
 def test_splits(spark):
     df = spark.sql("SELECT if(id % 10 = 0, null, id - 50) AS k, DATE'2024-01-01' + cast(id AS int) AS d, id * 1.5D AS x, "
                    "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, id) AS t FROM range(100)")
@@ -195,6 +211,9 @@ def test_splits(spark):
     assert split_sizes(df, modulo).agg({"rows": "sum"}).first()[0] == 100
     assert split_predicates("sqlserver", "d", date(2024, 1, 1), date(2024, 1, 11), 2)[1] == "d >= '2024-01-06'"
     assert split_predicates("postgres", "d", None, None, 5) == ["1 = 1"]
+    assert split_predicates("sqlserver", "k", None, None, 2, "modulo") == ["ABS((k % 2)) = 0 OR k IS NULL", "ABS((k % 2)) = 1"]
+    with pytest.raises(ValueError, match="modulo"):
+        split_predicates("postgres", "name", "a", "z", 4)
 
 
 @pytest.mark.parametrize("fmt, compression, ending", [

@@ -81,6 +81,12 @@ def test_jdbc_type_names_in_metadata(spark):
     assert columns_of(df, "postgres")[1].precision == 3
 
 
+def test_unsized_numeric_keeps_its_digits(spark):
+    df = spark.sql("SELECT 1.25BD a, 1.25D b")
+    out = ferry.normalise(df, "postgres", {"A": "numeric", "b": "numeric"})
+    assert [t for _, t in out.dtypes] == ["decimal(3,2)", "double"]
+
+
 def test_measured_columns(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 'ab', null), (2, null, null), (3, 'abcé', null) t(i, s, n)")
     df = df.withColumn("n", F.col("n").cast("double"))

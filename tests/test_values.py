@@ -93,7 +93,7 @@ def test_not_numbers(spark):
 
 
 TEXTS = ["", "plain", 'q"uote', "back\\slash", "a\nb\rc\td", "\x01\x0b\x1f\x7f", "<b>&amp;</b>", "line sep ", "é漢😀",
-         "\\u000B", "\\\x0b", "[x]", "]", '"', "\b\f", "NULL", " lead", "trail ", "a,b", "\\.", "\x85x", "'", None]
+         "\\u000B", "\\\x0b", "[x]", "]", '"', "\b\f", "NULL", " lead", "\u3000wide", "\xa0nb", "trail ", "a,b", "\\.", "\x85x", "'", None]
 
 
 def json_escaped(text):
@@ -135,7 +135,7 @@ def test_bad_json_fails(spark):
 def csv_quoted(text):
     if text is None:
         return "NULL"
-    if any(c in text for c in ',"\r\n') or text == "\\." or text[:1] in " \t\x0b\x0c\x85\xa0" and text:
+    if any(c in text for c in ',"\r\n') or text == "\\." or text[:1] in " \t\x0b\x0c\x85\xa0\u3000" and text:
         return '"' + text.replace('"', '""') + '"'
     return text
 
