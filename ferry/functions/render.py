@@ -28,18 +28,26 @@ def common_float(c: str, dtype: T.DataType, other: str) -> str:
     """Plain digits of most floats; `other` makes the text of the rest from their Java text `s`.
 
     Whole numbers are written as integers, up to where a float still holds every integer; past that
-    only the digits that count. Java text is plain between 1e-3 and 1e7, decimals are up to 2^53.
+    only the digits that count. Java text is plain between 1e-3 and 1e7, and that of the exact decimal is up to 2^53.
     """
     double = isinstance(dtype, T.DoubleType)
     whole = 1 << (53 if double else 24)
-    decimal = f"""WHEN abs({c}) >= 1e7D AND abs({c}) < {whole}D
+    kind = dtype.simpleString()
+    # `-1.25E-4` -> `-0.000125`: sign, zeros by size, digits.
+    zeros = " ".join(f"WHEN abs({c}) >= cast(1e-{n}D AS {kind}) THEN '{'0' * (n - 1)}'" for n in (4, 5))
+    digits = f"replace(substring_index(cast(abs({c}) AS string), 'E', 1), '.', '')"
+    small = f"concat(if({c} < 0, '-0.', '0.'), CASE {zeros} ELSE '00000' END, trim(TRAILING '0' FROM {digits}))"
+    other_plain = f"WHEN abs({c}) >= 1e-6D AND abs({c}) < cast(0.001D AS {kind}) THEN {small}"
+    if double:
+        other_plain += f"""
+        WHEN abs({c}) >= 1e7D AND abs({c}) < {whole}D
         THEN trim(TRAILING '0' FROM cast(cast({c} AS decimal(30,10)) AS string))
         WHEN abs({c}) >= {whole}D AND abs({c}) < 9.2e18D THEN {jsontext.rarely(f"cast({c} AS bigint)", 'b', _rounded_whole())}"""
     return f"""CASE
         WHEN {c} = 0 THEN substring_index(cast({c} AS string), '.', 1)
         WHEN abs({c}) < {whole}D AND rint({c}) = {c} THEN cast(cast({c} AS bigint) AS string)
-        WHEN abs({c}) >= cast(0.001D AS {dtype.simpleString()}) AND abs({c}) < 1e7D THEN cast({c} AS string)
-        {decimal if double else ''}
+        WHEN abs({c}) >= cast(0.001D AS {kind}) AND abs({c}) < 1e7D THEN cast({c} AS string)
+        {other_plain}
         WHEN {c} IS NOT NULL THEN {jsontext.rarely(c, 'x', jsontext.rarely(_shortest('x', dtype), 's', other))} END"""
 
 

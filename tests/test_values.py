@@ -50,6 +50,7 @@ def doubles():
            1.7976931348623157e308, 2.0**53, 2.0**53 + 2, 1e21, 9.999999999999999e20, 1e-6, 9.99e-7, 1e-3, 0.00123, 1e-5, 1e22,
            3.0e-3, 999999.9999999999, 4503599627370497.5]
     out += [r.uniform(-1, 1) * 10 ** r.uniform(-25, 30) for _ in range(3000)]
+    out += [r.uniform(-1, 1) * 10 ** r.uniform(-7, -2) for _ in range(1000)]
     out += [round(r.uniform(-1e9, 1e9), 2) for _ in range(500)] + [float(r.randrange(10**18)) for _ in range(500)]
     out += [struct.unpack("<d", struct.pack("<Q", r.getrandbits(63)))[0] for _ in range(500)]
     # Java writes two digits at least, also of subnormal numbers that one digit tells apart.
