@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -621,9 +623,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["move_events"](spark, DATA)
 
 
+def _training_data(attribute: str) -> dict:
+    """What the training-data subpackage and its pipeline register, where they are installed."""
+    found: dict = {}
+    for package, module in (("ferry.llm", "ferry.llm.queries"), ("corpus_pipeline", "corpus_pipeline")):
+        if importlib.util.find_spec(package):
+            found.update(getattr(importlib.import_module(module), attribute))
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data("QUERIES")
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _training_data("ORACLES")
