@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import exact, secrets, simhash
+from ferry.llm import exact, mixing, pieces, quality, records, secrets, simhash
 from ferry.llm.common import table
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
@@ -16,9 +20,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.token_records(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_report(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_simhash, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_secrets, op2_simhash, op3_mixing, op5_token_records, op6_quality, op7_sentencepiece, op10_exact_dedup)
+}
 ORACLES = {"op10_exact_dedup": exact.SQL}

@@ -161,7 +161,9 @@ def near_groups(
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of `docs` that stay: of every component the document with the smallest identifier."""
-    groups = near_groups(docs, id_col, text_col, shingle, radius)
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    """The rows of `docs` that stay: of every component the document with the smallest identifier. Rows without an
+    identifier cannot be named by a decision, so they all stay."""
+    named = docs.filter(F.col(id_col).isNotNull())
+    groups = near_groups(named, id_col, text_col, shingle, radius)
+    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
+    return named.join(kept, named[id_col] == F.col("__id"), "left_semi").union(docs.filter(F.col(id_col).isNull()))
