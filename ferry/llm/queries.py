@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import exact, mixing, pieces, quality, records, secrets, simhash
+from ferry.llm import exact, mixing, neighbours, pieces, quality, records, secrets, simhash, toolcalls
 from ferry.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
@@ -36,12 +40,19 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_report(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secrets, op2_simhash, op3_mixing, op5_token_records, op6_quality, op7_sentencepiece, op10_exact_dedup)
+    for f in (
+        op1_secrets, op2_simhash, op3_mixing, op4_neighbours, op5_token_records, op6_quality, op7_sentencepiece, op8_tool_calls,
+        op10_exact_dedup,
+    )
 }
-ORACLES = {"op10_exact_dedup": exact.SQL}
+ORACLES = {"op8_tool_calls": toolcalls.SQL, "op10_exact_dedup": exact.SQL}
