@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,10 @@ def pieces(batch: pa.RecordBatch, most: int = 512) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most so many rows, so that what is made from each stays small."""
     for start in range(0, batch.num_rows, most):
         yield batch.slice(start, most)
+
+
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+    """Where tasks open a folder of the shared storage that is given as an address or a plain path."""
+    if "://" in folder or folder.startswith("file:"):
+        return pafs.FileSystem.from_uri(folder)
+    return pafs.LocalFileSystem(), folder

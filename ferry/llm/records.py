@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import binary, pieces, stored, whole
+from ferry.llm.common import binary, filesystem, pieces, stored, whole
 from ferry.session import work_folder
 
 CACHE = 300_000
@@ -123,12 +123,6 @@ class Words:
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
 
-def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return pafs.FileSystem.from_uri(folder)
-    return pafs.LocalFileSystem(), folder
-
-
 def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every whole text, append `end_id`, and write the records in ascending order of `id_col` to files in `folder`.
 
@@ -138,14 +132,14 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
     n_ids`, names the files of successful attempts alone, in order. Null text is empty: its record holds the end id alone.
     Null identifiers come first. Rows that repeat an identifier each get a record.
     """
-    filesystem, path = _filesystem(folder)
-    filesystem.create_dir(path, recursive=True)
+    system, path = filesystem(folder)
+    system.create_dir(path, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, path = _filesystem(folder)
+        system, path = filesystem(folder)
         words, part = None, TaskContext.get().partitionId()
         name, offsets, n_ids = f"part-{part:06d}-{uuid.uuid4().hex}", [0], 0
-        with filesystem.open_output_stream(f"{path}/{name}.rec", buffer_size=1 << 20) as out:
+        with system.open_output_stream(f"{path}/{name}.rec", buffer_size=1 << 20) as out:
             for batch in batches:
                 for rows in pieces(batch):
                     words = words or Words(tokenizer)
@@ -154,7 +148,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
                     for record in frame([serialise(i, x) for i, x in zip(rows.column(0).to_pylist(), ids)]):
                         offsets.append(offsets[-1] + len(record))
                         out.write(record)
-        with filesystem.open_output_stream(f"{path}/{name}.idx") as out:
+        with system.open_output_stream(f"{path}/{name}.idx") as out:
             out.write(np.array(offsets, "<u8").tobytes())
         if len(offsets) > 1:
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_records": [len(offsets) - 1], "n_ids": [n_ids]})
@@ -164,16 +158,16 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
     return stored(rows.mapInArrow(run, "part long, file string, n_records long, n_ids long"))
 
 
-def read_index(filesystem: pafs.FileSystem, path: str, file: str) -> np.ndarray:
-    with filesystem.open_input_stream(f"{path}/{file}.idx") as f:
+def read_index(system: pafs.FileSystem, path: str, file: str) -> np.ndarray:
+    with system.open_input_stream(f"{path}/{file}.idx") as f:
         return np.frombuffer(f.read(), "<u8").astype(np.int64)
 
 
 def read_some(folder: str, file: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]]:
     """The records of these numbers, in this order, found by the index: for shuffled reads."""
-    filesystem, path = _filesystem(folder)
-    offsets = read_index(filesystem, path, file)
-    with filesystem.open_input_file(f"{path}/{file}.rec") as f:
+    system, path = filesystem(folder)
+    offsets = read_index(system, path, file)
+    with system.open_input_file(f"{path}/{file}.rec") as f:
         return [parse(p) for p in unframe([f.read_at(int(offsets[n + 1] - offsets[n]), int(offsets[n])) for n in numbers])]
 
 
@@ -183,11 +177,11 @@ def read_records(spark: SparkSession, manifest: DataFrame, folder: str, at_once:
     start: ids of all records before it, in the order of the manifest. The running sum over files has a row per file.
     Lengths and checksums are verified; damage is an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, path = _filesystem(folder)
+        system, path = filesystem(folder)
         for batch in batches:
             for file, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                offsets = read_index(filesystem, path, file)
-                with filesystem.open_input_file(f"{path}/{file}.rec") as f:
+                offsets = read_index(system, path, file)
+                with system.open_input_file(f"{path}/{file}.rec") as f:
                     for at in range(0, len(offsets) - 1, at_once):
                         part = offsets[at : at + at_once + 1]
                         block, places = f.read_at(int(part[-1] - part[0]), int(part[0])), (part - part[0]).tolist()
