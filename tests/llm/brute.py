@@ -93,3 +93,30 @@ def entropy_spans(text):
 def joined(spans):
     order = [*BASE, *CLASSES]
     return ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], order.index(s[2]), s[1])))
+
+
+def without_repeats(rows, depth=20):
+    """(doc_id, text) rows, identifiers distinct, null last: doc_id to (words, kept words)."""
+    seen, found = set(), {}
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        w = words(text)
+        covered = [False] * len(w)
+        for p in range(len(w) - depth + 1):
+            key = tuple(w[p : p + depth])
+            if key in seen:
+                covered[p : p + depth] = [True] * depth
+            seen.add(key)
+        found[i] = (w, [x for x, c in zip(w, covered) if not c])
+    return found
+
+
+def best_path(text, pieces, unknown):
+    """The best sum of scores over all ways to cut a text, by trying every piece at every place."""
+    best = [0.0] + [float("-inf")] * len(text)
+    for i in range(len(text)):
+        for j in range(i + 1, len(text) + 1):
+            if text[i:j] in pieces:
+                best[j] = max(best[j], best[i] + pieces[text[i:j]])
+        if text[i] not in pieces:
+            best[i + 1] = max(best[i + 1], best[i] + unknown)
+    return best[-1]

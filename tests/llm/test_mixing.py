@@ -1,0 +1,71 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+import brute
+from ferry.llm import mixing
+
+
+def test_targets_stop_at_the_cap_and_share_the_excess():
+    sizes = {"a": 100, "b": 1000, "c": 10, None: 500}
+    found = mixing.targets(sizes, mixing.contract_weights(["a", "b", "c", None]))
+    assert found == {"a": 200, "c": 20, None: 1000, "b": pytest.approx(1.5 * 1610 - 1220)}
+    assert mixing.targets({}, {}) == {} and mixing.targets({"a": 0}, {"a": 1.0}) == {"a": 0.0}
+
+
+def test_flow_takes_fresh_text_before_repeats():
+    tokens = {("a",): 100, ("b",): 100, ("a", "b"): 50}
+    assert mixing.route(tokens, {"a": 120, "b": 130}) == {("a",): 100, ("b",): 100, ("a", "b"): 50}
+    assert sum(mixing.route(tokens, {"a": 1000, "b": 0}).values()) == 300
+    taken = mixing.route({("a",): 10, ("a", "b"): 10}, {"a": 10, "b": 10})
+    assert taken == {("a",): 10, ("a", "b"): 10}  # the shared text goes to the source that has no other
+
+
+def check(rows, docs, cap=2):
+    sources = {r.doc_id: s for r, s in zip(docs, [d.source for d in docs])}
+    by, target, biggest = defaultdict(int), {}, defaultdict(int)
+    for d in docs:
+        n = len(brute.words(d.text))
+        biggest[d.source] = max(biggest[d.source], n)
+    for r in rows:
+        assert 0 <= r.taken <= cap * r["size"] and (not r["size"] or r.taken % r["size"] == 0)
+        by[sources[r.doc_id]] += r.taken
+        target[sources[r.doc_id]] = r.target
+    for s in target:
+        assert abs(by[s] - target[s]) <= biggest[s] / 2 + 1, s
+    return by
+
+
+def test_report(spark):
+    rng = random.Random(2)
+    texts = [" ".join(["w"] * rng.randrange(0, 200)) for _ in range(400)] + [None, "", brute.LONG]
+    docs = brute.documents(spark, texts, sources=["s1"] * 6 + ["s2", "s3", "s10", None])
+    rows = mixing.mix_report(docs).collect()
+    assert {r.doc_id: r["size"] for r in rows} == {i: len(brute.words(t)) for i, t in enumerate(texts)}
+    assert sum({r.target: r.target for r in rows}.values()) == pytest.approx(1.5 * sum(r["size"] for r in rows))
+    check(rows, docs.collect())
+    again = mixing.mix_report(docs.repartition(5)).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    copies = defaultdict(int)
+    for r in mixing.mixed(docs).collect():
+        copies[r.doc_id] += 1
+    assert {r.doc_id: r.taken // r["size"] for r in rows if r.taken} == {i: n for i, n in copies.items() if len(brute.words(texts[i]))}
+
+
+def test_awkward_rows(spark):
+    for ids in (None, [None] * 3 + [7, 7] + list(range(10, 26))):
+        docs = brute.documents(spark, ids=ids)
+        assert mixing.mix_report(docs).count() == len(brute.TEXTS)
+        assert mixing.mixed(docs).columns == docs.columns
+    assert mixing.mix_report(brute.documents(spark, [])).count() == 0
+    assert mixing.mixed(brute.documents(spark, [])).count() == 0
+    assert [r.taken for r in mixing.mix_report(brute.documents(spark, [None, ""])).collect()] == [0, 0]
+
+
+def test_overlapping_sources(spark):
+    rows = [(i, "w " * 10, ["a"] if i % 3 == 0 else ["b", "a"] if i % 3 == 1 else ["b", "b"]) for i in range(90)] + [(90, "w w", []), (91, "w", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    found = {r.doc_id: r.taken for r in mixing.mix_report(docs).collect()}
+    assert len(found) == 92 and found[90] == found[91] == 0
+    assert sum(found.values()) >= 0.9 * 900

@@ -1,0 +1,70 @@
+"""Every stage of the pipeline, and every query, over the small tables against a plain version."""
+
+import hashlib
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+import brute
+import corpus_pipeline
+from conftest import DATA
+from ferry.llm import mixing, queries
+from ferry.llm.common import stored, table
+from oracle import compare, connect
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{DATA}/documents.parquet'").fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_against_sql(spark, name):
+    assert compare(spark, connect(DATA), name, queries.QUERIES[name], queries.ORACLES[name], DATA) == ""
+
+
+def test_stages(spark, rows):
+    """Each stage on what the one before it kept."""
+    docs, columns = table(spark, DATA, "documents"), ["doc_id", "text", "lang", "source", "n_chars"]
+    before = dict(rows)
+    for (name, stage), step in zip(corpus_pipeline.STAGES, range(5)):
+        out = stored(stage(spark, docs, DATA))
+        kept = [r.doc_id for r in out.select("doc_id").collect()]
+        if step < 4:
+            assert out.columns == columns
+            assert all(r.text == rows[r.doc_id] for r in out.collect())
+        if step == 0:
+            quality = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{DATA}/labels.parquet'").fetchall())
+            assert all(i in set(kept) for i, q in quality.items() if q == 1)
+            assert sum(i in set(kept) for i, q in quality.items() if q == 0) <= 0.2 * sum(q == 0 for q in quality.values())
+        elif step == 1:
+            assert sorted(kept) == sorted(r[0] for r in brute.exact(list(before.items())) if r[3])
+        elif step == 2:
+            ids = sorted(before)
+            roots = brute.groups([brute.simhash(before[i]) for i in ids])
+            assert sorted(kept) == sorted({ids[r] for r in roots})
+        elif step == 3:
+            report = mixing.mix_report(docs).collect()
+            assert Counter(kept) == {r.doc_id: r.taken // r["size"] for r in report if r.taken}
+        else:
+            assert len(kept) == docs.count() and all(r.round_trip for r in out.collect())
+        docs, before = out, {i: before[i] for i in set(kept)}
+
+
+def test_words_that_stay(spark, rows):
+    truth = brute.without_repeats(list(rows.items()))
+    for r in queries.op9_repeats(spark, DATA).collect():
+        words, kept = truth[r.doc_id]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (len(words), len(words) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest())
+
+
+def test_secrets_and_fingerprints(spark, rows):
+    for r in queries.op1_secrets(spark, DATA).collect():
+        assert r.spans == brute.joined(brute.base_spans(rows[r.doc_id]) + brute.entropy_spans(rows[r.doc_id]))
+    assert all(r.fingerprint == f"{brute.simhash(rows[r.doc_id]):016x}" for r in queries.op2_simhash(spark, DATA).collect())
+
+
+def test_all_are_registered():
+    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {n.split("_")[0] for n in entry.queries() if n.startswith(("op", "pipeline"))}

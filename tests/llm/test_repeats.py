@@ -1,0 +1,62 @@
+import random
+
+import numpy as np
+import pytest
+
+import brute
+from ferry.llm import repeats
+
+
+def found(df):
+    return {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in df.collect()}
+
+
+def expected(rows):
+    return {i: (len(w), len(w) - len(k), " ".join(k)) for i, (w, k) in brute.without_repeats(rows).items()}
+
+
+def corpus():
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(60)}"
+    passages = [[word() for _ in range(rng.randrange(15, 70))] for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        parts = [[word() for _ in range(rng.randrange(0, 40))], rng.choice(passages), [word() for _ in range(rng.randrange(0, 40))], rng.choice(passages)]
+        texts.append(" ".join(w for p in parts for w in p))
+    texts += [texts[3]] * 10 + [" ".join(["same"] * 300), " ".join(["same"] * 25), " ".join(["x", "y"] * 60), "w1 w2 w3"] * 2
+    return texts
+
+
+@pytest.mark.parametrize("group, batch_bytes", [(1 << 21, 4 << 20), (40, 3000)])
+def test_against_brute_force(spark, group, batch_bytes):
+    """Also with batches of a few documents and groups so small that prefixes grow to their full length."""
+    rows = list(enumerate(corpus()))
+    docs = brute.documents(spark, [t for _, t in rows])
+    assert found(repeats.without_repeats(docs, group=group, batch_bytes=batch_bytes)) == expected(rows)
+
+
+def test_awkward_rows(spark):
+    assert found(repeats.without_repeats(brute.documents(spark))) == expected(list(enumerate(brute.TEXTS)))
+    assert repeats.without_repeats(brute.documents(spark, [])).count() == 0
+    assert found(repeats.without_repeats(brute.documents(spark, [None, ""]))) == {0: (0, 0, ""), 1: (0, 0, "")}
+
+
+def test_null_and_repeated_identifiers(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = repeats.without_repeats(brute.documents(spark, [text, text, text + " a", text + " b", "b"], ids=[None, 4, 4, 9, None])).collect()
+    assert sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in rows)[:2] == [(-1, 1, 0), (-1, 50, 50)]
+    four = sorted((r.n_words, r.n_removed) for r in rows if r.doc_id == 4)
+    assert four in ([(50, 0), (51, 50)], [(50, 50), (51, 0)]) and [r.n_removed for r in rows if r.doc_id == 9] == [50]
+
+
+def test_spans_name_what_is_removed(spark):
+    for r in repeats.without_repeats(brute.documents(spark, corpus())).collect():
+        assert sum(s.end - s.start for s in r.spans) == r.n_removed and all(s.end - s.start >= 20 for s in r.spans)
+
+
+def test_numbers_survive_packing():
+    rng = np.random.default_rng(0)
+    for high in (2, 2**20, 2**59):
+        values = np.unique(rng.integers(0, high, 500, np.uint64))
+        assert (repeats.unpack(repeats.pack(values)) == values).all()
+        assert (repeats.unplanes(repeats.planes(values, 8), 8) == values).all()
