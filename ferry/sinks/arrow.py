@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import threading
+import time
 import uuid
 import weakref
 from collections.abc import Iterator
@@ -20,21 +22,67 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-STAGING = "_temporary"
+MANIFEST = "_manifest"
 COMPRESSIONS = ("", "none", "snappy", "gzip", "lz4", "zstd")
+#: Where Spark puts paths without a scheme; `register` sets it.
+DEFAULT = "file:///"
+
+_SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):")
+_OWN = re.compile(r"^part-\d{5}-([0-9a-f]{32})-")
+
+
+def _filesystem(path: str, options: dict | None = None) -> tuple[pa.fs.FileSystem, str]:
+    """Filesystem and path of an address. A plain path is on the filesystem that Spark takes for one; credentials come from
+    the options that Spark's own connectors read. A scheme that pyarrow cannot reach is an error."""
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    scheme = _SCHEME.match(path)
+    if not scheme:
+        if DEFAULT.startswith("file:"):
+            return pa.fs.LocalFileSystem(), os.path.abspath(path)
+        if not path.startswith("/"):
+            raise ValueError(f"a path without a scheme must be absolute: {path!r}")
+        return _filesystem(DEFAULT.rstrip("/") + path, options)
+    kind, parts = scheme[1].lower(), urlsplit(path)
+    if kind == "file":
+        return pa.fs.LocalFileSystem(), os.path.abspath(parts.path)
+    if kind in ("hdfs", "gs"):
+        return pa.fs.FileSystem.from_uri(path)
+    if kind in ("s3", "s3a", "s3n"):
+        names = {"access_key": "access.key", "secret_key": "secret.key", "session_token": "session.token",
+                 "endpoint_override": "endpoint", "region": "endpoint.region"}
+        settings = {k: options[f"fs.s3a.{n}"] for k, n in names.items() if f"fs.s3a.{n}" in options}
+        return pa.fs.S3FileSystem(**settings), parts.netloc + parts.path
+    if kind in ("abfs", "abfss"):
+        container, _, host = parts.netloc.partition("@")
+        token, key = (options.get(f"fs.azure.{n}.{host}".lower()) for n in ("sas.fixed.token", "account.key"))
+        settings = {"sas_token": token} if token else {"account_key": key} if key else {}
+        return pa.fs.AzureFileSystem(host.partition(".")[0], **settings), container + parts.path
+    raise ValueError(f"Arrow files cannot be written to or read from {scheme[0]} addresses")
 
 
-def _filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
-    if path.startswith("file:"):
-        path = urlsplit(path).path
-    if "://" in path:
-        return pa.fs.FileSystem.from_uri(path)
-    return pa.fs.LocalFileSystem(), os.path.abspath(path)
+def _names(fs: pa.fs.FileSystem, root: str) -> list[str]:
+    found = fs.get_file_info(pa.fs.FileSelector(root, recursive=False, allow_not_found=True))
+    return sorted(f.base_name for f in found if f.is_file)
 
 
 def _data_files(fs: pa.fs.FileSystem, root: str) -> list[str]:
-    found = fs.get_file_info(pa.fs.FileSelector(root, recursive=False))
-    return sorted(f.path for f in found if f.is_file and not f.base_name.startswith(("_", ".")))
+    """The files of the last write that was finished, by its manifest; in a folder without one, those that are not
+    left over from an unfinished write."""
+    names = _names(fs, root)
+    manifest = _manifest(fs, root, names)
+    if manifest is None:
+        manifest = [n for n in names if not n.startswith(("_", ".")) and not _OWN.match(n)]
+    return [f"{root}/{n}" for n in sorted(manifest)]
+
+
+def _manifest(fs: pa.fs.FileSystem, root: str, names: list[str]) -> list[str] | None:
+    for name in sorted((n for n in names if n.startswith(MANIFEST)), reverse=True):
+        with fs.open_input_stream(f"{root}/{name}") as f:
+            try:
+                return json.loads(f.read())["files"]
+            except ValueError:
+                continue  # cut off while it was written: the one before counts
+    return None
 
 
 @dataclass
@@ -44,7 +92,7 @@ class Written(WriterCommitMessage):
 
 class ArrowSink(DataSourceArrowWriter):
     def __init__(self, options: dict, schema: pa.Schema, overwrite: bool):
-        self.path = options["path"]
+        self.path, self.options = options["path"], options
         self.schema = schema
         self.overwrite = overwrite
         self.compression = options.get("compression", "").lower()
@@ -53,14 +101,13 @@ class ArrowSink(DataSourceArrowWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
-        """Files of one task attempt, written under a name of their own in the staging folder."""
+        """Files of one task attempt, under names of its own. They count once a manifest lists them."""
         from pyspark import TaskContext
 
-        fs, root = _filesystem(self.path)
+        fs, root = _filesystem(self.path, self.options)
         context = TaskContext.get()
         stem = f"part-{context.partitionId():05d}-{self.job}-{context.taskAttemptId()}"
-        staging = f"{root}/{STAGING}/{self.job}"
-        fs.create_dir(staging, recursive=True)
+        fs.create_dir(root, recursive=True)
         files: list[str] = []
         stream = None
         try:
@@ -68,7 +115,7 @@ class ArrowSink(DataSourceArrowWriter):
                 at = 0
                 while at < batch.num_rows:
                     if stream is None:
-                        stream = self._open(fs, staging, f"{stem}-{len(files):03d}", files)
+                        stream = self._open(fs, root, f"{stem}-{len(files):03d}", files)
                     take = batch.num_rows - at
                     if self.max_rows:
                         take = min(take, self.max_rows - stream.rows)
@@ -78,41 +125,52 @@ class ArrowSink(DataSourceArrowWriter):
                         stream.close()
                         stream = None
             if not files and context.partitionId() == 0:
-                stream = self._open(fs, staging, f"{stem}-000", files)
+                stream = self._open(fs, root, f"{stem}-000", files)
+        except BaseException:
+            self._delete(fs, root, files)
+            raise
         finally:
             if stream is not None:
                 stream.close()
         return Written(files)
 
-    def _open(self, fs: pa.fs.FileSystem, staging: str, stem: str, files: list) -> _Stream:
+    def _open(self, fs: pa.fs.FileSystem, root: str, stem: str, files: list) -> _Stream:
         name = stem + ".arrow" + (".gz" if self.compression == "gzip" else "")
         files.append(name)
-        return _Stream(fs.open_output_stream(f"{staging}/{name}", compression=None), self.schema, self.compression)
+        return _Stream(fs.open_output_stream(f"{root}/{name}", compression=None), self.schema, self.compression)
 
     def _typed(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = [c if c.type == f.type else c.cast(f.type) for c, f in zip(batch.columns, self.schema)]
         return pa.RecordBatch.from_arrays(columns, schema=self.schema)
 
     def commit(self, messages: list) -> None:
-        """Replace old files, then move the files of the attempts that counted into place."""
-        fs, root = _filesystem(self.path)
-        if self.overwrite:
-            for old in _data_files(fs, root):
-                fs.delete_file(old)
-        for message in messages:
-            for name in message.files if message else ():
-                fs.move(f"{root}/{STAGING}/{self.job}/{name}", f"{root}/{name}")
-        self._drop_staging(fs, root)
+        """List the files of the attempts that counted in a new manifest; nothing is moved. Until it is complete the
+        old one holds, and its files are only deleted after that."""
+        fs, root = _filesystem(self.path, self.options)
+        fs.create_dir(root, recursive=True)
+        names = _names(fs, root)
+        new = [name for message in messages if message for name in message.files]
+        kept = [] if self.overwrite else [f.rsplit("/", 1)[1] for f in _data_files(fs, root)]
+        manifest = f"{MANIFEST}-{time.time_ns():020d}-{self.job}"
+        with fs.open_output_stream(f"{root}/{manifest}") as f:
+            f.write(json.dumps({"files": kept + new}).encode())
+        live = {*kept, *new, manifest}
+        self._delete(fs, root, [n for n in names if n not in live and (self.overwrite or n.startswith(MANIFEST) or self.job in n)])
         with fs.open_output_stream(f"{root}/_SUCCESS"):
             pass
 
     def abort(self, messages: list) -> None:
-        fs, root = _filesystem(self.path)
-        self._drop_staging(fs, root)
+        fs, root = _filesystem(self.path, self.options)
+        self._delete(fs, root, [n for n in _names(fs, root) if self.job in n])
 
-    def _drop_staging(self, fs: pa.fs.FileSystem, root: str) -> None:
-        if fs.get_file_info(f"{root}/{STAGING}/{self.job}").type == pa.fs.FileType.Directory:
-            fs.delete_dir(f"{root}/{STAGING}/{self.job}")
+    @staticmethod
+    def _delete(fs: pa.fs.FileSystem, root: str, names: list[str]) -> None:
+        """What cannot be deleted stays and does not count."""
+        for name in names:
+            try:
+                fs.delete_file(f"{root}/{name}")
+            except OSError:
+                pass
 
 
 class _Stream:
@@ -141,14 +199,14 @@ class StreamFile(InputPartition):
 
 class ArrowFiles(DataSourceReader):
     def __init__(self, options: dict, schema):
-        self.path = options["path"]
+        self.path, self.options = options["path"], options
         self.names = schema.names
 
     def partitions(self) -> list[StreamFile]:
-        return [StreamFile(p) for p in _data_files(*_filesystem(self.path))]
+        return [StreamFile(p) for p in _data_files(*_filesystem(self.path, self.options))]
 
     def read(self, partition: StreamFile) -> Iterator[pa.RecordBatch]:
-        fs, _ = _filesystem(self.path)
+        fs, _ = _filesystem(self.path, self.options)
         with _open_stream(fs, partition.path) as stream:
             for batch in stream:
                 columns = [_plain(batch.column(n)) for n in self.names]
@@ -173,7 +231,7 @@ class ArrowStreams(DataSource):
     def schema(self):
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        fs, root = _filesystem(self.options["path"])
+        fs, root = _filesystem(self.options["path"], dict(self.options))
         files = _data_files(fs, root)
         if not files:
             raise FileNotFoundError(f"no Arrow streams in {self.options['path']}")
@@ -220,8 +278,10 @@ def register(spark) -> None:
     """
     from pyspark import cloudpickle
 
+    global DEFAULT
     with _registering:
         if spark not in _registered:
+            DEFAULT = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
             cloudpickle.register_pickle_by_value(sys.modules[__name__])
             spark.dataSource.register(ArrowStreams)
             _registered.add(spark)

@@ -97,7 +97,7 @@ def test_arrow_stream(spark, typed, tmp_path):
     assert [r["i"] for r in rows] == list(range(5)) and rows[3]["u"] == uuid.UUID("a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a13").bytes
     assert rows[0]["l"] == '["a",null]' and rows[0]["nothing"] is None and int(rows[0]["ts"].timestamp()) > 0
     assert rows[0]["tz"].timestamp() * 1e6 == 1728408120000000
-    assert not (tmp_path / "a" / arrow.STAGING / "x").exists() and (tmp_path / "a" / "_SUCCESS").exists()
+    assert (tmp_path / "a" / "_SUCCESS").exists() and len(list((tmp_path / "a").glob("_manifest*"))) == 1
 
 
 def test_arrow_round_trip_and_overwrite(spark, tmp_path):
@@ -142,14 +142,69 @@ def test_arrow_survives_a_failed_attempt(spark, tmp_path):
     assert sorted(rows) == list(range(30000))
 
 
-def test_arrow_failure_leaves_no_files(spark, tmp_path):
+def test_arrow_failure_leaves_the_old_rows(spark, tmp_path):
+    """A task that is killed while the job is aborted may leave a file; it is never read, and the next write deletes it."""
     path = tmp_path / "a"
     write(spark.range(10), "arrow", Target(str(path)))
     before = files(path)
     bad = spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('late'), id) AS id").select(F.col("id").cast("long"))
     with pytest.raises(Exception, match="late"):
         write(bad, "arrow", Target(str(path)))
-    assert files(path) == before and not list((path / arrow.STAGING).glob("*"))
+    arrow.register(spark)
+    assert set(files(path)) >= set(before) and spark.read.format("ferry_arrow").load(str(path)).count() == 10
+    write(spark.range(3), "arrow", Target(str(path)))
+    assert sum(pa.ipc.open_stream(p).read_all().num_rows for p in files(path)) == 3
+
+
+def test_arrow_commit_that_dies_half_way(spark, tmp_path, monkeypatch):
+    """The rows of the write before it stay readable until the new manifest is whole."""
+    path = str(tmp_path / "a")
+    write(spark.range(10), "arrow", Target(path))
+    arrow.register(spark)
+
+    def ids():
+        return sorted(r.id for r in spark.read.format("ferry_arrow").load(path).collect())
+
+    sink = arrow.ArrowSink({"path": path}, arrow.arrow_schema(spark.range(1).schema), True)
+    name = f"part-00000-{sink.job}-0-000.arrow"
+    with pa.OSFile(f"{path}/{name}", "wb") as f, pa.ipc.new_stream(f, sink.schema) as stream:
+        stream.write_batch(pa.record_batch([pa.array([77], pa.int64())], schema=sink.schema))
+    assert ids() == list(range(10))  # written, not yet committed
+    (tmp_path / "a" / f"_manifest-{'9' * 20}-{sink.job}").write_text('{"files": ["par')
+    assert ids() == list(range(10))  # died while it wrote the manifest
+    (tmp_path / "a" / f"_manifest-{'9' * 20}-{sink.job}").unlink()
+    monkeypatch.setattr(arrow.ArrowSink, "_delete", staticmethod(lambda *args: None))
+    sink.commit([arrow.Written([name]), None])
+    assert ids() == [77] and len(files(tmp_path / "a")) > 1  # died before it deleted the old files
+    monkeypatch.undo()
+    sink = arrow.ArrowSink({"path": path}, sink.schema, True)
+    sink.abort([])
+    assert ids() == [77]
+
+
+def test_arrow_unfinished_first_write_is_not_read(spark, tmp_path):
+    (tmp_path / f"part-00000-{'a' * 32}-0-000.arrow").write_bytes(b"half")
+    arrow.register(spark)
+    with pytest.raises(Exception, match="no Arrow streams"):
+        spark.read.format("ferry_arrow").load(str(tmp_path)).count()
+
+
+def test_arrow_addresses(monkeypatch):
+    for address in ("dbfs:/x", "wasb://box@acct/x", "ftp://h/x"):
+        with pytest.raises(ValueError, match="cannot be written"):
+            arrow._filesystem(address)
+    assert arrow._filesystem("file:/tmp/x")[1] == arrow._filesystem("file:///tmp/x")[1] == arrow._filesystem("/tmp/x")[1] == "/tmp/x"
+    seen = []
+    monkeypatch.setattr(arrow.pa.fs, "S3FileSystem", lambda **k: seen.append(k))
+    assert arrow._filesystem("s3a://bucket/a/b", {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s"})[1] == "bucket/a/b"
+    monkeypatch.setattr(arrow.pa.fs, "AzureFileSystem", lambda account, **k: seen.append((account, k)), raising=False)
+    options = {"fs.azure.sas.fixed.token.acct.dfs.core.windows.net": "tok"}
+    assert arrow._filesystem("abfss://box@acct.dfs.core.windows.net/a", options)[1] == "box/a"
+    monkeypatch.setattr(arrow, "DEFAULT", "s3a://lake")
+    assert arrow._filesystem("/data/out")[1] == "lake/data/out"
+    with pytest.raises(ValueError, match="absolute"):
+        arrow._filesystem("data/out")
+    assert seen == [{"access_key": "k", "secret_key": "s"}, ("acct", {"sas_token": "tok"}), {}]
 
 
 def test_csv_is_read_by_others(spark, tmp_path):
