@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ferry.operators.columns import columns_of, conform, override_columns
 from ferry.operators.lines import csv_lines, jsonl_lines
 from ferry.plans.report import MoveError, MoveReport, report_frame
-from ferry.plans.spec import MoveSpec, make_spec, make_specs, select_tables, with_environment
+from ferry.plans.spec import (
+    MoveSpec, make_spec, make_specs, merge, select_tables, user_variables, with_environment, with_tokens,
+)
 from ferry.sinks import Target, hadoop_path, output_path, render_name, write, written_bytes
 from ferry.sources import dialect_of, keeps_uuid_order, read_source
 
 
 def plan(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "table:") -> DataFrame:
     """The rows of a move in their output types, not yet written."""
-    spec = make_spec(spec).check()
+    spec = with_tokens(make_spec(spec).check())
     df = read_source(spark, source, spec)
-    if spec.writers:
+    if spec.writers and not spec.partition_by:  # rows are dealt by partition_by anyway
         df = df.repartition(spec.writers)
     dialect = dialect_of(source)
     columns = columns_of(df, dialect)
@@ -32,7 +34,7 @@ def plan(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "tab
 
 def preview(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "table:", rows: int = 20) -> DataFrame:
     """The first rendered lines of a csv or jsonl move."""
-    spec = make_spec(spec)
+    spec = with_environment(make_spec(spec))
     if spec.format.lower() not in ("csv", "jsonl"):
         raise ValueError("preview is for csv and jsonl")
     df = plan(spark, spec, source).limit(rows)
@@ -42,8 +44,9 @@ def preview(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "
 def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveReport:
     report = MoveReport(source, spec.sql or f"SELECT * FROM {spec.stream_name}")
     try:
-        spec.check()
-        name = render_name(spec.filename, spec.stream_name, spec.format, spec.compression)
+        spec = with_tokens(spec.check())
+        report.sql = spec.query()
+        name = render_name(spec.filename, spec.stream_name, spec.format, spec.compression, variables=user_variables())
         path, options = hadoop_path(output_path(dest, name))
         report = MoveReport(source, report.sql, path)
         if spec.on_error == "fail" and spark.conf.get("spark.sql.ansi.enabled") != "true":
@@ -54,10 +57,15 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
             path, spec.compression, spec.batch_size, spec.null_value, spec.uuid_as, spec.partition_by, options
         )
         write(df, spec.format, target, seen)
-        report.rows, report.bytes = seen.get.get("rows", 0), written_bytes(df, path)
+        report.rows = seen.get.get("rows", 0)
     except Exception as e:
         report.finish(False, str(e))
-        raise MoveError(f"move of {spec.stream_name or 'query'} failed: {e}", [report]) from e
+        raise MoveError(f"move of {spec.stream_name or 'query'} failed: {report.error}", [report]) from e
+    try:
+        report.bytes = written_bytes(df, path, options)
+    except Exception as e:  # the rows have landed
+        report.bytes = None
+        return report.finish(True, f"size unknown: {e}")
     return report.finish(True)
 
 
@@ -69,10 +77,13 @@ def _ends(source: str, dest: str) -> tuple[str, str]:
     return source, dest
 
 
-def move(spark: SparkSession, spec: MoveSpec | Mapping | str, dest: str = "", source: str = "") -> DataFrame:
-    """Run one move; the returned row is its report. A failed move raises MoveError."""
+def move(
+    spark: SparkSession, spec: MoveSpec | Mapping | str, dest: str = "", source: str = "", flags: MoveSpec | Mapping | None = None
+) -> DataFrame:
+    """Run one move, with the settings of `flags` over its own; the returned row is its report. A failed move raises MoveError."""
     source, dest = _ends(source, dest)
-    return report_frame(spark, [_run(spark, with_environment(make_spec(spec)), source, dest)])
+    spec = merge(make_spec(spec), make_spec(flags or {}))
+    return report_frame(spark, [_run(spark, with_environment(spec), source, dest)])
 
 
 def move_many(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import time
-from dataclasses import astuple, dataclass, fields
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,13 +20,18 @@ def redact(url: str) -> str:
     return re.sub(r"[?][^#]*", "", url)
 
 
+def redact_text(text: str) -> str:
+    """Text in which every URL has lost its user information, query and `;` settings."""
+    return re.sub(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^\s'\"<>]+", lambda m: redact(m[0]).split(";")[0], text)
+
+
 @dataclass
 class MoveReport:
     source: str
     sql: str
     path: str = ""
     rows: int = 0
-    bytes: int = 0
+    bytes: int | None = 0
     elapsed_ms: int = 0
     duration: str = ""
     success: bool = False
@@ -39,7 +44,7 @@ class MoveReport:
     def finish(self, success: bool, error: str = "") -> MoveReport:
         seconds = time.monotonic() - self._start
         self.elapsed_ms, self.duration = int(seconds * 1000), f"{seconds:.3f}s"
-        self.success, self.error = success, error
+        self.success, self.error = success, redact_text(error)
         return self
 
 
@@ -54,5 +59,3 @@ class MoveError(RuntimeError):
 def report_frame(spark: SparkSession, reports: list[MoveReport]) -> DataFrame:
     return spark.createDataFrame([astuple(r) for r in reports], SCHEMA)
 
-
-FIELDS = [f.name for f in fields(MoveReport)]

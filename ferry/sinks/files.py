@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
@@ -44,12 +44,18 @@ def _writer(df: DataFrame, target: Target, codecs: tuple[str, ...], default: str
 
 
 def write_csv(df: DataFrame, target: Target) -> None:
-    """CSV with a header in every file; NULL is the word `NULL`."""
+    """CSV with a header in every file; NULL is the word `NULL`.
+
+    With one data column an empty text is written as `""`: Spark's writer leaves out lines without a character.
+    """
+    single = len(df.columns) - len(target.partition_by) == 1
+    if single and not target.null_value:
+        raise ValueError("a single column needs a null_value: rows that are NULL would have no line")
     _writer(rendered(df, target.partition_by), target, TEXT_CODECS, "none").csv(
         target.path,
         header=True,
         nullValue=target.null_value,
-        emptyValue="",
+        emptyValue='""' if single else "",
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
@@ -109,6 +115,7 @@ def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = No
     if fmt.lower() not in WRITERS:
         raise ValueError(f"unsupported format: {fmt!r}")
     if target.partition_by:
+        target = replace(target, partition_by=tuple(_named(df, c) for c in target.partition_by))
         # Rows of one value go together, and Spark cuts a value that is far larger than the others.
         df = df.hint("rebalance", *map(quoted_name, target.partition_by))
     if seen is not None:
@@ -116,7 +123,17 @@ def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = No
     WRITERS[fmt.lower()](df, target)
 
 
-def written_bytes(df: DataFrame, path: str) -> int:
-    """Size of the landed files, from their listing: contents are not read."""
-    files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+def _named(df: DataFrame, name: str) -> str:
+    """A column's own spelling of a name given in any case, as Spark resolves it."""
+    if name in df.columns:
+        return name
+    found = [c for c in df.columns if c.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"partition_by names no column: {name!r}")
+    return found[0]
+
+
+def written_bytes(df: DataFrame, path: str, options: dict | None = None) -> int:
+    """Size of the landed files, from their listing: contents are not read. `options` carry the credentials of the target."""
+    files = df.sparkSession.read.format("binaryFile").options(**(options or {})).option("recursiveFileLookup", "true").load(path)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]

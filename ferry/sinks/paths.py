@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from datetime import date
 from urllib.parse import unquote, urlsplit
 
@@ -23,9 +24,12 @@ def extension(fmt: str, compression: str) -> str:
     return ending
 
 
-def render_name(template: str, stream_name: str, fmt: str, compression: str, today: date | None = None) -> str:
+def token_values(
+    stream_name: str, fmt: str, compression: str, today: date | None = None, variables: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """What the tokens stand for: the day, facts of the move, and `.NAME` for every variable."""
     today = today or date.today()
-    values = {
+    return {
         "YYYY": f"{today:%Y}",
         "MM": f"{today:%m}",
         "DD": f"{today:%d}",
@@ -33,7 +37,17 @@ def render_name(template: str, stream_name: str, fmt: str, compression: str, tod
         "format": fmt,
         "compression": compression,
         "ext": extension(fmt, compression),
-    }
+    } | {f".{k}": v for k, v in (variables or {}).items()}
+
+
+def render_name(
+    template: str, stream_name: str, fmt: str, compression: str, today: date | None = None, variables: Mapping[str, str] | None = None
+) -> str:
+    return render_tokens(template, token_values(stream_name, fmt, compression, today, variables))
+
+
+def render_tokens(template: str, values: Mapping[str, str]) -> str:
+    """Plain substitution, once: tokens in what is put in stay as they are."""
 
     def one(m: re.Match) -> str:
         if m[1] not in values:

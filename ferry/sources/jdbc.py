@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from urllib.parse import parse_qsl, unquote, urlencode, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.sources.params import Param, inline_params, jdbc_literal
-from ferry.sources.splits import modulo_predicates, range_predicates
+from ferry.sources.splits import hash_predicates, modulo_predicates, range_predicates
 
 DRIVERS = {
     "postgres": "org.postgresql.Driver",
@@ -17,6 +18,41 @@ DRIVERS = {
 }
 
 
+# Remainder of a hash of a column: the databases' own hash functions; in Spark one that other engines have too.
+HASHES = {
+    "postgres": "MOD(ABS(CAST(HASHTEXT(CAST({} AS TEXT)) AS BIGINT)), {})",
+    "sqlserver": "(ABS(CAST(CHECKSUM({}) AS BIGINT)) % {})",
+    "snowflake": "MOD(ABS(HASH({})), {})",
+    "spark": "MOD(CAST(CONV(LEFT(MD5(CAST({} AS STRING)), 8), 16, 10) AS BIGINT), {})",
+}
+
+# Text of a query outside of quotes, brackets and comments.
+_QUIET = re.compile(r"'(?:''|[^'])*'|\"[^\"]*\"|\[[^\]]*\]|`[^`]*`|--[^\n]*|/\*.*?\*/|\$(\w*)\$.*?\$\1\$", re.S)
+
+
+def _blanked(sql: str) -> str:
+    """The query with quoted text and comments as blanks, of the same length."""
+    return _QUIET.sub(lambda m: " " * len(m[0]), sql)
+
+
+def limits_rows(sql: str) -> bool:
+    """Whether a query picks some of its rows by number: run anew for each split it may pick others."""
+    return bool(re.search(r"\b(LIMIT|TOP|OFFSET|FETCH\s+(FIRST|NEXT)|(TABLE)?SAMPLE)\b", _blanked(sql), re.I))
+
+
+def split_with(sql: str) -> tuple[str, str]:
+    """A query as its leading WITH clause and the rest; databases that take no WITH inside of brackets get it in front."""
+    text, depth = _blanked(sql), 0
+    if not re.match(r"\s*WITH\b", text, re.I):
+        return "", sql
+    for m in re.finditer(r"[()]|\bSELECT\b", text, re.I):
+        if m[0] in "()":
+            depth += 1 if m[0] == "(" else -1
+        elif depth == 0:
+            return sql[: m.start()].strip(), sql[m.start() :]
+    raise ValueError("a query that begins WITH has no SELECT")
+
+
 def keeps_uuid_order(url: str) -> bool:
     """SQL Server URL flag: leave the byte order of UUIDs alone."""
     return dict(parse_qsl(urlsplit(url).query)).get("KeepOriginalUUID") == "true"
@@ -59,8 +95,10 @@ def jdbc_options(url: str, fetch_size: int = 10000) -> dict[str, str]:
 def split_predicates(dialect: str, column: str, low: object, high: object, parts: int, by: str = "range") -> list[str]:
     if by == "modulo":
         return modulo_predicates(column, parts, "({} % {})" if dialect == "sqlserver" else "MOD({}, {})")
+    if by == "hash":
+        return hash_predicates(column, parts, HASHES[dialect])
     if by != "range":
-        raise ValueError(f"split must be range or modulo: {by!r}")
+        raise ValueError(f"split must be range, modulo or hash: {by!r}")
     return range_predicates(column, low, high, parts, lambda value: jdbc_literal(value, dialect))
 
 
@@ -77,14 +115,22 @@ def read_jdbc(
     """Result of a query, fetched by `partitions` connections side by side.
 
     `partition_column` may be any expression the database can compare (or, with `split="modulo"`,
-    an integer one). Choose one without a hot value: all rows of one value go to one reader.
+    an integer one, with `split="hash"` one of any type). Choose one without a hot value: all rows of one value go to one reader.
+    Each part is a query of its own and sees the table as it is when it runs: read from a snapshot or a table at rest.
     """
     dialect = urlsplit(url).scheme
     options = jdbc_options(url, fetch_size)
     text = inline_params(sql, params, dialect).strip().rstrip(";")
+    if dialect == "sqlserver":
+        before, text = split_with(text)
+        if before:
+            options["prepareQuery"] = before
+    text += "\n"  # ends a comment before the bracket that follows
     reader = spark.read.format("jdbc").options(**options)
     if not partition_column or partitions <= 1:
         return reader.option("query", text).load()
+    if limits_rows(text):
+        raise ValueError("a query that limits its rows cannot be split: each part would run it anew and may get other rows")
     table = f"({text}) ferry_source"
     low = high = None
     if split == "range":

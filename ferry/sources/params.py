@@ -99,6 +99,8 @@ def jdbc_literal(value: object, dialect: str) -> str:
         number = Decimal(str(value))
         if not number.is_finite():
             raise ValueError(f"not a finite number: {value}")
+        if isinstance(value, float):  # as a floating-point literal: written out, a large one has hundreds of digits
+            return f"{value!r}" if "e" in repr(value) else f"{value!r}E0"
         return f"{number:f}"
     if isinstance(value, (datetime, date)):
         return f"'{value.isoformat()}'"

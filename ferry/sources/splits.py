@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -20,14 +21,20 @@ def range_predicates(column: str, low: object, high: object, parts: int, literal
     if low is None or high is None or low >= high or parts == 1:
         return ["1 = 1"]
     if isinstance(low, str):
-        raise ValueError(f"text has no equal strides: split {column} by modulo of a number made from it")
-    if isinstance(low, (float, Decimal)):
-        low, high = int(low // 1), int(-(-high // 1))
-    width = high - low
+        raise ValueError(f"text has no equal strides: split {column} by hash, or by modulo of a number made from it")
+    if isinstance(low, float):
+        high = min(high, 1.7e308) if high == high else low  # NaN and infinity go to the last part
+        if not math.isfinite(low) or not low < high:
+            return ["1 = 1"]
+    width = None if isinstance(low, float) else high - low
     if isinstance(low, datetime):
         cuts = [low + timedelta(microseconds=(width // timedelta(microseconds=1)) * i // parts) for i in range(1, parts)]
     elif isinstance(low, date):
         cuts = [low + timedelta(days=width.days * i // parts) for i in range(1, parts)]
+    elif isinstance(low, float):
+        cuts = [low * (1 - i / parts) + high * (i / parts) for i in range(1, parts)]
+    elif isinstance(low, Decimal):
+        cuts = [low + width * i / parts for i in range(1, parts)]
     else:
         cuts = [low + width * i // parts for i in range(1, parts)]
     cuts = [literal(c) for c in sorted({c for c in cuts if c > low})]
@@ -45,6 +52,14 @@ def modulo_predicates(column: str, parts: int, remainder: str = "MOD({}, {})") -
     return [f"{rest} = {i}" + (f" OR {column} IS NULL" if i == 0 else "") for i in range(parts)]
 
 
+def hash_predicates(column: str, parts: int, hashed: str) -> list[str]:
+    """Conditions by the remainder of a hash, for keys of any type; `hashed` makes a number of 0 or more of the column. NULLs go to the first."""
+    if parts <= 1:
+        return ["1 = 1"]
+    rest = f"CASE WHEN {column} IS NULL THEN 0 ELSE {hashed.format(column, parts)} END"
+    return [f"({rest}) = {i}" for i in range(parts)]
+
+
 def bounds(df: DataFrame, column: str) -> tuple[object, object]:
     """Lowest and highest value, by one aggregate pass."""
     row = df.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
