@@ -44,7 +44,13 @@ def to_numeric(c: Column, dtype: T.DataType, target: T.DecimalType, on_error: st
     if on_error == "zero":
         out = F.when(c.isNull(), F.lit(None)).otherwise(F.coalesce(out, F.lit(0).cast(target)))
     if strict_scale and isinstance(dtype, T.StringType):
-        too_long = F.length(_fraction(F.trim(c))) > target.scale
+        text = F.lower(F.trim(c))
+        power = F.coalesce(F.split_part(text, F.lit("e"), F.lit(2)).try_cast("int"), F.lit(0))
+        digits = F.rtrim(F.split_part(text, F.lit("e"), F.lit(1)))
+        has_power = F.contains(text, F.lit("e"))
+        significant = F.when(has_power, F.length(F.regexp_replace(_fraction(digits), "0+$", ""))).otherwise(F.length(_fraction(digits)))
+        whole_zeros = F.when(has_power & (_fraction(digits).rlike("^0*$")), F.length(F.regexp_extract(F.split_part(digits, F.lit("."), F.lit(1)), "0*$", 0))).otherwise(0)
+        too_long = significant - power - whole_zeros > target.scale
         message = F.concat(F.lit(f"more than {target.scale} fraction digits: "), c)
         out = F.when(too_long, F.raise_error(message)).otherwise(out)
     return out

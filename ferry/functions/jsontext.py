@@ -69,9 +69,38 @@ def key_text(name: str) -> str:
     return text
 
 
+# Strings, numbers and what is between them.
+_JSON_PARTS = r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|[^"0-9-]+|-)'
+
+
 def compact_json(text: str) -> str:
-    """JSON text parsed and written again: no blanks, keys sorted. Text that is not JSON fails."""
-    return f"to_json(parse_json({text}))"
+    """JSON text parsed and written again: no blanks, keys sorted, of repeated keys the last. Text that is not JSON fails.
+
+    Spark writes numbers that came with an exponent like `100.0` or `1.0E21`; where one may be, parts of the text that are numbers
+    get the form of `json_float`. A number too large for a double fails: Spark would write the text "Infinity".
+    """
+    number = _json_number("p")
+    parts = f"transform(regexp_extract_all(t.made, r'{_JSON_PARTS}', 1), p -> CASE WHEN p RLIKE '^-?[0-9]' AND p RLIKE 'E|[.]' THEN {number} ELSE p END)"
+    rewritten = f"array_join({parts}, '')"
+    large = f"exists(regexp_extract_all(t.given, r'{_JSON_PARTS}', 1), p -> p RLIKE '^-?[0-9]' AND abs(try_cast(p AS double)) = double('Infinity'))"
+    failed = f"raise_error(concat('a number is too large: ', left(t.given, 200)))"
+    checked = f"CASE WHEN contains(t.made, 'Infinity\"') AND {large} THEN {failed} WHEN t.made RLIKE '[0-9]E|[.][0-9]' THEN {rewritten} ELSE t.made END"
+    return rarely(f"struct({text} AS given, to_json(parse_json({text})) AS made)", "t", checked)
+
+
+def _json_number(p: str) -> str:
+    """A number of Spark's JSON text without exponent from 1e-6 up to 1e21, and without zeros and a point at its end; other digits stay."""
+    power = f"try_cast(substring_index({p}, 'E', -1) AS int)"
+    signed = f"if(startswith({p}, '-'), '-', '')"
+    digits = f"trim(TRAILING '0' FROM translate(substring_index({p}, 'E', 1), '-.', ''))"
+    small = f"concat('0.', repeat('0', -{power} - 1), {digits})"
+    whole = f"rpad({digits}, {power} + 1, '0')"
+    large = f"if(length({digits}) > {power} + 1, concat(left({digits}, {power} + 1), '.', substr({digits}, {power} + 2)), {whole})"
+    mantissa = f"regexp_replace(substring_index({p}, 'E', 1), r'[.]0$', '')"
+    return f"""CASE WHEN NOT contains({p}, 'E') THEN regexp_replace(trim(TRAILING '0' FROM {p}), '[.]$', '')
+        WHEN {power} BETWEEN -6 AND -1 THEN concat({signed}, {small})
+        WHEN {power} BETWEEN 0 AND 20 THEN concat({signed}, {large})
+        ELSE concat({mantissa}, 'e', if({power} < 0, '', '+'), {power}) END"""
 
 
 def json_value(c: str, dtype: T.DataType, logical: str = "") -> str:

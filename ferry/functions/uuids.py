@@ -43,5 +43,6 @@ def fix_sqlserver_uuid(c: Column) -> Column:
 
     Values that are not 16 bytes long pass unchanged.
     """
-    swapped = F.regexp_replace(F.hex(c), "^" + "(..)" * 8 + "(.{16})$", "$4$3$2$1$6$5$8$7$9")
-    return F.unhex(swapped)
+    order = (4, 3, 2, 1, 6, 5, 8, 7)
+    swapped = F.concat(*(F.substring(c, at, 1) for at in order), F.substring(c, 9, 8))
+    return F.when(F.octet_length(c) == 16, swapped).otherwise(c)

@@ -108,7 +108,10 @@ def override_columns(columns: Iterable[Column], overrides: Iterable[Column | Map
                 changes = {"precision": size, "scale": scale, **changes}
             elif size:
                 changes.setdefault("length", size)
-        out.append(replace(column, **changes))
+        changed = replace(column, **changes)
+        if o.type and changed.type == "NUMERIC" and changed.precision <= 0:
+            raise ValueError(f"NUMERIC of column {column.name} needs a precision: its digits would be cut to those of a double")
+        out.append(changed)
     return out
 
 

@@ -9,10 +9,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+SETTINGS = {
+    # The default INT96 loses the logical type of Parquet timestamps.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # JSON objects may repeat a key; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
 def configure(spark: SparkSession) -> None:
-    """Parquet timestamps as microseconds (the default INT96 loses their logical type)."""
-    if spark.conf.get("spark.sql.parquet.outputTimestampType") != "TIMESTAMP_MICROS":
-        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -20,6 +28,6 @@ def work_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/ferry-{uuid.uuid4().hex}"
-    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="ferry-")
