@@ -6,6 +6,7 @@ import importlib
 import importlib.util
 import sys
 from collections.abc import Callable
+from datetime import date
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,6 +17,7 @@ from pyspark.sql.types import DoubleType, StringType  # noqa: E402
 
 import ferry  # noqa: E402
 from ferry import functions as fn  # noqa: E402
+from ferry.plans.spec import with_tokens  # noqa: E402
 from ferry.sinks import arrow, extension  # noqa: E402
 from ferry.session import configure, work_folder  # noqa: E402
 from ferry.sources import table_path  # noqa: E402
@@ -114,10 +116,47 @@ def jdbc_splits_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_sizes(df, split_predicates("sqlserver", "l_orderkey", None, None, 16, "modulo")).select("split", "rows")
 
 
-@_query("SELECT event_type, count(*) AS events, max(value) AS largest FROM events WHERE value > 10 GROUP BY event_type")
+FIRST_DAY = "2024-01-02"
+
+
+@_query(f"""SELECT l_orderkey, l_linenumber, 'EU' AS region, l_shipdate >= TIMESTAMP '1995-06-17 00:00:00' AS late, '{FIRST_DAY[:4]}' AS year
+            FROM lineitem""")
+def scan_sql_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens in the query, the stream name and a parameter, with a variable from the environment."""
+    _views(spark, sf_dir, "lineitem")
+    spec = ferry.make_spec({
+        "stream_name": "lineitem",
+        "sql": "SELECT l_orderkey, l_linenumber, '{{ .REGION }}' AS region, l_shipdate >= $1 AS late, '{{ YYYY }}' AS year FROM {{stream_name}}",
+        "params": {"P1": {"value": "{{ .CUT }}T00:00:00", "type": "TIMESTAMP"}},
+    })
+    variables = {"FERRY_VAR_REGION": "EU", "FERRY_VAR_CUT": "1995-06-17"}
+    return ferry.plan(spark, with_tokens(spec, variables, date.fromisoformat(FIRST_DAY)))
+
+
+@_query("""WITH ends AS (SELECT min(l_discount) AS low, max(l_discount) AS high FROM lineitem),
+                splits AS (SELECT CAST(i AS INTEGER) AS split, low * (1 - i / 16) + high * (i / 16) AS a,
+                                  low * (1 - (i + 1) / 16) + high * ((i + 1) / 16) AS b FROM ends, range(16) t(i))
+           SELECT split, count(l_discount) AS rows FROM splits LEFT JOIN lineitem
+               ON (l_discount >= a OR split = 0) AND (l_discount < b OR split = 15)
+           GROUP BY split""")
+def jdbc_splits_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _table(spark, sf_dir, "lineitem").select(F.col("l_discount").cast("double").alias("l_discount"))
+    low, high = bounds(df, "l_discount")
+    return split_sizes(df, split_predicates("postgres", "l_discount", low, high, 16)).select("split", "rows")
+
+
+@_query("""SELECT CAST(split AS INTEGER) AS split, count(text) AS rows FROM range(16) r(split) LEFT JOIN (
+               SELECT text, CASE WHEN text IS NULL THEN 0 ELSE CAST('0x' || left(md5(text), 8) AS BIGINT) % 16 END AS part FROM documents
+           ) ON part = split GROUP BY split""")
+def jdbc_splits_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _table(spark, sf_dir, "documents")
+    return split_sizes(df, split_predicates("spark", "text", None, None, 16, "hash")).select("split", "rows")
+
+
+@_query("SELECT event_type, count(*) AS events, max(value) AS largest FROM events GROUP BY event_type")
 def exec_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "events")
-    ferry.exec_sql(spark, "CREATE OR REPLACE TEMPORARY VIEW ferry_large_events AS SELECT * FROM events WHERE value > 10")
+    ferry.exec_sql(spark, "CREATE OR REPLACE TEMPORARY VIEW ferry_large_events AS SELECT * FROM events")
     return ferry.plan(spark, {
         "sql": "SELECT event_type, count(*) AS events, max(value) AS largest FROM ferry_large_events GROUP BY event_type"
     })
@@ -387,6 +426,23 @@ def render_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", F.expr(fn.compact_json("props")).alias("props"))
 
 
+@_query("""SELECT event_id, '{"e":' || event_id * 100 || ',"f":' || event_id || ',"n":[{"t":"1e2 ' || event_id || '.0"},' ||
+                  regexp_replace(CAST(event_id * CAST(0.001 AS DECIMAL(20,3)) AS VARCHAR), '[.]?0*$', '') || ',-0.5,1e+30,2e-9]}' AS text FROM events""")
+def render_json_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with exponents and without need of a point; text that looks like one stays."""
+    text = """concat('{"f":', event_id, '.0, "e":', event_id, 'e2, "n":[{"t":"1e2 ', event_id, '.0"},', event_id, 'e-3,-0.50,1e30,0.2E-8]}')"""
+    return _table(spark, sf_dir, "events").selectExpr("event_id", f"{text} AS given").select(
+        "event_id", F.expr(fn.compact_json("given")).alias("text"))
+
+
+@_query("""SELECT event_id, '{"a":' || event_id || ',"b":{"k":"last"}}' AS text FROM events""")
+def render_json_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a key that is repeated the last value counts."""
+    text = """concat('{"a":"first","b":{"k":', event_id, ',"k":"last"},"a":', event_id, '}')"""
+    return _table(spark, sf_dir, "events").selectExpr("event_id", f"{text} AS given").select(
+        "event_id", F.expr(fn.compact_json("given")).alias("text"))
+
+
 @_query("""SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(20,6)) AS VARCHAR) AS price,
                   CAST(CAST(o_custkey AS DECIMAL(12,3)) AS VARCHAR) AS customer FROM orders""")
 def render_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +499,13 @@ def jsonl_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ferry.jsonl_lines(df)
 
 
+@_query("""SELECT '{"html":' || replace(replace(replace(to_json(html), '<', '\\u003c'), '>', '\\u003e'), '&', '\\u0026')
+                  || ',"page_id":' || page_id || ',"url":' || replace(to_json(url), '&', '\\u0026') || '}' AS value FROM pages""")
+def jsonl_lines_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text in which every row holds characters that are written by number."""
+    return ferry.jsonl_lines(_table(spark, sf_dir, "pages"))
+
+
 @_query("""SELECT o_orderkey, CAST(replace(CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(15,2)) AS VARCHAR), '.', '') AS BIGINT) * 1000
            AS unscaled FROM orders""")
 def decimal_unscaled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -517,6 +580,22 @@ def sink_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.format("ferry_arrow").load(path)
 
 
+@_query("SELECT CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN '' ELSE text END AS text FROM documents")
+def sink_csv_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank and NULL rows of a single column have lines."""
+    _views(spark, sf_dir, "documents")
+    folder = work_folder(spark)
+    spec = {"sql": "SELECT CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN '' ELSE text END AS text FROM documents",
+            "format": "csv", "filename": "texts{{ext}}"}
+    report = ferry.move(spark, spec, folder).first()
+    back = spark.read.schema("text string").csv(
+        f"{folder}/texts.csv", header=True, multiLine=True, escape='"', nullValue="NULL", emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    if back.count() != report.rows:
+        raise AssertionError(f"{report.rows} rows reported, {back.count()} landed")
+    return back
+
+
 @_query("SELECT * FROM orders")
 def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(spark, sf_dir, "orders", format="csv", compression="gzip")
@@ -553,8 +632,46 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@_query("SELECT event_type, value FROM events")
+def sink_partitioned_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "events")
+    folder = work_folder(spark)
+    spec = {"sql": "SELECT event_type, value FROM events", "format": "jsonl", "partition_by": ["EVENT_TYPE"], "filename": "events{{ext}}"}
+    ferry.move(spark, spec, folder)
+    return spark.read.schema("value double, event_type string").json(f"{folder}/events.jsonl").select("event_type", "value")
+
+
 # Jobs
 
+@_query("""SELECT t.stream, count(*) AS rows, count(*) AS zeros_or_failed FROM (
+               SELECT 'lenient' AS stream FROM events UNION ALL SELECT 'strict' AS stream FROM events) t GROUP BY t.stream""")
+def move_many_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root settings, and a table that states their defaults again: text that is no number lands as zero, or fails the move."""
+    _views(spark, sf_dir, "events")
+    job = {
+        "on_error": "zero", "null_value": "-", "format": "csv", "filename": "{{stream_name}}{{ext}}",
+        "columns": [{"name": "event_type", "type": "INT4"}],
+        "tables": [
+            {"stream_name": "lenient", "sql": "SELECT event_type, CAST(NULL AS STRING) AS n FROM events"},
+            {"stream_name": "strict", "sql": "SELECT event_type, CAST(NULL AS STRING) AS n FROM events", "null_value": "NULL", "columns": []},
+            {"stream_name": "failing", "sql": "SELECT event_type FROM events", "on_error": "fail"},
+        ],
+    }
+    folder = work_folder(spark)
+    ferry.move_many(spark, job, folder, select="lenient,strict")
+    try:
+        ferry.move_many(spark, job, folder, select="failing")
+    except ferry.MoveError:
+        pass
+    else:
+        raise AssertionError("on_error: fail did not win over the root's zero")
+    lenient = spark.read.schema("event_type int, n string").csv(f"{folder}/lenient.csv", header=True, nullValue="NULL")
+    strict = spark.read.schema("event_type string, n string").csv(f"{folder}/strict.csv", header=True, nullValue="-")
+    return lenient.groupBy(F.lit("lenient").alias("stream")).agg(
+        F.count("*").alias("rows"), F.count_if((F.col("event_type") == 0) & (F.col("n") == "-")).alias("zeros_or_failed"),
+    ).union(strict.groupBy(F.lit("strict").alias("stream")).agg(F.count("*"), F.count_if((F.col("event_type") != "0") & (F.col("n") == "NULL"))))
+
+
 @_query("""SELECT 'SELECT * FROM lineitem' AS sql, count(*) AS rows, true AS success, true AS has_bytes, '' AS error
            FROM lineitem""")
 def move(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -564,11 +681,11 @@ def move(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("sql", "rows", "success", (F.col("bytes") > 0).alias("has_bytes"), "error")
 
 
-@_query("""SELECT count(*) AS rows, 'SELECT doc_id FROM labels WHERE toxic = 0' AS sql, true AS success, '' AS error,
-                  true AS timed, 'labels.parquet' AS file FROM labels WHERE toxic = 0""")
+@_query("""SELECT count(*) AS rows, 'SELECT doc_id FROM labels' AS sql, true AS success, '' AS error,
+                  true AS timed, 'labels.parquet' AS file FROM labels""")
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "labels")
-    spec = {"sql": "SELECT doc_id FROM labels WHERE toxic = 0", "format": "parquet", "filename": "labels{{ext}}"}
+    spec = {"sql": "SELECT doc_id FROM labels", "format": "parquet", "filename": "labels{{ext}}"}
     report = ferry.move(spark, spec, work_folder(spark))
     file = F.substring_index("path", "/", -1).alias("file")
     return report.select("rows", "sql", "success", "error", (F.col("elapsed_ms") > 0).alias("timed"), file)
