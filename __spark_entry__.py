@@ -694,7 +694,7 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 MANY = """
 format: arrow
 compression: snappy
-filename: "{{ YYYY }}/{{stream_name}}{{ext}}"
+filename: "{{stream_name}}/day={{ DD }}{{ext}}"
 tables:
   - stream_name: conversations
   - stream_name: documents
@@ -713,7 +713,7 @@ def move_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = ferry.move_many(
         spark, MANY, work_folder(spark), f"parquet:{sf_dir}", select="Embeddings, documents,conversations", concurrency=2
     )
-    return report.select(F.regexp_extract("path", r"([^/.]+)[.a-z]*$", 1).alias("stream"), "rows", "success")
+    return report.select(F.regexp_extract("path", r"([^/]+)/day=\d\d[.a-z]*$", 1).alias("stream"), "rows", "success")
 
 
 FLAGSHIP = {

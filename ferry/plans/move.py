@@ -15,6 +15,7 @@ from ferry.plans.report import MoveError, MoveReport, report_frame
 from ferry.plans.spec import (
     MoveSpec, make_spec, make_specs, merge, select_tables, user_variables, with_environment, with_tokens,
 )
+from ferry.session import configure
 from ferry.sinks import Target, hadoop_path, output_path, render_name, write, written_bytes
 from ferry.sources import dialect_of, keeps_uuid_order, read_source
 
@@ -22,6 +23,7 @@ from ferry.sources import dialect_of, keeps_uuid_order, read_source
 def plan(spark: SparkSession, spec: MoveSpec | Mapping | str, source: str = "table:") -> DataFrame:
     """The rows of a move in their output types, not yet written."""
     spec = with_tokens(make_spec(spec).check())
+    configure(spark)
     df = read_source(spark, source, spec)
     if spec.writers and not spec.partition_by:  # rows are dealt by partition_by anyway
         df = df.repartition(spec.writers)

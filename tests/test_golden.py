@@ -7,6 +7,7 @@ from ferry import columns_of, conform, csv_lines, jsonl_lines, override
 from ferry.plans import move
 from ferry.sinks import Target, write
 
+# The text that outputs must match byte for byte.
 NUMBERS_CSV = """\
 1,1,1,1.000000000000000,1,1
 2,2,2,2.000000000000000,2,2

@@ -6,6 +6,7 @@ from ferry.operators import columns_of, describe, override_columns, parse_column
 from ferry.types import Column, declared_column, spark_type, type_alias
 
 
+# Fixed values here and below: type names of the sources.
 @pytest.mark.parametrize("name, canonical", [
     ("INT2", "SMALLINT"), ("INT4", "INTEGER"), ("INT", "INTEGER"), ("INT8", "BIGINT"), ("DECIMAL", "NUMERIC"),
     ("FLOAT4", "REAL"), ("FLOAT8", "DOUBLE"), ("DOUBLE PRECISION", "DOUBLE"), ("CHARCTER VARYING", "VARCHAR"),
@@ -29,6 +30,15 @@ def test_source_types(source, declared, canonical):
     assert declared_column("c", declared, source).type == canonical
 
 
+def test_a_numeric_override_needs_a_precision():
+    text = [Column("a", "TEXT", "TEXT")]
+    with pytest.raises(ValueError, match="needs a precision"):
+        override_columns(text, [{"name": "a", "type": "NUMERIC"}])
+    assert override_columns(text, [{"name": "a", "type": "NUMERIC", "precision": 9}])[0].precision == 9
+    sized = [Column("a", "DECIMAL", "NUMERIC", precision=12, scale=3)]
+    assert override_columns(sized, [{"name": "a", "type": "NUMERIC"}])[0].precision == 12
+
+
 def test_money_and_limits():
     money = declared_column("c", "MONEY", "sqlserver")
     assert (money.precision, money.scale) == (19, 4)

@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 import ferry
 from ferry.functions import (
-    csv_field, decimal_unscaled, fix_sqlserver_uuid, html_safe, json_value, render_float, render_text, to_numeric, to_uuid,
+    compact_json, csv_field, decimal_unscaled, fix_sqlserver_uuid, html_safe, json_value, render_float, render_text, to_numeric, to_uuid,
     uuid_bytes,
 )
+from ferry.session import configure, work_folder
 
 
 def column(spark, values, kind, partitions=2):
@@ -247,3 +248,42 @@ def test_expressions_on_a_stream(spark, tmp_path):
     query.stop()
     assert spark.table("ferry_lines").where("value = '{\"id\":9,\"x\":\"2.25\"}'").count() == 1
     assert spark.table("ferry_lines").count() == 10
+
+
+@pytest.mark.parametrize("text, fits", [
+    ("1.25", True), ("1.255", False), ("1e-5", False), ("12.5e-1", True), ("1.25e-1", False), ("1.255e1", True), ("100e-2", True), ("1.50e-1", True),
+    (" 1E3 ", True), ("1.2500", False), ("5e-2", True),
+])
+def test_strict_scale_sees_exponents(spark, text, fits):
+    df = spark.createDataFrame([(text,)], "x string").select(to_numeric(F.col("x"), T.StringType(), T.DecimalType(10, 2), "fail", True).alias("d"))
+    if fits:
+        assert df.first().d == round(Decimal(text.strip()), 2)
+    else:
+        with pytest.raises(Exception, match="fraction digits"):
+            df.collect()
+
+
+@pytest.mark.parametrize("given, text", [
+    ("1e2", "100"), ("1e-7", "1e-7"), ("0.1e1", "1"), ("1e21", "1e+21"), ("1.5e300", "1.5e+300"), ("-12345.678e3", "-12345678"), ("123456789.5e0", "123456789.5"),
+    ('{"b":"1e2 \\"1.0E5","a":[1.10,2.0,true,null]}', '{"a":[1.1,2,true,null],"b":"1e2 \\"1.0E5"}'), ('{"a":1,"a":{"x":2,"x":3}}', '{"a":{"x":3}}'),
+    ('["Infinity",1e0]', '["Infinity",1]'), ("12345678901234567890", "12345678901234567890"), ("0.1234567890123456789", "0.1234567890123456789"),
+])
+def test_json_numbers_and_repeated_keys(spark, given, text):
+    configure(spark)
+    assert spark.createDataFrame([(given,)], "t string").select(F.expr(compact_json("t")).alias("x")).first().x == text
+
+
+def test_a_json_number_that_is_too_large_fails(spark):
+    for given in ("1E400", '{"a":["Infinity",-1e999]}'):
+        with pytest.raises(Exception, match="too large"):
+            spark.createDataFrame([(given,)], "t string").select(F.expr(compact_json("t"))).collect()
+
+
+def test_work_folder_needs_a_known_place():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        work_folder(type("Session", (), {"conf": Conf()})())
+    assert work_folder(type("Session", (), {"conf": Conf({"spark.checkpoint.dir": "hdfs:/shared/"})})()).startswith("hdfs:/shared/ferry-")
