@@ -59,4 +59,6 @@ QUERIES = {
         op9_repeats, op10_exact_dedup,
     )
 }
-ORACLES = {"op8_tool_calls": toolcalls.SQL, "op10_exact_dedup": exact.SQL}
+ORACLES = {
+    "op1_secrets": secrets.SQL, "op8_tool_calls": toolcalls.SQL, "op9_repeats": repeats.SQL, "op10_exact_dedup": exact.SQL,
+}

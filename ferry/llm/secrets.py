@@ -162,3 +162,40 @@ def secret_report(docs: DataFrame) -> DataFrame:
         "doc_id", *map(count, BASE), F.sha2(digest(F.col("base"), kinds), 256).alias("base_sha256"),
         digest(F.concat("base", "entropy"), kinds).alias("spans"),
     )
+
+
+def _sql() -> str:
+    """The report in DuckDB: every window's entropy on its own, from counts of its characters."""
+    kinds = [*BASE, *CLASSES]
+    patterns = {k: (p, g, least) for k, (p, g, least) in BASE.items()} | {k: (f"{chars}{{{WINDOW},}}", 0, 0) for k, (chars, _, _) in CLASSES.items()}
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    found = " UNION ALL ".join(
+        f"SELECT row, {i} AS rank, '{kind}' AS kind, regexp_extract_all(text, {quoted(p)}, 0) AS m, regexp_extract_all(text, {quoted(p)}, {g}) AS v, "
+        f"string_split_regex(text, {quoted(p)}) AS gaps, {least} AS least FROM docs"
+        for i, (kind, (p, g, least)) in enumerate(patterns.items()))
+    limits = " ".join(f"WHEN '{k}' THEN {most_weight(WINDOW, bits)}" for k, (_, _, bits) in CLASSES.items())
+    allowed = quoted("|".join(f"({a})" for a in ALLOWED))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+     found AS ({found}),
+     each AS (SELECT row, rank, kind, least, unnest(range(1, len(m) + 1)) AS i, m, v, gaps FROM found WHERE len(m) > 0),
+     placed AS (SELECT row, rank, kind, least, v[i] AS value, length(m[i]) AS size,
+                       list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start FROM each),
+     base AS (SELECT row, rank, kind, start, start + size AS "end" FROM placed WHERE rank < {len(BASE)} AND length(value) >= least),
+     candidates AS (SELECT row, rank, kind, start, value, unnest(range(0, size - {WINDOW - 1})) AS i
+                    FROM placed WHERE rank >= {len(BASE)} AND NOT regexp_full_match(value, {allowed})),
+     windows AS (SELECT row, rank, kind, start, i, list_sum(list_transform(list_distinct(string_split(value[i + 1 : i + {WINDOW}], '')),
+                     lambda c: {weights(WINDOW)}[{WINDOW + 1} - length(replace(value[i + 1 : i + {WINDOW}], c, ''))])) AS weight FROM candidates),
+     high AS (SELECT *, i > coalesce(lag(i) OVER part + {WINDOW}, -1) AS begins FROM windows
+              WHERE weight <= CASE kind {limits} END WINDOW part AS (PARTITION BY row, rank, start ORDER BY i)),
+     runs AS (SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY row, rank, start ORDER BY i) AS run FROM high),
+     entropy AS (SELECT row, rank, kind, start + min(i) AS start, start + max(i) + {WINDOW} AS "end" FROM runs GROUP BY row, rank, kind, runs.start, run),
+     spans AS (SELECT row, rank, kind, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM base UNION ALL SELECT * FROM entropy),
+     joined AS (SELECT row, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)},
+                       string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank, "end") FILTER (rank < {len(BASE)}) AS base,
+                       string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank, "end") AS spans FROM spans GROUP BY row)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (row)"""
+
+
+SQL = _sql()
