@@ -193,10 +193,9 @@ def _short_hashes(folder: str, bits: int, parts: int):
     def run(batches):
         for row in _rows(batches):
             found = np.unique(_loaded(folder, row)[2].short(bits))
-            cuts = np.searchsorted(found, np.arange(1 << parts, dtype=np.uint64) << np.uint64(bits - parts)).tolist() + [len(found)]
-            some = [p for p in range(1 << parts) if cuts[p] < cuts[p + 1]]
-            blobs = [pack(found[cuts[p] : cuts[p + 1]]) for p in some]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([row["batch"]] * len(some), pa.string()), pa.array(blobs, pa.binary())], ["part", "batch", "blob"])
+            some, starts = np.unique(found >> np.uint64(bits - parts), return_index=True)
+            blobs = [pack(found[a:b]) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)])]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array([row["batch"]] * len(some), pa.string()), pa.array(blobs, pa.binary())], ["part", "batch", "blob"])
 
     return run
 
@@ -216,9 +215,9 @@ def _repeated(suffixes: Suffixes, row: dict, bits: int, parts: int) -> Suffixes:
     hashes = suffixes.short(bits)
     found, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
     keep = times > 1
-    cuts = np.searchsorted(found, np.arange((1 << parts) + 1, dtype=np.uint64) << np.uint64(bits - parts))
+    of = found >> np.uint64(bits - parts)
     for told in row["several"] or ():
-        a, b = int(cuts[told["part"]]), int(cuts[told["part"] + 1])
+        a, b = (int(np.searchsorted(of, np.uint64(told["part"]), side)) for side in ("left", "right"))
         keep[a:b] |= np.unpackbits(np.frombuffer(told["bits"], np.uint8), count=b - a).astype(bool)
     return suffixes.taken(keep[which])
 
@@ -369,8 +368,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     batches = stored(rows.groupBy("batch", "file", "no").agg(F.sum(F.greatest(F.col("n_words") - (DEPTH - 1), F.lit(0))).alias("n")).join(gone, "batch", "left"))
     total = batches.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("batches")).first()
     bits = min(60, max(24, int(total.n).bit_length() + 12))
-    parts = min(20, max(0, (int(total.n) // group).bit_length()) + 1)
-    tasks = max(1, total.batches)
+    parts = min(30, max(0, (int(total.n) // group).bit_length()) + 1)
+    tasks = max(1, min(total.batches, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total.batches // 64)))
     batches = batches.drop("n")
 
     # repartition() without a key deals batches out evenly, whatever their names
