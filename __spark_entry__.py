@@ -744,7 +744,8 @@ def _training_data(attribute: str) -> dict:
     """What the training-data subpackage and its pipeline register, where they are installed."""
     found: dict = {}
     for package, module in (("ferry.llm", "ferry.llm.queries"), ("corpus_pipeline", "corpus_pipeline")):
-        if importlib.util.find_spec(package):
+        spec = importlib.util.find_spec(package)
+        if spec and spec.origin:  # a folder without code has none
             found.update(getattr(importlib.import_module(module), attribute))
     return found
 
