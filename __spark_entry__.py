@@ -13,11 +13,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DoubleType, StringType  # noqa: E402
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType  # noqa: E402
 
 import ferry  # noqa: E402
 from ferry import functions as fn  # noqa: E402
-from ferry.plans.spec import with_tokens  # noqa: E402
+from ferry.plans.spec import with_environment, with_tokens  # noqa: E402
 from ferry.sinks import arrow, extension  # noqa: E402
 from ferry.session import configure, work_folder  # noqa: E402
 from ferry.sources import table_path  # noqa: E402
@@ -641,6 +641,95 @@ def sink_partitioned_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value double, event_type string").json(f"{folder}/events.jsonl").select("event_type", "value")
 
 
+# Settings, paths and formats of moves
+
+@_query("SELECT 'parquet' AS scheme, * FROM supplier UNION ALL SELECT 'table' AS scheme, * FROM supplier")
+def source_by_scheme(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table through a folder's address and through the catalog."""
+    _views(spark, sf_dir, "supplier")
+    plans = [(scheme, ferry.plan(spark, {"stream_name": "supplier"}, url)) for scheme, url in (("parquet", f"parquet:{sf_dir}"), ("table", "table:"))]
+    parts = [df.select(F.lit(scheme).alias("scheme"), "*") for scheme, df in plans]
+    return parts[0].unionByName(parts[1])
+
+
+@_query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(15,2)) AS o_totalprice FROM orders""")
+def parse_column_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overrides as YAML text and as JSON text."""
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    df = ferry.override(df, ferry.parse_column_specs("- {name: O_CUSTKEY, type: INT8}"))
+    return ferry.override(df, ferry.parse_column_specs('[{"name": "o_totalprice", "type": "NUMERIC", "precision": 15, "scale": 2}]'))
+
+
+@_query("SELECT o_orderkey AS key, o_orderpriority AS priority, o_totalprice AS price FROM orders")
+def field_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed table read by the ids of its columns, under other names."""
+    path = _landed(spark, sf_dir, "orders", format="parquet")
+    landed = spark.read.parquet(path).schema
+    ids = {f.name: i for i, f in enumerate(_table(spark, sf_dir, "orders").schema.fields)}
+    wanted = StructType([
+        StructField(name, landed[c].dataType, True, {"parquet.field.id": ids[c]})
+        for name, c in (("key", "o_orderkey"), ("priority", "o_orderpriority"), ("price", "o_totalprice"))
+    ])
+    setting, copy = "spark.sql.parquet.fieldId.read.enabled", work_folder(spark)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        spark.read.schema(wanted).parquet(path).write.parquet(copy)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.parquet(copy)
+
+
+@_query("""SELECT o_orderkey, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(9,2)) AS small,
+                  CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,4)) AS middle, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,10)) AS large FROM orders""")
+def decimal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals that Parquet stores in 4, 8 and 16 bytes."""
+    _views(spark, sf_dir, "orders")
+    folder = work_folder(spark)
+    spec = {
+        "sql": "SELECT o_orderkey, o_totalprice AS small, o_totalprice AS middle, o_totalprice AS large FROM orders", "format": "parquet", "filename": "d{{ext}}",
+        "columns": [{"name": "small", "type": "NUMERIC(9,2)"}, {"name": "middle", "type": "NUMERIC(18,4)"}, {"name": "large", "type": "NUMERIC(38,10)"}],
+    }
+    ferry.move(spark, spec, folder)
+    return spark.read.parquet(f"{folder}/d.parquet")
+
+
+@_query(" UNION ALL ".join(f"SELECT '{f}' AS landed_as, s_suppkey, s_name FROM supplier" for f in ("arrow", "csv", "jsonl", "parquet")))
+def format_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table landed in each format, whatever the case of its name."""
+    _views(spark, sf_dir, "supplier")
+    folder, like = work_folder(spark), _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    arrow.register(spark)
+    found = []
+    for fmt in ("Arrow", "CSV", "JsonL", "PARQUET"):
+        spec = {"sql": "SELECT s_suppkey, s_name FROM supplier", "format": fmt, "filename": "supplier{{ext}}"}
+        ferry.move(spark, spec, folder)
+        path = f"{folder}/supplier{extension(fmt, '')}"
+        if fmt in ("CSV", "JsonL"):
+            back = _read_back(spark, path, like, fmt.lower())
+        else:
+            back = spark.read.format("ferry_arrow" if fmt == "Arrow" else "parquet").load(path)
+        found.append(back.select(F.lit(fmt.lower()).alias("landed_as"), "s_suppkey", "s_name"))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@_query("SELECT * FROM customer")
+def output_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name made of tokens, below a destination that ends with a slash."""
+    folder = work_folder(spark)
+    spec = {"stream_name": "customer", "format": "csv", "compression": "gzip", "filename": "/{{format}}/{{ compression }}/{{stream_name}}{{ext}}"}
+    ferry.move(spark, spec, f"{folder}/", f"parquet:{sf_dir}")
+    return _read_back(spark, f"{folder}/csv/gzip/customer.csv.gz", _table(spark, sf_dir, "customer"), "csv")
+
+
+@_query("SELECT l_orderkey, l_quantity >= 24 AS many, 'from the environment' AS note FROM lineitem")
+def spec_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of parameters, and a parameter, that come from the environment."""
+    _views(spark, sf_dir, "lineitem")
+    spec = ferry.make_spec({"sql": "SELECT l_orderkey, l_quantity >= $1 AS many, $2 AS note FROM lineitem", "params": {"P1": {"value": "0", "type": "INT4"}}})
+    return ferry.plan(spark, with_environment(spec, {"FERRY_PARAM_P1": "24", "FERRY_PARAM_P2": "from the environment"}))
+
+
 # Jobs
 
 @_query("""SELECT t.stream, count(*) AS rows, count(*) AS zeros_or_failed FROM (
