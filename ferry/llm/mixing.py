@@ -7,7 +7,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferry.llm.common import WORD, stored, whole
@@ -150,8 +150,6 @@ def plan(
 
 def _last_places(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
     """For each pattern the last place, in seeded order, at which the sum of sizes comes nearest to the rest."""
-    from pyspark.sql import Window
-
     spark = rows.sparkSession
     wanted = F.broadcast(spark.createDataFrame(list(rest.items()), "pattern string, rest long"))  # at most MOST_PATTERNS rows
     range_of = F.shiftright("place", 54).alias("bin")  # -512 to 511
@@ -166,7 +164,7 @@ def _last_places(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
     places = places.withColumn("after", F.col("before") + F.sum("n").over(each))
     nearest = F.min_by(F.col("place"), F.struct(F.abs(F.col("after") - F.col("rest")), F.col("place")))
     start = F.min(F.abs(F.col("after") - F.col("rest"))) < F.first(F.col("rest") - F.col("before"))
-    before = F.expr(f"shiftleft(cast(min(shiftright(place, 54)) AS BIGINT), 54) - 1")
+    before = F.shiftleft(F.min(F.shiftright("place", 54)), 54) - 1  # no document of this range
     found = places.groupBy("pattern").agg(F.when(start, nearest).otherwise(before).alias("last"))
     return {r.pattern: r["last"] for r in found.collect()}
 
