@@ -11,10 +11,10 @@ from ferry.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """`node, root` for every node of the links `a, b` (longs): the smallest node that can be reached.
 
-    In each round every node takes its smallest neighbour, if that is smaller, as parent; pointers are then doubled until
-    they reach a root, and links are rewritten to roots. Links inside a tree vanish, so the rounds end when none is left.
-    Minima are summed up before they are shuffled, so a node with very many links costs a task no more than others. Each round is a written
-    table. Only counts reach the driver.
+    In each round every node takes its smallest neighbour, if that is smaller, as parent; pointers are then doubled
+    until they reach a root, and links are rewritten to roots. Links inside a tree vanish, so the rounds end when none
+    is left. Minima are summed up before they are shuffled, so a node with very many links costs a task no more than
+    others. Each round is a written table. Only counts reach the driver.
     """
     left = stored(_both(links))
     labels = None
@@ -23,7 +23,11 @@ def components(links: DataFrame) -> DataFrame:
         parents = stored(parents.withColumn("root", F.least("node", "root")))
         while True:
             above = parents.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            jumped = stored(parents.join(above, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")))
+            jumped = stored(
+                parents.join(above, "root").select(
+                    "node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")
+                )
+            )
             parents = jumped.select("node", "root")
             if jumped.filter("moved").isEmpty():
                 break
@@ -33,7 +37,9 @@ def components(links: DataFrame) -> DataFrame:
         else:
             renamed = labels.join(to.withColumnRenamed("root", "new"), labels.root == F.col("old"), "left")
             labels = stored(renamed.select("node", F.coalesce("new", "root").alias("root")))
-        moved = left.join(to.select(F.col("old").alias("a"), F.col("root").alias("x")), "a").join(to.select(F.col("old").alias("b"), F.col("root").alias("y")), "b")
+        moved = left.join(to.select(F.col("old").alias("a"), F.col("root").alias("x")), "a").join(
+            to.select(F.col("old").alias("b"), F.col("root").alias("y")), "b"
+        )
         left = stored(moved.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)

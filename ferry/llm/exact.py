@@ -27,7 +27,9 @@ def merged(runs: DataFrame, run: Column) -> DataFrame:
     )
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, fan_in: int = 4) -> DataFrame:
+def exact_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, fan_in: int = 4
+) -> DataFrame:
     """Group rows whose texts are equal after each run of white space has become one space.
 
     Rows are dealt to `fan_in ** rounds` runs. In each round `fan_in` runs become one, as in a binomial tree, until one
@@ -61,9 +63,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with their columns. Rows that repeat an identifier stay or go together if their
     texts are equal. Texts meet their decision by identifier and digest: one shuffle of the rows that stay or go."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    kept = exact_groups(docs, id_col, text_col).filter("kept")
+    kept = kept.select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__kept")).distinct()
     keyed = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256))
-    return keyed.join(kept.withColumnRenamed("__sha", "__kept"), keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept")), "left_semi").drop("__sha")
+    same = keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept"))
+    return keyed.join(kept, same, "left_semi").drop("__sha")
 
 
 SQL = r"""

@@ -17,7 +17,9 @@ MOST_PATTERNS = 20_000
 BINS = 1024
 
 
-def targets(sizes: dict[str | None, int], weights: dict[str | None, float], share: float = 1.5, cap: float = 2.0) -> dict[str | None, float]:
+def targets(
+    sizes: dict[str | None, int], weights: dict[str | None, float], share: float = 1.5, cap: float = 2.0
+) -> dict[str | None, float]:
     """What each source is to give: `share` of all sizes by weight, at most `cap` times its own size. What is over
     goes to the sources that are still below, by weight, until none is above."""
     found: dict[str | None, float] = {}
@@ -83,8 +85,9 @@ class Flow:
 def route(tokens: dict[tuple, int], quotas: dict[str | None, int], epochs: int = 2) -> dict[tuple, int]:
     """Tokens to take from each membership pattern so that the sources' quotas are met as far as they can be.
 
-    Each pattern offers its tokens once per epoch, the e-th time at cost e - 1 per token: costs are convex, so all fresh text that can
-    serve a quota goes before anything is repeated."""
+    Each pattern offers its tokens once per epoch, the e-th time at cost e - 1 per token: costs are convex, so all fresh
+    text that can serve a quota goes before anything is repeated.
+    """
     patterns, sources = sorted(tokens, key=repr), sorted(quotas, key=repr)
     flow = Flow(2 + len(patterns) + len(sources))
     at = {s: 2 + len(patterns) + i for i, s in enumerate(sources)}
@@ -115,13 +118,13 @@ def plan(
 ) -> tuple[DataFrame, DataFrame]:
     """Size all documents and decide what the mix takes.
 
-    Returns the sized rows, `id, pattern, place, size` (a written table), and the decisions, one row per membership pattern:
-    `pattern, epochs, last_place, source_size, target`. A document is taken `epochs` times, and once more if its seeded `place` is not
-    after `last_place`. Sizes are summed by pattern and by 1,024 ranges of the place; only the range where
-    a quota ends is looked at row by row. The driver gets a row per pattern.
+    Returns the sized rows, `id, pattern, place, size` (a written table), and the decisions, one row per membership
+    pattern: `pattern, epochs, last_place, source_size, target`. A document is taken `epochs` times, and once more if
+    its seeded `place` is not after `last_place`. Sizes are summed by pattern and by 1,024 ranges of the place; only the
+    range where a quota ends is looked at row by row. The driver gets a row per pattern.
 
-    weights: from the sorted names of the sources (by code point, null last) to their weights; as given in the contract, 3, 1, 2
-    and again, if None.
+    weights: from the sorted names of the sources (by code point, null last) to their weights; as given in the contract,
+    3, 1, 2 and again, if None.
     """
     spark, dtype = docs.sparkSession, dict(docs.dtypes)[source_col]
     text = whole(text_col)
@@ -151,11 +154,15 @@ def plan(
 def _last_places(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
     """For each pattern the last place, in seeded order, at which the sum of sizes comes nearest to the rest."""
     spark = rows.sparkSession
-    wanted = F.broadcast(spark.createDataFrame(list(rest.items()), "pattern string, rest long"))  # at most MOST_PATTERNS rows
+    wanted = F.broadcast(
+        spark.createDataFrame(list(rest.items()), "pattern string, rest long")
+    )  # at most MOST_PATTERNS rows
     range_of = F.shiftright("place", 54).alias("bin")  # -512 to 511
     up_to = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     bins = rows.select("pattern", range_of, "size").groupBy("pattern", "bin").agg(F.sum("size").alias("n"))
-    bins = bins.join(wanted, "pattern").withColumn("after", F.sum("n").over(up_to)).withColumn("before", F.col("after") - F.col("n"))
+    bins = bins.join(wanted, "pattern").withColumn("after", F.sum("n").over(up_to)).withColumn(
+        "before", F.col("after") - F.col("n")
+    )
     ends = bins.filter("before < rest AND after >= rest").select("pattern", "bin", "before", "rest").collect()
     ends = F.broadcast(spark.createDataFrame(ends, "pattern string, bin long, before long, rest long"))
     places = rows.withColumn("bin", range_of.cast("long")).join(ends, ["pattern", "bin"])
@@ -177,13 +184,17 @@ def _times(decisions: DataFrame) -> Column:
     return F.col("epochs") + F.when(F.col("last_place").isNotNull() & (F.col("place") <= F.col("last_place")), 1).otherwise(0)
 
 
-def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+def mix_report(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings
+) -> DataFrame:
     """A row for each row of `docs`: `<id_col>, size, source_size, target, taken`.
 
-    size: words of the whole text (null: 0). source_size and target belong to the document's source (the first by code point, if several).
-    taken: words the mix takes, repeats counted; a document is taken whole, 0 to `cap` times. Each source's sum comes as near its target as
-    one document allows. A null source is a source of its own, last in order; an empty array of sources is never taken. Rows that repeat an identifier
-    with equal texts are taken alike. The seed fixes the choice, so reruns agree. Other columns are not read.
+    size: words of the whole text (null: 0). source_size and target belong to the document's source (the first by code
+    point, if several).
+    taken: words the mix takes, repeats counted; a document is taken whole, 0 to `cap` times. Each source's sum comes as
+    near its target as one document allows. A null source is a source of its own, last in order; an empty array of
+    sources is never taken. Rows that repeat an identifier with equal texts are taken alike. The seed fixes the choice,
+    so reruns agree. Other columns are not read.
     """
     rows, decisions = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
     return rows.join(F.broadcast(decisions), "pattern").select(
@@ -191,7 +202,9 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, **settings) -> DataFrame:
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, **settings
+) -> DataFrame:
     """The documents as the mix takes them: one taken twice is there twice. Columns stay; texts are not shuffled."""
     _, decisions = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **settings)
     keys = decisions.select(*(F.col(c).alias(f"__{c}") for c in ("pattern", "epochs", "last_place")))

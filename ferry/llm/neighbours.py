@@ -35,9 +35,10 @@ class Block:
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
         """`query id, vector id, cosine` of the best k found for each query, its own identifier left out.
 
-        Virtual rehashing: the windows around a query's projections grow with the radius, and only what they newly reach is counted.
-        Vectors whose count passes the threshold are compared themselves. A query is done when its k-th best is within the radius, or
-        all vectors have been compared."""
+        Virtual rehashing: the windows around a query's projections grow with the radius, and only what they newly reach
+        is counted. Vectors whose count passes the threshold are compared themselves. A query is done when its k-th best
+        is within the radius, or all vectors have been compared.
+        """
         n, least = len(self.ids), math.ceil(THRESHOLD * PROJECTIONS)
         norms = np.sqrt((queries * queries).sum(axis=1))
         centres = (queries / norms[:, None]) @ self.directions
@@ -50,8 +51,12 @@ class Block:
         high, radius = low.copy(), FIRST_RADIUS
         while len(alive):
             reach = HALF_WINDOW * radius
-            new_low = np.stack([np.searchsorted(s, centres[alive, j] - reach, "left") for j, s in enumerate(self.sorted)], 1)
-            new_high = np.stack([np.searchsorted(s, centres[alive, j] + reach, "right") for j, s in enumerate(self.sorted)], 1)
+            new_low = np.stack(
+                [np.searchsorted(s, centres[alive, j] - reach, "left") for j, s in enumerate(self.sorted)], 1
+            )
+            new_high = np.stack(
+                [np.searchsorted(s, centres[alive, j] + reach, "right") for j, s in enumerate(self.sorted)], 1
+            )
             on = np.ones(len(alive), bool)
             for a, q in enumerate(alive.tolist()):
                 reached = [p[x:y] for p, x, y in zip(self.places, new_low[a].tolist(), low[q].tolist())]
@@ -74,8 +79,8 @@ class Block:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """`id, dim, vector` (doubles) of the rows that take part: an identifier, a vector that is not null, empty or zero, and no component that is
-    null or not finite. Of rows that repeat an identifier, the smallest vector takes part."""
+    """`id, dim, vector` (doubles) of the rows that take part: an identifier, a vector that is not null, empty or zero,
+    and no component that is null or not finite. Of rows that repeat an identifier, the smallest vector takes part."""
     v = F.col("vector")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -83,12 +88,16 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.groupBy("id").agg(F.min("vector").alias("vector")).select("id", F.size("vector").alias("dim"), "vector")
 
 
-def neighbours(vectors: DataFrame, queries=None, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """The k nearest of each query by cosine: `query_id, rank` (from 1)`, vec_id, score`, nearest first, ties to the smaller identifier.
+def neighbours(
+    vectors: DataFrame, queries=None, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK
+) -> DataFrame:
+    """The k nearest of each query by cosine: `query_id, rank` (from 1)`, vec_id, score`, nearest first, ties to the
+    smaller identifier.
 
     Every usable row is indexed, in blocks of about `block` vectors, each with its own sorted arrays; every query meets
-    every block, and each meeting gives at most k rows, so a task holds one block and a batch of queries, whatever the sizes. Many queries are dealt in parts.
-    Vectors of another length than the query's are no candidates. Fewer than k candidates: all found are returned.
+    every block, and each meeting gives at most k rows, so a task holds one block and a batch of queries, whatever the
+    sizes. Many queries are dealt in parts. Vectors of another length than the query's are no candidates. Fewer than k
+    candidates: all found are returned.
 
     queries: a condition on the column `id`; rows that meet it are the queries.
     """
@@ -131,6 +140,9 @@ def _search(k: int):
                     for at in range(0, len(ids), 256):
                         found = list(index.search(ids[at : at + 256], flat[at : at + 256], k))
                         q, v, s = zip(*found) if found else ((), (), ())
-                        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
+                            ["query_id", "vec_id", "score"],
+                        )
 
     return run

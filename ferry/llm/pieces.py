@@ -22,12 +22,12 @@ UNKNOWN_PENALTY = 10.0
 
 
 class Pieces:
-    """A vocabulary of pieces with scores. Blanks become `\\u2581`, one is put in front, and nothing else is
-    normalised, as this library's models with the identity rule have it.
+    """A vocabulary of pieces with scores. Blanks become `\\u2581`, one is put in front, and nothing else is normalised,
+    as this library's models with the identity rule have it.
 
-    encode: the pieces whose scores add up highest; of equal sums the one found first, that is with the longest last piece. A character that
-    begins no piece of its own costs more than any piece and is written as its UTF-8 bytes if the vocabulary has byte
-    pieces, else as the unknown piece.
+    encode: the pieces whose scores add up highest; of equal sums the one found first, that is with the longest last
+    piece. A character that begins no piece of its own costs more than any piece and is written as its UTF-8 bytes if
+    the vocabulary has byte pieces, else as the unknown piece.
     """
 
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: dict[int, int], unknown: int, most: int = CACHE):
@@ -43,7 +43,8 @@ class Pieces:
         self.single = {text for text, _ in pieces if len(text) == 1}
         self.lowest = min((s for t, s in pieces if t), default=0.0) - UNKNOWN_PENALTY
         self.byte_ids, self.bytes_of, self.unknown = byte_ids, {i: b for b, i in byte_ids.items()}, unknown
-        # No piece goes over from other characters to a blank, nor over a line end: a text can be cut there, and the best
+        # No piece goes over from other characters to a blank, nor over a line end: a text can be cut there, and the
+        # best
         # path of the whole is made of the best paths of the parts.
         cuts = not any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.texts)
         lines = not any("\n" in t for t in self.texts if len(t) > 1)
@@ -135,8 +136,8 @@ class Pieces:
 
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`<id_col>, ids` (an array) for each row's whole text. Null text is empty and gives no id. Nothing is shuffled. Other columns
-    are not read, and rows that repeat are encoded alike."""
+    """`<id_col>, ids` (an array) for each row's whole text. Null text is empty and gives no id. Nothing is shuffled.
+    Other columns are not read, and rows that repeat are encoded alike."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.load(model)
         for batch in batches:
@@ -144,7 +145,9 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 made = [pieces.encode(t.decode()) for t in binary(part.column(1))]
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in made], dtype=np.int64))).astype(np.int32)
                 flat = np.concatenate(made).astype(np.int32) if made else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "ids"]
+                )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, ids array<int>").withColumnRenamed("id", id_col)
@@ -164,9 +167,9 @@ def decoded(ids: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "
 
 
 def piece_report(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode every whole text: `<id_col>, n_pieces, n_bytes` (byte pieces among them)`, ids_crc32` (of
-    the ids as little-endian 32-bit numbers)`, decoded_crc32` (of the decoded text in UTF-8)`, round_trip` (whether the decoded
-    text is the original, blanks for `\\u2581`)."""
+    """Encode and decode every whole text: `<id_col>, n_pieces, n_bytes` (byte pieces among them)`, ids_crc32` (of the
+    ids as little-endian 32-bit numbers)`, decoded_crc32` (of the decoded text in UTF-8)`, round_trip` (whether the
+    decoded text is the original, blanks for `\\u2581`)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.load(model)
         low, high = min(pieces.bytes_of, default=0), max(pieces.bytes_of, default=-1)
@@ -178,10 +181,18 @@ def piece_report(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                     ids = pieces.encode(text)
                     back = pieces.decode(ids)
                     in_bytes = sum(i in pieces.bytes_of for i in ids[(ids >= low) & (ids <= high)].tolist())
-                    rows.append((len(ids), in_bytes, zlib.crc32(ids.tobytes()), zlib.crc32(back.encode()), back == text.replace(SPACE, " ")))
+                    rows.append(
+                        (
+                            len(ids), in_bytes, zlib.crc32(ids.tobytes()), zlib.crc32(back.encode()),
+                            back == text.replace(SPACE, " "),
+                        )
+                    )
                 columns = list(zip(*rows)) if rows else [()] * 5
                 kinds = [pa.int64()] * 4 + [pa.bool_()]
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns, kinds)], ["id", "n_pieces", "n_bytes", "ids_crc32", "decoded_crc32", "round_trip"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *map(pa.array, columns, kinds)],
+                    ["id", "n_pieces", "n_bytes", "ids_crc32", "decoded_crc32", "round_trip"],
+                )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {dict(source.dtypes)['id']}, n_pieces long, n_bytes long, ids_crc32 long, decoded_crc32 long, round_trip boolean"

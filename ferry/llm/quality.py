@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import binary, pieces
 
-#: Most labelled rows to learn from, those with the smallest hash of their identifier: a documented bound. All statistics
+#: Most labelled rows to learn from, those with the smallest hash of their identifier: a documented bound. All
+#: statistics
 #: but the model are over all rows.
 MOST_TRAINED = 8000
 WORDS, BINS, RANK = 1 << 14, 24, 8
@@ -40,7 +41,9 @@ def statistics(text: bytes, words: list[bytes], counts: Counter, stated: int | N
         *((len(text) - len(text.translate(None, kind))) / letters for kind in (_UPPER, _DIGITS, _SYMBOLS)),
         text.count(b"!") / n, text.count(b"|") / n, (text.count(b".") + text.count(b",")) / n, min(1.0, letters / n / 16),
         len(counts) / n, sum(map(operator.eq, words, words[1:])) / n, 1 - len(set(lines)) / max(1, len(lines)),
-        min(1.0, np.log1p(size / max(1, len(lines))) / 12), min(1.0, np.log1p(len(words)) / 12), sum(c for w, c in counts.items() if len(w) < 3) / n,
+        min(1.0, np.log1p(size / max(1, len(lines))) / 12), min(1.0, np.log1p(len(words)) / 12), sum(
+            c for w, c in counts.items() if len(w) < 3
+        ) / n,
         0.0 if stated is None else min(1.0, np.log1p(max(0, stated)) / 16),
     ]
 
@@ -59,8 +62,8 @@ _NUMBERS = _Numbers()
 
 
 def features(text: bytes, stated: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and values of a text's features. Words get log counts of unit length together; a statistic gets two neighbouring bins of its
-    row, shared out by where its square root falls, so scores change smoothly."""
+    """Numbers and values of a text's features. Words get log counts of unit length together; a statistic gets two
+    neighbouring bins of its row, shared out by where its square root falls, so scores change smoothly."""
     words = text.split()
     counts = Counter(words)
     numbers = np.fromiter(map(_NUMBERS.__getitem__, counts), np.int32, len(counts))
@@ -82,12 +85,13 @@ class Machine:
     factors: np.ndarray
 
     def raw(self, numbers: np.ndarray, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores of rows whose features start at `starts` (none empty), in time linear in the features: the sum-of-squares
-        identity replaces the sum over pairs. Also the sums and products that the gradient needs."""
+        """Scores of rows whose features start at `starts` (none empty), in time linear in the features: the
+        sum-of-squares identity replaces the sum over pairs. Also the sums and products that the gradient needs."""
         products = self.factors[numbers] * values[:, None]
         sums = np.add.reduceat(products, starts)
         squares = np.add.reduceat(products * products, starts)
-        return self.bias + np.add.reduceat(self.linear[numbers] * values, starts) + 0.5 * (sums * sums - squares).sum(axis=1), sums, products
+        linear = np.add.reduceat(self.linear[numbers] * values, starts)
+        return self.bias + linear + 0.5 * (sums * sums - squares).sum(axis=1), sums, products
 
     def scores(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         numbers, values, starts = _packed(rows)
@@ -99,12 +103,18 @@ def _packed(rows):
     return np.concatenate([n for n, _ in rows]), np.concatenate([v for _, v in rows]), starts
 
 
-def fitted(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Machine:
-    """Logistic loss, steps scaled by the root of summed squares of each weight's gradient; the same rows give the same machine.
-    No row, or labels of one kind alone: the machine says their (smoothed) share for every text."""
+def fitted(
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.05,
+    decay: float = 1e-4, seed: int = 7,
+) -> Machine:
+    """Logistic loss, steps scaled by the root of summed squares of each weight's gradient; the same rows give the same
+    machine. No row, or labels of one kind alone: the machine says their (smoothed) share for every text."""
     rng = np.random.default_rng(seed)
     share = (labels.sum() + 1) / (len(labels) + 2)
-    machine = Machine(float(np.log(share / (1 - share))), np.zeros(FEATURES, np.float32), rng.normal(0, 0.02, (FEATURES, RANK)).astype(np.float32))
+    machine = Machine(
+        float(np.log(share / (1 - share))), np.zeros(FEATURES, np.float32),
+        rng.normal(0, 0.02, (FEATURES, RANK)).astype(np.float32),
+    )
     if len(set(labels.tolist())) < 2:
         machine.factors[:] = 0
         return machine
@@ -135,19 +145,25 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Rows that are never learnt from: crc32 of the identifier as text leaves 2 when divided by 4. A null identifier has no label and is not one of them."""
+    """Rows that are never learnt from: crc32 of the identifier as text leaves 2 when divided by 4. A null identifier
+    has no label and is not one of them."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_TRAINED) -> Machine:
-    """Learn `labels.quality` from labelled rows that are not held out. Identifiers with contrary labels, and labels other than 0 and 1,
-    are not used; of rows that repeat an identifier all texts are. Label, language, source and identifier are no features."""
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_TRAINED
+) -> Machine:
+    """Learn `labels.quality` from labelled rows that are not held out. Identifiers with contrary labels, and labels
+    other than 0 and 1, are not used; of rows that repeat an identifier the smallest text is. Label, language, source
+    and identifier are no features."""
     chosen = (
-        labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("id"))
+        labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
+        .groupBy(F.col(id_col).alias("id"))
         .agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high")
         .select("id", F.col("low").cast("int").alias("quality")).orderBy(F.xxhash64("id"), "id").limit(most)
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _stated(docs)).join(F.broadcast(chosen), "id")  # at most `most` rows
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _stated(docs))
+    rows = rows.join(F.broadcast(chosen), "id")  # `chosen` has at most `most` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,9 +173,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     part.column(0), part.column(3), pa.array([n.astype("<i4").tobytes() for n, _ in made], pa.binary()),
                     pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary())], ["id", "quality", "numbers", "values"])
 
-    found = rows.select(F.col("id").cast("long"), "text", "stated", "quality").mapInArrow(run, "id long, quality int, numbers binary, values binary").collect()
-    found.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], bytes(r["numbers"])))
-    found = found[:most]  # only where identifiers repeat
+    rows = rows.groupBy("id", "quality").agg(F.min(F.struct("text", "stated")).alias("first"))  # at most `most` rows
+    rows = rows.select(F.col("id").cast("long"), "first.text", "first.stated", "quality")
+    found = rows.mapInArrow(run, "id long, quality int, numbers binary, values binary").collect()
+    found.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"]))
     made = [(np.frombuffer(r["numbers"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in found]
     return fitted(made, np.array([r["quality"] for r in found], np.float32))
 
@@ -177,7 +194,9 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for part in pieces(batch, 256):
                 made = [features(t, s) for t, s in zip(binary(part.column(1)), part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.value.scores(made) if made else [], pa.float64())], ["id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(model.value.scores(made) if made else [], pa.float64())], ["id", "score"]
+                )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _stated(docs))
     return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, score double")
@@ -186,10 +205,15 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """A row for each row of `docs`: `doc_id, held_out, score, predicted`."""
     scored = score(docs, train(docs, labels))
-    return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
 
 
-def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+def accepted(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7
+) -> DataFrame:
     """The rows of `docs` that the classifier accepts, with their columns; scored where they are read."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
     names = [f.name for f in docs.schema.fields]

@@ -1,17 +1,20 @@
 """Substring deduplication by suffix trees that are partitioned by prefixes of variable length.
 
-The suffixes are those that start at each word, down to a depth of `4 * edge` words (20), as only nodes at that depth matter. A path from the
-root has four edges of five words each, and an edge is its words' hash. Steps, each a job whose rows name batches of documents in
-a store in the shared folder:
+The suffixes are those that start at each word, down to a depth of `4 * edge` words (20), as only nodes at that depth
+matter. A path from the root has four edges of five words each, and an edge is its words' hash. Steps, each a job whose
+rows name batches of documents in a store in the shared folder:
 
 1. Store the texts in batches and find documents whose word sequences are the same; only the first of them goes on.
-2. Leave out suffixes that cannot reach a deep internal node: those whose 20 words, by a short hash, occur in no other batch and once in their own.
-3. Count suffixes by the hash of their first edge; a prefix with more than a group may hold is made longer by an edge, and so on.
+2. Leave out suffixes that cannot reach a deep internal node: those whose 20 words, by a short hash, occur in no other
+   batch and once in their own.
+3. Count suffixes by the hash of their first edge; a prefix with more than a group may hold is made longer by an edge,
+   and so on.
 4. Build the subtree of each group: sort the paths, compare neighbours. A deep internal node holds the starts of one
    sequence of 20 words; all but the first start are repeats.
 5. Remove the words that repeats cover.
 
-What goes to a group is one entry per path and batch, so a passage in very many documents weighs no more than the batches it is in.
+What goes to a group is one entry per path and batch, so a passage in very many documents weighs no more than the
+batches it is in.
 """
 
 from __future__ import annotations
@@ -35,7 +38,11 @@ BATCH_BYTES = 4 << 20
 #: Suffixes per group, and hashes per part of the search for repeated ones: what a task holds.
 GROUP = 2 << 20
 EDGE_BITS = 48
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_ODD = [
+    np.uint64(x) for x in (
+        0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+    )
+]
 
 
 class _Hashes(dict):
@@ -66,7 +73,8 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
 
 
 class Suffixes:
-    """The suffixes of some documents that are DEPTH words long or longer: for each its document, its start, and the edges of its path."""
+    """The suffixes of some documents that are DEPTH words long or longer: for each its document, its start, and the
+    edges of its path."""
 
     def __init__(self, words: list[list[bytes]]):
         lengths = np.array([len(w) for w in words], np.int64)
@@ -124,9 +132,9 @@ def unpack(blob: bytes) -> np.ndarray:
 # Step 1
 
 def store(docs: DataFrame, folder: str, id_col: str, text_col: str, batch_bytes: int) -> DataFrame:
-    """Write the texts in batches to files that tasks open later, and return a row for each document: `batch, file, no` (of the batch in the
-    file)`, place` (of the document in the batch)`, id, n_words, h1, h2` (of the word sequence). Files have names of their task attempt, and
-    only those of committed attempts are in the table that is returned."""
+    """Write the texts in batches to files that tasks open later, and return a row for each document: `batch, file, no`
+    (of the batch in the file)`, place` (of the document in the batch)`, id, n_words, h1, h2` (of the word sequence).
+    Files have names of their task attempt, and only those of committed attempts are in the table that is returned."""
     system, path = filesystem(folder)
     system.create_dir(path, recursive=True)
     names = ["batch", "file", "no", "place", "id", "n_words", "h1", "h2"]
@@ -139,13 +147,17 @@ def store(docs: DataFrame, folder: str, id_col: str, text_col: str, batch_bytes:
         def flush() -> pa.RecordBatch:
             nonlocal writer, no, ids, texts, size
             if writer is None:
-                writer = pa.ipc.new_file(system.open_output_stream(f"{path}/{file}"), schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                writer = pa.ipc.new_file(
+                    system.open_output_stream(f"{path}/{file}"), schema, options=pa.ipc.IpcWriteOptions(compression="zstd")
+                )
             writer.write_batch(pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], schema=schema))
             n, rows = len(ids), [t.split() for t in texts]
             digests = np.array([np.frombuffer(xxhash.xxh3_128_digest(b" ".join(w)), "<i8") for w in rows]).reshape(n, 2)
             made = pa.RecordBatch.from_arrays([
-                pa.array([f"{file}-{no}"] * n), pa.array([file] * n), pa.array([no] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(ids, pa.int64()),
-                pa.array([len(w) for w in rows], pa.int64()), pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1]))], names)
+                pa.array([f"{file}-{no}"] * n), pa.array([file] * n), pa.array([no] * n, pa.int64()),
+                pa.array(range(n), pa.int64()), pa.array(ids, pa.int64()), pa.array([len(w) for w in rows], pa.int64()),
+                pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1])),
+            ], names)
             no, ids, texts, size = no + 1, [], [], 0
             return made
 
@@ -162,7 +174,9 @@ def store(docs: DataFrame, folder: str, id_col: str, text_col: str, batch_bytes:
             writer.close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
-    return stored(rows.mapInArrow(run, "batch string, file string, no long, place long, id long, n_words long, h1 long, h2 long"))
+    return stored(
+        rows.mapInArrow(run, "batch string, file string, no long, place long, id long, n_words long, h1 long, h2 long")
+    )
 
 
 def read_batch(folder: str, file: str, no: int) -> tuple[list[int | None], list[bytes]]:
@@ -179,7 +193,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _loaded(folder: str, row: dict) -> tuple[list[int | None], list[list[bytes]], Suffixes]:
-    """Identifiers, words and suffixes of the documents of a batch that go on, in ascending order of the identifiers (null last)."""
+    """Identifiers, words and suffixes of the documents of a batch that go on, in ascending order of the identifiers
+    (null last)."""
     ids, texts = read_batch(folder, row["file"], row["no"])
     gone = set(row["gone"] or ())
     order = sorted((k for k in range(len(ids)) if k not in gone), key=lambda k: (ids[k] is None, ids[k] or 0, k))
@@ -195,7 +210,13 @@ def _short_hashes(folder: str, bits: int, parts: int):
             found = np.unique(_loaded(folder, row)[2].short(bits))
             some, starts = np.unique(found >> np.uint64(bits - parts), return_index=True)
             blobs = [pack(found[a:b]) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)])]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array([row["batch"]] * len(some), pa.string()), pa.array(blobs, pa.binary())], ["part", "batch", "blob"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(some.astype(np.int64)), pa.array([row["batch"]] * len(some), pa.string()),
+                    pa.array(blobs, pa.binary()),
+                ],
+                ["part", "batch", "blob"],
+            )
 
     return run
 
@@ -225,7 +246,8 @@ def _repeated(suffixes: Suffixes, row: dict, bits: int, parts: int) -> Suffixes:
 # Steps 3 and 4
 
 def _groups(suffixes: Suffixes, bits: int, hot: dict[int, np.ndarray]) -> np.ndarray:
-    """The group of each suffix: the part its first edge falls into, or, while that is one of the hot ones, the part of a prefix longer by an edge."""
+    """The group of each suffix: the part its first edge falls into, or, while that is one of the hot ones, the part of
+    a prefix longer by an edge."""
     group = suffixes.prefix(1, bits) * np.uint64(EDGES)
     for level in range(1, EDGES):
         longer = np.isin(group, hot.get(level, np.empty(0, np.uint64)))
@@ -246,8 +268,8 @@ def _prefix_counts(folder: str, bits: int, hot: dict[int, np.ndarray], level: in
 
 
 def _entries(suffixes: Suffixes, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes sorted by group and path, then by document and start: the order, where each new path begins, and the number of the
-    path of each."""
+    """Suffixes sorted by group and path, then by document and start: the order, where each new path begins, and the
+    number of the path of each."""
     order = np.lexsort((suffixes.start, suffixes.doc, *suffixes.edges[::-1], groups))
     columns = [groups[order], *(e[order] for e in suffixes.edges)]
     new = np.ones(len(order), bool)
@@ -270,15 +292,23 @@ def _to_groups(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[i
             rank = (least.view(np.uint64) ^ np.uint64(1 << 63)) if len(least) else np.empty(0, np.uint64)
             blobs = []
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(of)]):
-                blobs.append(b"".join([*(planes(e[firsts[a:b]], EDGE_BITS // 8) for e in suffixes.edges), planes(rank[a:b], 8)]))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int64)), pa.array([row["batch"]] * len(kinds), pa.string()), pa.array(blobs, pa.binary())], ["group", "batch", "blob"])
+                blobs.append(
+                    b"".join([*(planes(e[firsts[a:b]], EDGE_BITS // 8) for e in suffixes.edges), planes(rank[a:b], 8)])
+                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(kinds.astype(np.int64)), pa.array([row["batch"]] * len(kinds), pa.string()),
+                    pa.array(blobs, pa.binary()),
+                ],
+                ["group", "batch", "blob"],
+            )
 
     return run
 
 
 def _subtree(table: pa.Table) -> pa.Table:
-    """The subtree of a group, as its sorted paths: neighbours whose paths agree on all edges hang from one deep internal node. For
-    each batch's entries, in their order, one bit each: whether the node has an earlier start."""
+    """The subtree of a group, as its sorted paths: neighbours whose paths agree on all edges hang from one deep
+    internal node. For each batch's entries, in their order, one bit each: whether the node has an earlier start."""
     width, size = EDGE_BITS // 8, EDGE_BITS // 8 * EDGES + 8
     batches = table.column("batch").to_pylist()
     by_name = np.argsort(np.argsort(np.array(batches, object)))
@@ -317,13 +347,17 @@ def _kept(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[int, n
             order, new, path = _entries(suffixes, groups)
             later, of = np.zeros(int(new.sum()), bool), groups[order[new]]
             for told in row["later"] or ():
-                a, b = np.searchsorted(of, np.uint64(told["group"]), "left"), np.searchsorted(of, np.uint64(told["group"]), "right")
+                a, b = np.searchsorted(of, np.uint64(told["group"]), "left"), np.searchsorted(
+                    of, np.uint64(told["group"]), "right"
+                )
                 later[a:b] = np.unpackbits(np.frombuffer(told["bits"], np.uint8), count=int(b - a)).astype(bool)
             repeat = order[~new | later[path]] if len(order) else order
             docs, starts = suffixes.doc[repeat], suffixes.start[repeat]
             sort = np.lexsort((starts, docs))
             docs, starts = docs[sort], starts[sort]
-            firsts, lasts = np.searchsorted(docs, np.arange(len(ids)), "left"), np.searchsorted(docs, np.arange(len(ids)), "right")
+            firsts, lasts = np.searchsorted(docs, np.arange(len(ids)), "left"), np.searchsorted(
+                docs, np.arange(len(ids)), "right"
+            )
             out_ids, n_words, removed, kept, spans = [], [], [], [], []
             for k in range(len(ids)):
                 at = starts[firsts[k] : lasts[k]]
@@ -342,30 +376,47 @@ def _kept(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[int, n
             for a in range(0, len(out_ids), 256):
                 part = slice(a, a + 256)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(out_ids[part], pa.int64()), pa.array(n_words[part], pa.int64()), pa.array(removed[part], pa.int64()), pa.array(kept[part], pa.string()), pa.array(spans[part], spans_type),
+                    pa.array(out_ids[part], pa.int64()), pa.array(n_words[part], pa.int64()),
+                    pa.array(removed[part], pa.int64()), pa.array(kept[part], pa.string()),
+                    pa.array(spans[part], spans_type),
                 ], ["id", "n_words", "n_removed", "kept", "spans"])
 
     return run
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """Remove every word that lies in 20 consecutive words of a document which also start earlier: in a document with a
     smaller identifier, or earlier in the same one. Windows are judged on the input.
 
-    Returns a row for each row of `docs`: `<id_col>, n_words, n_removed, kept` (the words that stay, joined by one space)`, spans` (what is removed,
-    in words from 0, ends exclusive, touching spans as one). Null text has no words. Null identifiers come last; of rows that
-    repeat an identifier, one (by its place in the store) counts as the earlier. Sequences are told apart by four 48-bit hashes
-    of five words each; whole documents by 128 bits. Other columns are not read.
+    Returns a row for each row of `docs`: `<id_col>, n_words, n_removed, kept` (the words that stay, joined by one
+    space)`, spans` (what is removed, in words from 0, ends exclusive, touching spans as one). Null text has no words.
+    Null identifiers come last; of rows that repeat an identifier, one (by its place in the store) counts as the
+    earlier. Sequences are told apart by four 48-bit hashes of five words each; whole documents by 128 bits. Other
+    columns are not read.
     """
     spark = docs.sparkSession
     folder = f"{work_folder(spark)}/texts"
     rows = store(docs, folder, id_col, text_col, batch_bytes)
     order = F.struct(F.col("id").isNull().alias("null"), "id", "batch", "place")
-    first = rows.filter(F.col("n_words") >= DEPTH).groupBy("h1", "h2", "n_words").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    first = first.filter("n > 1").select("h1", "h2", "n_words", F.col("first.batch").alias("b"), F.col("first.place").alias("p"))
-    copies = stored(rows.join(first, ["h1", "h2", "n_words"]).filter("batch != b OR place != p").select("batch", "place", "id", "n_words"))
+    first = rows.filter(F.col("n_words") >= DEPTH).groupBy("h1", "h2", "n_words").agg(
+        F.min(order).alias("first"), F.count("*").alias("n")
+    )
+    first = first.filter("n > 1").select(
+        "h1", "h2", "n_words", F.col("first.batch").alias("b"), F.col("first.place").alias("p")
+    )
+    copies = stored(
+        rows.join(first, ["h1", "h2", "n_words"]).filter("batch != b OR place != p").select(
+            "batch", "place", "id", "n_words"
+        )
+    )
     gone = copies.groupBy("batch").agg(F.collect_list("place").alias("gone"))
-    batches = stored(rows.groupBy("batch", "file", "no").agg(F.sum(F.greatest(F.col("n_words") - (DEPTH - 1), F.lit(0))).alias("n")).join(gone, "batch", "left"))
+    batches = stored(
+        rows.groupBy("batch", "file", "no").agg(F.sum(F.greatest(F.col("n_words") - (DEPTH - 1), F.lit(0))).alias("n")).join(
+            gone, "batch", "left"
+        )
+    )
     total = batches.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("batches")).first()
     bits = min(60, max(24, int(total.n).bit_length() + 12))
     parts = min(30, max(0, (int(total.n) // group).bit_length()) + 1)
@@ -373,7 +424,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     batches = batches.drop("n")
 
     # repartition() without a key deals batches out evenly, whatever their names
-    hashes = batches.repartition(tasks).mapInArrow(_short_hashes(folder, bits, parts), "part long, batch string, blob binary")
+    hashes = batches.repartition(tasks).mapInArrow(
+        _short_hashes(folder, bits, parts), "part long, batch string, blob binary"
+    )
     several = hashes.groupBy("part").applyInArrow(_in_several, "batch string, part long, bits binary")
     several = several.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("several"))
     told = stored(batches.join(several, "batch", "left"))
@@ -386,14 +439,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         hot[level + 1] = np.array(sorted(large), np.uint64)
 
-    sent = told.repartition(tasks).mapInArrow(_to_groups(folder, bits, parts, prefix_bits, hot), "group long, batch string, blob binary")
+    sent = told.repartition(tasks).mapInArrow(
+        _to_groups(folder, bits, parts, prefix_bits, hot), "group long, batch string, blob binary"
+    )
     later = sent.groupBy("group").applyInArrow(_subtree, "batch string, group long, bits binary")
     later = later.groupBy("batch").agg(F.collect_list(F.struct("group", "bits")).alias("later"))
     final = told.join(later, "batch", "left").repartition(tasks)
     schema = "id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
     done = final.mapInArrow(_kept(folder, bits, parts, prefix_bits, hot), schema)
     span = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
-    whole_ = copies.select("id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"), span.alias("spans"))
+    whole_ = copies.select(
+        "id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"), span.alias("spans")
+    )
     return done.unionByName(whole_).withColumnRenamed("id", id_col)
 
 

@@ -36,7 +36,9 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42
+) -> DataFrame:
     """`id, fp`: the fingerprint of each row's whole text (null: empty), as a signed 64-bit number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,10 +51,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def masks(radius: int, level: int = 0) -> list[int]:
-    """The covering code: bit i of a fingerprint gets a non-zero vector v(i) of radius + 1 bits, and table t, for every non-zero
-    t, keeps the bits whose v(i) has an odd number of ones in common with t. Any `radius` bits have vectors that leave
-    some t with even numbers on all of them, so a pair that differs in those bits alone agrees on what table t keeps.
-    Another level deals the vectors to the bits in another order."""
+    """The covering code: bit i of a fingerprint gets a non-zero vector v(i) of radius + 1 bits, and table t, for every
+    non-zero t, keeps the bits whose v(i) has an odd number of ones in common with t. Any `radius` bits have vectors
+    that leave some t with even numbers on all of them, so a pair that differs in those bits alone agrees on what table
+    t keeps. Another level deals the vectors to the bits in another order."""
     vectors = 1 + np.random.default_rng(level).permutation(BITS) % (2 ** (radius + 1) - 1)
     found = []
     for t in range(1, 2 ** (radius + 1)):
@@ -64,7 +66,9 @@ def masks(radius: int, level: int = 0) -> list[int]:
 
 def in_tables(points: DataFrame, radius: int, level: int) -> DataFrame:
     """Each point once for each table of the code: `bucket` so far and what the table keeps make the new bucket."""
-    tables = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in enumerate(masks(radius, level))))
+    tables = F.array(
+        *(F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in enumerate(masks(radius, level)))
+    )
     return points.withColumn("__t", F.explode(tables)).select(
         F.xxhash64("bucket", F.col("__t.t"), F.col("fp").bitwiseAND(F.col("__t.m"))).alias("bucket"), "fp"
     )
@@ -117,10 +121,10 @@ def _ended(batches):
 
 
 def links(points: DataFrame, radius: int = 3, most: int = 4096) -> DataFrame:
-    """Pairs `a, b` of the distinct fingerprints in `points` (column `fp`) whose connections are those of all pairs within
-    `radius` bits. A bucket of over `most` fingerprints is dealt again by another covering code, which also
-    covers every pair inside it, until none is larger: each level fixes about half of the bits that still vary, so
-    this ends after a few levels, and no bucket is cut or skipped."""
+    """Pairs `a, b` of the distinct fingerprints in `points` (column `fp`) whose connections are those of all pairs
+    within `radius` bits. A bucket of over `most` fingerprints is dealt again by another covering code, which also
+    covers every pair inside it, until none is larger: each level fixes about half of the bits that still vary, so this
+    ends after a few levels, and no bucket is cut or skipped."""
     open_, found, level = points.select(F.lit(0).cast("long").alias("bucket"), "fp"), None, 0
     while True:
         dealt = stored(in_tables(open_, radius, level))
@@ -140,14 +144,14 @@ def near_groups(
 ) -> DataFrame:
     """Fingerprint every whole text and group rows that fingerprints within `radius` bits connect.
 
-    Equal fingerprints become one point first, so copies cost nothing further; `2 ** (radius + 1) - 1` tables of a covering code then
-    bring every pair within the radius together in some bucket. Each bucket gives a forest of its links,
-    not its pairs, and `components` joins the forests.
+    Equal fingerprints become one point first, so copies cost nothing further; `2 ** (radius + 1) - 1` tables of a
+    covering code then bring every pair within the radius together in some bucket. Each bucket gives a forest of its
+    links, not its pairs, and `components` joins the forests.
 
-    Returns a row for each row of `docs`: `<id_col>, fingerprint` (16 lowercase hex digits)`, component_id` (the smallest identifier
-    that can be reached, itself included). Null and empty texts have fingerprint zero and are linked like any other.
-    Rows that repeat an identifier each get their own text's result. A null identifier is never the smallest unless its component
-    has no other. Other columns are not read.
+    Returns a row for each row of `docs`: `<id_col>, fingerprint` (16 lowercase hex digits)`, component_id` (the
+    smallest identifier that can be reached, itself included). Null and empty texts have fingerprint zero and are linked
+    like any other. Rows that repeat an identifier each get their own text's result. A null identifier is never the
+    smallest unless its component has no other. Other columns are not read.
     """
     rows = stored(fingerprints(docs, id_col, text_col, shingle))
     points = stored(rows.groupBy("fp").agg(F.min("id").alias("least")))
@@ -160,7 +164,9 @@ def near_groups(
     )
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+def near_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
+) -> DataFrame:
     """The rows of `docs` that stay: of every component the document with the smallest identifier. Rows without an
     identifier cannot be named by a decision, so they all stay."""
     named = docs.filter(F.col(id_col).isNotNull())

@@ -80,19 +80,27 @@ def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """`conv_id, call_id, depth`: how many calls come before each one by following `after`; null for calls in a
-    cycle or behind one. An `after` that names no call counts as none.
+    """`conv_id, call_id, depth`: how many calls come before each one by following `after`; null for calls in a cycle or
+    behind one. An `after` that names no call counts as none.
 
-    Each round doubles how far every call looks back, so the number of joins is the logarithm of the longest chain, and a conversation that
-    holds a third of all calls is worked on by all tasks: rows are keyed by call."""
+    Each round doubles how far every call looks back, so the number of joins is the logarithm of the longest chain, and
+    a conversation that holds a third of all calls is worked on by all tasks: rows are keyed by call.
+    """
     key = ["conv_id", "call_id"]
     there = calls.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there"))
     state = calls.select(*key, "after").join(there, ["conv_id", "after"], "left")
-    state = stored(state.select(*key, F.when(F.col("there"), F.col("after")).alias("ahead"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth")))
+    state = stored(
+        state.select(
+            *key, F.when(F.col("there"), F.col("after")).alias("ahead"),
+            F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"),
+        )
+    )
     for _ in range(max(1, math.ceil(math.log2(state.count() + 1))) + 1):
         if state.filter(F.col("ahead").isNotNull()).isEmpty():
             break
-        to = state.select("conv_id", F.col("call_id").alias("ahead"), F.col("ahead").alias("further"), F.col("depth").alias("more"))
+        to = state.select(
+            "conv_id", F.col("call_id").alias("ahead"), F.col("ahead").alias("further"), F.col("depth").alias("more")
+        )
         done = state.filter(F.col("ahead").isNull())
         moved = state.filter(F.col("ahead").isNotNull()).join(to, ["conv_id", "ahead"])
         moved = moved.select(*key, F.col("further").alias("ahead"), (F.col("depth") + F.col("more")).alias("depth"))
@@ -103,38 +111,55 @@ def depths(calls: DataFrame) -> DataFrame:
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """Link calls with results and write each as one canonical JSON object.
 
-    calls: `conv_id, call_id, after, position, name, arguments` (JSON text); `after` names a call of the same conversation that must come first.
+    calls: `conv_id, call_id, after, position, name, arguments` (JSON text); `after` names a call of the same
+    conversation that must come first.
     results: `conv_id, call_id, position, content`.
 
-    Returns a row for each distinct (conv_id, call_id), sorted so that a conversation's calls follow those they come after:
-    `conv_id, call_id, position, depth, n_calls, n_results, valid, faults, message`. Of calls that repeat an identifier the first by position
-    (then name, arguments) counts, of results likewise; their numbers are reported. Results whose call is not there are left out (see `orphans`).
-    A call is valid if its arguments fit its tool's schema, it is not in or behind a cycle, and no other has its identifier.
-    Rows without conversation or call identifier cannot be linked and are left out. Null arguments are no JSON.
+    Returns a row for each distinct (conv_id, call_id), sorted so that a conversation's calls follow those they come
+    after: `conv_id, call_id, position, depth, n_calls, n_results, valid, faults, message`. Of calls that repeat an
+    identifier the first by position (then name, arguments) counts, of results likewise; their numbers are reported.
+    Results whose call is not there are left out (see `orphans`). A call is valid if its arguments fit its tool's
+    schema, it is not in or behind a cycle, and no other has its identifier. Rows without conversation or call
+    identifier cannot be linked and are left out. Null arguments are no JSON.
     """
     key = ["conv_id", "call_id"]
     one = calls.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()).groupBy(*key).agg(
         F.min(F.struct("position", "name", "arguments", "after")).alias("call"), F.count("*").alias("n_calls"))
     one = stored(one.select(*key, "call.*", "n_calls"))
-    answers = results.groupBy(*key).agg(F.min(F.struct("position", "content")).alias("answer"), F.count("*").alias("n_results"))
+    answers = results.groupBy(*key).agg(
+        F.min(F.struct("position", "content")).alias("answer"), F.count("*").alias("n_results")
+    )
     joined = one.join(depths(one), key).join(answers.hint("shuffle_hash"), key, "left")
-    rows = joined.select(*key, "position", "depth", "n_calls", F.coalesce("n_results", F.lit(0)).alias("n_results"), "name", "arguments", F.col("answer.content").alias("content"))
+    rows = joined.select(
+        *key, "position", "depth", "n_calls", F.coalesce("n_results", F.lit(0)).alias("n_results"), "name", "arguments",
+        F.col("answer.content").alias("content"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 valid, problems, messages = [], [], []
-                for call_id, depth, n_calls, name, arguments, content in zip(*(part.column(c).to_pylist() for c in ("call_id", "depth", "n_calls", "name", "arguments", "content"))):
+                for call_id, depth, n_calls, name, arguments, content in zip(
+                    *(part.column(c).to_pylist() for c in ("call_id", "depth", "n_calls", "name", "arguments", "content"))
+                ):
                     text, found = checked(name, arguments, schemas)
                     found += ["in or behind a cycle"] * (depth is None) + ["repeated identifier"] * (n_calls > 1)
                     valid.append(not found)
                     problems.append("; ".join(found))
-                    messages.append(f'{{"arguments":{text},"id":{canonical(call_id)},"name":{canonical(name)},"result":{canonical(content)}}}')
+                    messages.append(
+                        f'{{"arguments":{text},"id":{canonical(call_id)},"name":{canonical(name)},"result":{canonical(content)}}}'
+                    )
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("conv_id", "call_id", "position", "depth", "n_calls", "n_results")), pa.array(valid, pa.bool_()), pa.array(problems, pa.string()), pa.array(messages, pa.string())],
+                    [
+                        *(part.column(c) for c in ("conv_id", "call_id", "position", "depth", "n_calls", "n_results")),
+                        pa.array(valid, pa.bool_()), pa.array(problems, pa.string()), pa.array(messages, pa.string()),
+                    ],
                     ["conv_id", "call_id", "position", "depth", "n_calls", "n_results", "valid", "faults", "message"])
 
-    schema = f"conv_id {dict(rows.dtypes)['conv_id']}, call_id string, position long, depth long, n_calls long, n_results long, valid boolean, faults string, message string"
+    schema = (
+        f"conv_id {dict(rows.dtypes)['conv_id']}, call_id string, position long, depth long, n_calls long, "
+        "n_results long, valid boolean, faults string, message string"
+    )
     ordered = ["conv_id", F.col("depth").asc_nulls_last(), "position", "call_id"]
     return rows.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(run, schema)
 
@@ -154,8 +179,8 @@ SCHEMAS = {
 
 
 def as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Conversations as calls and results. A turn that is not the assistant's calls the tool of its role, after the call two turns
-    before it; the assistant's turn is the result of the call one turn before it."""
+    """Conversations as calls and results. A turn that is not the assistant's calls the tool of its role, after the call
+    two turns before it; the assistant's turn is the result of the call one turn before it."""
     def named(back: int):
         return F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
 
@@ -163,7 +188,10 @@ def as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = asks.select(
         "conv_id", F.when(F.col("turn").isNotNull(), named(0)).alias("call_id"), named(2).alias("after"), F.col("turn").cast("long").alias("position"),
         F.col("role").alias("name"), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"), "turn")).alias("arguments"))
-    results = messages.filter("role = 'assistant'").select("conv_id", F.when(F.col("turn").isNotNull(), named(1)).alias("call_id"), F.col("turn").cast("long").alias("position"), F.col("text").alias("content"))
+    results = messages.filter("role = 'assistant'").select(
+        "conv_id", F.when(F.col("turn").isNotNull(), named(1)).alias("call_id"),
+        F.col("turn").cast("long").alias("position"), F.col("text").alias("content"),
+    )
     return calls, results
 
 
