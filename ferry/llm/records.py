@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +21,7 @@ from ferry.llm.common import binary, filesystem, pieces, stored, whole
 from ferry.session import work_folder
 
 CACHE = 300_000
+STOPS = b".,;:!?"
 #: The polynomial of CRC-32C (reflected) and the mask that TFRecord files put over it.
 POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
@@ -103,22 +108,59 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 class Words:
     """Ids of whole texts from a tokenizer that never joins characters across ASCII white space and gives none for
-    it: each distinct word is encoded once and kept, up to a bound."""
+    it, ignores case, and parts letters from the stops after them: each distinct word is encoded once and kept, up to a bound.
+
+    Words of ASCII letters, with or without stops at the end, go straight to the library's model; the others go through all of its steps, many at
+    a time, joined by blanks, and the place where a token starts says whose it is. The tests compare both with whole texts."""
 
     def __init__(self, path: str, most: int = CACHE):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.model = self.tokenizer.model
+
+    @staticmethod
+    @cache
+    def of(path: str) -> Words:
+        """One for all tasks of a Python worker."""
+        return Words(path)
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        known, others = self.known, []
+        for word in words:
+            core = word.lower().rstrip(STOPS)
+            if not core.isalpha():  # of bytes: ASCII letters alone
+                others.append(word)
+                continue
+            if core not in known:
+                known[core] = np.array([t.id for t in self.model.tokenize(core.decode())], "<u4").tobytes()
+            stops = word[len(core) :]
+            if stops and stops not in known:
+                self.learn_others([stops])
+            known[word] = known[core] + known[stops] if stops else known[core]
+        self.learn_others(others)
+
+    def learn_others(self, words: list[bytes], joined: int = 64) -> None:
+        groups = [words[at : at + joined] for at in range(0, len(words), joined)]
+        for at in range(0, len(groups), 64):
+            part = [[w.decode() for w in group] for group in groups[at : at + 64]]
+            made = self.tokenizer.encode_batch([" ".join(group) for group in part], add_special_tokens=False)
+            for group, texts, encoding in zip(groups[at : at + 64], part, made):
+                ids = np.array(encoding.ids, "<u4").tobytes()
+                starts = [a for a, _ in encoding.offsets]
+                end = k = 0
+                for word, text in zip(group, texts):
+                    end += len(text) + 1
+                    last = bisect_left(starts, end, k)
+                    self.known[word] = ids[4 * k : 4 * last]
+                    k = last
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
         if len(self.known) > self.most:
-            self.known = {}
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, made in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(made.ids, "<u4").tobytes()
+            self.known.clear()
+        self.learn(set(chain.from_iterable(split)).difference(self.known))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
@@ -137,12 +179,11 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = filesystem(folder)
-        words, part = None, TaskContext.get().partitionId()
+        words, part = Words.of(tokenizer), TaskContext.get().partitionId()
         name, offsets, n_ids = f"part-{part:06d}-{uuid.uuid4().hex}", [0], 0
         with system.open_output_stream(f"{path}/{name}.rec", buffer_size=1 << 20) as out:
             for batch in batches:
                 for rows in pieces(batch):
-                    words = words or Words(tokenizer)
                     ids = [np.append(x, np.uint32(end_id)) for x in words.encode(binary(rows.column(1)))]
                     n_ids += sum(map(len, ids))
                     for record in frame([serialise(i, x) for i, x in zip(rows.column(0).to_pylist(), ids)]):
