@@ -42,16 +42,17 @@ def most_weight(window: int, bits: float) -> int:
     return math.floor(window * (math.log2(window) - bits) * UNIT)
 
 
-def _matches(text: Column, pattern: str, group: int) -> Column:
-    """The matches of a text in order: characters before it since the last one, its length, and the group's text.
+def _matches(text: Column, found: Column, pattern: str, group: int) -> Column:
+    """The matches found in a text, in order: characters before it since the last one, its length, and the group's text.
 
-    `split` gives what lies between the matches that `regexp_extract_all` gives, so both read the text once."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    groups = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1)) if group else found
-    return F.arrays_zip(
+    `split` gives what lies between the matches; it only runs on texts that have some."""
+    values = F.transform(found, lambda m: F.regexp_extract(m, pattern, group)) if group else found
+    matches = F.arrays_zip(
         F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.char_length).alias("gap"),
-        F.transform(found, F.char_length).alias("length"), groups.alias("value"),
+        F.transform(found, F.char_length).alias("length"), values.alias("value"),
     )
+    return F.when(F.size(found) > 0, matches).otherwise(F.slice(F.array(F.struct(
+        F.lit(0).alias("gap"), F.lit(0).alias("length"), F.lit("").alias("value"))), 1, 0))
 
 
 def _placed(matches: Column) -> Column:
@@ -121,7 +122,8 @@ def scan(
     text = F.col("text")
     df = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
     patterns = {k: (p, g) for k, (p, g, _) in BASE.items()} | {k: (f"{chars}{{{window},}}", 0) for k, (chars, _, _) in classes.items()}
-    df = df.select("id", *(_matches(text, p, g).alias(k) for k, (p, g) in patterns.items()))
+    df = df.select("id", "text", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, (p, _) in patterns.items()))
+    df = df.select("id", *(_matches(text, F.col(k), p, g).alias(k) for k, (p, g) in patterns.items()))
     df = df.select("id", *(_placed(F.col(k)).alias(k) for k in patterns))
 
     def named(kind: str, spans: Column) -> Column:
