@@ -80,7 +80,9 @@ def frame(payloads: list[bytes]) -> list[bytes]:
     """Each payload as a record: length (8 bytes), its masked CRC, the payload, its masked CRC; all little-endian."""
     lengths = [len(p).to_bytes(8, "little") for p in payloads]
     heads, tails = masked(crc32c(lengths)), masked(crc32c(payloads))
-    return [n + h.tobytes() + p + t.tobytes() for n, h, p, t in zip(lengths, heads.astype("<u4"), payloads, tails.astype("<u4"))]
+    return [
+        n + h.tobytes() + p + t.tobytes() for n, h, p, t in zip(lengths, heads.astype("<u4"), payloads, tails.astype("<u4"))
+    ]
 
 
 def unframe(records: list[bytes]) -> list[bytes]:
@@ -107,11 +109,14 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class Words:
-    """Ids of whole texts from a tokenizer that never joins characters across ASCII white space and gives none for
-    it, ignores case, and parts letters from the stops after them: each distinct word is encoded once and kept, up to a bound.
+    """Ids of whole texts from a tokenizer that never joins characters across ASCII white space and gives none for it,
+    ignores case, and parts letters from the stops after them: each distinct word is encoded once and kept, up to a
+    bound.
 
-    Words of ASCII letters, with or without stops at the end, go straight to the library's model; the others go through all of its steps, many at
-    a time, joined by blanks, and the place where a token starts says whose it is. The tests compare both with whole texts."""
+    Words of ASCII letters, with or without stops at the end, go straight to the library's model; the others go through
+    all of its steps, many at a time, joined by blanks, and the place where a token starts says whose it is. The tests
+    compare both with whole texts.
+    """
 
     def __init__(self, path: str, most: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -165,14 +170,18 @@ class Words:
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
 
-def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text, append `end_id`, and write the records in ascending order of `id_col` to files in `folder`.
+def write_records(
+    docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Encode every whole text, append `end_id`, and write the records in ascending order of `id_col` to files in
+    `folder`.
 
-    Rows are dealt to files by ranges of the identifier (then of a hash of the text, so that one identifier with very many rows
-    does not make one file). Beside each file lies an index: the offset of every record and the end, 8 bytes each. A
-    task writes under a name of its own attempt and hands on one row, so the manifest that is returned, a written table `part, file, n_records,
-    n_ids`, names the files of successful attempts alone, in order. Null text is empty: its record holds the end id alone.
-    Null identifiers come first. Rows that repeat an identifier each get a record.
+    Rows are dealt to files by ranges of the identifier (then of a hash of the text, so that one identifier with very
+    many rows does not make one file). Beside each file lies an index: the offset of every record and the end, 8 bytes
+    each. A task writes under a name of its own attempt and hands on one row, so the manifest that is returned, a
+    written table `part, file, n_records, n_ids`, names the files of successful attempts alone, in order. Null text is
+    empty: its record holds the end id alone. Null identifiers come first. Rows that repeat an identifier each get a
+    record.
     """
     system, path = filesystem(folder)
     system.create_dir(path, recursive=True)
@@ -192,9 +201,13 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
         with system.open_output_stream(f"{path}/{name}.idx") as out:
             out.write(np.array(offsets, "<u8").tobytes())
         if len(offsets) > 1:
-            yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_records": [len(offsets) - 1], "n_ids": [n_ids]})
+            yield pa.RecordBatch.from_pydict(
+                {"part": [part], "file": [name], "n_records": [len(offsets) - 1], "n_ids": [n_ids]}
+            )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text")).withColumn(
+        "tie", F.xxhash64("text")
+    )
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
     return stored(rows.mapInArrow(run, "part long, file string, n_records long, n_ids long"))
 
@@ -236,7 +249,9 @@ def read_records(spark: SparkSession, manifest: DataFrame, folder: str, at_once:
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
-    return files.repartition(max(1, manifest.count())).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(max(1, manifest.count())).mapInArrow(
+        run, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    )
 
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

@@ -16,12 +16,14 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]{16,}", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
-#: Entropy kinds: the alphabet of the class as written in a regular expression and in full, and the least bits per character of a window.
+#: Entropy kinds: the alphabet of the class as written in a regular expression and in full, and the least bits per
+#: character of a window.
 CLASSES = {
     "entropy_hex": ("[0-9A-Fa-f]", "0123456789ABCDEFabcdef", 3.0),
     "entropy_base64": ("[A-Za-z0-9+/_=-]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8),
 }
-#: Allow-list: candidates that are known not to be secrets. UUIDs, digits or one-case letters alone, capitalised words, documented examples.
+#: Allow-list: candidates that are known not to be secrets. UUIDs, digits or one-case letters alone, capitalised words,
+#: documented examples.
 ALLOWED = (
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"[0-9_=-]+", r"[a-z_=-]+", r"[A-Z_=-]+", r"[A-Z][a-z]+",
@@ -57,7 +59,10 @@ def _matches(text: Column, found: Column, pattern: str, group: int) -> Column:
 
 def _placed(matches: Column) -> Column:
     """The matches with the place where each starts. Runs over chunks, as an array that grows is copied at each step."""
-    empty = F.slice(F.transform(matches, lambda m: F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), m["value"].alias("value"))), 1, 0)
+    empty = F.slice(
+        F.transform(matches, lambda m: F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), m["value"].alias("value"))),
+        1, 0,
+    )
 
     def step(s: Column, m: Column) -> Column:
         start = s["at"] + m["gap"]
@@ -65,7 +70,9 @@ def _placed(matches: Column) -> Column:
             s["spans"], F.struct(start.alias("start"), (start + m["length"]).alias("end"), m["value"].alias("value"))).alias("spans"))
 
     def chunk(s: Column, c: Column) -> Column:
-        inner = F.aggregate(F.slice(matches, c * CHUNK + 1, F.lit(CHUNK)), F.struct(s["at"].alias("at"), empty.alias("spans")), step)
+        inner = F.aggregate(
+            F.slice(matches, c * CHUNK + 1, F.lit(CHUNK)), F.struct(s["at"].alias("at"), empty.alias("spans")), step
+        )
         return F.struct(inner["at"].alias("at"), F.array_append(s["spans"], inner["spans"]).alias("spans"))
 
     chunks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / CHUNK).cast("int"))
@@ -96,12 +103,21 @@ def _windows(value: Column, alphabet: str, bits: float, window: int) -> Column:
             counts = F.transform(s["counts"], lambda n, k: n + (k == enter).cast("int") - (k == leave).cast("int"))
             first = i - (window - 1)
             joins = (F.size(s["spans"]) > 0) & (F.try_element_at(s["spans"], F.lit(-1))["end"] >= first)
-            span = F.struct(F.when(joins, F.try_element_at(s["spans"], F.lit(-1))["start"]).otherwise(first).alias("start"), (i + 1).alias("end"))
+            span = F.struct(
+                F.when(joins, F.try_element_at(s["spans"], F.lit(-1))["start"]).otherwise(first).alias("start"),
+                (i + 1).alias("end"),
+            )
             kept = F.slice(s["spans"], F.lit(1), F.size(s["spans"]) - joins.cast("int"))
             high = (first >= 0) & (weight <= most_weight(window, bits))
-            return F.struct(counts.alias("counts"), weight.alias("weight"), F.when(high, F.array_append(kept, span)).otherwise(s["spans"]).alias("spans"))
-
-        start = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("weight"), empty.alias("spans"))
+            return F.struct(
+                counts.alias("counts"), weight.alias("weight"),
+                F.when(high, F.array_append(kept, span)).otherwise(s["spans"]).alias("spans"),
+            )
+
+        start = F.struct(
+            F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("weight"),
+            empty.alias("spans"),
+        )
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda s: s["spans"])
 
     return F.element_at(F.transform(F.array(codes), step_over), 1)
@@ -111,23 +127,29 @@ def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
     classes: dict[str, tuple[str, str, float]] = CLASSES, allowed: tuple[str, ...] = ALLOWED,
 ) -> DataFrame:
-    """Find secrets in every whole text. A row for each row of `docs`: `<id_col>, base, entropy`, arrays of
-    `(kind, start, end)` in characters (code points), ends exclusive.
+    """Find secrets in every whole text. A row for each row of `docs`: `<id_col>, base, entropy`, arrays of `(kind,
+    start, end)` in characters (code points), ends exclusive.
 
-    `base` holds the matches of the fixed patterns that are long enough; the allow-list does not touch them. `entropy` holds, for each class of
-    characters, what windows of high Shannon entropy cover in its runs of at least `window` characters; a run that the
-    allow-list names in full is left out. Null text is empty and has neither. Nothing is shuffled and repeated rows are scanned alike. Other columns
-    are not read.
+    `base` holds the matches of the fixed patterns that are long enough; the allow-list does not touch them. `entropy`
+    holds, for each class of characters, what windows of high Shannon entropy cover in its runs of at least `window`
+    characters; a run that the allow-list names in full is left out. Null text is empty and has neither. Nothing is
+    shuffled and repeated rows are scanned alike. Other columns are not read.
     """
     text = F.col("text")
     df = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
-    patterns = {k: (p, g) for k, (p, g, _) in BASE.items()} | {k: (f"{chars}{{{window},}}", 0) for k, (chars, _, _) in classes.items()}
-    df = df.select("id", "text", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, (p, _) in patterns.items()))
+    patterns = {k: (p, g) for k, (p, g, _) in BASE.items()} | {
+        k: (f"{chars}{{{window},}}", 0) for k, (chars, _, _) in classes.items()
+    }
+    df = df.select(
+        "id", "text", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, (p, _) in patterns.items())
+    )
     df = df.select("id", *(_matches(text, F.col(k), p, g).alias(k) for k, (p, g) in patterns.items()))
     df = df.select("id", *(_placed(F.col(k)).alias(k) for k in patterns))
 
     def named(kind: str, spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+        return F.transform(
+            spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+        )
 
     def base(kind: str, least: int) -> Column:
         return named(kind, F.filter(F.col(kind), lambda m: F.char_length(m["value"]) >= least))
@@ -169,7 +191,9 @@ def secret_report(docs: DataFrame) -> DataFrame:
 def _sql() -> str:
     """The report in DuckDB: every window's entropy on its own, from counts of its characters."""
     kinds = [*BASE, *CLASSES]
-    patterns = {k: (p, g, least) for k, (p, g, least) in BASE.items()} | {k: (f"{chars}{{{WINDOW},}}", 0, 0) for k, (chars, _, _) in CLASSES.items()}
+    patterns = {k: (p, g, least) for k, (p, g, least) in BASE.items()} | {
+        k: (f"{chars}{{{WINDOW},}}", 0, 0) for k, (chars, _, _) in CLASSES.items()
+    }
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     found = " UNION ALL ".join(
         f"SELECT row, {i} AS rank, '{kind}' AS kind, regexp_extract_all(text, {quoted(p)}, 0) AS m, regexp_extract_all(text, {quoted(p)}, {g}) AS v, "
