@@ -384,6 +384,20 @@ def _kept(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[int, n
     return run
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Documents whose word sequence an earlier document has. Equal ones are summed up in 64 runs, then over the runs,
+    and the first of all is told back the same way, so that no task has more than a run's share of very many copies."""
+    key = ["h1", "h2", "n_words"]
+    rows = rows.filter(F.col("n_words") >= DEPTH).withColumn("run", F.pmod(F.xxhash64("batch", "place"), F.lit(64)))
+    order = F.struct(F.col("id").isNull().alias("null"), "id", "batch", "place")
+    leaves = rows.groupBy("run", *key).agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    top = leaves.groupBy(*key).agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
+    told = leaves.select("run", *key).join(top, key)
+    told = told.select("run", *key, F.col("first.batch").alias("b"), F.col("first.place").alias("p"))
+    copies = rows.join(told.hint("merge"), ["run", *key]).filter("batch != b OR place != p")
+    return copies.select("batch", "place", "id", "n_words")
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, batch_bytes: int = BATCH_BYTES
 ) -> DataFrame:
@@ -399,18 +413,7 @@ def without_repeats(
     spark = docs.sparkSession
     folder = f"{work_folder(spark)}/texts"
     rows = store(docs, folder, id_col, text_col, batch_bytes)
-    order = F.struct(F.col("id").isNull().alias("null"), "id", "batch", "place")
-    first = rows.filter(F.col("n_words") >= DEPTH).groupBy("h1", "h2", "n_words").agg(
-        F.min(order).alias("first"), F.count("*").alias("n")
-    )
-    first = first.filter("n > 1").select(
-        "h1", "h2", "n_words", F.col("first.batch").alias("b"), F.col("first.place").alias("p")
-    )
-    copies = stored(
-        rows.join(first, ["h1", "h2", "n_words"]).filter("batch != b OR place != p").select(
-            "batch", "place", "id", "n_words"
-        )
-    )
+    copies = stored(_copies(rows))
     gone = copies.groupBy("batch").agg(F.collect_list("place").alias("gone"))
     batches = stored(
         rows.groupBy("batch", "file", "no").agg(F.sum(F.greatest(F.col("n_words") - (DEPTH - 1), F.lit(0))).alias("n")).join(
@@ -429,7 +432,8 @@ def without_repeats(
     )
     several = hashes.groupBy("part").applyInArrow(_in_several, "batch string, part long, bits binary")
     several = several.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("several"))
-    told = stored(batches.join(several, "batch", "left"))
+    # merge joins: what is told about a batch compresses so well that Spark would take it for small and broadcast it
+    told = stored(batches.join(several.hint("merge"), "batch", "left"))
 
     prefix_bits, hot = parts + 1, {}
     for level in range(EDGES - 1):
@@ -444,7 +448,7 @@ def without_repeats(
     )
     later = sent.groupBy("group").applyInArrow(_subtree, "batch string, group long, bits binary")
     later = later.groupBy("batch").agg(F.collect_list(F.struct("group", "bits")).alias("later"))
-    final = told.join(later, "batch", "left").repartition(tasks)
+    final = told.join(later.hint("merge"), "batch", "left").repartition(tasks)
     schema = "id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
     done = final.mapInArrow(_kept(folder, bits, parts, prefix_bits, hot), schema)
     span = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
