@@ -84,7 +84,7 @@ def compact_json(text: str) -> str:
     rewritten = f"array_join({parts}, '')"
     large = f"exists(regexp_extract_all(t.given, r'{_JSON_PARTS}', 1), p -> p RLIKE '^-?[0-9]' AND abs(try_cast(p AS double)) = double('Infinity'))"
     failed = f"raise_error(concat('a number is too large: ', left(t.given, 200)))"
-    checked = f"CASE WHEN contains(t.made, 'Infinity\"') AND {large} THEN {failed} WHEN t.made RLIKE '[0-9]E|[.][0-9]' THEN {rewritten} ELSE t.made END"
+    checked = f"CASE WHEN contains(t.made, 'Infinity\"') AND {large} THEN {failed} WHEN (contains(t.made, 'E') OR contains(t.made, '.')) AND t.made RLIKE '[0-9]E|[.][0-9]' THEN {rewritten} ELSE t.made END"
     return rarely(f"struct({text} AS given, to_json(parse_json({text})) AS made)", "t", checked)
 
 
