@@ -465,10 +465,11 @@ def repeat_report(docs: DataFrame) -> DataFrame:
 
 SQL = r"""
 WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-     starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM docs WHERE len(words) >= 20),
-     ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY array_to_string(words[p : p + 19], ' ') ORDER BY doc_id, p) AS n FROM starts),
-     gone AS (SELECT DISTINCT doc_id, p + i AS p FROM ranked, range(20) t(i) WHERE n > 1),
      places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM docs),
+     starts AS (SELECT doc_id, p, string_agg(word, ' ') OVER next AS words, count(*) OVER next AS n FROM places
+                WINDOW next AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+     ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY words ORDER BY doc_id, p) AS n FROM starts WHERE n = 20),
+     gone AS (SELECT DISTINCT doc_id, p + i AS p FROM ranked, range(20) t(i) WHERE n > 1),
      kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(d.words) AS n_words, len(d.words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept USING (doc_id)"""
