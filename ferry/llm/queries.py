@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import conversations, exact, mixing, neighbours, pieces, quality, records, repeats, secrets, simhash, toolcalls
+from ferry.llm import conversations, exact, mixing, neighbours, pieces, quality, records, repeats, secrets, simhash, spelling, toolcalls
 from ferry.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,14 +56,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secrets, op2_simhash, op3_mixing, op4_neighbours, op5_token_records, op6_quality, op7_sentencepiece, op8_tool_calls,
-        op9_repeats, op10_exact_dedup, op12_conversation_repair,
+        op9_repeats, op10_exact_dedup, op12_conversation_repair, op13_spelling_variants,
     )
 }
 ORACLES = {
     "op1_secrets": secrets.SQL, "op8_tool_calls": toolcalls.SQL, "op9_repeats": repeats.SQL, "op10_exact_dedup": exact.SQL,
-    "op12_conversation_repair": conversations.SQL,
+    "op12_conversation_repair": conversations.SQL, "op13_spelling_variants": spelling.SQL,
 }
