@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import conversations, exact, mixing, neighbours, pieces, quality, records, repeats, secrets, simhash, spelling, toolcalls
+from ferry.llm import (
+    conversations, exact, mixing, neighbours, ngrams, pieces, quality, records, repeats, secrets, simhash, spelling, toolcalls,
+)
 from ferry.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +54,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_report(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(table(spark, sf_dir, "conversations"))
 
@@ -64,7 +70,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secrets, op2_simhash, op3_mixing, op4_neighbours, op5_token_records, op6_quality, op7_sentencepiece, op8_tool_calls,
-        op9_repeats, op10_exact_dedup, op12_conversation_repair, op13_spelling_variants,
+        op9_repeats, op10_exact_dedup, op11_language_model, op12_conversation_repair, op13_spelling_variants,
     )
 }
 ORACLES = {

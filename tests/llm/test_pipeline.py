@@ -67,4 +67,4 @@ def test_secrets_and_fingerprints(spark, rows):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {n.split("_")[0] for n in entry.queries() if n.startswith(("op", "pipeline"))}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {n.split("_")[0] for n in entry.queries() if n.startswith(("op", "pipeline"))}
