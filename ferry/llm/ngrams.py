@@ -30,7 +30,7 @@ from ferry.session import work_folder
 ORDER = 2
 #: Weight of the shorter context, in tokens.
 WEIGHT = 300.0
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: n-grams of a part, about: what a task holds when it adds them up.
 PART = 2 << 20
 #: Stand for the end of a text and for what is before its first token.
@@ -65,8 +65,8 @@ class Texts:
         kinds = np.fromiter(map(xxhash.xxh64_intdigest, flat.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(flat.dictionary))
         self.lengths = np.bincount(parents, minlength=len(texts)) + 2
         self.first = np.cumsum(self.lengths) - self.lengths
-        self.text = np.repeat(np.arange(len(texts)), self.lengths)
-        self.place = np.arange(len(self.text)) - self.first[self.text]
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.lengths)
+        self.place = np.arange(len(self.text), dtype=np.int32) - self.first.astype(np.int32)[self.text]
         inner = np.ones(len(self.text), bool)
         inner[self.first], inner[self.first + self.lengths - 1] = False, False
         self.hashes = np.full(len(self.text), END)
@@ -81,9 +81,9 @@ class Texts:
                 longer = np.zeros_like(key)
                 longer[1:] = _mixed(key[:-1] * _ODD + self.hashes[1:])
                 key = longer
-            at = np.flatnonzero(self.place >= max(1, n - 1))
+            at = np.flatnonzero(self.place >= max(1, n - 1)).astype(np.int32)
             keys, of = np.unique(key[at], return_inverse=True)
-            yield Grams(keys, at, of)
+            yield Grams(keys, at, of.astype(np.int32))
 
 
 class Automaton:
@@ -109,8 +109,8 @@ class Automaton:
         seen[single.at] = counts
         seen[texts.first] = self.starts
         state = seen  # by place: how often the state that ends there was left in training
-        number = np.full(len(texts.text), -1)
-        number[single.at] = np.arange(len(single.at))
+        number = np.full(len(texts.text), -1, np.int32)
+        number[single.at] = np.arange(len(single.at), dtype=np.int32)
         for gram, total in zip(grams[1:], self.totals[1:]):
             token, left = number[gram.at], state[gram.at - 1]
             taken = total[gram.of].astype(np.float64)
