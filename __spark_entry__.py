@@ -626,6 +626,29 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/same.parquet")
 
 
+@_query(" UNION ALL ".join(
+    f"SELECT '{fmt}' AS format, o_orderkey, o_custkey, o_orderstatus FROM orders" for fmt in ("csv", "jsonl", "parquet", "arrow")
+))
+def sink_overwrite_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a folder of each format holds after a second move to it that fails at its last rows."""
+    _views(spark, sf_dir, "orders")
+    folder, rows = work_folder(spark), None
+    for fmt in ("csv", "jsonl", "parquet", "arrow"):
+        spec = {"sql": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders", "format": fmt, "filename": "same{{ext}}"}
+        ferry.move(spark, spec, folder)
+        last = "(SELECT max(o_orderkey) FROM orders)"
+        bad = f"SELECT o_orderkey, o_custkey, IF(o_orderkey = {last}, 'one', '1') AS o_orderstatus FROM orders"
+        try:
+            ferry.move(spark, spec | {"sql": bad, "columns": [{"name": "o_orderstatus", "type": "INTEGER"}]}, folder)
+            raise AssertionError("the second move did not fail")
+        except ferry.MoveError:
+            pass
+        back = ferry.read_landed(spark, f"{folder}/same.{fmt}", fmt, "o_orderkey long, o_custkey long, o_orderstatus string")
+        back = back.select(F.lit(fmt).alias("format"), "o_orderkey", "o_custkey", "o_orderstatus")
+        rows = back if rows is None else rows.unionAll(back)
+    return rows
+
+
 @_query("SELECT * FROM events")
 def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(spark, sf_dir, "events", format="parquet", partition_by=["event_type"])
@@ -834,8 +857,9 @@ def _training_data(attribute: str) -> dict:
     found: dict = {}
     for package, module in (("ferry.llm", "ferry.llm.queries"), ("corpus_pipeline", "corpus_pipeline")):
         spec = importlib.util.find_spec(package)
-        if spec and spec.origin:  # a folder without code has none
-            found.update(getattr(importlib.import_module(module), attribute))
+        if not (spec and spec.origin):  # a folder without code has no origin
+            break  # the pipeline is made of the subpackage's operators
+        found.update(getattr(importlib.import_module(module), attribute))
     return found
 
 

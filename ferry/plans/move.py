@@ -58,13 +58,13 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
         target = Target(
             path, spec.compression, spec.batch_size, spec.null_value, spec.uuid_as, spec.partition_by, options
         )
-        write(df, spec.format, target, seen)
+        names = write(df, spec.format, target, seen)
         report.rows = seen.get.get("rows", 0)
     except Exception as e:
         report.finish(False, str(e))
         raise MoveError(f"move of {spec.stream_name or 'query'} failed: {report.error}", [report]) from e
     try:
-        report.bytes = written_bytes(df, path, options)
+        report.bytes = written_bytes(df, path, options, names)
     except Exception as e:  # the rows have landed
         report.bytes = None
         return report.finish(True, f"size unknown: {e}")

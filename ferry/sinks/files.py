@@ -14,6 +14,7 @@ from ferry.functions.uuids import uuid_bytes
 from ferry.operators.lines import jsonl_lines, rendered, typed_columns
 from ferry.session import configure
 from ferry.sinks import arrow
+from ferry.sinks.landing import Folder, job_files, job_options, literal_path, new_job
 from ferry.types import JSON_TYPES, is_nested
 
 TEXT_CODECS = ("none", "gzip", "snappy", "bzip2", "lz4", "deflate")
@@ -37,7 +38,7 @@ def _writer(df: DataFrame, target: Target, codecs: tuple[str, ...], default: str
     codec = target.compression.lower() or default
     if codec not in codecs:
         raise ValueError(f"unsupported compression {codec!r}: one of {', '.join(codecs)}")
-    writer = df.write.mode("overwrite").options(**target.options).option("compression", codec)
+    writer = df.write.mode("append").options(**target.options).option("compression", codec)
     if target.rows_per_file:
         writer = writer.option("maxRecordsPerFile", target.rows_per_file)
     return writer.partitionBy(*target.partition_by) if target.partition_by else writer
@@ -110,8 +111,10 @@ def _stored(c: str, dtype: T.DataType, logical: str, uuid_as_bytes: bool) -> Col
 WRITERS = {"arrow": write_arrow, "csv": write_csv, "jsonl": write_jsonl, "parquet": write_parquet}
 
 
-def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = None) -> None:
-    """Land the rows. `seen` observes their number in the tasks that write them, where each row counts once."""
+def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = None) -> str | None:
+    """Land the rows in place of those that are there, which stay until the new ones are complete. `seen` observes their
+    number in the tasks that write them, where each row counts once. Returns the pattern of the new files' names, if
+    they have one."""
     if fmt.lower() not in WRITERS:
         raise ValueError(f"unsupported format: {fmt!r}")
     if target.partition_by:
@@ -120,7 +123,17 @@ def write(df: DataFrame, fmt: str, target: Target, seen: Observation | None = No
         df = df.hint("rebalance", *map(quoted_name, target.partition_by))
     if seen is not None:
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    WRITERS[fmt.lower()](df, target)
+    if fmt.lower() == "arrow":  # has its own manifest
+        write_arrow(df, target)
+        return None
+    folder, job = Folder(df.sparkSession, target.path, target.options), new_job()
+    try:
+        WRITERS[fmt.lower()](df, replace(target, options=target.options | job_options(job)))
+    except BaseException:
+        folder.abort(job)
+        raise
+    folder.commit(job)
+    return job_files(job)
 
 
 def _named(df: DataFrame, name: str) -> str:
@@ -133,7 +146,9 @@ def _named(df: DataFrame, name: str) -> str:
     return found[0]
 
 
-def written_bytes(df: DataFrame, path: str, options: dict | None = None) -> int:
-    """Size of the landed files, from their listing: contents are not read. `options` carry the credentials of the target."""
-    files = df.sparkSession.read.format("binaryFile").options(**(options or {})).option("recursiveFileLookup", "true").load(path)
+def written_bytes(df: DataFrame, path: str, options: dict | None = None, names: str | None = None) -> int:
+    """Size of the landed files, from their listing: contents are not read. `options` carry the credentials of the target,
+    `names` is the pattern of their names."""
+    reader = df.sparkSession.read.format("binaryFile").options(**(options or {})).option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", names) if names else reader).load(literal_path(path))
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]

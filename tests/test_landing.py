@@ -1,0 +1,139 @@
+"""Folders whose rows are replaced: what readers see when a write fails, or dies at any step."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import ferry
+from ferry.sinks import Target, write
+from ferry.sinks import landing
+
+FORMATS = ("csv", "jsonl", "parquet")
+SCHEMA = "id long, k string"
+
+
+def rows(n, mark="a", tasks=3):
+    return lambda spark: spark.range(0, n, 1, tasks).select("id", F.concat(F.lit(mark), F.col("id") % 4).alias("k"))
+
+
+def data_files(folder):
+    return sorted(p for p in Path(folder).rglob("part-*") if p.is_file())
+
+
+def ids(spark, path, fmt, plain=False):
+    if not plain:
+        back = ferry.read_landed(spark, str(path), fmt, None if fmt == "parquet" else SCHEMA)
+    elif fmt == "parquet":
+        back = spark.read.parquet(str(path))
+    else:
+        back = spark.read.schema(SCHEMA).csv(str(path), header=True) if fmt == "csv" else spark.read.schema(SCHEMA).json(str(path))
+    return sorted(r.id for r in back.collect())
+
+
+def breaking(spark):
+    """Rows of which those of the last task fail, after other tasks are done."""
+    return spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('late'), id) AS id", "'x' AS k").select(F.col("id").cast("long"), "k")
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+@pytest.mark.parametrize("by", [(), ("k",)])
+def test_a_write_that_fails_changes_nothing(spark, tmp_path, fmt, by):
+    path = tmp_path / "t"
+    write(rows(10)(spark), fmt, Target(str(path), partition_by=by))
+    before = data_files(path)
+    with pytest.raises(Exception, match="late"):
+        write(breaking(spark), fmt, Target(str(path), partition_by=by))
+    assert data_files(path) == before
+    assert ids(spark, path, fmt) == ids(spark, path, fmt, plain=True) == list(range(10))
+    write(rows(3)(spark), fmt, Target(str(path), partition_by=by))
+    assert ids(spark, path, fmt) == ids(spark, path, fmt, plain=True) == [0, 1, 2] and not set(before) & set(data_files(path))
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+def test_a_move_that_fails_keeps_the_rows_before_it(spark, tmp_path, fmt):
+    spec = {"sql": "SELECT id FROM range(5)", "format": fmt, "filename": "m{{ext}}"}
+    ferry.move(spark, spec, str(tmp_path))
+    with pytest.raises(ferry.MoveError, match="late"):
+        ferry.move(spark, spec | {"sql": "SELECT if(id = 8, raise_error('late'), id) AS id FROM range(9)"}, str(tmp_path))
+    back = ferry.read_landed(spark, str(tmp_path / f"m.{fmt}"), fmt, None if fmt == "parquet" else "id long")
+    assert sorted(r.id for r in back.collect()) == list(range(5))
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+def test_death_at_every_step(spark, tmp_path, monkeypatch, fmt):
+    path = tmp_path / "t"
+    write(rows(10)(spark), fmt, Target(str(path)))
+    monkeypatch.setattr(landing.Folder, "commit", lambda self, job: None)
+    write(rows(4, "b")(spark), fmt, Target(str(path)))  # died before the job was named
+    assert ids(spark, path, fmt) == list(range(10)) and len(ids(spark, path, fmt, plain=True)) == 14
+    job = landing._job_of(next(str(p) for p in data_files(path) if landing._job_of(str(p)) != landing.Folder(spark, str(path)).job()))
+    (path / f"{landing.MARK}{'9' * 20}-{job}").write_text(job[:7])
+    assert ids(spark, path, fmt) == list(range(10))  # died while it was being named
+    monkeypatch.undo()
+    monkeypatch.setattr(landing.Folder, "_delete", lambda self, files: None)
+    write(rows(2, "c")(spark), fmt, Target(str(path)))
+    assert len(data_files(path)) >= 5  # died before anything was deleted
+    (path / f"{landing.MARK}{'9' * 20}-{job}").unlink(missing_ok=True)
+    assert ids(spark, path, fmt) == [0, 1]
+    monkeypatch.undo()
+    report = ferry.move(spark, {"sql": "SELECT id, 'd' AS k FROM range(3)", "format": fmt, "filename": "t"}, str(tmp_path)).first()
+    assert ids(spark, path, fmt) == ids(spark, path, fmt, plain=True) == [0, 1, 2]
+    assert report.bytes == sum(p.stat().st_size for p in data_files(path)) and len(list(path.glob("_landed-*"))) == 1
+
+
+def test_a_folder_of_others(spark, tmp_path):
+    """Files that another writer left count until a first job of ours has ended, and go then."""
+    path = tmp_path / "t"
+    rows(6)(spark).write.parquet(str(path))
+    (path / "part-00000.parquet").write_bytes(data_files(path)[0].read_bytes())
+    (path / "products.parquet").write_bytes(data_files(path)[0].read_bytes())
+    seen = ids(spark, path, "parquet")
+    assert len(seen) > 6 and seen == ids(spark, path, "parquet", plain=True)
+    job = landing.new_job()
+    rows(2)(spark).write.mode("append").options(**landing.job_options(job)).parquet(str(path))
+    assert ids(spark, path, "parquet") == seen
+    landing.Folder(spark, str(path)).commit(job)
+    assert ids(spark, path, "parquet") == ids(spark, path, "parquet", plain=True) == [0, 1]
+
+
+def test_odd_partition_values_and_names(spark, tmp_path):
+    """Folders of values that a write no longer has go; odd characters in values and in the path are kept apart."""
+    path = tmp_path / "a [b] {c} *" / "t%20é"
+    values = ["a/b c", "100%", "é=ü", "x*?[y]", "_under", None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], SCHEMA)
+    for fmt in ("parquet", "jsonl"):
+        write(frame, fmt, Target(str(path / fmt), partition_by=("k",)))
+        write(frame.filter("id < 2"), fmt, Target(str(path / fmt), partition_by=("k",)))
+        back = ferry.read_landed(spark, str(path / fmt), fmt, None if fmt == "parquet" else SCHEMA)
+        assert sorted((r.id, r.k) for r in back.collect()) == [(0, "a/b c"), (1, "100%")]
+        assert len([p for p in (path / fmt).iterdir() if p.is_dir()]) == 2
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write(rows(10)(spark), "parquet", Target(path))
+    write(ferry.read_landed(spark, path, "parquet").filter("id % 2 = 0"), "parquet", Target(path))
+    assert ids(spark, path, "parquet") == [0, 2, 4, 6, 8]
+
+
+def test_a_task_that_is_run_again_counts_once(spark, tmp_path):
+    def break_once(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+
+    df = spark.range(0, 30000, 1, 3).mapInArrow(break_once, "id long").withColumn("k", F.lit("x"))
+    for fmt in FORMATS:
+        write(df, fmt, Target(str(tmp_path / fmt), rows_per_file=4000))
+        assert ids(spark, tmp_path / fmt, fmt) == list(range(30000))
+
+
+def test_formats(spark, tmp_path):
+    write(rows(7)(spark), "arrow", Target(str(tmp_path / "a")))
+    assert ferry.read_landed(spark, str(tmp_path / "a"), "arrow").count() == 7
+    with pytest.raises(ValueError, match="unsupported format"):
+        ferry.read_landed(spark, str(tmp_path / "a"), "avro")

@@ -1,6 +1,10 @@
 """Every registered query against its SQL in DuckDB, and the plans that carry the large ones."""
 
 import re
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -29,6 +33,21 @@ def test_keys_agree():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("left_over", [False, True])
+def test_queries_without_the_training_data(tmp_path, left_over):
+    """With the subpackage for training data deleted, or its folder empty, the others are registered."""
+    top = Path(entry.__file__).parent
+    shutil.copytree(top / "ferry", tmp_path / "ferry", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (top / name).exists():
+            shutil.copy(top / name, tmp_path)
+    if left_over:
+        (tmp_path / "ferry" / "llm").mkdir()
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()) == sorted(e._QUERIES), len(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert out.stdout.split() == ["True", str(len(entry._QUERIES))], out.stderr[-500:]
+
+
 def plan_text(df):
     return df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
