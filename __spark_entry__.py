@@ -7,11 +7,12 @@ import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType  # noqa: E402
 
@@ -22,7 +23,8 @@ from ferry.sinks import arrow, extension  # noqa: E402
 from ferry.session import configure, work_folder  # noqa: E402
 from ferry.sources import table_path  # noqa: E402
 from ferry.sources.jdbc import split_predicates  # noqa: E402
-from ferry.sources.splits import bounds, split_sizes  # noqa: E402
+from ferry.sources.params import jdbc_literal  # noqa: E402
+from ferry.sources.splits import bounds, cut_points, depth_predicates, split_sizes  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -153,6 +155,24 @@ def jdbc_splits_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_sizes(df, split_predicates("spark", "text", None, None, 16, "hash")).select("split", "rows")
 
 
+DEEP = (("lineitem", "l_extendedprice"), ("lineitem", "l_shipdate"), ("lineitem", "l_returnflag"), ("customer", "c_name"), ("documents", "text"))
+
+
+@_query(" UNION ALL ".join(f"SELECT '{c}' AS name, count(*) AS rows, true AS even FROM {t}" for t, c in DEEP))
+def jdbc_splits_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts at the quantiles of numbers, days and text: together all rows, none of more than 1.2 parts' rows unless one
+    value fills it."""
+    lines = []
+    for table, column in DEEP:
+        df = _table(spark, sf_dir, table).select(column)
+        predicates = depth_predicates(column, cut_points(df, column, 16), lambda v: jdbc_literal(v, "spark"))
+        part = F.coalesce(*(F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)))
+        parts = df.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(column).eqNullSafe(F.max(column)).alias("one"))
+        fits = (F.col("n") <= 1.2 * F.sum("n").over(Window.partitionBy()) / 16 + 1) | F.col("one")
+        lines.append(parts.withColumn("fits", fits).agg(F.lit(column).alias("name"), F.sum("n").alias("rows"), F.every("fits").alias("even")))
+    return reduce(DataFrame.unionAll, lines)
+
+
 @_query("SELECT event_type, count(*) AS events, max(value) AS largest FROM events GROUP BY event_type")
 def exec_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "events")

@@ -9,7 +9,7 @@ from urllib.parse import parse_qsl, unquote, urlencode, urlsplit
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.sources.params import Param, inline_params, jdbc_literal
-from ferry.sources.splits import hash_predicates, modulo_predicates, range_predicates
+from ferry.sources.splits import depth_predicates, depth_query, hash_predicates, modulo_predicates, range_predicates
 
 DRIVERS = {
     "postgres": "org.postgresql.Driver",
@@ -35,9 +35,19 @@ def _blanked(sql: str) -> str:
     return _QUIET.sub(lambda m: " " * len(m[0]), sql)
 
 
+# What makes a query's rows depend on the run. Rows picked by number or by a number given to them, the first
+# of several, and the databases' own random values.
+_UNSTABLE = re.compile(
+    r"\b(LIMIT|TOP|OFFSET|FETCH\s+(FIRST|NEXT)|(TABLE)?SAMPLE|QUALIFY|DISTINCT\s+ON)\b|\)\s*(FILTER\s*\(.*?\)\s*)?OVER\s*(\(|\w)"
+    r"|\b(RAND|RANDN|RANDOM|RANDSTR|UNIFORM|NORMAL|ZIPF|SEQ[1248]|SETSEED|NEWID|NEWSEQUENTIALID|CRYPT_GEN_RANDOM|GEN_RANDOM_UUID|GEN_RANDOM_BYTES"
+    r"|UUID|UUID_STRING|UUID_GENERATE_V[14](MC)?|UUIDV[47]|NEXTVAL|ANY_VALUE|MONOTONICALLY_INCREASING_ID)\s*\(|\bNEXT\s+VALUE\s+FOR\b", re.I | re.S,
+)
+
+
 def limits_rows(sql: str) -> bool:
-    """Whether a query picks some of its rows by number: run anew for each split it may pick others."""
-    return bool(re.search(r"\b(LIMIT|TOP|OFFSET|FETCH\s+(FIRST|NEXT)|(TABLE)?SAMPLE)\b", _blanked(sql), re.I))
+    """Whether a query picks or makes some of its rows by number, by a window, or by chance: run anew for each split it may
+    have others, so that rows would be lost or come twice."""
+    return bool(_UNSTABLE.search(_blanked(sql)))
 
 
 def split_with(sql: str) -> tuple[str, str]:
@@ -98,7 +108,7 @@ def split_predicates(dialect: str, column: str, low: object, high: object, parts
     if by == "hash":
         return hash_predicates(column, parts, HASHES[dialect])
     if by != "range":
-        raise ValueError(f"split must be range, modulo or hash: {by!r}")
+        raise ValueError(f"split must be range, depth, modulo or hash: {by!r}")
     return range_predicates(column, low, high, parts, lambda value: jdbc_literal(value, dialect))
 
 
@@ -115,7 +125,11 @@ def read_jdbc(
     """Result of a query, fetched by `partitions` connections side by side.
 
     `partition_column` may be any expression the database can compare (or, with `split="modulo"`,
-    an integer one, with `split="hash"` one of any type). Choose one without a hot value: all rows of one value go to one reader.
+    an integer one, with `split="hash"` one of any type). All rows of one value go to one reader.
+
+    `range` cuts between the lowest and the highest value into equal strides, `depth` at the quantiles, so that parts of
+    skewed keys and of text hold as many rows each; the database sorts the column once for that. Both let an index serve
+    each reader. For `modulo` and `hash` every reader scans the whole table: they are for small tables or many columns.
     Each part is a query of its own and sees the table as it is when it runs: read from a snapshot or a table at rest.
     """
     dialect = urlsplit(url).scheme
@@ -130,13 +144,17 @@ def read_jdbc(
     if not partition_column or partitions <= 1:
         return reader.option("query", text).load()
     if limits_rows(text):
-        raise ValueError("a query that limits its rows cannot be split: each part would run it anew and may get other rows")
+        raise ValueError("a query that limits its rows, or picks them by a window or by chance, cannot be split: each part would run it anew and may get other rows")
     table = f"({text}) ferry_source"
+    rest = {k: v for k, v in options.items() if k != "url"}
+    if split == "depth":
+        cuts = reader.option("query", depth_query(dialect, partition_column, partitions, table)).load().first()
+        predicates = depth_predicates(partition_column, list(cuts or []), lambda value: jdbc_literal(value, dialect))
+        return spark.read.jdbc(options["url"], table, predicates=predicates, properties=rest)
     low = high = None
     if split == "range":
         # The database answers with one row; Spark would otherwise fetch the column to find them.
         ends = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
         low, high = reader.option("query", ends).load().first()
     predicates = split_predicates(dialect, partition_column, low, high, partitions, split)
-    rest = {k: v for k, v in options.items() if k != "url"}
     return spark.read.jdbc(options["url"], table, predicates=predicates, properties=rest)

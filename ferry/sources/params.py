@@ -107,7 +107,7 @@ def jdbc_literal(value: object, dialect: str) -> str:
     if "\x00" in str(value):
         raise ValueError("text parameter holds a NUL character")
     quoted = str(value).replace("'", "''")
-    if dialect == "snowflake":
+    if dialect in ("snowflake", "spark"):
         quoted = quoted.replace("\\", "\\\\")
     return ("N'" if dialect == "sqlserver" else "'") + quoted + "'"
 

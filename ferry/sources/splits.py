@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Sampled rows per part from which cut points of text are taken, and characters of a cut point.
+SAMPLED, CUT_LENGTH = 1024, 256
 
 
 def range_predicates(column: str, low: object, high: object, parts: int, literal: Callable[[object], str] = str) -> list[str]:
@@ -44,6 +49,53 @@ def range_predicates(column: str, low: object, high: object, parts: int, literal
     return [f"{column} < {cuts[0]} OR {column} IS NULL", *middle, f"{column} >= {cuts[-1]}"]
 
 
+def depth_predicates(column: str, cuts: list, literal: Callable[[object], str] = str) -> list[str]:
+    """Conditions that part a column at its quantiles, given in any order, into parts of about as many rows each.
+
+    Every row meets exactly one; NULLs go to the first. A value that is several quantiles fills more than a part: it gets
+    one of its own.
+    """
+    times = Counter(c for c in cuts if c is not None and c == c)
+    ends = []  # where parts meet: before a value, and after it if it has its own
+    for value in sorted(times):
+        ends.append((">=", "<", literal(value)))
+        if times[value] > 1 and not (isinstance(value, str) and len(value) >= CUT_LENGTH):
+            ends.append((">", "<=", literal(value)))
+    if not ends:
+        return ["1 = 1"]
+    middle = [f"{column} {a} {x} AND {column} {b} {y}" for (a, _, x), (_, b, y) in zip(ends, ends[1:])]
+    return [f"{column} {ends[0][1]} {ends[0][2]} OR {column} IS NULL", *middle, f"{column} {ends[-1][0]} {ends[-1][2]}"]
+
+
+def depth_query(dialect: str, column: str, parts: int, table: str) -> str:
+    """Statement that answers with one row of the quantiles that part a column into so many parts. The database sorts the
+    column for it once; values are compared there, so its collation holds for quantiles and conditions alike."""
+    over, distinct = (" OVER ()", "DISTINCT ") if dialect == "sqlserver" else ("", "")
+    each = ", ".join(
+        f"PERCENTILE_DISC({i / parts!r}) WITHIN GROUP (ORDER BY {column}){over} AS c{i}" for i in range(1, parts)
+    )
+    return f"SELECT {distinct}{each} FROM {table}"
+
+
+def cut_points(df: DataFrame, column: str, parts: int, sampled: int = SAMPLED, seed: int = 17) -> list:
+    """Quantiles that part a column of a DataFrame into so many parts.
+
+    Of numbers and times by Spark's approximate quantiles, one aggregate pass whose partial results stay small. Of text
+    from a sample of rows, so many per part whatever the table's size: only as many of the smallest random numbers and
+    the first characters of their texts reach the driver. A part is then within a tenth of its share, nearly always.
+    """
+    kind = df.select(column).schema[0].dataType
+    if parts <= 1:
+        return []
+    if not isinstance(kind, T.StringType):
+        shares = [i / parts for i in range(1, parts)]
+        row = df.agg(F.percentile_approx(column, shares, 100 * max(100, parts)).alias("cuts")).first()
+        return list(row.cuts or [])
+    some = df.select(F.substring(column, 1, CUT_LENGTH).alias("v")).filter("v IS NOT NULL")
+    values = sorted(r.v for r in some.orderBy(F.rand(seed)).limit(parts * sampled).collect())
+    return [values[len(values) * i // parts] for i in range(1, parts)] if values else []
+
+
 def modulo_predicates(column: str, parts: int, remainder: str = "MOD({}, {})") -> list[str]:
     """Conditions by remainder, for integer keys whose values crowd in some ranges."""
     if parts <= 1:

@@ -13,8 +13,8 @@ from ferry.plans.spec import with_environment
 from ferry.sinks import extension, hadoop_path, output_path, render_name
 from ferry.sources import inline_params, keeps_uuid_order, make_param, read_source
 from ferry.sources.jdbc import jdbc_options, read_jdbc, split_predicates
-from ferry.sources.params import Param, typed_value
-from ferry.sources.splits import split_sizes
+from ferry.sources.params import Param, jdbc_literal, typed_value
+from ferry.sources.splits import cut_points, depth_predicates, split_sizes
 
 MULTI = """
 format: arrow
@@ -181,6 +181,45 @@ def test_partitioned_read():
     assert log == [("load", "SELECT 1\n")]
 
 
+def test_read_by_depth():
+    for url, dialect in (("postgres://u:p@h/db", "postgres"), ("snowflake://a/DB", "snowflake"), ("sqlserver://h?database=d", "sqlserver")):
+        log = []
+        spark = type("Session", (), {"read": FakeReader(log, ("b'c", "m", "m"))})()
+        read_jdbc(spark, url, "SELECT * FROM t", {}, "name", 4, "depth")
+        table, quote = "(SELECT * FROM t\n) ferry_source", "N'" if dialect == "sqlserver" else "'"
+        one = "PERCENTILE_DISC({}) WITHIN GROUP (ORDER BY name)" + (" OVER ()" if dialect == "sqlserver" else "") + " AS c{}"
+        distinct = "DISTINCT " if dialect == "sqlserver" else ""
+        assert log[0] == ("load", f"SELECT {distinct}{one.format(0.25, 1)}, {one.format(0.5, 2)}, {one.format(0.75, 3)} FROM {table}")
+        b, m = f"{quote}b''c'", f"{quote}m'"
+        assert log[1][3] == [f"name < {b} OR name IS NULL", f"name >= {b} AND name < {m}", f"name >= {m} AND name <= {m}", f"name > {m}"]
+
+
+@pytest.mark.parametrize("column, kind", [("a", "skewed"), ("b", "one value"), ("c", "text"), ("d", "time"), ("e", "nulls"), ("f", "long"), ("g", "nan")])
+def test_parts_of_equal_depth(spark, column, kind):
+    df = spark.sql("""SELECT cast(exp(id / 300D) AS bigint) a, if(id % 3 < 2, 7, id % 50) b,
+        if(id % 4 = 0, concat('it''s \\\\ ', id), concat('Customer#0000', lpad(id * id, 9, '0'))) c,
+        TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * id) d, if(id % 2 = 0, null, id) e,
+        concat(repeat('x', 400), id) f, if(id % 5 = 0, double('NaN'), id * 0.1D) g FROM range(0, 8000, 1, 4)""")
+    predicates = depth_predicates(column, cut_points(df, column, 8), lambda v: jdbc_literal(v, "spark"))
+    sizes = [r.rows for r in split_sizes(df, predicates).collect()]
+    assert sum(sizes) == 8000
+    if kind == "one value":  # it has a part of its own, and the others are not larger than a share
+        assert sorted(sizes)[-1] >= 8000 * 2 // 3 and sorted(sizes)[-2] <= 1200
+    elif kind == "long":  # cut where cut points end
+        assert len(sizes) == 2 and max(sizes) == 8000
+    elif kind == "nulls":
+        assert max(sizes[1:]) < 650 and sizes[0] < 4700
+    elif kind == "nan":
+        assert max(sizes) <= 2100  # all that are no number come last
+    else:
+        assert max(sizes) < 1200 and len(sizes) == 8
+
+
+def test_depth_of_little():
+    assert depth_predicates("k", []) == depth_predicates("k", [None, float("nan")]) == ["1 = 1"]
+    assert depth_predicates("k", [3, 3]) == ["k < 3 OR k IS NULL", "k >= 3 AND k <= 3", "k > 3"]
+
+
 @pytest.mark.parametrize("url, driver", [
     ("postgres://u:p@nowhere/db", "org.postgresql.Driver"),
     ("sqlserver://u:p@nowhere?database=db", "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
@@ -277,7 +316,7 @@ def test_a_listing_gets_the_options_and_may_fail(spark, tmp_path, monkeypatch):
     module = importlib.import_module("ferry.plans.move")
     seen = []
 
-    def listing(df, path, options=None):
+    def listing(df, path, options=None, names=None):
         seen.append((path, options))
         raise RuntimeError("no credentials for abfss://box@acct.dfs.core.windows.net/x?sig=hidden")
 
@@ -366,6 +405,11 @@ def test_queries_inside_of_queries():
     before, rest = split_with("WITH a AS (SELECT 'SELECT )' x), b AS (SELECT 2 y) -- SELECT\nSELECT * FROM a, b")
     assert before.startswith("WITH a") and before.endswith("-- SELECT") and rest == "SELECT * FROM a, b"
     assert all(map(limits_rows, ("SELECT * FROM t LIMIT 5", "select top 5 * from t", "SELECT 1 FETCH FIRST 2 ROWS ONLY", "SELECT 1 OFFSET 3")))
+    assert all(map(limits_rows, (
+        "SELECT * FROM (SELECT a, ROW_NUMBER() OVER (ORDER BY a) n FROM t) x WHERE n < 10", "SELECT sum(a) over w FROM t WINDOW w AS (ORDER BY b)",
+        "SELECT * FROM t WHERE random() < 0.1", "SELECT NEWID() k, a FROM t", "SELECT * FROM t QUALIFY x = 1", "SELECT DISTINCT ON (a) a, b FROM t",
+        "SELECT nextval('s') FROM t", "SELECT count(*) FILTER (WHERE a > 1)\n OVER () FROM t")))
+    assert not any(map(limits_rows, ("SELECT over, random FROM t", "SELECT a AS over FROM t", "SELECT f(a) overall FROM t", "SELECT brand(a) FROM t")))
     assert not any(map(limits_rows, ("SELECT 'LIMIT' FROM t -- limit 3", 'SELECT "top" FROM t', "SELECT stopped FROM t")))
     log = []
     spark = type("Session", (), {"read": FakeReader(log, (0, 9))})()
