@@ -675,6 +675,21 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@_query("SELECT * FROM events")
+def sink_arrow_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _landed(spark, sf_dir, "events", format="arrow", partition_by=["event_type"])
+    return ferry.read_landed(spark, path, "arrow").select(*_table(spark, sf_dir, "events").columns)
+
+
+@_query("""SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders
+           WHERE o_orderstatus IN ('F', 'P') AND o_orderpriority >= '2' AND NOT o_orderpriority LIKE '3%'""")
+def sink_arrow_partition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of some partitions, whose files alone are opened."""
+    path = _landed(spark, sf_dir, "orders", format="arrow", partition_by=["o_orderstatus", "o_orderpriority"])
+    rows = ferry.read_landed(spark, path, "arrow").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    return rows.filter("o_orderstatus IN ('F', 'P') AND o_orderpriority >= '2' AND NOT o_orderpriority LIKE '3%'")
+
+
 @_query("SELECT event_type, value FROM events")
 def sink_partitioned_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "events")

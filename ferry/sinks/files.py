@@ -75,16 +75,19 @@ def write_parquet(df: DataFrame, target: Target) -> None:
 
 def write_arrow(df: DataFrame, target: Target) -> None:
     """Arrow IPC streams. `snappy` is accepted and leaves the stream plain: the format has no such codec."""
-    if target.partition_by:
-        raise ValueError("partition_by is for csv, jsonl and parquet")
     if target.compression.lower() not in arrow.COMPRESSIONS:
         raise ValueError(f"unsupported compression {target.compression!r} for arrow")
     arrow.register(df.sparkSession)
     notes = [{"name": name, "type": logical, "length": (f.metadata or {}).get("length", 0)}
              for f, (_, _, logical, name) in zip(df.schema.fields, typed_columns(df))]
-    writer = columnar(df, uuid_as_bytes=True).write.format("ferry_arrow").mode("overwrite").options(**target.options)
+    df = columnar(df, uuid_as_bytes=True)
+    if target.partition_by:  # rows of one value in a row: a task has few files open, and few files
+        df = df.sortWithinPartitions(*map(quoted_name, target.partition_by))
+    writer = df.write.format("ferry_arrow").mode("overwrite").options(**target.options)
     if target.rows_per_file:
         writer = writer.option("maxRecordsPerFile", target.rows_per_file)
+    if target.partition_by:
+        writer = writer.option("partitionby", json.dumps(target.partition_by))
     writer.option("compression", target.compression.lower()).option("fields", json.dumps(notes)).save(target.path)
 
 

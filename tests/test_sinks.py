@@ -259,8 +259,117 @@ def test_partitions(spark, tmp_path):
     line = json.loads(files(tmp_path / "jsonl")[0].read_text().split("\n")[0])
     assert sorted(line) == ["event_id", "props", "ts", "user_id", "value"]
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == df.count()
-    with pytest.raises(ValueError, match="partition_by"):
-        write(df, "arrow", Target(str(tmp_path / "x"), partition_by=("event_type",)))
+
+
+def partitioned(spark, path, by, rows=None, **target):
+    df = rows if rows is not None else spark.read.parquet(f"{DATA}/events.parquet")
+    write(df, "arrow", Target(str(path), partition_by=by, **target))
+    return df
+
+
+def test_arrow_partitions(spark, tmp_path):
+    path = tmp_path / "a"
+    df = partitioned(spark, path, ("event_type",), rows_per_file=500)
+    kinds = {r.event_type: r["count"] for r in df.groupBy("event_type").count().collect()}
+    assert {p.name for p in path.iterdir() if p.is_dir()} == {f"event_type={k}" for k in kinds}
+    back = ferry.read_landed(spark, str(path), "arrow")
+    assert back.columns == [c for c in df.columns if c != "event_type"] + ["event_type"] and back.schema["event_type"].dataType == df.schema["event_type"].dataType
+    assert back.select(*df.columns).exceptAll(df).count() == 0 == df.exceptAll(back.select(*df.columns)).count()
+    # other readers know the folders too
+    import pyarrow.dataset as ds
+
+    others = [ds.dataset(pa.ipc.open_stream(p).read_all()) for p in files(path)]
+    assert sum(d.count_rows() for d in others) == df.count() and "event_type" not in others[0].schema.names
+    assert max(d.count_rows() for d in others) <= 500
+
+
+def test_a_filter_opens_the_files_of_its_partitions(spark, tmp_path):
+    path = tmp_path / "a"
+    df = partitioned(spark, path, ("event_type",))
+    kinds = {r.event_type: r["count"] for r in df.groupBy("event_type").count().collect()}
+    one = sorted(kinds)[0]
+    of_one = len(files(path / f"event_type={one}"))
+    whole = ferry.read_landed(spark, str(path), "arrow")
+    assert whole.rdd.getNumPartitions() == len(files(path)) > of_one
+    for condition, wanted in ((F.col("event_type") == one, {one}), (F.col("event_type").isin(one, "none"), {one}), (F.col("event_type") > one, set(kinds) - {one}),
+                              (F.col("event_type").startswith(one), {one}), (F.col("event_type").isNull(), set()), (F.col("event_type") != one, set(kinds) - {one})):
+        found = whole.filter(condition)
+        assert found.count() == sum(kinds[k] for k in wanted)
+        assert found.rdd.getNumPartitions() == max(1, sum(len(files(path / f"event_type={k}")) for k in wanted))
+    # what is not of one partition is left alone: if its file were opened, this would fail
+    for other in set(kinds) - {one}:
+        for file in files(path / f"event_type={other}"):
+            file.write_bytes(b"broken")
+    assert whole.filter(F.col("event_type") == one).count() == kinds[one]
+    with pytest.raises(Exception):
+        whole.filter(F.col("value") > 0).count()
+
+
+def test_arrow_partition_values(spark, tmp_path):
+    df = spark.sql("""SELECT id, array('a/b', 'é=1', '', null, '100%')[cast(id % 5 as int)] s, id % 2 = 0 f, DATE'2024-02-28' + cast(id % 3 as int) d,
+        cast(if(id % 4 = 0, null, id % 4) AS smallint) n, cast(id % 3 AS decimal(9,2)) m FROM range(0, 300, 1, 3)""")
+    for by in (("s",), ("f", "d"), ("n", "m", "s")):
+        path = str(tmp_path / "-".join(by))
+        partitioned(spark, path, by, df)
+        back = ferry.read_landed(spark, path, "arrow").select(*df.columns)
+        assert back.schema.simpleString() == df.schema.simpleString()
+        assert back.exceptAll(df).count() == 0 == df.exceptAll(back).count()
+    back = ferry.read_landed(spark, path, "arrow")
+    for condition in ("n IS NULL", "n IS NOT NULL AND m >= 1.00", "NOT (n = 1)", "n <=> NULL", "NOT (n <=> 2)", "s = ''", "n IN (1, NULL)", "NOT n IN (1, 2)", "s LIKE '%b%'"):
+        assert back.filter(condition).count() == df.filter(condition).count(), condition
+    back = ferry.read_landed(spark, str(tmp_path / "f-d"), "arrow")
+    assert back.filter("NOT f AND d < DATE'2024-02-29'").count() == df.filter("NOT f AND d < DATE'2024-02-29'").count()
+    with pytest.raises(Exception, match="cannot be partitioned"):
+        partitioned(spark, tmp_path / "x", ("x",), spark.sql("SELECT 1.5D x, 1 y"))
+
+
+def test_arrow_partitions_are_replaced_and_added_to(spark, tmp_path):
+    path = str(tmp_path / "a")
+    rows = spark.range(0, 100, 1, 4).selectExpr("id", "id % 3 AS k")
+    partitioned(spark, path, ("k",), rows)
+    partitioned(spark, path, ("k",), rows.filter("k < 2"))
+    assert {p.name for p in Path(path).iterdir() if p.is_dir()} == {"k=0", "k=1"}
+    bad = spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('late'), id) AS id", "id % 5 AS k").select(F.col("id").cast("long"), "k")
+    with pytest.raises(Exception, match="late"):
+        partitioned(spark, path, ("k",), bad)
+    back = ferry.read_landed(spark, path, "arrow")
+    assert back.count() == rows.filter("k < 2").count()
+
+    def add(by):
+        writer = rows.write.format("ferry_arrow").mode("append").option("fields", "")
+        writer.option("partitionby", json.dumps(by)).save(path)
+
+    add(["k"])
+    assert ferry.read_landed(spark, path, "arrow").filter("k = 1").count() == 2 * rows.filter("k = 1").count()
+    with pytest.raises(Exception, match="cannot be added"):
+        add([])
+    partitioned(spark, path, ("k",), rows.filter("id < 0"))  # a write without rows has no files, but its columns
+    empty = ferry.read_landed(spark, path, "arrow")
+    assert empty.count() == 0 and empty.columns == ["id", "k"]
+
+
+def test_what_dead_jobs_left_goes_when_it_is_old(spark, tmp_path):
+    import os
+
+    path = tmp_path / "a"
+    write(spark.range(10), "arrow", Target(str(path)))
+    old, young = (path / f"part-00000-{c * 32}-0-000.arrow" for c in "ab")
+    for file in (old, young):
+        file.write_bytes(b"half")
+    os.utime(old, (1, 1))
+    spark.range(5).write.format("ferry_arrow").mode("append").save(str(path))
+    assert not old.exists() and young.exists() and ferry.read_landed(spark, str(path), "arrow").count() == 15
+
+
+def test_many_values_in_any_order(spark, tmp_path):
+    """More values than a task may have files open for, in no order: each of its files has rows of one value."""
+    arrow.register(spark)
+    rows = spark.range(0, 3000, 1, 2).selectExpr("id", "concat('v', id % 50) AS k")
+    rows.write.format("ferry_arrow").mode("overwrite").option("partitionby", '["k"]').option("fields", "").save(str(tmp_path / "a"))
+    back = ferry.read_landed(spark, str(tmp_path / "a"), "arrow")
+    assert back.exceptAll(rows).count() == 0 == rows.exceptAll(back).count()
+    write(rows, "arrow", Target(str(tmp_path / "b"), partition_by=("k",)))
+    assert len(files(tmp_path / "b")) <= 100 <= len(files(tmp_path / "a"))
 
 
 def test_hot_partition_value_is_cut(spark, tmp_path):
