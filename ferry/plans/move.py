@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import os
 import threading
+import uuid
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ferry.operators.columns import columns_of, conform, override_columns
 from ferry.operators.lines import csv_lines, jsonl_lines
-from ferry.plans.report import MoveError, MoveReport, report_frame
+from ferry.plans.report import MoveError, MoveReport, redact_text, report_frame
 from ferry.plans.spec import (
     MoveSpec, make_spec, make_specs, merge, select_tables, user_variables, with_environment, with_tokens,
 )
@@ -97,28 +98,57 @@ def move_many(
     flags: MoveSpec | Mapping | None = None,
     concurrency: int = 1,
 ) -> DataFrame:
-    """Run the selected tables of a job, `concurrency` at a time; the first failure stops those not begun."""
+    """Run the selected tables of a job, `concurrency` at a time; the first failure ends those that run and stops those not
+    begun.
+
+    Each table has a scheduler pool of its own, named after its stream, so that with `spark.scheduler.mode=FAIR` tables
+    that run side by side share the executors evenly, whatever their sizes; with FIFO the one that began first takes what it
+    can use. All jobs of a call carry one tag, by which they are cancelled. The reports of the tables that were ended are
+    with those of the failed one and the finished ones in the MoveError, that of the failed one first after these.
+    """
     source, dest = _ends(source, dest)
     specs = job if isinstance(job, list) else make_specs(job, flags)
     specs = [with_environment(s) for s in select_tables(specs, select)]
+    context, tag = spark.sparkContext, f"ferry-{uuid.uuid4().hex}"
+    stop, first, lock = threading.Event(), [], threading.Lock()
 
-    stop = threading.Event()
-
-    def run(spec: MoveSpec) -> MoveReport | None:
+    def run(spec: MoveSpec, number: int) -> MoveReport | None:
         if stop.is_set():
             return None
         # This also makes the session the active one of the pool's thread, which looking up a format needs.
         spark.createDataFrame([], "unused int")
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", f"ferry-{number}-{spec.stream_name}")
         try:
             return _run(spark, spec, source, dest)
-        except MoveError:
-            stop.set()
+        except MoveError as e:
+            with lock:
+                if stop.is_set():  # ended because another table had failed
+                    for report in e.reports:
+                        report.error = redact_text(f"ended, as another table failed: {report.error}")
+                else:
+                    first.append(e)
+                    stop.set()
             raise
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+            context.removeJobTag(tag)
 
     with ThreadPoolExecutor(max(1, concurrency)) as pool:
-        runs = [pool.submit(run, s) for s in specs]
-    failed = [r.exception() for r in runs if r.exception()]
+        runs = [pool.submit(run, s, i) for i, s in enumerate(specs)]
+        _wait(context, tag, stop, runs)
+    ended = [r.exception() for r in runs if r.exception()]
     reports = [r.result() for r in runs if not r.exception() and r.result()]
-    if failed:
-        raise MoveError(str(failed[0]), reports + [r for e in failed for r in getattr(e, "reports", [])]) from failed[0]
+    if ended:
+        failed = first[0] if first else ended[0]
+        others = [e for e in ended if e is not failed]
+        raise MoveError(str(failed), reports + [r for e in (failed, *others) for r in getattr(e, "reports", [])]) from failed
     return report_frame(spark, reports)
+
+
+def _wait(context, tag: str, stop: threading.Event, runs: list[Future]) -> None:
+    """Until all tables have ended. Once one has failed the jobs of the others are cancelled, again and again: a table that was
+    between two jobs begins its next one first."""
+    while wait(runs, timeout=0.2).not_done:
+        if stop.is_set():
+            context.cancelJobsWithTag(tag)

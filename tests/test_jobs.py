@@ -1,7 +1,11 @@
 import importlib
+import subprocess
+import sys
+import time
 from dataclasses import replace
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -523,3 +527,59 @@ def test_fail_mode_needs_ansi(spark, tmp_path):
             ferry.move(spark, {"sql": "SELECT 1 a", "format": "csv", "filename": "x"}, str(tmp_path))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def slow(spark, name, tasks, seconds):
+    """A table whose every task takes so long."""
+    def wait(batches):
+        for batch in batches:
+            time.sleep(seconds)
+            yield batch
+
+    spark.range(0, tasks, 1, tasks).mapInArrow(wait, "id long").createOrReplaceTempView(name)
+
+
+def test_a_failure_ends_the_tables_that_run(spark, tmp_path):
+    slow(spark, "slow_table", 3, 9)
+    spark.range(100).createOrReplaceTempView("quick_table")
+    tables = [{"stream_name": "quick_table"}, {"stream_name": "slow_table"}, {"stream_name": "bad", "sql": "SELECT raise_error('broken') AS x FROM range(1, 9, 1, 1) WHERE id > 0"},
+              {"stream_name": "never_begun"}]
+    begun = time.monotonic()
+    with pytest.raises(MoveError, match="broken") as failed:
+        ferry.move_many(spark, {"format": "csv", "filename": "{{stream_name}}", "tables": tables}, str(tmp_path), concurrency=3)
+    assert time.monotonic() - begun < 8  # the slow table alone takes longer
+    reports = {r.sql.rsplit(" ", 1)[1] if r.sql.startswith("SELECT *") else "bad": r for r in failed.value.reports}
+    assert reports["quick_table"].success and not reports["slow_table"].success and set(reports) <= {"quick_table", "slow_table", "bad", "never_begun"}
+    assert reports["slow_table"].error.startswith("ended, as another table failed") and "broken" in reports["bad"].error
+    assert not list((tmp_path / "slow_table").glob("part-*"))
+    deadline = time.monotonic() + 20
+    while spark.sparkContext.statusTracker().getActiveJobsIds() and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    # later jobs are not cancelled
+    assert ferry.move_many(spark, {"format": "csv", "filename": "q", "tables": tables[:1]}, str(tmp_path)).first().success
+
+
+FAIR = """
+import sys, time, tempfile
+sys.path[:0] = sys.argv[1:]
+from pyspark.sql import SparkSession
+import ferry
+from test_jobs import slow
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1")
+         .config("spark.driver.bindAddress", "127.0.0.1").config("spark.scheduler.mode", "FAIR").getOrCreate())
+slow(spark, "large", 40, 0.25)
+spark.range(0, 4, 1, 4).createOrReplaceTempView("small")
+job = {"format": "csv", "filename": "{{stream_name}}", "tables": [{"stream_name": "large"}, {"stream_name": "small"}]}
+rows = ferry.move_many(spark, job, tempfile.mkdtemp(prefix="run-"), concurrency=2).collect()
+print("times", *(r.elapsed_ms for r in rows))
+"""
+
+
+def test_tables_share_the_executors_evenly():
+    """On two cores a small table is done long before a large one that began first."""
+    here = Path(__file__).resolve().parent
+    out = subprocess.run([sys.executable, "-c", FAIR, str(here), str(here.parent)], capture_output=True, text=True, timeout=120)
+    large, small = map(int, out.stdout.split("times")[1].split())
+    assert large > 4500 and small < 0.7 * large, out.stdout
