@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType  # noqa: E402
+from pyspark.sql.types import DecimalType, DoubleType, StringType, StructField, StructType  # noqa: E402
 
 import ferry  # noqa: E402
 from ferry import functions as fn  # noqa: E402
@@ -752,6 +752,68 @@ def decimal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/d.parquet")
 
 
+LONG_DIGITS = "concat(lpad(cast(l_orderkey AS {0}), 12, '7'), lpad(cast(l_partkey AS {0}), 13, '3'), lpad(cast(l_suppkey AS {0}), 13, '9'))"
+
+
+@_query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 1
+                THEN translate(lpad(hex(u - 1), 32, '0'), '0123456789ABCDEF', 'FEDCBA9876543210') ELSE lpad(hex(u), 32, '0') END AS large,
+                CASE WHEN l_linenumber % 3 = 0 THEN right(translate(lpad(hex(l_orderkey * 100 - 1), 16, '0'), '0123456789ABCDEF', 'FEDCBA9876543210'), 14)
+                     ELSE lpad(hex(l_orderkey * 100), 14, '0') END AS small
+            FROM (SELECT *, CAST({LONG_DIGITS.format("VARCHAR")} AS HUGEINT) AS u FROM lineitem)""")
+def decimal_bytes_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of 38 and of 15 digits, some negative, as the bytes that columnar files store."""
+    digits, large, small = LONG_DIGITS.format("string"), DecimalType(38, 10), DecimalType(15, 2)
+    signed = F.expr(f"concat(if(l_linenumber % 2 = 1, '-', ''), left({digits}, 28), '.', right({digits}, 10))")
+    other = F.expr("if(l_linenumber % 3 = 0, -l_orderkey, l_orderkey)")
+    return _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.hex(fn.decimal_bytes(signed.cast(large), large)).alias("large"),
+        F.hex(fn.decimal_bytes(other.cast(small), small)).alias("small"),
+    )
+
+
+@_query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 1 THEN '-' ELSE '' END || (high + low // full_) || left(whole, 20) || '.' || right(whole, 2) AS price
+            FROM (SELECT *, lpad(CAST(low % full_ AS VARCHAR), 22, '0') AS whole
+                  FROM (SELECT *, CAST('1' || repeat('0', 22) AS HUGEINT) AS full_, CAST('9' || left(d, 29) AS HUGEINT) AS high,
+                            (CAST(right(d, 9) || lpad(CAST(l_orderkey AS VARCHAR), 11, '9') || lpad(CAST(l_partkey % 10000 AS VARCHAR), 4, '9') AS HUGEINT) + 50) // 100 AS low
+                        FROM (SELECT *, {LONG_DIGITS.format("VARCHAR")} AS d FROM lineitem)))""")
+def to_numeric_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of 50 digits before the point and four behind, as NUMERIC(52,2)."""
+    digits = LONG_DIGITS.format("string")
+    text = f"""concat(if(l_linenumber % 2 = 1, '-', if(l_linenumber % 4 = 0, '+', '')), if(l_linenumber % 3 = 0, '00', ''), '9', {digits}, lpad(cast(l_orderkey AS string), 11, '9'),
+        '.', lpad(cast(l_partkey % 10000 AS string), 4, '9'), if(l_linenumber % 5 = 0, 'e0', ''))"""
+    df = _table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{text} AS price")
+    return ferry.override(df, [{"name": "price", "type": "NUMERIC(52,2)"}])
+
+
+MEASURED = {"lineitem": "l_orderkey l_quantity l_extendedprice l_discount l_tax l_returnflag", "orders": "o_orderkey o_custkey o_totalprice o_orderpriority"}
+
+
+def _sizes(table: str, column: str) -> str:
+    return f"""SELECT '{column}' AS name, count(*) FILTER (n) AS numbers, CASE WHEN count(*) FILTER (n) > 0 THEN greatest(max(w) + max(f), 1) END AS "precision",
+                      CASE WHEN count(*) FILTER (n) > 0 THEN max(f) END AS scale
+               FROM (SELECT regexp_full_match(t, '-?[0-9]+([.][0-9]*)?') AS n, CASE WHEN n THEN length(ltrim(split_part(ltrim(t, '-'), '.', 1), '0')) ELSE 0 END AS w,
+                            CASE WHEN n THEN length(rtrim(split_part(t, '.', 2), '0')) ELSE 0 END AS f FROM (SELECT CAST({column} AS VARCHAR) AS t FROM {table}))"""
+
+
+@_query(" UNION ALL ".join(_sizes(t, c) for t, columns in MEASURED.items() for c in columns.split()))
+def describe_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest NUMERIC that holds a column's values."""
+    found = [ferry.measure_columns(_table(spark, sf_dir, t).select(columns.split()), numbers=True) for t, columns in MEASURED.items()]
+    return reduce(DataFrame.unionAll, found).select("name", "numbers", "precision", "scale")
+
+
+@_query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 1 THEN '-' ELSE '' END || CASE
+               WHEN e < 0 THEN '0.' || repeat('0', -e - 1) || d WHEN length(d) <= e + 1 THEN rpad(d, e + 1, '0') ELSE left(d, e + 1) || '.' || substr(d, e + 2) END AS value
+           FROM (SELECT *, CAST((l_orderkey * 7 + l_partkey * 5 + l_linenumber) % 615 AS INTEGER) - 307 AS e,
+                     rtrim((1 + l_partkey % 9) || lpad(CAST(l_orderkey AS VARCHAR), 9, '0') || lpad(CAST(l_suppkey % 99991 AS VARCHAR), 5, '0'), '0') AS d FROM lineitem)""")
+def render_float_extreme(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 15 digits between 1e-307 and 1e308, as doubles and back as text."""
+    digits = "concat(1 + l_partkey % 9, '.', lpad(cast(l_orderkey AS string), 9, '0'), lpad(cast(l_suppkey % 99991 AS string), 5, '0'))"
+    number = f"concat(if(l_linenumber % 2 = 1, '-', ''), {digits}, 'E', (l_orderkey * 7 + l_partkey * 5 + l_linenumber) % 615 - 307)"
+    df = _table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"cast({number} AS double) AS x")
+    return df.select("l_orderkey", "l_linenumber", F.expr(fn.render_float("x", DoubleType())).alias("value"))
+
+
 @_query(" UNION ALL ".join(f"SELECT '{f}' AS landed_as, s_suppkey, s_name FROM supplier" for f in ("arrow", "csv", "jsonl", "parquet")))
 def format_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table landed in each format, whatever the case of its name."""

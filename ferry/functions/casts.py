@@ -10,6 +10,7 @@ from ferry.functions.decimals import to_numeric
 from ferry.functions.jsontext import html_safe, json_value
 from ferry.functions.render import is_json, render_text
 from ferry.functions.uuids import to_uuid
+from ferry.functions.wide import to_wide_numeric
 from ferry.types import JSON_TYPES, is_nested, spark_type
 from ferry.types import Column as ColumnSpec
 
@@ -46,6 +47,11 @@ def cast_expr(
         return F.when(c.isNotNull(), F.expr(html_safe(json_value(name, dtype))))
     if target.type == "UUID":
         return to_uuid(c, dtype, on_error, target.name)
+    if target.type == "NUMERIC" and isinstance(wanted, T.StringType):
+        if is_nested(dtype):
+            raise TypeError(f"cannot convert {dtype.simpleString()} to {target.type} (column {target.name})")
+        text = c.cast("string") if isinstance(dtype, (T.StringType, T.BinaryType)) else F.expr(render_text(name, dtype, source_type))
+        return to_wide_numeric(text, target.precision, target.scale, on_error, strict_scale)
     if isinstance(wanted, T.StringType):
         if isinstance(dtype, T.StringType) or isinstance(dtype, T.BinaryType) and target.type == source_type:
             return c

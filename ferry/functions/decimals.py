@@ -31,6 +31,49 @@ def decimal_unscaled(text: Column, scale: int) -> Column:
     )
 
 
+def decimal_size(precision: int) -> int:
+    """Bytes that a number of so many digits takes, with its sign."""
+    return -(-((10**precision - 1).bit_length() + 1) // 8)
+
+
+def unscaled_bytes(value: Column, size: int) -> Column:
+    """A whole number, `decimal(38,0)` or narrower, as big-endian two's complement of so many bytes (16 at most). One that
+    needs more is an error.
+
+    A negative number is the complement of the one below its amount, so both are made of the same limbs: the upper 64
+    bits and two of 32 below them, each a bigint, all turned over for a negative one.
+    """
+    if not 1 <= size <= 16:
+        raise ValueError(f"a decimal takes 1 to 16 bytes: {size}")
+    value = value.cast("decimal(38,0)")
+    negative = value < 0
+    # by subtraction: Spark's unary minus keeps 34 digits only
+    amount = F.when(negative, (F.lit(-1).cast("decimal(38,0)") - value).cast("decimal(38,0)")).otherwise(value)
+    turned = F.when(negative, F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
+    upper, middle = F.expr(f"{1 << 64}BD"), F.expr(f"{1 << 32}BD")
+    low = amount % upper
+    halves = [F.call_function("div", low, middle), (low % middle).cast("long")]
+    digits = F.concat(
+        F.lpad(F.hex(F.call_function("div", amount, upper).bitwiseXOR(turned)), 16, "0"),
+        *(F.lpad(F.hex(x.bitwiseXOR(turned.bitwiseAND(F.lit((1 << 32) - 1)))), 8, "0") for x in halves),
+    )
+    made = F.unhex(F.right(digits, F.lit(2 * size)))
+    if size == 16:
+        return made
+    problem = F.raise_error(F.concat(value.cast("string"), F.lit(f" does not fit {size} bytes"))).cast("binary")
+    return F.when(amount >= F.expr(f"{1 << 8 * size - 1}BD"), problem).otherwise(made)
+
+
+def decimal_bytes(c: Column, dtype: T.DecimalType) -> Column:
+    """A decimal's unscaled value in the bytes that its precision takes, as columnar files store it."""
+    size = decimal_size(dtype.precision)
+    if dtype.precision <= 18:  # a bigint, whose bytes are there already
+        unscaled = (c.cast(dtype) * F.expr(f"{10**dtype.scale}BD")).cast("bigint")
+        return F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), F.lit(2 * size)))
+    digits = F.replace(F.split_part(c.cast("string"), F.lit("E"), F.lit(1)), F.lit("."), F.lit(""))
+    return unscaled_bytes(digits.cast("decimal(38,0)"), size)
+
+
 def to_numeric(c: Column, dtype: T.DataType, target: T.DecimalType, on_error: str = "fail", strict_scale: bool = False) -> Column:
     """Value as decimal(p,s), rounded half up.
 

@@ -43,11 +43,16 @@ def common_float(c: str, dtype: T.DataType, other: str) -> str:
         WHEN abs({c}) >= 1e7D AND abs({c}) < {whole}D
         THEN trim(TRAILING '0' FROM cast(cast({c} AS decimal(30,10)) AS string))
         WHEN abs({c}) >= {whole}D AND abs({c}) < 9.2e18D THEN {jsontext.rarely(f"cast({c} AS bigint)", 'b', _rounded_whole())}"""
+    extreme = ""
+    if double:  # Java before 19 may write a digit too many there, or a last one that is off by one
+        extreme = f"""WHEN abs({c}) < 1e-6D OR abs({c}) >= 9.2e18D AND abs({c}) < double('Infinity')
+        THEN {jsontext.rarely(f"struct({c} AS x, cast({c} AS string) AS java)", 'v', jsontext.rarely(_extreme('v'), 's', other))}"""
     return f"""CASE
         WHEN {c} = 0 THEN substring_index(cast({c} AS string), '.', 1)
         WHEN abs({c}) < {whole}D AND rint({c}) = {c} THEN cast(cast({c} AS bigint) AS string)
         WHEN abs({c}) >= cast(0.001D AS {kind}) AND abs({c}) < 1e7D THEN cast({c} AS string)
         {other_plain}
+        {extreme}
         WHEN {c} IS NOT NULL THEN {jsontext.rarely(c, 'x', jsontext.rarely(_shortest('x', dtype), 's', other))} END"""
 
 
@@ -61,6 +66,53 @@ def _rounded_whole() -> str:
     return f"CASE {tries} ELSE cast(b AS string) END"
 
 
+def _extreme(v: str) -> str:
+    """Text like Java's (`1.5E20`) of the double in `v.x`, Java's text of which is `v.java`. No two texts of 15 digits or
+    fewer are the same double of full precision, so such a text is the shortest there is."""
+    few = f"length(translate(substring_index({v}.java, 'E', 1), '-.', '')) <= 15 AND abs({v}.x) >= 2.3e-308D"
+    return f"if({few}, {v}.java, concat(if({v}.x < 0, '-', ''), {jsontext.rarely(f'abs({v}.x)', 'x', _nearest('x'))}))"
+
+
+def _exact_digits(x: str) -> str:
+    """`struct(w, shift)`: a positive double is the whole number whose digits are `w`, times ten to the `shift`, exactly.
+
+    Its bits as a bigint `m` times 2 to the `e` are, if `e` is negative, `m` times 5 to the `-e` by as many tens. The product
+    is made in limbs of nine digits. `e` comes from a logarithm that may be one too high, so `m` has a bit to spare.
+    """
+    limb, steps = 10**9, {2: 29, 5: 12}  # a limb times one of these powers stays below 2^63
+    times = f"""aggregate(l, struct(cast(array() AS array<bigint>) AS done, 0L AS carry), (a, d) -> struct(
+            concat(a.done, array((d * f + a.carry) % {limb}L)) AS done, (d * f + a.carry) div {limb}L AS carry),
+        a -> if(a.carry > 0, concat(a.done, array(a.carry)), a.done))"""
+
+    def powers(base: int, e: str) -> str:
+        most = steps[base]
+        return f"concat(array_repeat({base**most}L, cast({e} div {most} AS int)), array(element_at(array({', '.join(f'{base**k}L' for k in range(most))}), cast({e} % {most} AS int) + 1)))"
+
+    factors = f"if(p.e < 0, {powers(5, 'abs(p.e)')}, {powers(2, 'abs(p.e)')})"
+    limbs = f"aggregate({factors}, array(p.m % {limb}L, p.m div {limb}L % {limb}L, p.m div {limb * limb}L), (l, f) -> {times})"
+    digits = f"ltrim('0', array_join(transform(reverse({limbs}), d -> lpad(cast(d AS string), 9, '0')), ''))"
+    # 2 to the 1074 makes any double whole; in two steps, as one alone may be no double
+    scaled = f"cast({x} / pow(2D, e div 2) / pow(2D, e - e div 2) AS bigint)"
+    bits = jsontext.rarely(f"greatest(cast(floor(log2({x})) AS int) - 53, -1074)", "e", f"struct(e AS e, {scaled} AS m)")
+    return jsontext.rarely(bits, "p", f"struct({digits} AS w, least(p.e, 0) AS shift)")
+
+
+def _nearest(x: str) -> str:
+    """The fewest digits that read back as a positive double, and of those the ones nearest to it, as Java writes them. For
+    each number of digits they are the exact digits cut there, or the ones above these."""
+    rest, half = "substr(q.w, k + 1)", "rpad('5', length(q.w) - k, '0')"
+    cut, power = "cast(left(q.w, k) AS bigint)", "length(q.w) - k + q.shift"
+    nearer_above = f"({rest} > {half} OR {rest} = {half} AND {cut} % 2 = 1)"  # of two that are as near, the even one
+    pair = f"array(concat({cut}, 'E', {power}), concat({cut} + 1, 'E', {power}))"
+    tried = f"filter(if({nearer_above}, reverse({pair}), {pair}), t -> cast(t AS double) = {x})"
+    found = f"get(filter(transform(sequence(1, least(17, length(q.w))), k -> get({tried}, 0)), t -> t IS NOT NULL), 0)"
+    power = "length(substring_index(t, 'E', 1)) - 1 + cast(substring_index(t, 'E', -1) AS int)"
+    # digits of which the last became 10 end in zeros
+    shown = f"concat(left(t, 1), '.', if(d = '', '0', d), 'E', {power})"
+    shown = jsontext.rarely("trim(TRAILING '0' FROM substr(substring_index(t, 'E', 1), 2))", "d", shown)
+    return jsontext.rarely(_exact_digits(x), "q", jsontext.rarely(found, "t", shown))
+
+
 def _shortest(x: str, dtype: T.DataType) -> str:
     """Java text of a float.
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ferry.functions.casts import cast_expr
 from ferry.functions.uuids import fix_sqlserver_uuid
-from ferry.types import Column, canonical_type, column_of, declared_column, is_known, map_source_type, parse_declared, type_alias
+from ferry.types import DECIMAL_DIGITS, Column, canonical_type, column_of, declared_column, is_known, map_source_type, parse_declared, type_alias
 
 DESCRIBE_SCHEMA = T.StructType(
     [
@@ -163,10 +163,13 @@ def override(df: DataFrame, overrides: Iterable[Column | Mapping], on_error: str
 
 
 def column_metadata(column: Column) -> dict:
-    """Name, type and length for readers of the output, and the field id that Parquet stores."""
+    """Name, type and length for readers of the output, and the field id that Parquet stores; of numbers kept as text also
+    their sizes."""
+    wide = {"precision": column.precision, "scale": column.scale} if column.type == "NUMERIC" and column.precision > DECIMAL_DIGITS else {}
     return {
         "name": column.name,
         "logical_type": column.type,
         "length": column.length,
         "parquet.field.id": column.position,
+        **wide,
     }

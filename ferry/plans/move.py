@@ -57,7 +57,7 @@ def _run(spark: SparkSession, spec: MoveSpec, source: str, dest: str) -> MoveRep
         seen = Observation()
         df = plan(spark, spec, source)
         target = Target(
-            path, spec.compression, spec.batch_size, spec.null_value, spec.uuid_as, spec.partition_by, options
+            path, spec.compression, spec.batch_size, spec.row_group_rows, spec.null_value, spec.uuid_as, spec.partition_by, options
         )
         names = write(df, spec.format, target, seen)
         report.rows = seen.get.get("rows", 0)

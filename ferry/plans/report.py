@@ -14,6 +14,13 @@ SCHEMA = (
 )
 
 
+# Names of settings whose values are not shown, and the forms a value takes.
+_SECRET = re.compile(
+    r"""\b(password|passwd|pwd|user|username|uid|token|sig|secret|private_key|account\.?key|access_?key|secret_?key)\s*=\s*(?:\{(?:[^}]|\}\})*\}|"[^"]*"|'[^']*'|[^\s;&,'"<>]+)""",
+    re.I,
+)
+
+
 def redact(url: str) -> str:
     """URL without user information and query."""
     url = re.sub(r"^([a-zA-Z][a-zA-Z0-9+.-]*://)[^/?#]*@", r"\1", url)
@@ -21,7 +28,9 @@ def redact(url: str) -> str:
 
 
 def redact_text(text: str) -> str:
-    """Text in which every URL has lost its user information, query and `;` settings."""
+    """Text in which every URL has lost its user information, query and `;` settings, and settings that name a secret, braced
+    ones too, their values."""
+    text = _SECRET.sub(r"\1=***", text)
     return re.sub(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^\s'\"<>]+", lambda m: redact(m[0]).split(";")[0], text)
 
 

@@ -31,6 +31,8 @@ class MoveSpec:
     params: dict[str, Param] = field(default_factory=dict)
     batch_size: int = 0
     batch_count: int = 0
+    # Most rows of a Parquet row group; 0 leaves it to the writer, whose groups go by size.
+    row_group_rows: int = 0
     # Tasks that convert and write; 0 leaves it to the scan, more costs a shuffle of the rows.
     writers: int = 0
     # Settings beyond one cursor and one file.

@@ -28,6 +28,8 @@ class Target:
     path: str
     compression: str = ""
     rows_per_file: int = 0
+    # Most rows of a Parquet row group, what readers take as a whole; a file of few rows has groups of no more.
+    rows_per_group: int = 0
     null_value: str = "NULL"
     uuid_as: str = "text"
     partition_by: tuple[str, ...] = ()
@@ -70,6 +72,8 @@ def write_jsonl(df: DataFrame, target: Target) -> None:
 def write_parquet(df: DataFrame, target: Target) -> None:
     configure(df.sparkSession)
     writer = _writer(columnar(df, target.uuid_as == "bytes"), target, PARQUET_CODECS, "snappy")
+    if target.rows_per_group:
+        writer = writer.option("parquet.block.row.count.limit", target.rows_per_group)
     writer.parquet(target.path)
 
 

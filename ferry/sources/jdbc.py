@@ -38,7 +38,7 @@ def _blanked(sql: str) -> str:
 # What makes a query's rows depend on the run. Rows picked by number or by a number given to them, the first
 # of several, and the databases' own random values.
 _UNSTABLE = re.compile(
-    r"\b(LIMIT|TOP|OFFSET|FETCH\s+(FIRST|NEXT)|(TABLE)?SAMPLE|QUALIFY|DISTINCT\s+ON)\b|\)\s*(FILTER\s*\(.*?\)\s*)?OVER\s*(\(|\w)"
+    r"\b(LIMIT|TOP|OFFSET|FETCH\s+(FIRST|NEXT)|(TABLE)?SAMPLE|QUALIFY|DISTINCT\s+ON)\b|\)\s*(FILTER\s*\(.*?\)\s*)?OVER(\s*\(|\s+(?!FROM\b)\w)"
     r"|\b(RAND|RANDN|RANDOM|RANDSTR|UNIFORM|NORMAL|ZIPF|SEQ[1248]|SETSEED|NEWID|NEWSEQUENTIALID|CRYPT_GEN_RANDOM|GEN_RANDOM_UUID|GEN_RANDOM_BYTES"
     r"|UUID|UUID_STRING|UUID_GENERATE_V[14](MC)?|UUIDV[47]|NEXTVAL|ANY_VALUE|MONOTONICALLY_INCREASING_ID)\s*\(|\bNEXT\s+VALUE\s+FOR\b", re.I | re.S,
 )

@@ -58,6 +58,9 @@ SOURCE_TYPES = {
 # Fixed value: from this declared length on, a Snowflake text column is unbounded.
 SNOWFLAKE_TEXT_LENGTH = 16777216
 
+# Fixed value: digits of Spark's widest decimal.
+DECIMAL_DIGITS = 38
+
 JSON_TYPES = ("JSON", "JSONB", "_TEXT")
 
 _DECLARED = re.compile(r"^\s*([A-Za-z_][A-Za-z0-9_ ]*?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*$")
@@ -129,11 +132,10 @@ def spark_type(column: Column) -> T.DataType | None:
     if column.type == "NUMERIC":
         if column.precision <= 0:
             return T.DoubleType()
-        if column.precision > 38 or column.scale > column.precision:
-            raise ValueError(
-                f"NUMERIC({column.precision},{column.scale}) of column {column.name} does not fit 38 digits: "
-                "override its precision and scale"
-            )
+        if column.scale > column.precision:
+            raise ValueError(f"NUMERIC({column.precision},{column.scale}) of column {column.name} has more fraction digits than digits")
+        if column.precision > DECIMAL_DIGITS:
+            return T.StringType()  # Spark's decimals end there: the digits are kept as text
         return T.DecimalType(column.precision, column.scale)
     return T.StringType()
 
@@ -152,7 +154,8 @@ def column_of(field: T.StructField, position: int) -> Column:
     meta = field.metadata or {}
     base = Column(field.name, nullable=field.nullable, position=position)
     if meta.get("logical_type"):
-        base = replace(base, type=meta["logical_type"], length=int(meta.get("length", 0) or 0))
+        sizes = {k: int(meta.get(k, 0) or 0) for k in ("length", "precision", "scale")}
+        base = replace(base, type=meta["logical_type"], **sizes)
     dtype = field.dataType
     database_type = meta.get("source_type") or meta.get("jdbcClientType") or dtype.simpleString().upper()
     base = replace(base, database_type=parse_declared(database_type)[0] if _DECLARED.match(database_type) else database_type)

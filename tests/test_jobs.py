@@ -302,6 +302,8 @@ def test_redact():
     assert redact("/plain/path") == "/plain/path"
     text = "cannot reach 'jdbc:postgresql://u:pw@h/db?password=x' or jdbc:sqlserver://h:1;user=u;password=p, sorry"
     assert redact_text(text) == "cannot reach 'jdbc:postgresql://h/db' or jdbc:sqlserver://h:1 sorry"
+    braced = redact_text("jdbc:sqlserver://h:1;user=me;password={a b;c}} d};encrypt=true failed; Token = 'x y' and PWD=z")
+    assert not any(x in braced for x in ("me;", "a b", "c}", "x y", "=z")) and "failed" in braced
 
 
 def test_a_url_in_an_error_is_redacted(spark, tmp_path, monkeypatch):

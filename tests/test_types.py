@@ -43,8 +43,10 @@ def test_money_and_limits():
     money = declared_column("c", "MONEY", "sqlserver")
     assert (money.precision, money.scale) == (19, 4)
     assert spark_type(Column("c", type="NUMERIC")).simpleString() == "double"
-    with pytest.raises(ValueError, match="38"):
-        spark_type(Column("c", type="NUMERIC", precision=40, scale=2))
+    assert spark_type(Column("c", type="NUMERIC", precision=38, scale=2)).simpleString() == "decimal(38,2)"
+    assert spark_type(Column("c", type="NUMERIC", precision=39, scale=2)).simpleString() == "string"  # kept as digits
+    with pytest.raises(ValueError, match="more fraction digits"):
+        spark_type(Column("c", type="NUMERIC", precision=40, scale=41))
     with pytest.raises(ValueError, match="unknown source"):
         declared_column("c", "INT", "oracle")
 

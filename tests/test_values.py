@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import ferry
+from ferry import functions as fn
 from ferry.functions import (
     compact_json, csv_field, decimal_unscaled, fix_sqlserver_uuid, html_safe, json_value, render_float, render_text, to_numeric, to_uuid,
     uuid_bytes,
@@ -287,3 +288,13 @@ def test_work_folder_needs_a_known_place():
     with pytest.raises(RuntimeError, match="checkpoint"):
         work_folder(type("Session", (), {"conf": Conf()})())
     assert work_folder(type("Session", (), {"conf": Conf({"spark.checkpoint.dir": "hdfs:/shared/"})})()).startswith("hdfs:/shared/ferry-")
+
+
+def test_doubles_of_every_exponent(spark):
+    """The fewest digits that read back the same, and the nearest of these: Python's own choice."""
+    rng = random.Random(11)
+    bits = [(rng.getrandbits(1) << 63) | (e << 52) | m for e in range(2047) for m in (0, 1, (1 << 52) - 1, rng.getrandbits(52))]
+    values = [struct.unpack("<d", struct.pack("<Q", b))[0] for b in bits] + [5e-324, 1.7976931348623157e308, 2.0**-44, 9.2e18, 2e23, 9007199254740993.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    texts = {r.x: r.t for r in df.select("x", F.expr(fn.render_float("x", T.DoubleType())).alias("t")).collect()}
+    assert texts == {v: f"{Decimal(repr(v)):f}".removesuffix(".0") for v in values}
