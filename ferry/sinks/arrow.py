@@ -46,7 +46,7 @@ _SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):")
 _OWN = re.compile(r"^part-\d{5}-([0-9a-f]{32})-")
 
 
-def _filesystem(path: str, options: dict | None = None) -> tuple[pa.fs.FileSystem, str]:
+def address_filesystem(path: str, options: dict | None = None) -> tuple[pa.fs.FileSystem, str]:
     """Filesystem and path of an address. A plain path is on the filesystem that Spark takes for one; credentials come from
     the options that Spark's own connectors read. A scheme that pyarrow cannot reach is an error."""
     options = {k.lower(): v for k, v in (options or {}).items()}
@@ -56,7 +56,7 @@ def _filesystem(path: str, options: dict | None = None) -> tuple[pa.fs.FileSyste
             return pa.fs.LocalFileSystem(), os.path.abspath(path)
         if not path.startswith("/"):
             raise ValueError(f"a path without a scheme must be absolute: {path!r}")
-        return _filesystem(DEFAULT.rstrip("/") + path, options)
+        return address_filesystem(DEFAULT.rstrip("/") + path, options)
     kind, parts = scheme[1].lower(), urlsplit(path)
     if kind == "file":
         return pa.fs.LocalFileSystem(), os.path.abspath(parts.path)
@@ -158,7 +158,7 @@ class ArrowSink(DataSourceArrowWriter):
         """
         from pyspark import TaskContext
 
-        fs, root = _filesystem(self.path, self.options)
+        fs, root = address_filesystem(self.path, self.options)
         context = TaskContext.get()
         stem = f"part-{context.partitionId():05d}-{self.job}-{context.taskAttemptId()}"
         fs.create_dir(root, recursive=True)
@@ -220,7 +220,7 @@ class ArrowSink(DataSourceArrowWriter):
         """List the files of the attempts that counted in a new manifest; nothing is moved. Until it is complete the
         old one holds, and its files are only deleted after that. Files that no manifest lists are of jobs that died: an
         append, which other jobs may go on beside, deletes those that are old."""
-        fs, root = _filesystem(self.path, self.options)
+        fs, root = address_filesystem(self.path, self.options)
         fs.create_dir(root, recursive=True)
         ages = _ages(fs, root)
         landed = Landed([], [], {}) if self.overwrite else _landed(fs, root)
@@ -247,7 +247,7 @@ class ArrowSink(DataSourceArrowWriter):
             pass
 
     def abort(self, messages: list) -> None:
-        fs, root = _filesystem(self.path, self.options)
+        fs, root = address_filesystem(self.path, self.options)
         self._delete(fs, root, [n for n in _names(fs, root, recursive=True) if self.job in n])
 
     @staticmethod
@@ -364,7 +364,7 @@ class ArrowFiles(DataSourceReader):
         return filters
 
     def partitions(self) -> list[StreamFile]:
-        fs, root = _filesystem(self.path, self.options)
+        fs, root = address_filesystem(self.path, self.options)
         landed = _landed(fs, root)
         place = {name: i for i, (name, _) in enumerate(landed.columns)}
         kept = []
@@ -378,7 +378,7 @@ class ArrowFiles(DataSourceReader):
     def read(self, partition: StreamFile) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        fs, _ = _filesystem(self.path, self.options)
+        fs, _ = address_filesystem(self.path, self.options)
         fixed = {name: pa.scalar(_value(text, kind), _arrow_type(kind)) for name, kind, text in partition.values}
         with _open_stream(fs, partition.path) as stream:
             for batch in stream:
@@ -414,7 +414,7 @@ class ArrowStreams(DataSource):
     def schema(self):
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        fs, root = _filesystem(self.options["path"], dict(self.options))
+        fs, root = address_filesystem(self.options["path"], dict(self.options))
         landed = _landed(fs, root)
         if landed.files:
             with _open_stream(fs, f"{root}/{landed.files[0]}") as stream:

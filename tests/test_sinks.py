@@ -192,18 +192,18 @@ def test_arrow_unfinished_first_write_is_not_read(spark, tmp_path):
 def test_arrow_addresses(monkeypatch):
     for address in ("dbfs:/x", "wasb://box@acct/x", "ftp://h/x"):
         with pytest.raises(ValueError, match="cannot be written"):
-            arrow._filesystem(address)
-    assert arrow._filesystem("file:/tmp/x")[1] == arrow._filesystem("file:///tmp/x")[1] == arrow._filesystem("/tmp/x")[1] == "/tmp/x"
+            arrow.address_filesystem(address)
+    assert arrow.address_filesystem("file:/tmp/x")[1] == arrow.address_filesystem("file:///tmp/x")[1] == arrow.address_filesystem("/tmp/x")[1] == "/tmp/x"
     seen = []
     monkeypatch.setattr(arrow.pa.fs, "S3FileSystem", lambda **k: seen.append(k))
-    assert arrow._filesystem("s3a://bucket/a/b", {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s"})[1] == "bucket/a/b"
+    assert arrow.address_filesystem("s3a://bucket/a/b", {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s"})[1] == "bucket/a/b"
     monkeypatch.setattr(arrow.pa.fs, "AzureFileSystem", lambda account, **k: seen.append((account, k)), raising=False)
     options = {"fs.azure.sas.fixed.token.acct.dfs.core.windows.net": "tok"}
-    assert arrow._filesystem("abfss://box@acct.dfs.core.windows.net/a", options)[1] == "box/a"
+    assert arrow.address_filesystem("abfss://box@acct.dfs.core.windows.net/a", options)[1] == "box/a"
     monkeypatch.setattr(arrow, "DEFAULT", "s3a://lake")
-    assert arrow._filesystem("/data/out")[1] == "lake/data/out"
+    assert arrow.address_filesystem("/data/out")[1] == "lake/data/out"
     with pytest.raises(ValueError, match="absolute"):
-        arrow._filesystem("data/out")
+        arrow.address_filesystem("data/out")
     assert seen == [{"access_key": "k", "secret_key": "s"}, ("acct", {"sas_token": "tok"}), {}]
 
 
