@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.session import work_folder
+from ferry.sinks.arrow import address_filesystem
 from ferry.sources import table_path
 
 #: White space and words, as byte ranges that mean the same in Java, RE2 and Python.
@@ -46,8 +47,14 @@ def pieces(batch: pa.RecordBatch, most: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, most)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder of the shared storage as a whole address: a path without a scheme is on Spark's default filesystem, for the
+    tasks that open files themselves too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    """Where tasks open a folder of the shared storage that is given as an address or a plain path."""
-    if "://" in folder or folder.startswith("file:"):
-        return pafs.FileSystem.from_uri(folder)
-    return pafs.LocalFileSystem(), folder
+    """Where tasks open a folder of the shared storage, given by its address: local and mounted files, HDFS, S3, GCS and Azure;
+    an error for what pyarrow cannot reach."""
+    return address_filesystem(folder)

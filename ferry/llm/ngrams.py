@@ -24,8 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import filesystem, stored, whole
-from ferry.session import work_folder
+from ferry.llm.common import filesystem, shared_folder, stored, whole
 
 ORDER = 2
 #: Weight of the shorter context, in tokens.
@@ -275,7 +274,7 @@ def scored(
     if order < 1 or weight <= 0:
         raise ValueError("order must be one or more, weight more than zero")
     spark = docs.sparkSession
-    folder = f"{work_folder(spark)}/texts"
+    folder = f"{shared_folder(spark)}/texts"
     system, path = filesystem(folder)
     system.create_dir(path, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), whole(text_col).alias("text"))

@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import binary, filesystem, pieces, stored, whole
-from ferry.session import work_folder
+from ferry.llm.common import binary, filesystem, shared_folder, stored, whole
 
-CACHE = 300_000
+CACHE = 200_000
+#: Bytes of text that are encoded at once.
+SLICE = 8 << 20
 STOPS = b".,;:!?"
+#: The settings of tokenizers for which words can be encoded one by one.
+SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+}
 #: The polynomial of CRC-32C (reflected) and the mask that TFRecord files put over it.
 POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
@@ -109,21 +124,30 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class Words:
-    """Ids of whole texts from a tokenizer that never joins characters across ASCII white space and gives none for it,
-    ignores case, and parts letters from the stops after them: each distinct word is encoded once and kept, up to a
-    bound.
+    """Ids of whole texts from a tokenizer file.
 
-    Words of ASCII letters, with or without stops at the end, go straight to the library's model; the others go through
-    all of its steps, many at a time, joined by blanks, and the place where a token starts says whose it is. The tests
-    compare both with whole texts.
+    A tokenizer with the SETTINGS never joins characters across ASCII white space and gives no ids for it, ignores case,
+    and parts letters from the stops after them: then each distinct word of some texts is looked up once, and encoded if it
+    was not met lately. Words of ASCII letters, with or without stops at the end, go straight to the library's model; the
+    others go through all of its steps, many at a time, joined by blanks, and the place where a token starts says whose it
+    is. The tests compare both with whole texts. For any other tokenizer the library encodes the whole texts.
+
+    What was met is kept in two generations: when the young one is full it becomes the old one, and words that are met
+    again come back from there, so frequent words stay and rare ones go.
     """
 
     def __init__(self, path: str, most: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.tokenizer, self.young, self.old, self.most = Tokenizer.from_file(path), {}, {}, most
         self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        model = {k: settings["model"].get(k) for k in SETTINGS["model"]}
+        found = {"normalizer": settings["normalizer"], "pre_tokenizer": settings["pre_tokenizer"], "model": model}
+        blanks = any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in settings["added_tokens"])
+        self.by_words = found == SETTINGS and not blanks
 
     @staticmethod
     @cache
@@ -131,43 +155,102 @@ class Words:
         """One for all tasks of a Python worker."""
         return Words(path)
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        known, others = self.known, []
-        for word in words:
-            core = word.lower().rstrip(STOPS)
-            if not core.isalpha():  # of bytes: ASCII letters alone
-                others.append(word)
-                continue
-            if core not in known:
-                known[core] = np.array([t.id for t in self.model.tokenize(core.decode())], "<u4").tobytes()
-            stops = word[len(core) :]
-            if stops and stops not in known:
-                self.learn_others([stops])
-            known[word] = known[core] + known[stops] if stops else known[core]
-        self.learn_others(others)
-
-    def learn_others(self, words: list[bytes], joined: int = 64) -> None:
+    def _keep(self, word: bytes, ids: bytes) -> bytes:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[word] = ids
+        return ids
+
+    def _known(self, word: bytes) -> bytes | None:
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is not None:
+                self._keep(word, ids)
+        return ids
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words, four bytes each."""
+        found, others = [self._known(w) for w in words], []
+        for k, word in enumerate(words):
+            if found[k] is None:
+                core = word.lower().rstrip(STOPS)
+                if not core.isalpha():  # of bytes: ASCII letters alone
+                    others.append(k)
+                    continue
+                ids, stops = self._known(core), word[len(core) :]
+                if ids is None:
+                    ids = self._keep(core, np.array([t.id for t in self.model.tokenize(core.decode())], "<u4").tobytes())
+                if stops:
+                    after = self._known(stops)
+                    ids += self._keep(stops, self._others([stops])[0]) if after is None else after
+                found[k] = ids if word == core else self._keep(word, ids)
+        for k, ids in zip(others, self._others([words[k] for k in others])):
+            found[k] = self._keep(words[k], ids)
+        return found
+
+    def _others(self, words: list[bytes], joined: int = 64) -> list[bytes]:
+        out = []
         groups = [words[at : at + joined] for at in range(0, len(words), joined)]
         for at in range(0, len(groups), 64):
             part = [[w.decode() for w in group] for group in groups[at : at + 64]]
-            made = self.tokenizer.encode_batch([" ".join(group) for group in part], add_special_tokens=False)
-            for group, texts, encoding in zip(groups[at : at + 64], part, made):
+            for texts, encoding in zip(part, self.tokenizer.encode_batch([" ".join(group) for group in part], add_special_tokens=False)):
                 ids = np.array(encoding.ids, "<u4").tobytes()
                 starts = [a for a, _ in encoding.offsets]
                 end = k = 0
-                for word, text in zip(group, texts):
+                for text in texts:
                     end += len(text) + 1
                     last = bisect_left(starts, end, k)
-                    self.known[word] = ids[4 * k : 4 * last]
+                    out.append(ids[4 * k : 4 * last])
                     k = last
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        self.learn(set(chain.from_iterable(split)).difference(self.known))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts in a row, and how many each text has. Null is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_words:
+            found = [e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
+        words = pc.ascii_split_whitespace(texts)
+        flat, parents = words.values, pc.list_parent_indices(words).to_numpy()
+        some = pc.not_equal(flat, "")
+        flat, parents = flat.filter(some).dictionary_encode(), parents[some.to_numpy(zero_copy_only=False)]
+        kinds = self.look_up(binary(flat.dictionary))
+        each = np.array([len(ids) // 4 for ids in kinds], np.int64)
+        codes = flat.indices.to_numpy()
+        lengths = each[codes]
+        # where a word's ids begin among those of the distinct words, less where they begin in the texts
+        away = (np.cumsum(each) - each)[codes] - (np.cumsum(lengths) - lengths)
+        ids = np.frombuffer(b"".join(kinds), "<u4")[np.repeat(away, lengths) + np.arange(int(lengths.sum()))]
+        return ids, np.bincount(parents, lengths, len(texts)).astype(np.int64)
+
+
+def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about so many bytes of a column: of one row, if that is larger."""
+    ends, start = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy() + 8), 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _cuts(rows: DataFrame, parts: int) -> np.ndarray:
+    """Identifiers that part the rows into about equal numbers, ascending; one that many rows have may be several of them."""
+    shares = [k / parts for k in range(1, parts)]
+    found = rows.agg(F.percentile_approx("id", shares, 100 * max(100, parts)).alias("cuts")).first().cuts if shares else None
+    return np.array(sorted(found or []), np.int64)
+
+
+def _part(cuts: np.ndarray):
+    """The file of a row, by its identifier; rows of one that is a cut lie on both sides of it, by `tie`, in its order."""
+    @F.pandas_udf("int")
+    def part(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        null, values = ids.isna().to_numpy(), ids.fillna(0).to_numpy(np.int64)
+        low, high = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, values, "right")
+        share = (ties.to_numpy(np.int64) >> 33) + (1 << 30)  # 0 to 2**31 - 1, in the order of the ties
+        return pd.Series(np.where(null, 0, low + ((share * (high - low + 1)) >> 31))).astype("int32")
+
+    return part
 
 
 def write_records(
@@ -192,10 +275,13 @@ def write_records(
         name, offsets, n_ids = f"part-{part:06d}-{uuid.uuid4().hex}", [0], 0
         with system.open_output_stream(f"{path}/{name}.rec", buffer_size=1 << 20) as out:
             for batch in batches:
-                for rows in pieces(batch):
-                    ids = [np.append(x, np.uint32(end_id)) for x in words.encode(binary(rows.column(1)))]
-                    n_ids += sum(map(len, ids))
-                    for record in frame([serialise(i, x) for i, x in zip(rows.column(0).to_pylist(), ids)]):
+                for rows in _slices(batch, 1, SLICE):
+                    ids, lengths = words.encode(rows.column(1))
+                    ends = np.cumsum(lengths)
+                    ids = np.insert(ids, ends, np.uint32(end_id))
+                    n_ids += len(ids)
+                    each = np.split(ids, ends[:-1] + np.arange(1, len(ends)))
+                    for record in frame([serialise(i, x) for i, x in zip(rows.column(0).to_pylist(), each)]):
                         offsets.append(offsets[-1] + len(record))
                         out.write(record)
         with system.open_output_stream(f"{path}/{name}.idx") as out:
@@ -208,7 +294,10 @@ def write_records(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text")).withColumn(
         "tie", F.xxhash64("text")
     )
-    rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
+    # by cuts of the identifiers alone: a range partitioning would read all texts a second time for its sample
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionById(parts, _part(_cuts(rows.select("id"), parts))("id", "tie"))
+    rows = rows.sortWithinPartitions("id", "tie").select("id", "text")
     return stored(rows.mapInArrow(run, "part long, file string, n_records long, n_ids long"))
 
 
@@ -256,6 +345,6 @@ def read_records(spark: SparkSession, manifest: DataFrame, folder: str, at_once:
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Write the documents' ids to the shared folder and read them back."""
-    folder = work_folder(docs.sparkSession)
+    folder = shared_folder(docs.sparkSession)
     manifest = write_records(docs, tokenizer, f"{folder}/records", end_id)
     return read_records(docs.sparkSession, manifest, f"{folder}/records")

@@ -29,8 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import binary, filesystem, stored, whole
-from ferry.session import work_folder
+from ferry.llm.common import binary, filesystem, shared_folder, stored, whole
 
 EDGE, EDGES = 5, 4
 DEPTH = EDGE * EDGES
@@ -411,7 +410,7 @@ def without_repeats(
     columns are not read.
     """
     spark = docs.sparkSession
-    folder = f"{work_folder(spark)}/texts"
+    folder = f"{shared_folder(spark)}/texts"
     rows = store(docs, folder, id_col, text_col, batch_bytes)
     copies = stored(_copies(rows))
     gone = copies.groupBy("batch").agg(F.collect_list("place").alias("gone"))

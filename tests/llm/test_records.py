@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -42,6 +43,38 @@ def test_against_the_library_on_whole_texts(spark):
         start += len(ids)
 
 
+@pytest.mark.parametrize("name, by_words", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_any_tokenizer(spark, name, by_words):
+    """One whose settings are not known to go word by word encodes whole texts."""
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    assert records.Words(path).by_words == by_words
+    texts = ["hello world, again", " two  blanks", "a\n\nb", None, ""] + brute.TEXTS[:8]
+    found = {r.doc_id: r for r in records.token_records(brute.documents(spark, texts), path).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        assert (found[i].n_tokens, found[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
+def test_what_is_kept_changes_nothing():
+    texts = pa.array([f"word{k % 7} Alpha{chr(97 + k % 26) * (k % 5)} frequent, frequent ..; {k}" for k in range(400)])
+    small, large = records.Words(PATH, 5), records.Words(PATH)
+    for at in range(0, 400, 50):
+        a, b = small.encode(texts[at : at + 50]), large.encode(texts[at : at + 50])
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    assert len(small.young) <= 5 and len(small.old) <= 5
+
+
+def test_one_identifier_of_most_rows_is_in_several_files(spark):
+    texts = [f"text {k}" for k in range(300)]
+    folder = work_folder(spark)
+    docs = brute.documents(spark, texts, ids=[7] * 200 + list(range(1000, 1100)))
+    manifest = records.write_records(docs, PATH, folder)
+    assert max(r.n_records for r in manifest.collect()) < 150
+    rows = records.read_records(spark, manifest, folder).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [7] * 200 + list(range(1000, 1100))
+
+
 def test_null_and_repeated_identifiers_and_no_rows(spark):
     rows = records.token_records(brute.documents(spark, ["a b", None, "c", "c d e"], ids=[5, None, 5, None]), PATH).collect()
     rows.sort(key=lambda r: r.start)
