@@ -24,7 +24,7 @@ from ferry.llm.common import binary, filesystem, shared_folder, stored, whole
 
 CACHE = 200_000
 #: Bytes of text that are encoded at once.
-SLICE = 8 << 20
+SLICE = 16 << 20
 STOPS = b".,;:!?"
 #: The settings of tokenizers for which words can be encoded one by one.
 SETTINGS = {
@@ -146,6 +146,7 @@ class Words:
             settings = json.load(f)
         model = {k: settings["model"].get(k) for k in SETTINGS["model"]}
         found = {"normalizer": settings["normalizer"], "pre_tokenizer": settings["pre_tokenizer"], "model": model}
+        self.own = [t["content"].lower() for t in settings["added_tokens"]]
         blanks = any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in settings["added_tokens"])
         self.by_words = found == SETTINGS and not blanks
 
@@ -155,38 +156,41 @@ class Words:
         """One for all tasks of a Python worker."""
         return Words(path)
 
-    def _keep(self, word: bytes, ids: bytes) -> bytes:
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
-        self.young[word] = ids
-        return ids
-
-    def _known(self, word: bytes) -> bytes | None:
-        ids = self.young.get(word)
-        if ids is None:
-            ids = self.old.get(word)
+    def _known(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of words that were met lately; those of the old generation come into the young one."""
+        found = [*map(self.young.get, words)]
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            ids = self.old.get(words[k])
             if ids is not None:
-                self._keep(word, ids)
-        return ids
+                found[k] = self.young[words[k]] = ids
+        return found
 
     def look_up(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words, four bytes each."""
-        found, others = [self._known(w) for w in words], []
-        for k, word in enumerate(words):
-            if found[k] is None:
-                core = word.lower().rstrip(STOPS)
-                if not core.isalpha():  # of bytes: ASCII letters alone
-                    others.append(k)
-                    continue
-                ids, stops = self._known(core), word[len(core) :]
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        found, young = self._known(words), self.young
+        new = [k for k, ids in enumerate(found) if ids is None]
+        cores = [words[k].lower().rstrip(STOPS) for k in new]
+        plain = [core.isalpha() for core in cores]  # of bytes: ASCII letters alone
+        stops = {words[k][len(core) :] for k, core, letters in zip(new, cores, plain) if letters} - {b""}
+        others = [words[k] for k, letters in zip(new, plain) if not letters]
+        unmet = [s for s, ids in zip(stops, self._known([*stops])) if ids is None]
+        young.update(zip(unmet, self._others(unmet)))
+        made = dict(zip(others, self._others(others)))
+        tokenize = self.model.tokenize
+        for k, core, letters in zip(new, cores, plain):
+            word = words[k]
+            if letters:
+                ids = young.get(core) or self.old.get(core)
                 if ids is None:
-                    ids = self._keep(core, np.array([t.id for t in self.model.tokenize(core.decode())], "<u4").tobytes())
-                if stops:
-                    after = self._known(stops)
-                    ids += self._keep(stops, self._others([stops])[0]) if after is None else after
-                found[k] = ids if word == core else self._keep(word, ids)
-        for k, ids in zip(others, self._others([words[k] for k in others])):
-            found[k] = self._keep(words[k], ids)
+                    ids = young[core] = np.array([t.id for t in tokenize(core.decode())], "<u4").tobytes()
+                if word != core:
+                    ids = ids + young[word[len(core) :]] if len(word) > len(core) else ids
+                found[k] = ids
+            else:
+                found[k] = made[word]
+            young[word] = found[k]
         return found
 
     def _others(self, words: list[bytes], joined: int = 64) -> list[bytes]:
@@ -211,7 +215,8 @@ class Words:
         if not self.by_words:
             found = [e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
-        words = pc.ascii_split_whitespace(texts)
+        lower = pc.ascii_lower(texts)  # so that fewer words differ; but not into strings that have ids of their own
+        words = pc.ascii_split_whitespace(texts if any(pc.any(pc.match_substring(lower, t)).as_py() for t in self.own) else lower)
         flat, parents = words.values, pc.list_parent_indices(words).to_numpy()
         some = pc.not_equal(flat, "")
         flat, parents = flat.filter(some).dictionary_encode(), parents[some.to_numpy(zero_copy_only=False)]

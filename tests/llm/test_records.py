@@ -34,7 +34,7 @@ def test_records_survive_and_damage_is_found():
 
 def test_against_the_library_on_whole_texts(spark):
     tokenizer = Tokenizer.from_file(PATH)
-    texts = brute.TEXTS + ["It's <|endoftext|>x <|startoftext|> I'LL é ́a    b 12 3,4!? ΣΑΣ Σ", "a\x1cb\x85c\x00d", "﻿x", "ﬁ ﾊﾝ 한글"]
+    texts = brute.TEXTS + ["<|ENDOFTEXT|> A", "It's <|endoftext|>x <|startoftext|> I'LL é ́a    b 12 3,4!? ΣΑΣ Σ", "a\x1cb\x85c\x00d", "﻿x", "ﬁ ﾊﾝ 한글"]
     found = {r.doc_id: r for r in records.token_records(brute.documents(spark, texts), PATH).collect()}
     start = 0
     for i, text in enumerate(texts):
@@ -62,7 +62,7 @@ def test_what_is_kept_changes_nothing():
     for at in range(0, 400, 50):
         a, b = small.encode(texts[at : at + 50]), large.encode(texts[at : at + 50])
         assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
-    assert len(small.young) <= 5 and len(small.old) <= 5
+    assert len(small.young) < 300 and len(small.old) < 300  # a slice's words at most, beyond its size
 
 
 def test_one_identifier_of_most_rows_is_in_several_files(spark):
