@@ -6,7 +6,7 @@ rows name batches of documents in a store in the shared folder:
 
 1. Store the texts in batches and find documents whose word sequences are the same; only the first of them goes on.
 2. Leave out suffixes that cannot reach a deep internal node: those whose 20 words, by a short hash, occur in no other
-   batch and once in their own.
+   batch and once in their own. What is left of each batch is stored; the next steps read that.
 3. Count suffixes by the hash of their first edge; a prefix with more than a group may hold is made longer by an edge,
    and so on.
 4. Build the subtree of each group: sort the paths, compare neighbours. A deep internal node holds the starts of one
@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +72,12 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending, each once; by sorting, as numpy's own way by a hash table takes several times as long."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 class Suffixes:
     """The suffixes of some documents that are DEPTH words long or longer: for each its document, its start, and the
     edges of its path."""
@@ -191,14 +198,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
 
 
-def _loaded(folder: str, row: dict) -> tuple[list[int | None], list[list[bytes]], Suffixes]:
-    """Identifiers, words and suffixes of the documents of a batch that go on, in ascending order of the identifiers
-    (null last)."""
+def _loaded(folder: str, row: dict) -> tuple[list[int | None], list[list[bytes]]]:
+    """Identifiers and words of the documents of a batch that go on, in ascending order of the identifiers (null last)."""
     ids, texts = read_batch(folder, row["file"], row["no"])
     gone = set(row["gone"] or ())
     order = sorted((k for k in range(len(ids)) if k not in gone), key=lambda k: (ids[k] is None, ids[k] or 0, k))
-    words = [texts[k].split() for k in order]
-    return [ids[k] for k in order], words, Suffixes(words)
+    return [ids[k] for k in order], [texts[k].split() for k in order]
 
 
 # Step 2
@@ -206,7 +211,7 @@ def _loaded(folder: str, row: dict) -> tuple[list[int | None], list[list[bytes]]
 def _short_hashes(folder: str, bits: int, parts: int):
     def run(batches):
         for row in _rows(batches):
-            found = np.unique(_loaded(folder, row)[2].short(bits))
+            found = _distinct(Suffixes(_loaded(folder, row)[1]).short(bits))
             some, starts = np.unique(found >> np.uint64(bits - parts), return_index=True)
             blobs = [pack(found[a:b]) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)])]
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +230,7 @@ def _in_several(table: pa.Table) -> pa.Table:
     lists = [unpack(b) for b in table.column("blob").to_pylist()]
     every = np.concatenate(lists)
     every.sort()
-    several = np.unique(every[1:][every[1:] == every[:-1]])
+    several = _distinct(every[1:][every[1:] == every[:-1]])
     bits = [np.packbits(np.isin(x, several, assume_unique=True)).tobytes() for x in lists]
     return pa.table({"batch": table.column("batch"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
 
@@ -242,6 +247,42 @@ def _repeated(suffixes: Suffixes, row: dict, bits: int, parts: int) -> Suffixes:
     return suffixes.taken(keep[which])
 
 
+def _survivors(folder: str, bits: int, parts: int, prefix_bits: int):
+    """Write the repeated suffixes of each batch to a file, and count them by the part their first edge falls into. The row
+    of a batch comes first; a file of another attempt is never named."""
+    names = ["batch", "left", "group", "n"]
+
+    def run(batches):
+        system, path = filesystem(folder)
+        for row in _rows(batches):
+            ids, words = _loaded(folder, row)
+            suffixes = _repeated(Suffixes(words), row, bits, parts)
+            name = f"left-{uuid.uuid4().hex}"
+            columns = [suffixes.doc.astype(np.int32), suffixes.start.astype(np.int32), *suffixes.edges]
+            table = pa.table([pa.array(c) for c in columns], names=["doc", "start", *(f"e{k}" for k in range(EDGES))])
+            table = table.append_column("id", pa.array(ids, pa.int64()).take(pa.array(suffixes.doc)))
+            with system.open_output_stream(f"{path}/{name}") as f, pa.ipc.new_file(f, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table)
+            kinds, times = np.unique(_groups(suffixes, prefix_bits, {}), return_counts=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row["batch"]] * (len(kinds) + 1)), pa.array([name] + [None] * len(kinds), pa.string()),
+                pa.array([None, *kinds.astype(np.int64).tolist()], pa.int64()), pa.array([None, *times.tolist()], pa.int64()),
+            ], names)
+
+    return run
+
+
+def _left(folder: str, row: dict) -> tuple[Suffixes, pa.Array]:
+    """The repeated suffixes of a batch, and the identifiers of their documents."""
+    system, path = filesystem(folder)
+    with system.open_input_file(f"{path}/{row['left']}") as f:
+        table = pa.ipc.open_file(f).read_all().combine_chunks()
+    suffixes = object.__new__(Suffixes)
+    suffixes.doc, suffixes.start = (table.column(c).to_numpy().astype(np.int64) for c in ("doc", "start"))
+    suffixes.edges = [table.column(f"e{k}").to_numpy() for k in range(EDGES)]
+    return suffixes, table.column("id")
+
+
 # Steps 3 and 4
 
 def _groups(suffixes: Suffixes, bits: int, hot: dict[int, np.ndarray]) -> np.ndarray:
@@ -259,7 +300,7 @@ def _groups(suffixes: Suffixes, bits: int, hot: dict[int, np.ndarray]) -> np.nda
 def _prefix_counts(folder: str, bits: int, hot: dict[int, np.ndarray], level: int):
     def run(batches):
         for row in _rows(batches):
-            groups = _groups(_loaded(folder, row)[2], bits, hot)
+            groups = _groups(_left(folder, row)[0], bits, hot)
             kinds, times = np.unique(groups[groups % np.uint64(EDGES) == level], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int64)), pa.array(times)], ["group", "n"])
 
@@ -277,17 +318,16 @@ def _entries(suffixes: Suffixes, groups: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, new, np.cumsum(new) - 1
 
 
-def _to_groups(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[int, np.ndarray]):
+def _to_groups(folder: str, prefix_bits: int, hot: dict[int, np.ndarray]):
     def run(batches):
         for row in _rows(batches):
-            ids, _, suffixes = _loaded(folder, row)
-            suffixes = _repeated(suffixes, row, bits, parts)
+            suffixes, ids = _left(folder, row)
             groups = _groups(suffixes, prefix_bits, hot)
             order, new, _ = _entries(suffixes, groups)
             firsts = order[new]
             of = groups[firsts]
             kinds, starts = np.unique(of, return_index=True)
-            least = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], np.int64)[suffixes.doc[firsts]]
+            least = pc.fill_null(ids, np.iinfo(np.int64).max).to_numpy()[firsts]
             rank = (least.view(np.uint64) ^ np.uint64(1 << 63)) if len(least) else np.empty(0, np.uint64)
             blobs = []
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(of)]):
@@ -335,13 +375,12 @@ def _subtree(table: pa.Table) -> pa.Table:
 
 # Step 5
 
-def _kept(folder: str, bits: int, parts: int, prefix_bits: int, hot: dict[int, np.ndarray]):
+def _kept(folder: str, prefix_bits: int, hot: dict[int, np.ndarray]):
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for row in _rows(batches):
-            ids, words, suffixes = _loaded(folder, row)
-            suffixes = _repeated(suffixes, row, bits, parts)
+            (ids, words), (suffixes, _) = _loaded(folder, row), _left(folder, row)
             groups = _groups(suffixes, prefix_bits, hot)
             order, new, path = _entries(suffixes, groups)
             later, of = np.zeros(int(new.sum()), bool), groups[order[new]]
@@ -432,24 +471,26 @@ def without_repeats(
     several = hashes.groupBy("part").applyInArrow(_in_several, "batch string, part long, bits binary")
     several = several.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("several"))
     # merge joins: what is told about a batch compresses so well that Spark would take it for small and broadcast it
-    told = stored(batches.join(several.hint("merge"), "batch", "left"))
-
+    told = batches.join(several.hint("merge"), "batch", "left").repartition(tasks)
     prefix_bits, hot = parts + 1, {}
+    left = stored(told.mapInArrow(_survivors(folder, bits, parts, prefix_bits), "batch string, left string, group long, n long"))
+    batches = stored(batches.join(left.filter("left IS NOT NULL").select("batch", "left").hint("merge"), "batch"))
+
+    counts = left.filter("group IS NOT NULL").select("group", "n")
     for level in range(EDGES - 1):
-        counts = told.repartition(tasks).mapInArrow(_prefix_counts(folder, prefix_bits, hot, level), "group long, n long")
         large = [r.group for r in counts.groupBy("group").agg(F.sum("n").alias("n")).filter(F.col("n") > group).collect()]
         if not large:
             break
         hot[level + 1] = np.array(sorted(large), np.uint64)
+        if level + 2 < EDGES:
+            counts = batches.repartition(tasks).mapInArrow(_prefix_counts(folder, prefix_bits, hot, level + 1), "group long, n long")
 
-    sent = told.repartition(tasks).mapInArrow(
-        _to_groups(folder, bits, parts, prefix_bits, hot), "group long, batch string, blob binary"
-    )
+    sent = batches.repartition(tasks).mapInArrow(_to_groups(folder, prefix_bits, hot), "group long, batch string, blob binary")
     later = sent.groupBy("group").applyInArrow(_subtree, "batch string, group long, bits binary")
     later = later.groupBy("batch").agg(F.collect_list(F.struct("group", "bits")).alias("later"))
-    final = told.join(later.hint("merge"), "batch", "left").repartition(tasks)
+    final = batches.join(later.hint("merge"), "batch", "left").repartition(tasks)
     schema = "id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
-    done = final.mapInArrow(_kept(folder, bits, parts, prefix_bits, hot), schema)
+    done = final.mapInArrow(_kept(folder, prefix_bits, hot), schema)
     span = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     whole_ = copies.select(
         "id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"), span.alias("spans")
