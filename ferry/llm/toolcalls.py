@@ -4,115 +4,341 @@ from __future__ import annotations
 
 import json
 import math
+import re
+import sys
 from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferry.llm.common import pieces, stored
 
+#: The keywords of the JSON schema language that say nothing about a value.
+NOTES = frozenset(
+    "$schema $id $comment $defs definitions title description default examples deprecated readOnly writeOnly format".split()
+)
+#: Keywords that hold schemas: one, a list of them, or some by name.
+ONE, MANY, NAMED = ("not", "if", "then", "else", "items", "contains", "additionalProperties", "propertyNames"), ("allOf", "anyOf", "oneOf", "prefixItems"), (
+    "properties", "patternProperties", "$defs", "definitions")
+#: Those of them that look at the same value, not at one inside it.
+SAME = ("not", "if", "then", "else", "allOf", "anyOf", "oneOf")
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+class Number:
+    """A number by its exact value: `digits` times ten to the `power`; digits do not end in a zero, and zero is (0, 0)."""
+
+    def __init__(self, text: str | int | float):
+        sign, digits, power = Decimal(str(text)).as_tuple()
+        body = "".join(map(str, digits)).lstrip("0")
+        kept = body.rstrip("0")
+        self.minus, self.digits, self.power = bool(sign) and kept != "", kept or "0", power + len(body) - len(kept) if kept else 0
+
+    def key(self) -> tuple:
+        return self.minus, self.digits, self.power
+
+    def whole(self) -> bool:
+        return self.power >= 0
+
+    def __lt__(self, other: Number) -> bool:
+        if self.minus != other.minus:
+            return self.minus
+        zeros = [n.digits == "0" for n in (self, other)]
+        if any(zeros):
+            return (zeros[0] and not zeros[1]) != self.minus and self.key() != other.key()
+        (a, x), (b, y) = ((len(n.digits) + n.power, n.digits) for n in (self, other))
+        return self.key() != other.key() and ((a, x) < (b, y)) != self.minus
+
+    def multiple_of(self, other: Number) -> bool:
+        """Without writing powers of ten out, which may be as large as one likes."""
+        with_digits(max(len(self.digits), len(other.digits)))
+        a, b, far = int(self.digits), int(other.digits), self.power - other.power
+        if far >= 0:
+            return a * pow(10, far, b) % b == 0
+        return a == 0 or -far < len(self.digits) + 1 and a % (b * 10**-far) == 0
+
+    def text(self) -> str:
+        """Digits and a point from 1e-6 up to 1e21, else with an exponent."""
+        sign, n, point = "-" if self.minus else "", self.digits, len(self.digits) + self.power
+        if self.digits == "0":
+            return "0"
+        if -6 < point <= 21:
+            body = n + "0" * self.power if self.power >= 0 else n[:point] + "." + n[point:] if point > 0 else "0." + "0" * -point + n
+        else:
+            body = n[0] + ("." + n[1:] if len(n) > 1 else "") + f"e{point - 1:+d}"
+        return sign + body
+
+
+def with_digits(n: int) -> None:
+    """Let whole numbers of so many digits be read: Python refuses very long ones unless told."""
+    if 0 < sys.get_int_max_str_digits() < n:
+        sys.set_int_max_str_digits(n)
+
+
 _TYPES = {
     "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list), "string": lambda v: isinstance(v, str),
-    "boolean": lambda v: isinstance(v, bool), "null": lambda v: v is None,
-    "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
+    "boolean": lambda v: isinstance(v, bool), "null": lambda v: v is None, "number": lambda v: isinstance(v, Number),
+    "integer": lambda v: isinstance(v, Number) and v.whole(),
 }
 
 
-def faults(value, schema: dict, at: str = "$") -> list[str]:
-    """Where a value departs from a JSON schema. Of the schema language: type, enum, const, properties, required,
-    additionalProperties, items, minItems, maxItems, minLength, maxLength, minimum, maximum."""
-    found = []
+def exact(value):
+    """A value with its numbers as Numbers: what is parsed and what schemas hold are then alike."""
+    if isinstance(value, bool) or value is None or isinstance(value, (str, Number)):
+        return value
+    if isinstance(value, (int, float)):
+        return Number(value)
+    return [exact(v) for v in value] if isinstance(value, list) else {k: exact(v) for k, v in value.items()}
+
+
+def check_schema(schema, root=None, at: str = "#", within: tuple = (), done: set | None = None) -> None:
+    """An error for a schema with keywords that are not known here, references that lead nowhere, or ones that come back to
+    a schema without looking at anything inside the value. within: the references followed for one value."""
+    root, done = schema if root is None else root, set() if done is None else done
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: not a schema")
+    unknown = set(schema) - set(_CHECKS) - NOTES - {*ONE, *MANY, *NAMED, "$ref"}
+    if unknown:
+        raise ValueError(f"{at}: keywords not known: {', '.join(sorted(unknown))}")
+    kinds = schema.get("type", [])
+    if set([kinds] if isinstance(kinds, str) else kinds) - set(_TYPES):
+        raise ValueError(f"{at}: types not known: {kinds}")
+    for pattern in (schema.get("pattern", ""), *schema.get("patternProperties", ())):
+        re.compile(pattern)
+    if "multipleOf" in schema and not Number(0) < Number(schema["multipleOf"]):
+        raise ValueError(f"{at}: multipleOf must be more than zero")
+    ref = schema.get("$ref")
+    if ref in within:
+        raise ValueError(f"{at}: the reference {ref} leads back to itself")
+    if ref is not None and ref not in done:
+        done.add(ref)
+        check_schema(referred(root, ref), root, ref, (*within, ref), done)
+    for key in schema:
+        parts: list = [("", schema[key])] if key in ONE else []
+        if key in MANY or key in NAMED:
+            parts = [(f"/{k}", part) for k, part in (schema[key].items() if isinstance(schema[key], dict) else enumerate(schema[key]))]
+        for k, part in parts:
+            check_schema(part, root, f"{at}/{key}{k}", within if key in SAME else (), done)
+
+
+def referred(root, ref: str):
+    """The schema that `#/a/b` names inside the root."""
+    found = root
+    for part in [] if ref in ("#", "") else ref.removeprefix("#/").split("/"):
+        part = part.replace("~1", "/").replace("~0", "~")
+        try:
+            found = found[int(part)] if isinstance(found, list) else found[part]
+        except (KeyError, ValueError, IndexError, TypeError):
+            raise ValueError(f"the reference {ref!r} names no schema inside this one") from None
+    return found
+
+
+def same(a, b) -> bool:
+    """Equal as JSON values: numbers by value, and never equal to booleans."""
+    return canonical(a) == canonical(b)
+
+
+def _bounds(least: str, most: str, kind: type):
+    def check(value, schema: dict) -> str | None:
+        if isinstance(value, kind) and not schema.get(least, 0) <= len(value) <= schema.get(most, math.inf):
+            return f"length {len(value)} is out of bounds"
+        return None
+
+    return check
+
+
+def _range(value, schema: dict) -> str | None:
+    if not isinstance(value, Number):
+        return None
+    limits = {k: exact(schema[k]) for k in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum") if k in schema}
+    out = "minimum" in limits and value < limits["minimum"] or "maximum" in limits and limits["maximum"] < value
+    out = out or "exclusiveMinimum" in limits and not limits["exclusiveMinimum"] < value
+    return "out of bounds" if out or "exclusiveMaximum" in limits and not value < limits["exclusiveMaximum"] else None
+
+
+def _enum(value, schema: dict) -> str | None:
+    wrong = "enum" in schema and not any(same(value, exact(v)) for v in schema["enum"]) or "const" in schema and not same(value, exact(schema["const"]))
+    return "not one of the allowed values" if wrong else None
+
+
+def _pattern(value, schema: dict) -> str | None:
+    return "does not match the pattern" if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value) else None
+
+
+def _multiple(value, schema: dict) -> str | None:
+    return "not a multiple" if isinstance(value, Number) and "multipleOf" in schema and not value.multiple_of(exact(schema["multipleOf"])) else None
+
+
+def _unique(value, schema: dict) -> str | None:
+    return "items repeat" if isinstance(value, list) and schema.get("uniqueItems") and len({canonical(v) for v in value}) < len(value) else None
+
+
+#: By keyword what is checked of a value itself; one function is run once.
+_CHECKS: dict = {
+    "enum": _enum, "const": _enum, "minItems": _bounds("minItems", "maxItems", list), "minLength": _bounds("minLength", "maxLength", str),
+    "minProperties": _bounds("minProperties", "maxProperties", dict), "minimum": _range, "pattern": _pattern, "multipleOf": _multiple, "uniqueItems": _unique,
+}
+for _key, _like in {"maxItems": "minItems", "maxLength": "minLength", "maxProperties": "minProperties", "maximum": "minimum", "exclusiveMinimum": "minimum", "exclusiveMaximum": "minimum"}.items():
+    _CHECKS[_key] = _CHECKS[_like]
+_CHECKS |= dict.fromkeys(("type", "required", "dependentRequired", "minContains", "maxContains"))
+
+
+def faults(value, schema, at: str = "$", root=None) -> list[str]:
+    """Where a value (see `exact`) departs from a JSON schema. All keywords that say something about values are known but
+    `unevaluated...`, `dependentSchemas` and dynamic references, which `check_schema` refuses; `format` is a note. Patterns
+    are Python's."""
+    root = schema if root is None else root
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
     kinds = schema.get("type")
     kinds = [kinds] if isinstance(kinds, str) else kinds
     if kinds and not any(_TYPES[k](value) for k in kinds):
         return [f"{at}: not of type {'|'.join(kinds)}"]
-    if "enum" in schema and value not in schema["enum"] or "const" in schema and value != schema["const"]:
-        found.append(f"{at}: not one of the allowed values")
+    found = faults(value, referred(root, schema["$ref"]), at, root) if "$ref" in schema else []
+    for check in dict.fromkeys(_CHECKS[k] for k in _CHECKS if k in schema and _CHECKS[k]):
+        problem = check(value, schema)
+        found += [f"{at}: {problem}"] if problem else []
     if isinstance(value, dict):
-        known = schema.get("properties", {})
-        found += [f"{at}.{k}: missing" for k in schema.get("required", ()) if k not in value]
-        for k in sorted(value):
-            if k in known:
-                found += faults(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties", True) is False:
-                found.append(f"{at}.{k}: not known")
-            elif isinstance(schema.get("additionalProperties"), dict):
-                found += faults(value[k], schema["additionalProperties"], f"{at}.{k}")
-    bounds = (("minItems", "maxItems", list), ("minLength", "maxLength", str))
-    for least, most, kind in bounds:
-        if isinstance(value, kind) and not schema.get(least, 0) <= len(value) <= schema.get(most, math.inf):
-            found.append(f"{at}: length {len(value)} is out of bounds")
-    if isinstance(value, list) and "items" in schema:
-        for i, v in enumerate(value):
-            found += faults(v, schema["items"], f"{at}[{i}]")
-    if _TYPES["number"](value) and not schema.get("minimum", -math.inf) <= value <= schema.get("maximum", math.inf):
-        found.append(f"{at}: out of bounds")
+        found += _in_object(value, schema, at, root)
+    if isinstance(value, list):
+        found += _in_array(value, schema, at, root)
+    for part in schema.get("allOf", ()):
+        found += faults(value, part, at, root)
+    if "anyOf" in schema and all(faults(value, part, at, root) for part in schema["anyOf"]):
+        found.append(f"{at}: none of the alternatives")
+    if "oneOf" in schema and (n := sum(not faults(value, part, at, root) for part in schema["oneOf"])) != 1:
+        found.append(f"{at}: {n} of the alternatives, not one")
+    if "not" in schema and not faults(value, schema["not"], at, root):
+        found.append(f"{at}: is what it must not be")
+    if "if" in schema:
+        found += faults(value, schema.get("else" if faults(value, schema["if"], at, root) else "then", True), at, root)
     return found
 
 
-def _number(text: str) -> float | int:
-    value = float(text)
-    if not math.isfinite(value):
-        raise ValueError(f"not finite: {text}")
-    return int(value) if value.is_integer() and abs(value) < 2**53 else value
+def _in_object(value: dict, schema: dict, at: str, root) -> list[str]:
+    known, patterns = schema.get("properties", {}), schema.get("patternProperties", {})
+    found = [f"{at}.{k}: missing" for k in schema.get("required", ()) if k not in value]
+    found += [f"{at}.{k}: missing" for one, others in schema.get("dependentRequired", {}).items() if one in value for k in others if k not in value]
+    for k in sorted(value):
+        by = [known[k]] if k in known else []
+        by += [part for pattern, part in patterns.items() if re.search(pattern, k)]
+        for part in by:
+            found += faults(value[k], part, f"{at}.{k}", root)
+        if not by and schema.get("additionalProperties") is False:
+            found.append(f"{at}.{k}: not known")
+        elif not by and "additionalProperties" in schema:
+            found += faults(value[k], schema["additionalProperties"], f"{at}.{k}", root)
+        if "propertyNames" in schema and faults(k, schema["propertyNames"], at, root):
+            found.append(f"{at}.{k}: not a name that is allowed")
+    return found
+
+
+def _in_array(value: list, schema: dict, at: str, root) -> list[str]:
+    first, found = schema.get("prefixItems", ()), []
+    for i, v in enumerate(value):
+        if i < len(first):
+            found += faults(v, first[i], f"{at}[{i}]", root)
+        elif "items" in schema:
+            found += faults(v, schema["items"], f"{at}[{i}]", root)
+    if "contains" in schema:
+        n = sum(not faults(v, schema["contains"], at, root) for v in value)
+        if not schema.get("minContains", 1) <= n <= schema.get("maxContains", math.inf):
+            found.append(f"{at}: {n} items are of the kind it must contain")
+    return found
 
 
 def _constant(text: str):
     raise ValueError(f"not JSON: {text}")
 
 
+def escaped(text: str) -> str:
+    """A text that UTF-8 can hold: half a pair of surrogates, which JSON may have, is written as its escape."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    """Keys in code point order, no blanks, characters as themselves, whole numbers without a fraction."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Keys in code point order, no blanks, characters as themselves, numbers by their value: `1e22` and
+    `10000000000000000000000` are the same text, and so are `2.0` and `2`."""
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{canonical(k)}:{canonical(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return Number(value).text()
+    return value.text() if isinstance(value, Number) else escaped(json.dumps(value, ensure_ascii=False))
 
 
 def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -> tuple[str, list[str]]:
-    """The arguments as canonical JSON ("null" if they are no JSON), and their faults."""
+    """The arguments as canonical JSON ("null" if they are no JSON, or nested deeper than Python follows), and their
+    faults."""
     try:
-        value = json.loads(arguments or "", parse_float=_number, parse_constant=_constant)
-    except (ValueError, RecursionError):
+        value = json.loads(arguments or "", parse_float=Number, parse_int=Number, parse_constant=_constant)
+        text = canonical(value)
+        if name not in schemas:
+            return text, [f"$: no tool is called {canonical(name)}"]
+        return text, [escaped(f) for f in faults(value, schemas[name])]
+    except (ValueError, InvalidOperation):
         return "null", ["$: not JSON"]
-    if name not in schemas:
-        return canonical(value), [f"$: no tool is called {canonical(name)}"]
-    return canonical(value), faults(value, schemas[name])
+    except RecursionError:
+        return "null", ["$: nested too deep"]
 
 
-def depths(calls: DataFrame) -> DataFrame:
-    """`conv_id, call_id, depth`: how many calls come before each one by following `after`; null for calls in a cycle or
-    behind one. An `after` that names no call counts as none.
+#: Depth of what is in a cycle or behind one.
+ENDLESS = 1 << 40
+
 
-    Each round doubles how far every call looks back, so the number of joins is the logarithm of the longest chain, and
-    a conversation that holds a third of all calls is worked on by all tasks: rows are keyed by call.
+def depths(calls: DataFrame) -> DataFrame:
+    """`conv_id, call_id, depth`: the longest chain of calls that must come before each one, for `after` with the names of
+    those right before it (an array, or one name); null for calls in a cycle or behind one. Names of no call count as none.
+
+    A call waits for others by edges with lengths, and has a depth of at least something. In each round an edge to a call
+    that waits for none becomes such a least depth, and one to a call that waits for one other leads on to that: chains
+    shrink to half in a round, and a conversation that holds a third of all calls is worked on by all tasks, as rows
+    are keyed by call. An edge longer than its conversation has calls is a cycle's; so is all that is left when nothing
+    changes. Rounds grow with the logarithm of chains, and with the number of joins in a row that wait for several.
     """
     key = ["conv_id", "call_id"]
-    there = calls.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there"))
-    state = calls.select(*key, "after").join(there, ["conv_id", "after"], "left")
-    state = stored(
-        state.select(
-            *key, F.when(F.col("there"), F.col("after")).alias("ahead"),
-            F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"),
+    if isinstance(calls.schema["after"].dataType, T.StringType):
+        calls = calls.withColumn("after", F.array("after"))
+    there = calls.select("conv_id", F.col("call_id").alias("to"))
+    sizes = calls.groupBy("conv_id").agg(F.count("*").alias("most"))
+    wanted = calls.select(*key, F.explode(F.array_distinct("after")).alias("to")).join(there, ["conv_id", "to"])
+    edges = stored(wanted.join(sizes, "conv_id").select(*key, "to", F.lit(1).cast("long").alias("far"), "most"))
+    state = stored(calls.select(*key, F.lit(0).cast("long").alias("depth")))
+    while not edges.isEmpty():
+        waits = edges.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("to", "far")).alias("one"))
+        of = state.join(waits, key, "left").select(
+            "conv_id", F.col("call_id").alias("to"), F.col("depth").alias("its"), F.coalesce("n", F.lit(0)).alias("n"), "one"
         )
-    )
-    for _ in range(max(1, math.ceil(math.log2(state.count() + 1))) + 1):
-        if state.filter(F.col("ahead").isNotNull()).isEmpty():
-            break
-        to = state.select(
-            "conv_id", F.col("call_id").alias("ahead"), F.col("ahead").alias("further"), F.col("depth").alias("more")
+        seen = stored(edges.join(of, ["conv_id", "to"]))
+        through = F.col("n") <= 1
+        lasting = (F.col("to") == F.col("call_id")) | (F.col("far") >= F.col("most"))
+        gained = seen.filter(through | lasting).select(
+            *key, F.when(lasting, F.lit(ENDLESS)).otherwise(F.least(F.col("its") + F.col("far"), F.lit(ENDLESS))).alias("depth")
         )
-        done = state.filter(F.col("ahead").isNull())
-        moved = state.filter(F.col("ahead").isNotNull()).join(to, ["conv_id", "ahead"])
-        moved = moved.select(*key, F.col("further").alias("ahead"), (F.col("depth") + F.col("more")).alias("depth"))
-        state = stored(done.union(moved))
-    return state.select(*key, F.when(F.col("ahead").isNull(), F.col("depth")).alias("depth"))
+        if gained.isEmpty():  # all that still waits does so in cycles, or behind them
+            gained, rest = edges.select(*key, F.lit(ENDLESS).alias("depth")), None
+        else:
+            on = F.when(F.col("n") == 1, F.struct(F.col("one.to").alias("to"), (F.col("far") + F.col("one.far")).alias("far"))).otherwise(F.struct("to", "far"))
+            rest = seen.filter("n > 0").select(*key, on.alias("on"), "most").groupBy(*key, "on.to", "most").agg(F.max("on.far").alias("far"))
+        state = stored(state.unionByName(gained).groupBy(*key).agg(F.max("depth").alias("depth")))
+        if rest is None:
+            break
+        # what is known to be in a cycle waits no more
+        edges = stored(rest.join(state.filter(F.col("depth") >= ENDLESS).select(*key), key, "left_anti").select(*key, "to", "far", "most"))
+    return state.select(*key, F.when(F.col("depth") < ENDLESS, F.col("depth")).alias("depth"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """Link calls with results and write each as one canonical JSON object.
 
-    calls: `conv_id, call_id, after, position, name, arguments` (JSON text); `after` names a call of the same
-    conversation that must come first.
+    calls: `conv_id, call_id, after, position, name, arguments` (JSON text); `after` names the calls of the same
+    conversation that must come first: an array, or one.
     results: `conv_id, call_id, position, content`.
 
     Returns a row for each distinct (conv_id, call_id), sorted so that a conversation's calls follow those they come
@@ -120,8 +346,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     identifier the first by position (then name, arguments) counts, of results likewise; their numbers are reported.
     Results whose call is not there are left out (see `orphans`). A call is valid if its arguments fit its tool's
     schema, it is not in or behind a cycle, and no other has its identifier. Rows without conversation or call
-    identifier cannot be linked and are left out. Null arguments are no JSON.
+    identifier cannot be linked and are left out. Null arguments are no JSON. A schema with keywords that are not known is
+    an error (see `check_schema`).
     """
+    for name in schemas:
+        check_schema(schemas[name])
     key = ["conv_id", "call_id"]
     one = calls.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()).groupBy(*key).agg(
         F.min(F.struct("position", "name", "arguments", "after")).alias("call"), F.count("*").alias("n_calls"))
@@ -173,20 +402,23 @@ def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
 SCHEMAS = {
     role: {
         "type": "object", "required": ["text", "turn"], "additionalProperties": False,
-        "properties": {"text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}},
+        "properties": {
+            "text": {"type": "string", "minLength": 1, "maxLength": 1000, "pattern": "[aeiou][.]$"},
+            "turn": {"type": "integer", "minimum": 0, "exclusiveMaximum": 6},
+        },
     } for role in ("user", "system")
 }
 
 
 def as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Conversations as calls and results. A turn that is not the assistant's calls the tool of its role, after the call
-    two turns before it; the assistant's turn is the result of the call one turn before it."""
+    """Conversations as calls and results. A turn that is not the assistant's calls the tool of its role, after the calls
+    two and four turns before it; the assistant's turn is the result of the call one turn before it."""
     def named(back: int):
         return F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
 
     asks = messages.filter(~F.col("role").eqNullSafe("assistant"))
     calls = asks.select(
-        "conv_id", F.when(F.col("turn").isNotNull(), named(0)).alias("call_id"), named(2).alias("after"), F.col("turn").cast("long").alias("position"),
+        "conv_id", F.when(F.col("turn").isNotNull(), named(0)).alias("call_id"), F.array(named(2), named(4)).alias("after"), F.col("turn").cast("long").alias("position"),
         F.col("role").alias("name"), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"), "turn")).alias("arguments"))
     results = messages.filter("role = 'assistant'").select(
         "conv_id", F.when(F.col("turn").isNotNull(), named(1)).alias("call_id"),
@@ -200,13 +432,16 @@ def linked_conversations(messages: DataFrame) -> DataFrame:
 
 
 SQL = """
-WITH calls AS (SELECT conv_id, turn, role, text, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain
-               FROM conversations WHERE role <> 'assistant'),
+WITH asks AS (SELECT *, coalesce(turn - lag(turn) OVER w > 4, false) AS apart FROM conversations WHERE role <> 'assistant'
+              WINDOW w AS (PARTITION BY conv_id, turn % 2 ORDER BY turn)),
+     calls AS (SELECT conv_id, turn, role, text, count(*) FILTER (apart) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain,
+                   concat_ws('; ', CASE WHEN length(text) NOT BETWEEN 1 AND 1000 THEN '$.text: length ' || length(text) || ' is out of bounds' END,
+                       CASE WHEN NOT regexp_matches(text, '[aeiou][.]\n?$') THEN '$.text: does not match the pattern' END,
+                       CASE WHEN turn < 0 OR turn >= 6 THEN '$.turn: out of bounds' END) AS faults FROM asks),
      results AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant')
 SELECT c.conv_id, c.conv_id || ':' || c.turn AS call_id, c.turn AS position,
        row_number() OVER (PARTITION BY c.conv_id, c.turn % 2, c.chain ORDER BY c.turn) - 1 AS depth, 1 AS n_calls,
-       CASE WHEN r.turn IS NULL THEN 0 ELSE 1 END AS n_results, length(c.text) > 0 AS valid,
-       CASE WHEN length(c.text) > 0 THEN '' ELSE '$.text: length 0 is out of bounds' END AS faults,
+       CASE WHEN r.turn IS NULL THEN 0 ELSE 1 END AS n_results, faults = '' AS valid, faults,
        '{"arguments":{"text":' || CAST(to_json(c.text) AS VARCHAR) || ',"turn":' || c.turn || '},"id":"' || c.conv_id || ':' || c.turn || '","name":"'
            || c.role || '","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}' AS message
 FROM calls c LEFT JOIN results r ON r.conv_id = c.conv_id AND r.turn = c.turn + 1"""
