@@ -27,6 +27,11 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    """A column by its plain name, whatever characters that has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows, written to the folder that all executors share and read from there: this cuts the lineage and
     survives lost executors. Only rows of committed tasks are read."""

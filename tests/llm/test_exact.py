@@ -46,3 +46,12 @@ def test_dedup_keeps_the_columns_and_the_smallest(spark):
 def test_no_python_on_the_executors(spark):
     plan = exact.exact_groups(brute.documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_runs_are_merged_in_sorted_blocks(spark):
+    """Each round of the plan merges sorted blocks; small blocks give the same result."""
+    texts = [f"text {i % 90}" for i in range(400)]
+    groups = exact.exact_groups(brute.documents(spark, texts), block=16)
+    assert rows_of(groups) == brute.exact(list(enumerate(texts)))
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_sort(flatten(collect_list(") == 3 and plan.count("array_sort(collect_list(") == 1
