@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import heapq
 import json
+from collections import defaultdict, deque
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import WORD, stored, whole
+from ferry.llm.common import WORD, quoted, stored, whole
 
-#: Patterns are summed up on the cluster and meet on the driver; more kinds of them than this are an error, not cut off.
-MOST_PATTERNS = 20_000
+#: Rows of a table of patterns that is broadcast; a larger one meets the documents by a shuffle.
+MOST_BROADCAST = 20_000
 BINS = 1024
 
 
@@ -35,71 +34,113 @@ def targets(
     return found
 
 
-@dataclass
-class _Arc:
-    to: int
-    room: int
-    cost: int
-    back: int  # its reverse among the arcs of `to`
-
-
 class Flow:
-    """Successive cheapest paths. Costs are whole numbers of 0 or more; capacities are tokens."""
+    """Largest flow by blocking flows: levels by breadth, then paths down the levels until none is left. Arcs may be added
+    between runs; what flows already stays."""
 
     def __init__(self, nodes: int):
-        self.arcs: list[list[_Arc]] = [[] for _ in range(nodes)]
-
-    def add(self, a: int, b: int, room: int, cost: int = 0) -> _Arc:
-        self.arcs[a].append(_Arc(b, room, cost, len(self.arcs[b])))
-        self.arcs[b].append(_Arc(a, 0, -cost, len(self.arcs[a]) - 1))
-        return self.arcs[a][-1]
+        self.of: list[list[int]] = [[] for _ in range(nodes)]
+        self.to: list[int] = []
+        self.room: list[int] = []  # an arc's reverse is its number with the last bit turned
+
+    def add(self, a: int, b: int, room: int) -> int:
+        for at, to, free in ((a, b, room), (b, a, 0)):
+            self.of[at].append(len(self.to))
+            self.to.append(to)
+            self.room.append(free)
+        return len(self.to) - 2
+
+    def through(self, arc: int) -> int:
+        return self.room[arc ^ 1]
+
+    def _levels(self, source: int, sink: int) -> list[int]:
+        level, queue = [-1] * len(self.of), deque([source])
+        level[source] = 0
+        while queue:
+            a = queue.popleft()
+            for arc in self.of[a]:
+                if self.room[arc] and level[self.to[arc]] < 0:
+                    level[self.to[arc]] = level[a] + 1
+                    queue.append(self.to[arc])
+        return level
 
     def run(self, source: int, sink: int) -> None:
-        potential = [0] * len(self.arcs)
-        while True:
-            far, came, queue = {source: 0}, {}, [(0, source)]
-            while queue:
-                d, a = heapq.heappop(queue)
-                if d > far[a]:
-                    continue
-                for k, arc in enumerate(self.arcs[a]):
-                    reached = d + arc.cost + potential[a] - potential[arc.to]
-                    if arc.room and reached < far.get(arc.to, reached + 1):
-                        far[arc.to], came[arc.to] = reached, (a, k)
-                        heapq.heappush(queue, (reached, arc.to))
-            if sink not in far:
-                return
-            furthest = max(far.values())
-            potential = [p + far.get(i, furthest) for i, p in enumerate(potential)]
-            path, at = [], sink
-            while at != source:
-                a, k = came[at]
-                path.append(self.arcs[a][k])
-                at = a
-            room = min(arc.room for arc in path)
-            for arc in path:
-                arc.room -= room
-                self.arcs[arc.to][arc.back].room += room
-
-
-def route(tokens: dict[tuple, int], quotas: dict[str | None, int], epochs: int = 2) -> dict[tuple, int]:
-    """Tokens to take from each membership pattern so that the sources' quotas are met as far as they can be.
+        while (level := self._levels(source, sink))[sink] >= 0:
+            tried, path, at = [0] * len(self.of), [], source
+            while True:
+                if at == sink:
+                    room = min(self.room[arc] for arc in path)
+                    for arc in path:
+                        self.room[arc] -= room
+                        self.room[arc ^ 1] += room
+                    full = next(k for k, arc in enumerate(path) if not self.room[arc])
+                    at = self.to[path[full] ^ 1]
+                    del path[full:]
+                elif tried[at] < len(self.of[at]):
+                    arc = self.of[at][tried[at]]
+                    if self.room[arc] and level[self.to[arc]] == level[at] + 1:
+                        path.append(arc)
+                        at = self.to[arc]
+                    else:
+                        tried[at] += 1
+                elif path:  # no way on from here
+                    at = self.to[path.pop() ^ 1]
+                    tried[at] += 1
+                else:
+                    break
+
+
+def _together(patterns: list[tuple]) -> list[list[tuple]]:
+    """Patterns that share sources, directly or through others: each lot is a problem of its own."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for p in patterns:
+        for s in p[1:]:
+            root[find(s)] = find(p[0])
+    lots: dict = defaultdict(list)
+    for p in patterns:
+        lots[find(p[0])].append(p)
+    return list(lots.values())
+
+
+def arcs(tokens: dict[tuple, int], quotas: dict[str | None, int], epochs: int = 2) -> dict[tuple, dict[str | None, int]]:
+    """Tokens that each membership pattern gives to each of its sources, so that the sources' quotas are met as far as they
+    can be and, among such ways, at the least cost.
 
     Each pattern offers its tokens once per epoch, the e-th time at cost e - 1 per token: costs are convex, so all fresh
-    text that can serve a quota goes before anything is repeated.
+    text that can serve a quota goes before anything is repeated. As only these first arcs cost anything, and a flow that
+    grows never takes one of them back, the cheapest largest flow is made by letting the epochs in one after another.
+    Patterns that share no source, even through others, are solved apart; most are alone with their source.
     """
-    patterns, sources = sorted(tokens, key=repr), sorted(quotas, key=repr)
-    flow = Flow(2 + len(patterns) + len(sources))
-    at = {s: 2 + len(patterns) + i for i, s in enumerate(sources)}
-    offered = []
-    for i, p in enumerate(patterns):
-        offered.append([flow.add(0, 2 + i, tokens[p], e) for e in range(epochs)])
-        for s in p:
-            flow.add(2 + i, at[s], epochs * tokens[p])
-    for s in sources:
-        flow.add(at[s], 1, quotas[s])
-    flow.run(0, 1)
-    return {p: sum(tokens[p] - arc.room for arc in arcs) for p, arcs in zip(patterns, offered)}
+    given: dict[tuple, dict] = {p: {} for p in tokens}
+    for lot in _together(sorted((p for p in tokens if p), key=repr)):
+        if len(lot) == 1 and len(lot[0]) == 1:
+            (p,) = lot
+            given[p] = {p[0]: min(quotas[p[0]], epochs * tokens[p])}
+            continue
+        sources = sorted({s for p in lot for s in p}, key=lambda s: (s is None, s or ""))
+        flow, at = Flow(2 + len(lot) + len(sources)), {s: 2 + len(lot) + i for i, s in enumerate(sources)}
+        inner = {(p, s): flow.add(2 + i, at[s], epochs * tokens[p]) for i, p in enumerate(lot) for s in p}
+        for s in sources:
+            flow.add(at[s], 1, quotas[s])
+        for _ in range(epochs):
+            for i, p in enumerate(lot):
+                flow.add(0, 2 + i, tokens[p])
+            flow.run(0, 1)
+        for p, s in inner:
+            given[p][s] = flow.through(inner[p, s])
+    return given
+
+
+def route(tokens: dict[tuple, int], quotas: dict[str | None, int], epochs: int = 2) -> dict[tuple, int]:
+    """Tokens to take from each membership pattern."""
+    return {p: sum(to.values()) for p, to in arcs(tokens, quotas, epochs).items()}
 
 
 def membership(sources: Column, dtype: str) -> Column:
@@ -121,7 +162,8 @@ def plan(
     Returns the sized rows, `id, pattern, place, size` (a written table), and the decisions, one row per membership
     pattern: `pattern, epochs, last_place, source_size, target`. A document is taken `epochs` times, and once more if
     its seeded `place` is not after `last_place`. Sizes are summed by pattern and by 1,024 ranges of the place; only the
-    range where a quota ends is looked at row by row. The driver gets a row per pattern.
+    range where a quota ends is looked at row by row. The driver gets a row per pattern: names of sources and a number, so
+    their kinds are what bounds it, not the documents.
 
     weights: from the sorted names of the sources (by code point, null last) to their weights; as given in the contract,
     3, 1, 2 and again, if None.
@@ -132,13 +174,14 @@ def plan(
         F.col(id_col).alias("id"), membership(F.col(source_col), dtype).alias("pattern"),
         _order(seed, F.col(id_col), text).alias("place"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
     ))
-    sums = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MOST_PATTERNS + 1).collect()
-    if len(sums) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} membership patterns; name fewer sources")
+    sums = rows.groupBy("pattern").agg(F.sum("size").alias("size")).collect()
     tokens = {tuple(json.loads(r.pattern)): r["size"] for r in sums}
     text_of = {tuple(json.loads(r.pattern)): r.pattern for r in sums}
     sources = sorted({s for p in tokens for s in p}, key=lambda s: (s is None, s or ""))
-    sizes = {s: sum(n for p, n in tokens.items() if s in p) for s in sources}
+    sizes = dict.fromkeys(sources, 0)
+    for p, n in tokens.items():
+        for s in p:
+            sizes[s] += n
     wanted = targets(sizes, (weights or contract_weights)(sources), share, cap)
     taken = route(tokens, {s: round(wanted[s]) for s in sources}, cap)
     epochs = {p: taken[p] // n if n else 0 for p, n in tokens.items()}
@@ -148,15 +191,17 @@ def plan(
         text_of[p], epochs[p], last.get(text_of[p]), sizes[p[0]] if p else 0, wanted[p[0]] if p else 0.0,
     ) for p in tokens]
     schema = "pattern string, epochs long, last_place long, source_size long, target double"
-    return rows, spark.createDataFrame(decisions, schema)
+    return rows, _small(spark.createDataFrame(decisions, schema), len(decisions))
+
+
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= MOST_BROADCAST else table
 
 
 def _last_places(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
     """For each pattern the last place, in seeded order, at which the sum of sizes comes nearest to the rest."""
     spark = rows.sparkSession
-    wanted = F.broadcast(
-        spark.createDataFrame(list(rest.items()), "pattern string, rest long")
-    )  # at most MOST_PATTERNS rows
+    wanted = _small(spark.createDataFrame(list(rest.items()), "pattern string, rest long"), len(rest))
     range_of = F.shiftright("place", 54).alias("bin")  # -512 to 511
     up_to = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     bins = rows.select("pattern", range_of, "size").groupBy("pattern", "bin").agg(F.sum("size").alias("n"))
@@ -164,7 +209,7 @@ def _last_places(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
         "before", F.col("after") - F.col("n")
     )
     ends = bins.filter("before < rest AND after >= rest").select("pattern", "bin", "before", "rest").collect()
-    ends = F.broadcast(spark.createDataFrame(ends, "pattern string, bin long, before long, rest long"))
+    ends = _small(spark.createDataFrame(ends, "pattern string, bin long, before long, rest long"), len(ends))
     places = rows.withColumn("bin", range_of.cast("long")).join(ends, ["pattern", "bin"])
     places = places.groupBy("pattern", "place", "before", "rest").agg(F.sum("size").alias("n"))
     each = Window.partitionBy("pattern").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
@@ -197,7 +242,7 @@ def mix_report(
     so reruns agree. Other columns are not read.
     """
     rows, decisions = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
-    return rows.join(F.broadcast(decisions), "pattern").select(
+    return rows.join(decisions, "pattern").select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * _times(decisions)).alias("taken")
     )
 
@@ -207,10 +252,9 @@ def mixed(
 ) -> DataFrame:
     """The documents as the mix takes them: one taken twice is there twice. Columns stay; texts are not shuffled."""
     _, decisions = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **settings)
-    keys = decisions.select(*(F.col(c).alias(f"__{c}") for c in ("pattern", "epochs", "last_place")))
-    pattern = membership(F.col(source_col), dict(docs.dtypes)[source_col])
-    place = _order(seed, F.col(id_col), whole(text_col))
-    times = F.col("__epochs") + F.when(place <= F.col("__last_place"), 1).otherwise(0)
-    joined = docs.withColumn("__of", pattern).join(F.broadcast(keys), F.col("__of") == F.col("__pattern"))
-    joined = joined.withColumn("__times", times.cast("int")).filter("__times > 0")
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"))  # columns may have any names
+    of = membership(F.col("row")[source_col], dict(docs.dtypes)[source_col])
+    place = _order(seed, F.col("row")[id_col], whole(F.col("row")[text_col]))
+    taken = rows.withColumns({"pattern": of, "place": place}).join(decisions, "pattern")
+    taken = taken.select("row", _times(decisions).cast("int").alias("times")).filter("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "times")).alias("copy")).select("row.*")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import binary, pieces, stored
+from ferry.llm.common import binary, pieces, quoted, stored
 from ferry.llm.components import components
 
 BITS = 64
@@ -169,7 +169,8 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of `docs` that stay: of every component the document with the smallest identifier. Rows without an
     identifier cannot be named by a decision, so they all stay."""
-    named = docs.filter(F.col(id_col).isNotNull())
-    groups = near_groups(named, id_col, text_col, shingle, radius)
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    return named.join(kept, named[id_col] == F.col("__id"), "left_semi").union(docs.filter(F.col(id_col).isNull()))
+    groups = near_groups(docs.filter(quoted(id_col).isNotNull()), id_col, text_col, shingle, radius)
+    kept = groups.filter(quoted(id_col) == F.col("component_id")).select(quoted(id_col).alias("id")).distinct()
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row")).withColumn("own", F.col("row")[id_col])
+    stay = rows.filter("own IS NOT NULL").join(kept, F.col("own") == F.col("id"), "left_semi")
+    return stay.union(rows.filter("own IS NULL")).select("row.*")

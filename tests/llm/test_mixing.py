@@ -1,4 +1,6 @@
+import itertools
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -69,3 +71,62 @@ def test_overlapping_sources(spark):
     found = {r.doc_id: r.taken for r in mixing.mix_report(docs).collect()}
     assert len(found) == 92 and found[90] == found[91] == 0
     assert sum(found.values()) >= 0.9 * 900
+
+
+def cheapest(tokens, quotas, epochs):
+    """The most that can flow and its least cost, by trying every number of tokens on every arc."""
+    arcs = [(p, s) for p in tokens for s in p]
+    best = (0, 0)
+    for given in itertools.product(*(range(epochs * tokens[p] + 1) for p, _ in arcs)):
+        by_pattern, by_source = defaultdict(int), defaultdict(int)
+        for (p, s), n in zip(arcs, given):
+            by_pattern[p] += n
+            by_source[s] += n
+        if all(by_pattern[p] <= epochs * tokens[p] for p in tokens) and all(by_source[s] <= quotas[s] for s in by_source):
+            cost = sum(sum(range(n // tokens[p])) * tokens[p] + n % tokens[p] * (n // tokens[p]) if tokens[p] else 0 for p, n in by_pattern.items())
+            best = max(best, (sum(given), -cost))
+    return best
+
+
+def test_flows_against_all_ways():
+    rng = random.Random(2)
+    kinds = [("a",), ("b",), ("a", "b"), ("b", "c"), ("a", "c"), ("d",)]
+    for _ in range(60):
+        tokens = {p: rng.randrange(4) for p in rng.sample(kinds, 3)}
+        quotas = {s: rng.randrange(7) for s in "abcd"}
+        for epochs in (1, 2):
+            given = mixing.arcs(tokens, quotas, epochs)
+            taken = {p: sum(g.values()) for p, g in given.items()}
+            assert all(n <= epochs * tokens[p] for p, n in taken.items())
+            by = defaultdict(int)
+            for g in given.values():
+                for s, n in g.items():
+                    by[s] += n
+            assert all(n <= quotas[s] for s, n in by.items())
+            cost = sum(max(0, n - e * tokens[p]) for p, n in taken.items() for e in range(1, epochs))
+            assert (sum(taken.values()), -cost) == cheapest(tokens, quotas, epochs), (tokens, quotas)
+
+
+def test_many_sources():
+    """Sources without overlap are solved one by one, and a chain of overlaps of thousands in seconds."""
+    begun = time.monotonic()
+    tokens = {(f"s{i}",): 10 + i % 7 for i in range(20_000)}
+    given = mixing.route(tokens, {f"s{i}": 15 for i in range(20_000)})
+    assert all(given[p] == min(15, 2 * n) for p, n in tokens.items())
+    linked = {(f"s{i}", f"s{i + 1}"): 10 for i in range(2000)} | {(f"s{i}",): 5 for i in range(0, 2001, 3)}
+    given = mixing.route(linked, {f"s{i}": 12 for i in range(2001)})
+    assert sum(given.values()) == min(2 * sum(linked.values()), 12 * 2001)
+    assert time.monotonic() - begun < 20
+
+
+def test_columns_of_any_names(spark):
+    from ferry.llm import exact, simhash
+
+    names = ["doc_id", "text", "source", "__of", "__pattern", "__times", "__sha", "__id", "__kept", "row", "pattern", "place", "times", "copy", "id", "own", "sha", "a.b", "c`d"]
+    rows = [tuple([i, f"word{i // 2} and more words of text {i // 2}", "s"] + [f"{i}-{k}" for k in range(len(names) - 3)]) for i in range(12)]
+    docs = spark.createDataFrame(rows, names)
+    for kept in (exact.exact_dedup(docs), simhash.near_dedup(docs), mixing.mixed(docs)):
+        assert kept.columns == names
+        found = kept.collect()
+        assert found and all(tuple(r) == rows[r.doc_id] for r in found)
+    assert {r.doc_id for r in exact.exact_dedup(docs).collect()} == set(range(0, 12, 2))
