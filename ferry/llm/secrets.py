@@ -22,12 +22,14 @@ CLASSES = {
     "entropy_hex": ("[0-9A-Fa-f]", "0123456789ABCDEFabcdef", 3.0),
     "entropy_base64": ("[A-Za-z0-9+/_=-]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8),
 }
-#: Allow-list: candidates that are known not to be secrets. UUIDs, digits or one-case letters alone, capitalised words,
-#: documented examples.
+#: Allow-list: candidates that are known not to be secrets, each matched in full, so that one with a secret beside a word
+#: is not let off. UUIDs, digits or one-case letters alone; words, each capitalised or not and with a few digits behind it,
+#: joined as paths and names are; documented examples, which end in a word of their own.
 ALLOWED = (
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
-    r"[0-9_=-]+", r"[a-z_=-]+", r"[A-Z_=-]+", r"[A-Z][a-z]+",
-    r".*([Ee]xample|EXAMPLE).*",
+    r"[0-9_=-]+", r"[a-z_=-]+", r"[A-Z_=-]+",
+    r"[/_-]*[A-Z]?[a-z]+[0-9]{0,4}([/_-]+[A-Z]?[a-z]*[0-9]{0,4})*",
+    r"[A-Za-z0-9/+]*EXAMPLE(KEY)?",
 )
 WINDOW = 20
 CHUNK = 1024
@@ -88,9 +90,12 @@ def _windows(value: Column, alphabet: str, bits: float, window: int) -> Column:
     """Spans of a candidate that its windows of high entropy cover, overlapping ones as one.
 
     The counts of the characters in the window are carried along; each step adds the character that enters, takes off
-    the one that leaves, and corrects the sum of c * log2(c) by those two counts alone."""
+    the one that leaves, and corrects the sum of c * log2(c) by those two counts alone. Only the span that may still grow
+    is carried with them: those that are closed wait in a list per chunk of characters, as a list that grows is copied
+    at each step."""
     table = F.array(*(F.lit(w).cast("long") for w in weights(window)))
-    empty = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), 1, 0)
+    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"))
+    empty = F.slice(F.array(none), 1, 0)
     codes = F.transform(F.split(value, ""), lambda c: F.call_function("locate", c, F.lit(alphabet)) - 1)
 
     def step_over(codes: Column) -> Column:
@@ -102,23 +107,32 @@ def _windows(value: Column, alphabet: str, bits: float, window: int) -> Column:
             weight = s["weight"] + F.get(table, up + 1) - F.get(table, up) + F.when(leave >= 0, F.get(table, down - 1) - F.get(table, down)).otherwise(0)
             counts = F.transform(s["counts"], lambda n, k: n + (k == enter).cast("int") - (k == leave).cast("int"))
             first = i - (window - 1)
-            joins = (F.size(s["spans"]) > 0) & (F.try_element_at(s["spans"], F.lit(-1))["end"] >= first)
-            span = F.struct(
-                F.when(joins, F.try_element_at(s["spans"], F.lit(-1))["start"]).otherwise(first).alias("start"),
-                (i + 1).alias("end"),
-            )
-            kept = F.slice(s["spans"], F.lit(1), F.size(s["spans"]) - joins.cast("int"))
             high = (first >= 0) & (weight <= most_weight(window, bits))
+            joins = s["open"]["end"] >= first
+            closes = high & ~joins & (s["open"]["end"] >= 0)
+            span = F.struct(F.when(joins & (s["open"]["end"] >= 0), s["open"]["start"]).otherwise(first).alias("start"), (i + 1).alias("end"))
             return F.struct(
-                counts.alias("counts"), weight.alias("weight"),
-                F.when(high, F.array_append(kept, span)).otherwise(s["spans"]).alias("spans"),
+                counts.alias("counts"), weight.alias("weight"), F.when(high, span).otherwise(s["open"]).alias("open"),
+                F.when(closes, F.array_append(s["spans"], s["open"])).otherwise(s["spans"]).alias("spans"),
             )
 
+        def chunk(s: Column, c: Column) -> Column:
+            places = F.sequence(c * CHUNK, F.least(c * CHUNK + CHUNK, F.size(codes)) - 1)
+            start = F.struct(s["counts"].alias("counts"), s["weight"].alias("weight"), s["open"].alias("open"), empty.alias("spans"))
+            inner = F.aggregate(places, start, step)
+            return F.transform(F.array(inner), lambda x: F.struct(
+                x["counts"].alias("counts"), x["weight"].alias("weight"), x["open"].alias("open"),
+                F.when(F.size(x["spans"]) > 0, F.array_append(s["spans"], x["spans"])).otherwise(s["spans"]).alias("spans"),
+            ))[0]
+
         start = F.struct(
-            F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("weight"),
-            empty.alias("spans"),
+            F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("weight"), none.alias("open"),
+            F.slice(F.array(empty), 1, 0).alias("spans"),
         )
-        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda s: s["spans"])
+        chunks = F.sequence(F.lit(0), F.floor((F.size(codes) - 1) / CHUNK).cast("int"))
+        return F.aggregate(chunks, start, chunk, lambda s: F.concat(
+            F.flatten(s["spans"]), F.filter(F.array(s["open"]), lambda x: x["end"] >= 0)
+        ))
 
     return F.element_at(F.transform(F.array(codes), step_over), 1)
 
