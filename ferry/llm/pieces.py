@@ -15,10 +15,12 @@ from ferry.llm import common
 from ferry.llm.common import binary
 
 SPACE = "▁"
-CACHE = 300_000
+CACHE = 200_000
 LONGEST_KEPT = 64
 #: Fixed value: how far below the lowest score an unknown character is.
 UNKNOWN_PENALTY = 10.0
+#: Texts that rules other than the identity change.
+PROBES = ("a", "ﬁ Ａ", "e\u0301", "Two  Blanks", "tab\tend")
 
 
 class Pieces:
@@ -30,8 +32,9 @@ class Pieces:
     the vocabulary has byte pieces, else as the unknown piece.
     """
 
-    def __init__(self, pieces: list[tuple[str, float]], byte_ids: dict[int, int], unknown: int, most: int = CACHE):
-        """pieces: text and score by id; those that no text is to give (control, byte, unknown) with an empty text."""
+    def __init__(self, pieces: list[tuple[str, float]], byte_ids: dict[int, int], unknown: int, most: int = CACHE, silent: frozenset[int] = frozenset()):
+        """pieces: text and score by id; those that no text is to give (control, byte, unknown) with an empty text.
+        silent: ids that decode to nothing."""
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
@@ -53,15 +56,21 @@ class Pieces:
             self.cut = re.compile((r"\n|" if lines else "") + f"{SPACE}*[^{rest}]+|{SPACE}+").findall
         else:
             self.cut = lambda text: [text] if text else []
-        self.known: dict[str, bytes] = {}
-        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.most, self.silent = most, silent
 
     @classmethod
     def load(cls, path: str) -> Pieces:
-        """From the file of a SentencePiece model, read by its library."""
+        """From the file of a SentencePiece model, read by its library. An error for a model that changes texts other than by
+        marking their blanks. Of a BPE model the scores are ranks: the ids are those of the best sum of them, not those of
+        the library's merges."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        for text in PROBES:
+            if model.normalize(text) != SPACE + text.replace(" ", SPACE):
+                raise ValueError(f"the model's normaliser changes {text!r}: only the identity rule is known here")
         pieces, byte_ids = [], {}
         for i in range(model.get_piece_size()):
             text = model.id_to_piece(i)
@@ -69,7 +78,8 @@ class Pieces:
                 byte_ids[int(text[1:-1], 16)] = i
             hidden = model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
             pieces.append(("" if hidden else text, model.get_score(i)))
-        return cls(pieces, byte_ids, model.unk_id())
+        silent = frozenset(i for i in range(model.get_piece_size()) if model.is_control(i) or model.is_unused(i))
+        return cls(pieces, byte_ids, model.unk_id(), silent=silent)
 
     def best(self, text: str) -> list[int]:
         """One pass over the text: at each position the automaton's state and its output links give every piece that
@@ -105,23 +115,27 @@ class Pieces:
         return found[::-1]
 
     def _part(self, part: str) -> bytes:
-        made = self.known.get(part)
+        """A part that was not met lately: kept in two generations, so that frequent ones stay."""
+        made = self.old.get(part)
         if made is None:
             made = np.array(self.best(part), "<u4").tobytes()
-            if len(part) <= LONGEST_KEPT:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[part] = made
+        if len(part) <= LONGEST_KEPT:
+            if len(self.young) >= self.most:
+                self.young, self.old = {}, self.young
+            self.young[part] = made
         return made
 
     def encode(self, text: str) -> np.ndarray:
         marked = (SPACE + text.replace(" ", SPACE)) if text else ""
-        known, one = self.known, self._part
-        return np.frombuffer(b"".join([known.get(p) or one(p) for p in self.cut(marked)]), "<u4")
+        known, one = self.young.get, self._part
+        if len(self.young) + len(marked) > self.most:  # the young ones may become the old ones on the way
+            return np.frombuffer(b"".join([self.young.get(p) or one(p) for p in self.cut(marked)]), "<u4")
+        return np.frombuffer(b"".join([known(p) or one(p) for p in self.cut(marked)]), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text; bytes that are no UTF-8 become replacement characters. The blank put in front goes, and a
-        `\\u2581` of the original text comes back as a blank: it cannot be told from one."""
+        """The text of any ids, as the library writes it: bytes that are no UTF-8 become replacement characters, control
+        and unused pieces nothing, the unknown piece ` ⁇ `. A blank in front goes, the one that encoding puts there, and a
+        `\u2581` of the original text comes back as a blank: it cannot be told from one."""
         texts, bytes_of, found, run = self.texts, self.bytes_of, [], bytearray()
         for i in ids.tolist():
             if i in bytes_of:
@@ -130,9 +144,11 @@ class Pieces:
             if run:
                 found.append(run.decode(errors="replace"))
                 run.clear()
-            found.append(texts[i] or "⁇")
+            if i not in self.silent:
+                found.append(texts[i] or " ⁇ ")
         found.append(run.decode(errors="replace"))
-        return "".join(found).replace(SPACE, " ")[1:]
+        text = "".join(found)
+        return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
 
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

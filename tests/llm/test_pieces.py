@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -59,4 +60,41 @@ def test_round_trip(spark, model):
 def test_vocabulary_without_bytes_and_with_blanks_inside():
     own = pieces.Pieces([("", 0.0), ("▁a", -1.0), ("a▁b", -1.5), ("▁", -2.0), ("b", -2.0), ("a", -2.0), ("▁a▁b", -1.2)], {}, 0)
     assert own.encode("a b").tolist() == [6]
-    assert own.encode("a?b").tolist() == [1, 0, 4] and own.decode(own.encode("a?b")) == "a⁇b"
+    assert own.encode("a?b").tolist() == [1, 0, 4] and own.decode(own.encode("a?b")) == "a ⁇ b"
+
+
+def test_decoding_as_the_library_does(model):
+    """Ids that begin anywhere, control ids, the unknown one, and bytes that are cut."""
+    own = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert model.decode(np.array([own.piece_to_id(p) for p in ("a", "b", "c")])) == "abc"
+    ids = model.encode("the cat sat  on 漢 two").tolist()
+    rng = random.Random(1)
+    for _ in range(200):
+        a = rng.randrange(len(ids))
+        some = ids[a : rng.randrange(a, len(ids) + 1)]
+        for extra in (0, 1, 2):
+            if rng.random() < 0.2:
+                some.insert(rng.randrange(len(some) + 1), extra)
+        if not any(model.bytes_of.get(i, 0) >= 128 for i in some):  # the library writes one mark for each byte that is cut off
+            assert model.decode(np.array(some, np.uint32)) == own.decode(some), some
+
+
+def test_models_that_change_texts_are_refused(tmp_path):
+    raw = open(PATH, "rb").read()
+    at = raw.rindex(b"identity")
+    other = tmp_path / "other.model"
+    other.write_bytes(raw[:at] + b"nmt_nfkc" + raw[at + 8 :])
+    try:
+        changed = sentencepiece.SentencePieceProcessor(model_file=str(other)).normalize("ﬁ")
+    except Exception:
+        pytest.skip("the library does not load it")
+    if changed != "▁ﬁ":
+        with pytest.raises(ValueError, match="identity"):
+            pieces.Pieces.load(str(other))
+
+
+def test_what_is_kept_changes_nothing(model):
+    small = pieces.Pieces.load(PATH)
+    small.most = 3
+    for text in ("one two three four one two five six seven one", "a b c d e f g h a b"):
+        assert small.encode(text).tolist() == model.encode(text).tolist()
