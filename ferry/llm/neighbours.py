@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import stored
 
-BLOCK, PART = 4096, 50_000
-PROJECTIONS = 64
+#: Numbers of a block's vectors, and queries of a part.
+BLOCK, PART = 1 << 20, 50_000
+PROJECTIONS = 128
 #: Windows at radius 1 reach this far to either side. A vector at distance 1 of the query then falls into a window with
-#: probability 0.77, and it has to do so in 0.66 of the projections, two standard deviations less.
-HALF_WINDOW, THRESHOLD, GROWTH, FIRST_RADIUS = 1.21, 0.66, 1.25, 0.3
+#: probability 0.77, and it has to do so in 0.72 of the projections, over a standard deviation less; one at distance 1.3
+#: does so in 0.65 of them.
+HALF_WINDOW, THRESHOLD, GROWTH, FIRST_RADIUS = 1.21, 0.72, 1.25, 0.3
 
 
 class Block:
@@ -29,15 +31,17 @@ class Block:
         self.directions = np.random.default_rng([seed, vectors.shape[1]]).standard_normal((vectors.shape[1], PROJECTIONS))
         values = (self.vectors / self.norms[:, None]) @ self.directions
         places = np.argsort(values, axis=0, kind="stable")
-        self.places = [np.ascontiguousarray(p) for p in places.T]
+        self.places = [np.ascontiguousarray(p, np.int32) for p in places.T]
+        self.compared = 0
         self.sorted = [np.ascontiguousarray(v) for v in np.take_along_axis(values, places, 0).T]
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, within: np.ndarray | None = None) -> Iterator[tuple[int, int, float]]:
         """`query id, vector id, cosine` of the best k found for each query, its own identifier left out.
 
         Virtual rehashing: the windows around a query's projections grow with the radius, and only what they newly reach
         is counted. Vectors whose count passes the threshold are compared themselves. A query is done when its k-th best
-        is within the radius, or all vectors have been compared.
+        is within the radius, or all vectors have been compared. `within`: a radius for each query that holds k others
+        already; its windows open at once to that, and no further. `self.compared` counts the vectors compared.
         """
         n, least = len(self.ids), math.ceil(THRESHOLD * PROJECTIONS)
         norms = np.sqrt((queries * queries).sum(axis=1))
@@ -50,7 +54,7 @@ class Block:
         low = np.stack([np.searchsorted(s, centres[:, j]) for j, s in enumerate(self.sorted)], 1)
         high, radius = low.copy(), FIRST_RADIUS
         while len(alive):
-            reach = HALF_WINDOW * radius
+            reach = HALF_WINDOW * (radius if within is None else within)
             new_low = np.stack(
                 [np.searchsorted(s, centres[alive, j] - reach, "left") for j, s in enumerate(self.sorted)], 1
             )
@@ -64,6 +68,7 @@ class Block:
                 low[q], high[q] = np.minimum(low[q], new_low[a]), np.maximum(high[q], new_high[a])
                 counts[q] += np.bincount(np.concatenate(reached), minlength=n).astype(np.int16)
                 fresh = np.flatnonzero((counts[q] >= least) & ~compared[q])
+                self.compared += len(fresh)
                 if len(fresh):
                     compared[q, fresh] = True
                     other = fresh[self.ids[fresh] != query_ids[q]]
@@ -72,7 +77,7 @@ class Block:
                     top = np.lexsort((found, -scores))[:k]
                     best_s[q], best_i[q] = scores[top], found[top]
                 near = len(best_s[q]) == k and 2 - 2 * best_s[q][-1] <= radius * radius
-                on[a] = not near and not compared[q].all()
+                on[a] = within is None and not near and not compared[q].all()
             alive, radius = alive[on], radius * GROWTH
         for q, i in enumerate(query_ids.tolist()):
             yield from ((i, int(v), float(s)) for s, v in zip(best_s[q], best_i[q]))
@@ -94,29 +99,44 @@ def neighbours(
     """The k nearest of each query by cosine: `query_id, rank` (from 1)`, vec_id, score`, nearest first, ties to the
     smaller identifier.
 
-    Every usable row is indexed, in blocks of about `block` vectors, each with its own sorted arrays; every query meets
-    every block, and each meeting gives at most k rows, so a task holds one block and a batch of queries, whatever the
-    sizes. Many queries are dealt in parts. Vectors of another length than the query's are no candidates. Fewer than k
-    candidates: all found are returned.
+    Every usable row is indexed, in blocks of about `block` numbers, each with its own sorted arrays. A query first
+    searches the block it lies in: the distance of its k-th best there bounds how far it has to look. It then meets the
+    other blocks with windows of just that radius, so few of their vectors are compared. Each meeting gives at most k rows,
+    so a task holds one block and a batch of queries, whatever the sizes. Many queries are dealt in parts. Vectors of
+    another length than the query's are no candidates. Fewer than k candidates: all found are returned.
 
     queries: a condition on the column `id`; rows that meet it are the queries.
     """
     rows = stored(usable(vectors, id_col, vector_col))
-    total = rows.count()
+    sizes = rows.agg(F.coalesce(F.sum("dim"), F.lit(0)).alias("numbers")).first()
     condition = (F.col("id") % 50 == 0) if queries is None else queries
-    asked = rows.filter(condition)
-    blocks, parts = max(1, -(-total // block)), max(1, -(-asked.count() // PART))
-    data = rows.select(
-        "dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), "id", "vector")
-    asks = asked.select(
-        "dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("kind"), "id", "vector")
-    keys = ["dim", "block", "part"]
-    met = data.union(asks).repartition(*keys).sortWithinPartitions(*keys, "kind")
-    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    blocks = max(1, -(-sizes.numbers // block))
+    parts = max(1, -(-rows.filter(condition).count() // PART))
+    data = rows.select("dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "vector")
+    lots = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part")
+    every = data.select("dim", "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), F.lit(0.0).alias("within"), "id", "vector")
+    own = data.filter(condition).select("dim", "block", lots, F.lit(1).alias("kind"), F.lit(-1.0).alias("within"), "id", "vector")
+    first = _met(every.union(own), k)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
-    return found.select("query_id", rank, "vec_id", "score").filter(F.col("rank") <= k)
+    ranked = ["query_id", rank, "vec_id", "score"]
+    if blocks == 1:
+        return first.select(*ranked).filter(F.col("rank") <= k)
+    first = stored(first)
+    # the chord to the k-th best; one that has fewer than k looks everywhere
+    bound = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score")))).otherwise(2.0).alias("bound"))
+    asks = data.filter(condition).join(bound, F.col("id") == F.col("query_id"), "left").select(
+        "dim", F.col("block").alias("home"), lots, F.lit(1).alias("kind"), F.coalesce("bound", F.lit(2.0)).alias("within"), "id", "vector"
+    )
+    asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).filter("block != home")
+    others = _met(every.union(asks.select(*every.columns)), k)
+    return first.union(others).select(*ranked).filter(F.col("rank") <= k)
+
+
+def _met(rows: DataFrame, k: int) -> DataFrame:
+    """What queries (kind 1) find among the vectors (kind 0) of their block and part."""
+    keys = ["dim", "block", "part"]
+    met = rows.repartition(*keys).sortWithinPartitions(*keys, "kind")
+    return met.mapInArrow(_search(k), "query_id long, vec_id long, score double")
 
 
 def _search(k: int):
@@ -132,13 +152,16 @@ def _search(k: int):
                 if key != current:
                     current, held, index = key, [], None
                 part = batch.slice(a, b - a)
-                ids, flat = part.column(4).to_numpy(), part.column(5).flatten().to_numpy().reshape(b - a, key[0])
+                within, ids = part.column(4).to_numpy(), part.column(5).to_numpy()
+                flat = part.column(6).flatten().to_numpy().reshape(b - a, key[0])
                 if kind == 0:
                     held.append((ids, flat))
                 elif held:
                     index = index or Block(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]))
                     for at in range(0, len(ids), 256):
-                        found = list(index.search(ids[at : at + 256], flat[at : at + 256], k))
+                        some = slice(at, at + 256)
+                        radius = None if within[at] < 0 else within[some]
+                        found = list(index.search(ids[some], flat[some], k, radius))
                         q, v, s = zip(*found) if found else ((), (), ())
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
