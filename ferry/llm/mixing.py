@@ -250,7 +250,9 @@ def mix_report(
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, **settings
 ) -> DataFrame:
-    """The documents as the mix takes them: one taken twice is there twice. Columns stay; texts are not shuffled."""
+    """The documents as the mix takes them: one taken twice is there twice, with all its columns, whatever these are called.
+    Null and empty texts have no words, so they weigh nothing and are there as often as all of their source; a null source
+    is one of its own. Rows that repeat are taken alike. Texts are not shuffled."""
     _, decisions = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **settings)
     rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"))  # columns may have any names
     of = membership(F.col("row")[source_col], dict(docs.dtypes)[source_col])

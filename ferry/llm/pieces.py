@@ -185,7 +185,8 @@ def decoded(ids: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "
 def piece_report(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every whole text: `<id_col>, n_pieces, n_bytes` (byte pieces among them)`, ids_crc32` (of the
     ids as little-endian 32-bit numbers)`, decoded_crc32` (of the decoded text in UTF-8)`, round_trip` (whether the
-    decoded text is the original, blanks for `\\u2581`)."""
+    decoded text is the original, blanks for `\\u2581`). A row for each row of `docs`: null and empty texts have no piece and
+    come back empty, rows that repeat are each encoded, and other columns are not read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.load(model)
         low, high = min(pieces.bytes_of, default=0), max(pieces.bytes_of, default=-1)

@@ -203,7 +203,9 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """A row for each row of `docs`: `doc_id, held_out, score, predicted`."""
+    """A row for each row of `docs`: `doc_id, held_out, score, predicted`. Null and empty texts have the score of a text without
+    words; a null identifier is never held out; rows that repeat are scored alike. Without labelled rows all scores are the
+    same. Other columns but `n_chars` are not read."""
     scored = score(docs, train(docs, labels))
     return scored.select(
         F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
@@ -214,7 +216,8 @@ def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 def accepted(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7
 ) -> DataFrame:
-    """The rows of `docs` that the classifier accepts, with their columns; scored where they are read."""
+    """The rows of `docs` that the classifier accepts, with their columns, whatever these are called; scored where they are
+    read. Null and empty texts are scored as texts without words, and rows that repeat stay or go together."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
     names = [f.name for f in docs.schema.fields]
     at, stated = names.index(text_col), names.index("n_chars") if "n_chars" in names else None
@@ -226,4 +229,5 @@ def accepted(
                 scores = model.value.scores([features(t, s) for t, s in zip(binary(part.column(at)), lengths)])
                 yield part.filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))  # Python functions do not take names with points
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -349,7 +349,9 @@ def read_records(spark: SparkSession, manifest: DataFrame, folder: str, at_once:
 
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """Write the documents' ids to the shared folder and read them back."""
+    """Write the documents' ids to the shared folder and read them back: a row for each row of `docs`, `doc_id, start,
+    n_tokens, ids_crc32`. Null and empty texts are the end id alone; null identifiers come first, and rows that repeat one
+    follow each other, ordered by a hash of their texts, each with a row. Other columns are not read."""
     folder = shared_folder(docs.sparkSession)
     manifest = write_records(docs, tokenizer, f"{folder}/records", end_id)
     return read_records(docs.sparkSession, manifest, f"{folder}/records")

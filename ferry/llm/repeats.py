@@ -499,7 +499,8 @@ def without_repeats(
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
-    """What stays of each document, as counts and a digest."""
+    """What stays of each document, as counts and a digest: a row for each row of `docs`. Null and empty texts have no words and
+    the digest of an empty text; of rows that repeat an identifier and a passage one keeps it."""
     return without_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

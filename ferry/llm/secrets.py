@@ -189,7 +189,8 @@ def digest(spans: Column, kinds: list[str]) -> Column:
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """The scan as counts and digests for each document."""
+    """The scan as counts and digests: a row for each row of `docs`, repeated ones too. Null and empty texts have no spans and
+    the digest of an empty text."""
     kinds = [*BASE, *CLASSES]
     found = scan(docs)
 

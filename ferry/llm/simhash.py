@@ -167,8 +167,9 @@ def near_groups(
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
 ) -> DataFrame:
-    """The rows of `docs` that stay: of every component the document with the smallest identifier. Rows without an
-    identifier cannot be named by a decision, so they all stay."""
+    """The rows of `docs` that stay, with their columns, whatever these are called: of every component the document with the
+    smallest identifier, and if several rows have that, all of them. Rows without an identifier cannot be named by a
+    decision, so they all stay. Null and empty texts are one component."""
     groups = near_groups(docs.filter(quoted(id_col).isNotNull()), id_col, text_col, shingle, radius)
     kept = groups.filter(quoted(id_col) == F.col("component_id")).select(quoted(id_col).alias("id")).distinct()
     rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row")).withColumn("own", F.col("row")[id_col])

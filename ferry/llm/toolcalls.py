@@ -428,6 +428,9 @@ def as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def linked_conversations(messages: DataFrame) -> DataFrame:
+    """The conversations' turns as calls and results, linked: a row for each turn that is not the assistant's. Null texts are
+    empty ones, which no schema here takes; rows without conv_id or turn are left out; of rows that repeat a turn the least
+    by role and text counts, and `n_calls` tells. Other columns are not read."""
     return link(*as_calls(messages), SCHEMAS)
 
 

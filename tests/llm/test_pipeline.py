@@ -11,7 +11,7 @@ import brute
 import corpus_pipeline
 from conftest import DATA
 from ferry.llm import mixing, queries
-from ferry.llm.common import stored, table
+from ferry.llm.common import quoted, stored, table
 from oracle import compare, connect
 
 
@@ -68,3 +68,34 @@ def test_secrets_and_fingerprints(spark, rows):
 
 def test_all_are_registered():
     assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {n.split("_")[0] for n in entry.queries() if n.startswith(("op", "pipeline"))}
+
+
+def tables(spark, folder, docs):
+    for name in ("labels",):
+        table(spark, DATA, name).write.parquet(f"{folder}/{name}.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_no_documents(spark, tmp_path):
+    folder = tables(spark, tmp_path, table(spark, DATA, "documents").limit(0))
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Rows with nulls in any column, repeated rows, and columns with the names that operators use go through all stages."""
+    from pyspark.sql import functions as F
+
+    good = table(spark, DATA, "documents")
+    odd = good.limit(6).selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source", "CAST(NULL AS BIGINT) AS n_chars")
+    empty = good.limit(4).selectExpr("IF(doc_id % 2 = 0, NULL, doc_id + 100000) AS doc_id", "IF(doc_id % 3 = 0, NULL, '') AS text", "lang", "source", "n_chars")
+    names = ["__id", "__sha", "__of", "__times", "id", "row", "pattern", "size", "keep_id", "fp", "fingerprint", "times", "copy", "a.b"]
+    docs = good.union(odd).union(empty).select("*", *(F.lit(n).alias(n) for n in names))
+    folder = tables(spark, tmp_path, docs)
+    rows = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, rows, folder))
+        assert out.columns == docs.columns, name
+        assert out.select(*map(quoted, names)).distinct().collect() == [tuple(names)], name
+        rows = out
+    assert corpus_pipeline.run(spark, folder).count() == rows.count() > 0
