@@ -10,27 +10,31 @@ from ferry.llm.queries import PIECE_MODEL
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from labels of the documents it is given."""
+    """Documents that the quality classifier accepts; it learns from labels of the documents it is given. Null and empty texts
+    are scored as texts without words; repeated rows stay or go together; other columns stay as they are."""
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def different_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest doc_id."""
+    """Of equal texts the document with the smallest doc_id; null equals empty. Rows that repeat that doc_id all stay, and a
+    null doc_id only where no other has the text."""
     return exact.exact_dedup(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id."""
+    """Of each group of near copies the document with the smallest doc_id. Texts without words are one group; rows without a
+    doc_id all stay."""
     return simhash.near_dedup(docs)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as the mix of sources takes them: one taken twice is there twice."""
+    """Documents as the mix of sources takes them: one taken twice is there twice. A null source is a source; texts without words
+    weigh nothing."""
     return mixing.mixed(docs)
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's pieces, and whether decoding them gives its text."""
+    """Each document's pieces, and whether decoding them gives its text: a row for each row, null and empty texts with none."""
     return pieces.piece_report(docs, PIECE_MODEL)
 
 
