@@ -6,6 +6,7 @@ import json
 import math
 import re
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
 
@@ -13,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ferry.llm.common import pieces, stored
 
@@ -288,14 +290,53 @@ def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -
         return "null", ["$: nested too deep"]
 
 
-#: Depth of what is in a cycle or behind one.
-ENDLESS = 1 << 40
+#: Depth of what is in a cycle or behind one, and calls with names of others that one task orders at most.
+ENDLESS, TOGETHER = 1 << 40, 50_000
 
 
-def depths(calls: DataFrame) -> DataFrame:
+def _ordered(schema: pa.Schema):
+    """The calls of one conversation, one after another as those before them are done; what is never done is in a cycle."""
+    def run(table: pa.Table) -> pa.Table:
+        names, after = table.column("call_id").to_pylist(), table.column("after").to_pylist()
+        depth, waits, behind = dict.fromkeys(names, 0), {}, defaultdict(list)
+        for name, before in zip(names, after):
+            before = {b for b in before or () if b in depth}
+            waits[name] = len(before)
+            for b in before:
+                behind[b].append(name)
+        ready = [name for name, n in waits.items() if not n]
+        for name in ready:  # grows on the way
+            for b in behind[name]:
+                depth[b] = max(depth[b], depth[name] + 1)
+                waits[b] -= 1
+                if not waits[b]:
+                    ready.append(b)
+        found = [depth[name] if not waits[name] else None for name in names]
+        return pa.table([table.column("conv_id"), table.column("call_id"), pa.array(found, pa.int64())], schema=schema)
+
+    return run
+
+
+def depths(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
     """`conv_id, call_id, depth`: the longest chain of calls that must come before each one, for `after` with the names of
     those right before it (an array, or one name); null for calls in a cycle or behind one. Names of no call count as none.
 
+    A conversation of no more than `together` calls and names of calls is ordered by one task. A larger one is worked on by
+    all of them, by `_depths_in_rounds`, with the same result.
+    """
+    if isinstance(calls.schema["after"].dataType, T.StringType):
+        calls = calls.withColumn("after", F.array("after"))
+    sizes = calls.groupBy("conv_id").agg(F.sum(1 + F.greatest(F.size("after"), F.lit(0))).alias("size"))
+    rows = stored(calls.join(sizes, "conv_id").select("conv_id", "call_id", "after", (F.col("size") <= together).alias("small")))
+    schema = f"conv_id {dict(rows.dtypes)['conv_id']}, call_id string, depth long"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    small = rows.filter("small").groupBy("conv_id").applyInArrow(_ordered(arrow), schema)
+    return small.unionByName(_depths_in_rounds(rows.filter("NOT small").drop("small")))
+
+
+def _depths_in_rounds(calls: DataFrame) -> DataFrame:
+    """The depths of calls of conversations that may be of any size.
+
     A call waits for others by edges with lengths, and has a depth of at least something. In each round an edge to a call
     that waits for none becomes such a least depth, and one to a call that waits for one other leads on to that: chains
     shrink to half in a round, and a conversation that holds a third of all calls is worked on by all tasks, as rows
@@ -303,8 +344,6 @@ def depths(calls: DataFrame) -> DataFrame:
     changes. Rounds grow with the logarithm of chains, and with the number of joins in a row that wait for several.
     """
     key = ["conv_id", "call_id"]
-    if isinstance(calls.schema["after"].dataType, T.StringType):
-        calls = calls.withColumn("after", F.array("after"))
     there = calls.select("conv_id", F.col("call_id").alias("to"))
     sizes = calls.groupBy("conv_id").agg(F.count("*").alias("most"))
     wanted = calls.select(*key, F.explode(F.array_distinct("after")).alias("to")).join(there, ["conv_id", "to"])

@@ -48,6 +48,9 @@ def test_a_conversation_with_very_many_calls(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None, i, "add", '{"x":1}') for i in range(700)]
     found, _ = linked(spark, calls)
     assert all(found[1, f"c{i}"].depth == i for i in range(700))
+    frame = spark.createDataFrame(calls, CALLS)
+    rows = toolcalls.depths(frame, 0).collect()  # chains shrink to half in a round
+    assert {r.call_id: r.depth for r in rows} == {f"c{i}": i for i in range(700)}
 
 
 def test_half_pairs_of_surrogates(spark):
@@ -143,8 +146,9 @@ def test_several_prerequisites(spark):
         rows += [(conv, c, after) for c, after in calls]
     chain = [(99, f"c{i}", [f"c{i - 1}", f"c{i - 2}"] if i % 50 == 7 else [f"c{i - 1}"]) for i in range(300)]
     frame = spark.createDataFrame(rows + chain, "conv_id long, call_id string, after array<string>")
-    found = {(r.conv_id, r.call_id): r.depth for r in toolcalls.depths(frame).collect()}
-    assert found == truth | {(99, f"c{i}"): i for i in range(300)}
+    for together in (50_000, 12, 0):  # by one task for each conversation, mixed, and in rounds by all
+        found = {(r.conv_id, r.call_id): r.depth for r in toolcalls.depths(frame, together).collect()}
+        assert found == truth | {(99, f"c{i}"): i for i in range(300)}
 
 
 def test_invalid_calls_are_in_the_query(spark):
