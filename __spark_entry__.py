@@ -811,7 +811,7 @@ def render_float_extreme(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = "concat(1 + l_partkey % 9, '.', lpad(cast(l_orderkey AS string), 9, '0'), lpad(cast(l_suppkey % 99991 AS string), 5, '0'))"
     number = f"concat(if(l_linenumber % 2 = 1, '-', ''), {digits}, 'E', (l_orderkey * 7 + l_partkey * 5 + l_linenumber) % 615 - 307)"
     df = _table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"cast({number} AS double) AS x")
-    return df.select("l_orderkey", "l_linenumber", F.expr(fn.render_float("x", DoubleType())).alias("value"))
+    return df.select("l_orderkey", "l_linenumber", F.expr(fn.render_float("x", DoubleType(), exact=True)).alias("value"))
 
 
 @_query(" UNION ALL ".join(f"SELECT '{f}' AS landed_as, s_suppkey, s_name FROM supplier" for f in ("arrow", "csv", "jsonl", "parquet")))

@@ -19,9 +19,19 @@ def render_timestamptz(c: str) -> str:
     return f"concat({render_timestamp(c)}, date_format({c}, 'XXX'))"
 
 
-def render_float(c: str, dtype: T.DataType) -> str:
-    """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`."""
-    return common_float(c, dtype, moved_point("s"))
+def render_float(c: str, dtype: T.DataType, exact: bool = False) -> str:
+    """Shortest digits that give the same float back, never an exponent; `1.0` -> `1`.
+
+    Of several texts as short, doubles below 1e-6 and from 9.2e18 on have the one that Java gives, which before Java 19 may
+    have a digit too many or be off by one in the last; with `exact` they have the shortest and nearest, by all digits of
+    the double. That expression is large: it is for single columns, as hundreds of it do not fit a task's memory.
+    """
+    plain = common_float(c, dtype, moved_point("s"))
+    if not exact or not isinstance(dtype, T.DoubleType):
+        return plain
+    extreme = f"({c} <> 0 AND abs({c}) < 1e-6D OR abs({c}) >= 9.2e18D AND abs({c}) < double('Infinity'))"
+    rest = jsontext.rarely(f"struct({c} AS x, cast({c} AS string) AS java)", "v", jsontext.rarely(_extreme("v"), "s", moved_point("s")))
+    return f"CASE WHEN {extreme} THEN {rest} ELSE {plain} END"
 
 
 def common_float(c: str, dtype: T.DataType, other: str) -> str:
@@ -43,16 +53,11 @@ def common_float(c: str, dtype: T.DataType, other: str) -> str:
         WHEN abs({c}) >= 1e7D AND abs({c}) < {whole}D
         THEN trim(TRAILING '0' FROM cast(cast({c} AS decimal(30,10)) AS string))
         WHEN abs({c}) >= {whole}D AND abs({c}) < 9.2e18D THEN {jsontext.rarely(f"cast({c} AS bigint)", 'b', _rounded_whole())}"""
-    extreme = ""
-    if double:  # Java before 19 may write a digit too many there, or a last one that is off by one
-        extreme = f"""WHEN abs({c}) < 1e-6D OR abs({c}) >= 9.2e18D AND abs({c}) < double('Infinity')
-        THEN {jsontext.rarely(f"struct({c} AS x, cast({c} AS string) AS java)", 'v', jsontext.rarely(_extreme('v'), 's', other))}"""
     return f"""CASE
         WHEN {c} = 0 THEN substring_index(cast({c} AS string), '.', 1)
         WHEN abs({c}) < {whole}D AND rint({c}) = {c} THEN cast(cast({c} AS bigint) AS string)
         WHEN abs({c}) >= cast(0.001D AS {kind}) AND abs({c}) < 1e7D THEN cast({c} AS string)
         {other_plain}
-        {extreme}
         WHEN {c} IS NOT NULL THEN {jsontext.rarely(c, 'x', jsontext.rarely(_shortest('x', dtype), 's', other))} END"""
 
 
@@ -67,10 +72,12 @@ def _rounded_whole() -> str:
 
 
 def _extreme(v: str) -> str:
-    """Text like Java's (`1.5E20`) of the double in `v.x`, Java's text of which is `v.java`. No two texts of 15 digits or
-    fewer are the same double of full precision, so such a text is the shortest there is."""
+    """Text like Java's (`1.5E20`) of the double in `v.x`, Java's text of which is `v.java`: before Java 19 that may have a
+    digit too many, or a last one that is off by one. No two texts of 15 digits or fewer are the same double of full
+    precision, so such a text is the shortest there is."""
     few = f"length(translate(substring_index({v}.java, 'E', 1), '-.', '')) <= 15 AND abs({v}.x) >= 2.3e-308D"
-    return f"if({few}, {v}.java, concat(if({v}.x < 0, '-', ''), {jsontext.rarely(f'abs({v}.x)', 'x', _nearest('x'))}))"
+    kept = f"NOT contains({v}.java, 'E') OR {few}"  # NaN and infinity have no exponent
+    return f"if({kept}, {v}.java, concat(if({v}.x < 0, '-', ''), {jsontext.rarely(f'abs({v}.x)', 'x', _nearest('x'))}))"
 
 
 def _exact_digits(x: str) -> str:
@@ -86,7 +93,7 @@ def _exact_digits(x: str) -> str:
 
     def powers(base: int, e: str) -> str:
         most = steps[base]
-        return f"concat(array_repeat({base**most}L, cast({e} div {most} AS int)), array(element_at(array({', '.join(f'{base**k}L' for k in range(most))}), cast({e} % {most} AS int) + 1)))"
+        return f"concat(array_repeat({base**most}L, cast({e} div {most} AS int)), array(cast(round(pow({base}D, {e} % {most})) AS bigint)))"
 
     factors = f"if(p.e < 0, {powers(5, 'abs(p.e)')}, {powers(2, 'abs(p.e)')})"
     limbs = f"aggregate({factors}, array(p.m % {limb}L, p.m div {limb}L % {limb}L, p.m div {limb * limb}L), (l, f) -> {times})"
@@ -104,7 +111,7 @@ def _nearest(x: str) -> str:
     cut, power = "cast(left(q.w, k) AS bigint)", "length(q.w) - k + q.shift"
     nearer_above = f"({rest} > {half} OR {rest} = {half} AND {cut} % 2 = 1)"  # of two that are as near, the even one
     pair = f"array(concat({cut}, 'E', {power}), concat({cut} + 1, 'E', {power}))"
-    tried = f"filter(if({nearer_above}, reverse({pair}), {pair}), t -> cast(t AS double) = {x})"
+    tried = jsontext.rarely(pair, "b", f"filter(if({nearer_above}, reverse(b), b), t -> cast(t AS double) = {x})")
     found = f"get(filter(transform(sequence(1, least(17, length(q.w))), k -> get({tried}, 0)), t -> t IS NOT NULL), 0)"
     power = "length(substring_index(t, 'E', 1)) - 1 + cast(substring_index(t, 'E', -1) AS int)"
     # digits of which the last became 10 end in zeros

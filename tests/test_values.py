@@ -296,5 +296,5 @@ def test_doubles_of_every_exponent(spark):
     bits = [(rng.getrandbits(1) << 63) | (e << 52) | m for e in range(2047) for m in (0, 1, (1 << 52) - 1, rng.getrandbits(52))]
     values = [struct.unpack("<d", struct.pack("<Q", b))[0] for b in bits] + [5e-324, 1.7976931348623157e308, 2.0**-44, 9.2e18, 2e23, 9007199254740993.0]
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    texts = {r.x: r.t for r in df.select("x", F.expr(fn.render_float("x", T.DoubleType())).alias("t")).collect()}
+    texts = {r.x: r.t for r in df.select("x", F.expr(fn.render_float("x", T.DoubleType(), exact=True)).alias("t")).collect()}
     assert texts == {v: f"{Decimal(repr(v)):f}".removesuffix(".0") for v in values}
